@@ -18,7 +18,7 @@ def is_missing(column: Column) -> Column:
 
 def clamp(column: Column, low: float, high: float) -> Column:
     """Keep within [low, high]; NULL stays NULL (greatest/least alone would skip it)."""
-    bounded = F.greatest(F.lit(float(low)), F.least(F.lit(float(high)), column))
+    bounded = F.greatest(F.lit(low), F.least(F.lit(high), column))
     return F.when(column.isNotNull(), bounded)
 
 

@@ -220,8 +220,11 @@ def expectations_silver(df: DataFrame, bronze: DataFrame, max_share: float = 0.7
 
 def bronze_gate(df: DataFrame, min_rows: int = 4000, max_copies: float = 0.01,
                 salary: Sequence[float] = SALARY_PLAUSIBLE, engagement: Sequence[float] = ENGAGEMENT_SCALE,
-                earliest: str = "2000-01-01") -> DataFrame:
-    """The six intake checks. Copies are counted first, so one scan and one shuffle serve all of them."""
+                earliest: str = "2000-01-01", max_out_of_range: int = 0) -> DataFrame:
+    """The six intake checks. Copies are counted first, so one scan and one shuffle serve all of them.
+
+    Silver repairs values out of range, so an export with a few of them can be let in by `max_out_of_range` rows.
+    """
     rows = count_copies(df)
     weight = F.col(COPIES)
 
@@ -234,8 +237,8 @@ def bronze_gate(df: DataFrame, min_rows: int = 4000, max_copies: float = 0.01,
         Rule("min_rows", total, ">=", min_rows),
         Rule("key_nulls", rows_where(F.col(KEY).isNull()), "==", 0),
         Rule("copies_share", share(total - F.count(F.lit(1)), total), "<=", max_copies),
-        Rule("salary_range", rows_where(~F.col(SALARY).between(*salary)), "==", 0),
-        Rule("engagement_range", rows_where(~F.col(ENGAGEMENT).between(*engagement)), "==", 0),
+        Rule("salary_range", rows_where(~F.col(SALARY).between(*salary)), "<=", max_out_of_range),
+        Rule("engagement_range", rows_where(~F.col(ENGAGEMENT).between(*engagement)), "<=", max_out_of_range),
         Rule("start_date", rows_where(started.isNull() | (started <= F.lit(earliest).cast("date"))), "==", 0),
     ]
     return evaluate(rows, rules)

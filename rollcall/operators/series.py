@@ -124,12 +124,18 @@ def headcount_cells(df: DataFrame, first: dt.date, last: dt.date, dims: Sequence
 
 
 def cell_mean(measure: str) -> Column:
-    """Mean of a measure in a cell; NULL when no active person has a value."""
-    return F.col(f"sum_{measure}").cast("double") / F.nullif(F.col(f"n_{measure}"), F.lit(0))
+    """Mean of a measure in a cell, as a decimal: rounding it is exact. NULL when no active person has a value."""
+    return F.col(f"sum_{measure}") / F.nullif(F.col(f"n_{measure}"), F.lit(0))
+
+
+def rounded_mean(measure: str, places: int) -> Column:
+    return F.round(cell_mean(measure), places).cast("double")
 
 
 def monthly_turnover(exits: Column, opening: Column) -> Column:
-    return F.round(exits.cast("double") / F.greatest(opening, F.lit(1)) * 100, 2)
+    """Departures in percent of the opening headcount, at least 1."""
+    share = exits.cast("decimal(20,0)") * 100 / F.greatest(opening, F.lit(1)).cast("decimal(20,0)")
+    return F.round(share, 2).cast("double")
 
 
 def enps(engagement: Column, year: Column, trend: Mapping[int, float] = ENPS_TREND,
@@ -163,10 +169,10 @@ def monthly_series(df: DataFrame, start: str | dt.date, end: str | dt.date) -> D
             "admissoes", "desligamentos", "desligamentos_voluntarios", "desligamentos_involuntarios")],
         monthly_turnover(count("desligamentos"), count("opening")).alias("turnover_mensal_pct"),
         F.coalesce(payroll, F.lit(0.0)).alias("custo_folha_total"),
-        F.round(cell_mean(ENGAGEMENT), 2).alias("engajamento_medio"),
-        enps(cell_mean(ENGAGEMENT), F.year("month")).alias("enps"),
-        productivity_index(cell_mean(PERFORMANCE)).alias("produtividade_index"),
-        F.round(cell_mean(PERFORMANCE), 2).alias("performance_medio"),
+        rounded_mean(ENGAGEMENT, 2).alias("engajamento_medio"),
+        enps(cell_mean(ENGAGEMENT).cast("double"), F.year("month")).alias("enps"),
+        productivity_index(cell_mean(PERFORMANCE).cast("double")).alias("produtividade_index"),
+        rounded_mean(PERFORMANCE, 2).alias("performance_medio"),
     )
 
 
@@ -177,10 +183,10 @@ def granular_series(df: DataFrame, start: str | dt.date, end: str | dt.date,
     return cells.where(F.col("headcount") > 0).select(
         month_key(F.col("month")).alias("competencia"), *dims, "headcount", "desligamentos",
         "desligamentos_voluntarios",
-        F.round(cell_mean(ENGAGEMENT), 2).alias("engajamento_medio"),
-        F.round(cell_mean(SALARY), 2).alias("salario_medio"),
-        F.round(cell_mean(PERFORMANCE), 2).alias("performance_medio"),
-        F.round(cell_mean(PRODUCTIVITY), 1).alias("produtividade_medio"),
+        rounded_mean(ENGAGEMENT, 2).alias("engajamento_medio"),
+        rounded_mean(SALARY, 2).alias("salario_medio"),
+        rounded_mean(PERFORMANCE, 2).alias("performance_medio"),
+        rounded_mean(PRODUCTIVITY, 1).alias("produtividade_medio"),
     )
 
 
@@ -191,7 +197,7 @@ def productivity_by_area(df: DataFrame, start: str | dt.date, end: str | dt.date
     cells = headcount_cells(df, first, last, ["area"], {PRODUCTIVITY: SCORE})
     return cells.where(F.col("headcount") > 0).select(
         month_key(F.col("month")).alias("competencia"), "area",
-        F.round(clamp(cell_mean(PRODUCTIVITY), 50, 140), 1).alias("produtividade_index"), "headcount")
+        F.round(clamp(cell_mean(PRODUCTIVITY), 50, 140), 1).cast("double").alias("produtividade_index"), "headcount")
 
 
 def headcount_by_area(df: DataFrame) -> DataFrame:

@@ -83,12 +83,11 @@ SORT = {
 
 
 def run(spark: SparkSession, bronze_path: str, root: str, start: str, end: str, as_of: str,
-        min_rows: int = 4000, gate: bool = True) -> Paths:
+        min_rows: int = 4000, max_out_of_range: int = 0) -> Paths:
     """Read the export, check it, and write silver and gold. Raises before writing if the bronze gate fails."""
     paths, store = Paths(root), Store(spark, "pipeline")
     bronze = read_bronze(spark, bronze_path)
-    if gate:
-        quality.require(quality.bronze_gate(bronze, min_rows))
+    quality.require(quality.bronze_gate(bronze, min_rows, max_out_of_range=max_out_of_range))
     silver = bronze_to_silver(spark, bronze, paths, store)
     for name, table in gold_tables(silver, start, end, as_of).items():
         write_table(table, paths.gold(name))

@@ -63,7 +63,9 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", sort: Sequence[s
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).option("encoding", "UTF-8").csv(path)
+    """CSV with a header. Spaces at the ends of values are data and are kept."""
+    keep = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.mode("overwrite").options(header=True, encoding="UTF-8", **keep).csv(path)
 
 
 def write_json(df: DataFrame, path: str) -> None:
