@@ -101,12 +101,22 @@ def _turnover(exits: str, opening: str) -> str:
     return f"CAST((2 * {exits} * 10000 + {base}) // (2 * {base}) AS DOUBLE) / 100"
 
 
-_TREND = "CASE year(mes) WHEN 2024 THEN -3 WHEN 2025 THEN 0 ELSE 4 END"
-_ENPS = "round(greatest(-100, least(100, (e - 5) * 18 + " + _TREND + ")), 1)"
+def _index(column: str, factor: int, shift: str, low: int, high: int) -> str:
+    """factor * mean + shift within [low, high], one decimal, half away from zero, in whole numbers."""
+    n = f"CAST(count({column}) AS HUGEINT)"
+    total = f"CAST(sum(CAST({column} AS DECIMAL(18,6))) * 1000000 AS HUGEINT)"
+    over, under = f"({factor} * {total} + ({shift}) * {n} * 1000000)", f"({n} * 1000000)"
+    rounded = f"sign({over}) * ((20 * abs({over}) + {under}) // nullif(2 * {under}, 0))"
+    return f"CASE WHEN {n} > 0 THEN greatest({low}, least({high}, CAST({rounded} AS DOUBLE) / 10)) END"
+
+
+_ENPS = _index(
+    "engajamento_score_base", 18, "-90 + CASE max(year(mes)) WHEN 2024 THEN -3 WHEN 2025 THEN 0 ELSE 4 END", -100, 100)
+_PRODUCTIVITY = _index("performance_score", 12, "49", 60, 135)
 
 SERIES_CTE = f"""{MONTHS},
 by_month AS (
-  SELECT mes, competencia, count(*) AS hc, {_mean('engajamento_score_base')} AS e, {_mean('performance_score')} AS p,
+  SELECT mes, competencia, count(*) AS hc, {_ENPS} AS enps, {_PRODUCTIVITY} AS prod,
     {_rounded('engajamento_score_base', 2)} AS e2, {_rounded('performance_score', 2)} AS p2,
     CAST(sum(CAST(salario_mensal AS DECIMAL(18,2))) AS DOUBLE) AS payroll FROM active GROUP BY ALL),
 serie AS (
@@ -120,8 +130,7 @@ serie AS (
     {_turnover('(SELECT count(*) FROM gone c WHERE c.competencia = m.competencia)',
                '(SELECT count(*) FROM opened c WHERE c.competencia = m.competencia)')} AS turnover_mensal_pct,
     coalesce(payroll, 0) AS custo_folha_total, e2 AS engajamento_medio,
-    CASE WHEN e IS NOT NULL THEN {_ENPS} END AS enps,
-    CASE WHEN p IS NOT NULL THEN round(greatest(60, least(135, 85 + (p - 3) * 12)), 1) END AS produtividade_index,
+    enps, prod AS produtividade_index,
     p2 AS performance_medio
   FROM months m LEFT JOIN by_month b USING (mes, competencia))"""
 
@@ -194,7 +203,7 @@ fact AS (
 
 FACT_HC = f"""{DIMS},
 hc AS (
-  SELECT mes, competencia, area, senioridade, count(*) AS headcount, {_mean('engajamento_score_base')} AS e,
+  SELECT mes, competencia, area, senioridade, count(*) AS headcount, {_ENPS} AS enps,
     {_rounded('engajamento_score_base', 2)} AS e2, {_rounded('salario_mensal', 2)} AS s2,
     {_rounded('performance_score', 2)} AS p2, CAST(sum(CAST(salario_mensal AS DECIMAL(18,2))) AS DOUBLE) AS folha FROM active GROUP BY ALL),
 op AS (SELECT competencia, area, senioridade, count(*) AS opening FROM opened GROUP BY ALL),
@@ -206,7 +215,7 @@ fact_hc AS (
     coalesce(desligamentos, 0) AS desligamentos, coalesce(vol, 0) AS desligamentos_vol,
     {_turnover('coalesce(desligamentos, 0)', 'coalesce(opening, 0)')} AS turnover_mensal_pct,
     e2 AS engajamento_medio, s2 AS salario_medio, p2 AS performance_medio,
-    CASE WHEN e IS NOT NULL THEN {_ENPS} END AS enps, folha AS custo_folha
+    enps, folha AS custo_folha
   FROM hc FULL JOIN ins USING (competencia, area, senioridade) FULL JOIN outs USING (competencia, area, senioridade)
     LEFT JOIN op USING (competencia, area, senioridade) LEFT JOIN dim_area USING (area))"""
 
@@ -406,7 +415,7 @@ ORACLES: dict[str, tuple[str, str]] = {
               WHERE status = 'Desligado' GROUP BY 1, 2)"""),
     "check_pk": (NAMES, "SELECT matricula, count(*) AS rows FROM raw GROUP BY 1 HAVING count(*) > 1"),
     "check_fk": (SILVER, """SELECT gestor_matricula, count(*) AS rows FROM silver WHERE gestor_matricula IS NOT NULL
-        AND gestor_matricula NOT IN (SELECT matricula FROM silver) GROUP BY 1"""),
+        AND gestor_matricula NOT IN (SELECT matricula FROM silver WHERE senioridade = 'Liderança') GROUP BY 1"""),
     "values_outside": (NAMES, f"SELECT DISTINCT area FROM raw WHERE area NOT IN ({AREA_LIST})"),
     "group_median": (NORMAL, "SELECT area, senioridade, median(salario_mensal) AS median FROM normal GROUP BY 1, 2"),
     "active_at": (SILVER, """SELECT * FROM silver WHERE data_admissao <= DATE '2000-06-30'

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from checks.columns import COLUMNS
 from checks.spec import shape_frame
 from rollcall.fixed_values import (
-    ACTIVE, ACTIVE_CORRECTED, AREAS, ENGAGEMENT_SCALE, LEFT)
+    ACTIVE, ACTIVE_CORRECTED, AREAS, ENGAGEMENT_SCALE, LEADER, LEFT)
 from rollcall.functions import active_at, age_band, month_key, risk_band, salary_band
 from rollcall.functions.numbers import MONEY, exact_mean
 from rollcall.operators import dedup, kpis, medians, model, planning, quality, repair, series, warehouse
@@ -149,7 +149,9 @@ def _suppressed(t: Tables) -> DataFrame:
 
 
 def _check_fk(t: Tables) -> DataFrame:
-    return quality.check_fk(t.silver, "gestor_matricula", t.silver, KEY)
+    """Managers named who are not leaders."""
+    leaders = t.silver.where(F.col("senioridade") == LEADER)
+    return quality.check_fk(t.silver, "gestor_matricula", leaders, KEY)
 
 
 def _group_median(t: Tables) -> DataFrame:

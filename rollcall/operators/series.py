@@ -138,17 +138,24 @@ def monthly_turnover(exits: Column, opening: Column) -> Column:
     return F.round(share, 2).cast("double")
 
 
-def enps(engagement: Column, year: Column, trend: Mapping[int, float] = ENPS_TREND,
-         otherwise: float = ENPS_TREND_OTHERWISE) -> Column:
-    """Deterministic part of the promoter score derived from mean engagement."""
+def _times_mean(factor: int, measure: str) -> Column:
+    """factor * mean, multiplied before the division so that twenty decimals stay exact."""
+    total = (F.col(f"sum_{measure}") * factor).cast("decimal(24,6)")
+    return total / F.nullif(F.col(f"n_{measure}").cast("decimal(18,0)"), F.lit(0))
+
+
+def enps(year: Column, measure: str = ENGAGEMENT, trend: Mapping[int, int] = ENPS_TREND,
+         otherwise: int = ENPS_TREND_OTHERWISE) -> Column:
+    """Promoter score from mean engagement: (mean - 5) * 18 plus the year's trend, within [-100, 100]."""
     shift = F.lit(otherwise)
     for y, value in trend.items():
         shift = F.when(year == y, F.lit(value)).otherwise(shift)
-    return F.round(clamp((engagement - 5) * 18 + shift, -100, 100), 1)
+    return F.round(clamp(_times_mean(18, measure) - 90 + shift, -100, 100), 1).cast("double")
 
 
-def productivity_index(performance: Column) -> Column:
-    return F.round(clamp((performance - 3) * 12 + 85, 60, 135), 1)
+def productivity_index(measure: str = PERFORMANCE) -> Column:
+    """85 + (mean - 3) * 12, within [60, 135]."""
+    return F.round(clamp(_times_mean(12, measure) + 49, 60, 135), 1).cast("double")
 
 
 def monthly_series(df: DataFrame, start: str | dt.date, end: str | dt.date) -> DataFrame:
@@ -170,8 +177,8 @@ def monthly_series(df: DataFrame, start: str | dt.date, end: str | dt.date) -> D
         monthly_turnover(count("desligamentos"), count("opening")).alias("turnover_mensal_pct"),
         F.coalesce(payroll, F.lit(0.0)).alias("custo_folha_total"),
         rounded_mean(ENGAGEMENT, 2).alias("engajamento_medio"),
-        enps(cell_mean(ENGAGEMENT).cast("double"), F.year("month")).alias("enps"),
-        productivity_index(cell_mean(PERFORMANCE).cast("double")).alias("produtividade_index"),
+        enps(F.year("month")).alias("enps"),
+        productivity_index().alias("produtividade_index"),
         rounded_mean(PERFORMANCE, 2).alias("performance_medio"),
     )
 

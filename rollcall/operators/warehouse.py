@@ -172,7 +172,7 @@ def fact_headcount(silver: DataFrame, areas: DataFrame, start: str | dt.date, en
         F.round(cell_mean(ENGAGEMENT), 2).cast("decimal(4,2)").alias("engajamento_medio"),
         F.round(cell_mean(SALARY), 2).cast("decimal(18,2)").alias("salario_medio"),
         F.round(cell_mean(PERFORMANCE), 2).cast("decimal(4,2)").alias("performance_medio"),
-        enps(cell_mean(ENGAGEMENT).cast("double"), F.year("month")).cast("decimal(5,1)").alias("enps"),
+        enps(F.year("month")).cast("decimal(5,1)").alias("enps"),
         F.when(F.col("headcount") > 0, F.col(f"sum_{SALARY}")).cast("decimal(28,2)").alias("custo_folha"),
     )
 
