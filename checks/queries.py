@@ -66,13 +66,13 @@ class Tables:
     def employees(self) -> DataFrame:
         return self.store.keep(warehouse.dim_employee(snapshots(self.silver), self.areas), "dim_employee")
 
-    @property
+    @cached_property
     def departures(self) -> DataFrame:
-        return warehouse.fact_departure(self.silver, self.employees, self.areas, self.reasons)
+        return self.store.keep(_fact_departure(self), "fct_desligamento")
 
-    @property
+    @cached_property
     def headcount(self) -> DataFrame:
-        return warehouse.fact_headcount(self.silver, self.areas, *SERIES)
+        return self.store.keep(_fact_headcount(self), "fct_headcount_mensal")
 
     @property
     def labelled(self) -> DataFrame:
@@ -192,6 +192,14 @@ def _dim_reason(t: Tables) -> DataFrame:
     return t.reasons.join(counts, "motivo", "left").fillna(0, ["desligamentos"])
 
 
+def _fact_departure(t: Tables) -> DataFrame:
+    return warehouse.fact_departure(t.silver, t.employees, t.areas, t.reasons)
+
+
+def _fact_headcount(t: Tables) -> DataFrame:
+    return warehouse.fact_headcount(t.silver, t.areas, *SERIES)
+
+
 def _scd2(t: Tables) -> DataFrame:
     return warehouse.scd2(snapshots(t.silver), [KEY], "snapshot_date", warehouse.TRACKED)
 
@@ -357,8 +365,8 @@ QUERIES: dict[str, Query] = {
     "dim_motivo": _dim_reason,
     "scd2_employee": _scd2,
     "dim_employee": lambda t: warehouse.dim_employee(snapshots(t.silver), t.areas),
-    "fact_departure": lambda t: t.departures,
-    "fact_headcount": lambda t: t.headcount,
+    "fact_departure": _fact_departure,
+    "fact_headcount": _fact_headcount,
     "turnover_ltm": lambda t: warehouse.turnover_ltm(t.headcount, t.areas, REFERENCE_DATE),
     "turnover_cost_ltm": lambda t: warehouse.turnover_cost_ltm(
         t.departures, warehouse.dim_date_for(t.silver), t.areas, REFERENCE_DATE),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,7 +18,7 @@ def _cell(value: Column) -> Column:
 
     There are at most some two million cells, and a few thousand in practice, so the cells of one group fit one task.
     """
-    return F.signum(value) * F.floor(F.log2(F.abs(value) + 1) * CELLS_PER_OCTAVE)
+    return F.signum(value).cast("bigint") * F.floor(F.log2(F.abs(value) + 1) * CELLS_PER_OCTAVE)
 
 
 def group_median(df: DataFrame, keys: Sequence[str], value: str, out: str = "median") -> DataFrame:
@@ -57,6 +57,21 @@ def group_median(df: DataFrame, keys: Sequence[str], value: str, out: str = "med
     return ends.select(*keys, ((F.col("low") + F.col("high")) / 2).alias(out))
 
 
+def group_medians(df: DataFrame, targets: Mapping[str, Sequence[str]]) -> DataFrame:
+    """Exact medians of several columns, each by keys of its own, from one scan: (metric, k0, k1, ..., median).
+
+    Keys are held as text, so that the targets share the columns; a target with fewer keys leaves the rest NULL.
+    """
+    width = max(len(keys) for keys in targets.values())
+    lines = F.array(*[
+        F.struct(
+            F.lit(column).alias("metric"),
+            *[(F.col(keys[i]) if i < len(keys) else F.lit(None)).cast("string").alias(f"k{i}") for i in range(width)],
+            F.col(column).cast("double").alias("value"))
+        for column, keys in targets.items()])
+    return group_median(df.select(F.inline(lines)), ["metric", *[f"k{i}" for i in range(width)]], "value")
+
+
 def group_median_approx(df: DataFrame, keys: Sequence[str], value: str, out: str = "median",
                         accuracy: int = 10000) -> DataFrame:
     """Approximate median by group in a single aggregation."""
@@ -64,12 +79,16 @@ def group_median_approx(df: DataFrame, keys: Sequence[str], value: str, out: str
     return df.where(~is_missing(number)).groupBy(*keys).agg(F.percentile_approx(number, 0.5, accuracy).alias(out))
 
 
-def fill_from_group(df: DataFrame, column: str, keys: Sequence[str], table: DataFrame, out: str = "median") -> DataFrame:
+def fill_from_group(df: DataFrame, column: str, keys: Sequence[str], table: DataFrame,
+                    table_keys: Sequence[str] | None = None, out: str = "median") -> DataFrame:
     """Replace NULLs of `column` by the group's value in `table`. The planner broadcasts `table` if it is small."""
-    side = table.select(*[F.col(k).alias(f"g_{k}") for k in keys], F.col(out).alias("g_value"))
+    names = [f"g_{i}" for i in range(len(keys))]
+    side = table.select(
+        *[F.col(k).alias(g) for k, g in zip(table_keys or keys, names, strict=True)], F.col(out).alias("g_value"))
     same = F.lit(True)
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"g_{k}"))
+    for k, g in zip(keys, names, strict=True):
+        key = F.col(k) if table_keys is None else F.col(k).cast("string")
+        same = same & key.eqNullSafe(F.col(g))
     filled = F.coalesce(F.col(column), F.col("g_value")).alias(column)
     return df.join(side, same, "left").select(*[filled if c == column else F.col(c) for c in df.columns])
 
@@ -84,3 +103,14 @@ def impute_median(df: DataFrame, column: str, keys: Sequence[str], store: Store
     if store is not None:
         table = store.keep(table, f"median_{column}_{'_'.join(keys)}")
     return fill_from_group(df, column, keys, table)
+
+
+def impute_medians(df: DataFrame, targets: Mapping[str, Sequence[str]], store: Store | None = None) -> DataFrame:
+    """Fill NULLs of several columns, each with the median of a grouping of its own. All medians are of the input."""
+    table = group_medians(df, targets)
+    if store is not None:
+        table = store.keep(table, "medians")
+    for column, keys in targets.items():
+        of_column = table.where(F.col("metric") == column)
+        df = fill_from_group(df, column, keys, of_column, [f"k{i}" for i in range(len(keys))])
+    return df

@@ -74,11 +74,10 @@ def headcount_cells(df: DataFrame, first: dt.date, last: dt.date, dims: Sequence
         )
 
     # greatest() skips NULL, so a missing date must not become an event in the folding slot.
-    events = F.filter(
-        F.array(F.when(s.isNotNull(), event(s, 1)), F.when(e.isNotNull(), event(e, -1))),
-        lambda x: x.isNotNull() & (x["slot"] <= F.lit(last)))
+    events = F.array(F.when(s.isNotNull(), event(s, 1)), F.when(e.isNotNull(), event(e, -1)))
     rows = df.select(
-        *dims, kind, *[F.col(m).cast(t).alias(m) for m, t in measures.items()], F.inline(events))
+        *dims, kind, *[F.col(m).cast(t).alias(m) for m, t in measures.items()], F.inline(events)
+    ).where(F.col("slot") <= F.lit(last))
 
     def signed(m: str) -> Column:
         return F.when(F.col("d") > 0, F.col(m)).when(F.col("d") < 0, -F.col(m))

@@ -11,7 +11,7 @@ from rollcall.fixed_values import (
     ACTIVE, ACTIVE_CORRECTED, AREAS, ENGAGEMENT_SCALE, LEFT, NOT_INFORMED)
 from rollcall.functions import is_missing, parse_date
 from rollcall.operators.dedup import COPIES, VERSIONS, dedup_counted
-from rollcall.operators.medians import impute_median
+from rollcall.operators.medians import impute_median, impute_medians
 from rollcall.operators.repair import (
     AREA_NAMES, SALARY_CEILING, above_ceiling, canonical, ends_before_start, within)
 from rollcall.schema import END, ENGAGEMENT, KEY, KIND, REASON, SALARY, START
@@ -86,17 +86,22 @@ def repair_rows(bronze: DataFrame, keys: Sequence[str] = (KEY,), areas: Mapping[
     )
 
 
-def impute(rows: DataFrame, store: Store | None = None, within_keys: Sequence[str] = (), approx: bool = False):
+def impute(rows: DataFrame, store: Store | None = None, within_keys: Sequence[str] = (),
+           approx: bool = False) -> DataFrame:
     """Fill engagement by area and salary by area and seniority, inside each of `within_keys` if given."""
-    filled = impute_median(rows, ENGAGEMENT, [*within_keys, "area"], store, approx)
-    return impute_median(filled, SALARY, [*within_keys, "area", "senioridade"], store, approx)
+    targets = {ENGAGEMENT: [*within_keys, "area"], SALARY: [*within_keys, "area", "senioridade"]}
+    if not approx:
+        return impute_medians(rows, targets, store)
+    for column, keys in targets.items():
+        rows = impute_median(rows, column, keys, store, approx=True)
+    return rows
 
 
 def staged_silver(bronze: DataFrame, store: Store | None = None, keys: Sequence[str] = (KEY,),
                   within_keys: Sequence[str] = (), approx: bool = False) -> DataFrame:
     """The clean rows with their flag columns.
 
-    With a `store`, the repaired rows are written once: the medians then read two narrow columns of that table
+    With a `store`, the repaired rows are written once: the medians then read a few narrow columns of that table
     instead of repeating the shuffles, and the last pass is free of shuffles.
     """
     rows = repair_rows(bronze, keys)

@@ -1,6 +1,7 @@
 """A bronze employee table derived from orders, customers and nations: one order stands for one employee.
 
-The defects follow from remainders of the order key, so that every cleaning rule has rows to work on.
+The defects follow from remainders of the order key, so that every cleaning rule has rows to work on. Repeated rows
+and older versions of a row are made by `explode`, which keeps the view at one scan of the orders.
 """
 
 from __future__ import annotations
@@ -9,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollcall.fixed_values import JUNIOR, LEADER, SENIOR
-from rollcall.schema import COLUMNS
 
 VIEW = """
 WITH base AS (
@@ -51,25 +51,30 @@ one AS (
          WHEN 1 THEN 'Falta de plano de carreira' WHEN 2 THEN 'Conflito com liderança' WHEN 3 THEN 'Mudança de cidade'
          WHEN 4 THEN 'Questões de saúde' WHEN 5 THEN 'Reestruturação' WHEN 6 THEN 'Baixa performance'
          WHEN 7 THEN 'Aposentadoria' ELSE 'Insatisfação com cultura' END END motivo_desligamento
-  FROM ev),
-older AS (
-  SELECT k, matricula, nome_ficticio, area, cargo, senioridade,
-    CAST(CAST(data_admissao AS DATE) + CAST(-365 AS INT) AS STRING) data_admissao,
-    tempo_casa_meses, idade, genero, raca_cor, cidade, salario_mensal, engajamento_score_base, performance_score,
-    produtividade_index_base, gestor_matricula, status, data_desligamento, tipo_desligamento, motivo_desligamento
-  FROM one WHERE k % 353 = 0),
-colaboradores_raw AS (
-  SELECT * FROM one UNION ALL SELECT * FROM one WHERE k % 89 = 0 UNION ALL SELECT * FROM older)
+  FROM ev)
+SELECT matricula, nome_ficticio, area, cargo, senioridade,
+  CASE WHEN copy = 'older' THEN CAST(CAST(data_admissao AS DATE) - 365 AS STRING) ELSE data_admissao END data_admissao,
+  tempo_casa_meses, idade, genero, raca_cor, cidade, salario_mensal, engajamento_score_base, performance_score,
+  produtividade_index_base, gestor_matricula, status, data_desligamento, tipo_desligamento, motivo_desligamento
+FROM one LATERAL VIEW explode(array_compact(array(
+  'row', CASE WHEN k % 89 = 0 THEN 'repeat' END, CASE WHEN k % 353 = 0 THEN 'older' END))) AS copy
 """
 
+# Declared, so that reading a table does not start with a job to infer its schema.
+TABLES = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderdate timestamp_ntz, "
+              "o_orderpriority string",
+    "customer": "c_custkey bigint, c_nationkey int",
+    "nation": "n_nationkey int, n_name string",
+}
 REFERENCE_DATE = "2001-08-01"
 SNAPSHOT_DATES = ("2001-06-01", "2001-07-01", "2001-08-01")
 
 
 def bronze_view(spark: SparkSession, folder: str) -> DataFrame:
     """The 20-column bronze table over the Parquet tables in `folder`."""
-    tables = {name: spark.read.parquet(f"{folder}/{name}.parquet") for name in ("orders", "customer", "nation")}
-    return spark.sql(f"{VIEW} SELECT {', '.join(COLUMNS)} FROM colaboradores_raw", **tables)
+    tables = {name: spark.read.schema(schema).parquet(f"{folder}/{name}.parquet") for name, schema in TABLES.items()}
+    return spark.sql(VIEW, **tables)
 
 
 def snapshots(silver: DataFrame) -> DataFrame:

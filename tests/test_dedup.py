@@ -1,0 +1,57 @@
+from __future__ import annotations
+
+from conftest import rows
+from pyspark.sql import functions as F
+
+from rollcall.operators import dedup
+
+
+def test_exact_copies_go_and_null_equals_null(people):
+    df = people({"genero": None}, {"genero": None}, {"genero": "x"})
+    assert dedup.dedup_exact(df).count() == 2
+
+
+def test_latest_wins_and_missing_date_loses(people):
+    df = people({"data_admissao": "2019-01-01", "cidade": "a"}, {"data_admissao": "2021-01-01", "cidade": "b"},
+                {"data_admissao": None, "cidade": "c"})
+    assert rows(dedup.dedup_latest(df, ["matricula"], [F.col("data_admissao")]), "cidade") == [("b",)]
+    assert rows(dedup.dedup_key(df, ["matricula"], [F.col("data_admissao")], "first"), "cidade") == [("a",)]
+
+
+def test_ties_do_not_depend_on_row_order(people):
+    a, b = {"cidade": "a"}, {"cidade": "b"}
+    order = [F.col("data_admissao")]
+    one = rows(dedup.dedup_latest(people(a, b), ["matricula"], order), "*")
+    two = rows(dedup.dedup_latest(people(b, a).repartition(3), ["matricula"], order), "*")
+    assert one == two and len(one) == 1
+
+
+def test_null_keys_form_one_group(people):
+    df = people({"matricula": None, "cidade": "a"}, {"matricula": None, "cidade": "b"}, {"matricula": 2})
+    assert dedup.dedup_latest(df, ["matricula"], [F.col("data_admissao")]).count() == 2
+
+
+def test_counts_of_copies_and_versions(people):
+    df = people({}, {}, {"data_admissao": "2019-01-01"}, {"matricula": 2})
+    got = dedup.dedup_counted(df, ["matricula"], [F.col("data_admissao")])
+    assert rows(got, "matricula", "data_admissao", dedup.COPIES, dedup.VERSIONS) == [
+        (1, "2020-01-15", 3, 2), (2, "2020-01-15", 1, 1)]
+
+
+def test_hot_key_is_merged_before_the_shuffle(spark):
+    """A third of the rows share a key: the shuffle carries one row per key and map task, not the rows."""
+    n = 30_000
+    df = spark.range(0, n, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"),
+        F.pmod(F.xxhash64("id"), F.lit(1000)).alias("at"), F.col("id").alias("v"))
+    got = dedup.dedup_latest(df, ["k"], [F.col("at")])
+    want = max(((r["at"], r["v"]) for r in df.where("k = -1").collect()))
+    assert got.count() == n - n // 3 + 1
+    assert rows(got.where("k = -1"), "at", "v") == [want]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "partial_max" in plan and "Window" not in plan
+
+
+def test_replace_values(people):
+    df = dedup.replace_values(people({"status": "Ativo (corrigido)"}), "status", {"Ativo (corrigido)": "Ativo"})
+    assert rows(df, "status") == [("Ativo",)]
