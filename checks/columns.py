@@ -16,6 +16,7 @@ _MEMBER = "sk_colaborador:int nk_matricula:int cargo senioridade sk_area:int"
 
 COLUMNS: dict[str, Spec] = {name: spec(text) for name, text in {
     "bronze_profile": "column nulls:int",
+    "attach_departures": _PERSON_RAW,
     "dedup_exact": _PERSON_RAW,
     "dedup_latest": _PERSON_RAW,
     "dedup_first": _PERSON_RAW,
@@ -66,6 +67,8 @@ COLUMNS: dict[str, Spec] = {name: spec(text) for name, text in {
     "root_cause":
         "causa_raiz_desc area_predominante total_desligamentos:int pct_do_total_voluntario:d1 itens_configuracao",
     "action_plan": "id causa_raiz area_foco acao_proposta horizonte_dias:int prioridade responsavel",
+    "action_details": "plano_id what why who where when how",
+    "improvement_cycles": "causa_raiz plan do check act",
     "kpi_cover":
         "competencia headcount_atual:int turnover_ltm_pct:d1 enps_atual:d1 produtividade_atual:d1 "
         "custo_folha_atual:d2 turnover_na_meta:flag enps_na_meta:flag",
@@ -104,6 +107,7 @@ COLUMNS: dict[str, Spec] = {name: spec(text) for name, text in {
     "person_bands": "matricula:int faixa_etaria faixa_salarial",
     "retrain_days": "competencia dia",
     "incremental_ingest": _PERSON_RAW + " export_date",
+    "refreshed_exports": "export_date senioridade headcount:int folha:d2",
     "late_export": "matricula:int area senioridade export_date",
     "csv_roundtrip": _PERSON_RAW,
     "silver_partitions": "area rows:int",

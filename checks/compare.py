@@ -15,6 +15,7 @@ from pyspark.sql import SparkSession
 
 from checks.oracles import all_oracles
 from checks.queries import all_queries
+from rollcall.session import session
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
@@ -22,15 +23,9 @@ TABLES = (
 
 
 def local_session(cpus: int = 8) -> SparkSession:
-    spark = (
-        SparkSession.builder.master(f"local[{cpus}]").appName("rollcall")
-        .config("spark.sql.shuffle.partitions", "8")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", "8g")
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .getOrCreate()
-    )
+    spark = session(
+        "rollcall", cpus, master=f"local[{cpus}]",
+        **{"spark.driver.memory": "8g", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 

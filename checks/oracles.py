@@ -373,6 +373,14 @@ log(step, rows) AS (
 # name: (common table expressions, query)
 ORACLES: dict[str, tuple[str, str]] = {
     "bronze_profile": (NAMES, _NULL_COUNTS),
+    "attach_departures": (NAMES, """
+        SELECT p.* EXCLUDE (data_desligamento, tipo_desligamento, motivo_desligamento, rn), g.* EXCLUDE (m, rn)
+        FROM (SELECT *, row_number() OVER (PARTITION BY matricula ORDER BY data_admissao DESC) rn FROM raw) p
+        LEFT JOIN (SELECT matricula AS m, data_desligamento, tipo_desligamento, motivo_desligamento, row_number() OVER (
+                     PARTITION BY matricula ORDER BY data_desligamento DESC, tipo_desligamento DESC,
+                     motivo_desligamento DESC) rn
+                   FROM raw WHERE data_desligamento IS NOT NULL) g ON p.matricula = g.m AND g.rn = 1
+        WHERE p.rn = 1"""),
     "dedup_exact": (NAMES, "SELECT DISTINCT * FROM raw"),
     "dedup_latest": (NAMES, """SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (
         PARTITION BY matricula ORDER BY data_admissao DESC) rn FROM raw) WHERE rn = 1"""),
@@ -516,6 +524,25 @@ ORACLES: dict[str, tuple[str, str]] = {
         CASE i % {len(ACTION_OWNERS)} {_OWNER_CASE} END AS responsavel
         FROM (SELECT *, row_number() OVER (ORDER BY total_desligamentos DESC, causa_raiz_desc) - 1 AS i FROM causes)
         LEFT JOIN actions ON reason = causa_raiz_desc WHERE i < 10"""),
+    "action_details": (CAUSES, f"""SELECT 'PA' || lpad(CAST(i + 1 AS VARCHAR), 3, '0') AS plano_id,
+        coalesce(action, 'Plano de ação a definir junto à área') AS what,
+        'Eliminar/mitigar a causa-raiz ''' || causa_raiz_desc || ''', responsável por '
+          || CAST(pct_do_total_voluntario AS VARCHAR) || '% das saídas voluntárias, concentradas em '
+          || area_predominante || '.' AS why,
+        CASE i % {len(ACTION_OWNERS)} {_OWNER_CASE} END AS who,
+        'Área ' || area_predominante || ' — implementação coordenada com RH Corporativo.' AS "where",
+        'Início imediato, conclusão em até ' || CASE WHEN i < 4 THEN '30' WHEN i < 7 THEN '60' ELSE '90' END
+          || ' dias.' AS "when",
+        'Diagnóstico detalhado, desenho da solução, piloto em ' || area_predominante || ', rollout geral.' AS how
+        FROM (SELECT *, row_number() OVER (ORDER BY total_desligamentos DESC, causa_raiz_desc) - 1 AS i FROM causes)
+        LEFT JOIN actions ON reason = causa_raiz_desc WHERE i < 10"""),
+    "improvement_cycles": (CAUSES, """SELECT causa_raiz_desc AS causa_raiz,
+        'Diagnosticar extensão do problema ''' || causa_raiz_desc
+          || ''' via pesquisa de clima segmentada e entrevistas de desligamento.' AS plan,
+        'Implementar piloto da ação corretiva em ' || area_predominante || ', área de maior incidência.' AS "do",
+        'Medir variação de turnover voluntário e engajamento na área-piloto após 60 dias.' AS "check",
+        'Se resultado positivo, expandir para demais áreas; se não, revisar abordagem com a liderança.' AS act
+        FROM causes ORDER BY total_desligamentos DESC, causa_raiz_desc LIMIT 5"""),
     "kpi_cover": (SERIES_CTE, """SELECT *, turnover_ltm_pct <= 18 AS turnover_na_meta, enps_atual >= 50 AS enps_na_meta
         FROM (SELECT competencia, headcount_total AS headcount_atual,
           round((SELECT sum(desligamentos) FROM serie WHERE competencia > '2000-08')
@@ -600,6 +627,8 @@ ORACLES: dict[str, tuple[str, str]] = {
     "csv_roundtrip": (NAMES, "SELECT * FROM raw"),
     "silver_partitions": (SILVER, "SELECT area, count(*) AS rows FROM silver GROUP BY 1"),
     "incremental_ingest": (_exports(EXPORTS[:2]), "SELECT * FROM cleaned"),
+    "refreshed_exports": (_exports(EXPORTS[:2]), """SELECT export_date, senioridade, count(*) AS headcount,
+        sum(CAST(salario_mensal AS DECIMAL(18,2))) AS folha FROM cleaned GROUP BY 1, 2"""),
     "late_export": (_exports((EXPORTS[2],)), "SELECT * FROM cleaned"),
 }
 

@@ -16,14 +16,15 @@ from rollcall.fixed_values import (
     ACTIVE, ACTIVE_CORRECTED, AREAS, ENGAGEMENT_SCALE, LEADER, LEFT)
 from rollcall.functions import active_at, age_band, month_key, risk_band, salary_band
 from rollcall.functions.numbers import MONEY, exact_mean
-from rollcall.operators import dedup, kpis, medians, model, planning, quality, repair, series, warehouse
+from rollcall.operators import dedup, joins, kpis, medians, model, planning, quality, repair, series, warehouse
 from rollcall.plans import export
 from rollcall.plans.silver import clean_columns, quality_log, silver, staged_silver
 from rollcall.schema import END, ENGAGEMENT, KEY, KIND, REASON, SALARY, START
 from rollcall.sources import (
     Store, bronze_view, read_bronze, read_silver, snapshots, write_csv, write_silver)
 from rollcall.sources.trade_view import REFERENCE_DATE
-from rollcall.streaming import clean_exports, current_view, ingest_increment
+from rollcall.streaming import clean_exports, current_view, ingest_increment, read_exports, refresh_exports
+from rollcall.streaming.intake import EXPORT_DATE
 
 SERIES = ("1998-08-17", REFERENCE_DATE)
 LABEL_DATE = "2000-07-31"
@@ -64,7 +65,7 @@ class Tables:
 
     @cached_property
     def employees(self) -> DataFrame:
-        return self.store.keep(warehouse.dim_employee(snapshots(self.silver), self.areas), "dim_employee")
+        return self.store.keep(warehouse.dim_employee(snapshots(self.silver), self.areas, unique=True), "dim_employee")
 
     @cached_property
     def departures(self) -> DataFrame:
@@ -297,7 +298,7 @@ def _late_export(t: Tables) -> DataFrame:
 
 
 def _export_document(t: Tables) -> DataFrame:
-    sections = export.export_document({
+    gold = {
         "serie_mensal_geral": series.monthly_series(t.silver, *SERIES),
         "workforce_planning": _workforce_plan(t),
         "produtividade_area": series.productivity_by_area(t.silver, *SERIES),
@@ -306,14 +307,44 @@ def _export_document(t: Tables) -> DataFrame:
         "planos_acao": planning.action_plan(kpis.root_cause(t.silver)),
         "dimensoes": quality.dimension_members(t.silver, ["area", "senioridade", "genero"]),
         "log_qualidade": quality_log(t.staged),
-    })
-    return export.full_document(sections)
+    }
+    kept = {name: t.store.keep(table, name) for name, table in gold.items()}
+    return export.full_document(export.export_document(kept))
+
+
+def _attach_departures(t: Tables) -> DataFrame:
+    """The employee table and the departures table as the two exports they are upstream, joined again."""
+    described = [END, KIND, REASON]
+    people = dedup.dedup_latest(t.bronze, [KEY], [F.col(START)])
+    gone = t.bronze.where(F.col(END).isNotNull()).select(KEY, *described)
+    return joins.attach_departures(people.drop(*described), gone)
+
+
+def _action_details(t: Tables) -> DataFrame:
+    return planning.action_details(kpis.root_cause(t.silver))
+
+
+def _improvement_cycles(t: Tables) -> DataFrame:
+    return planning.improvement_cycles(kpis.root_cause(t.silver))
+
+
+def _refreshed_exports(t: Tables) -> DataFrame:
+    """Exports cleaned as they land: the second run of the refresh touches only the export that grew or came."""
+    work = t.scratch("refresh")
+    landing, history, cleaned = work.path("landing"), work.path("history"), work.path("cleaned")
+    for day in EXPORTS[:2]:
+        _write_export(t, landing, day)
+        ingest_increment(t.spark, landing, history, work.path("progress"))
+        refresh_exports(t.spark, history, cleaned, work)
+    return read_exports(t.spark, cleaned).groupBy(EXPORT_DATE, "senioridade").agg(
+        F.count(F.lit(1)).alias("headcount"), F.sum(F.col(SALARY).cast(MONEY)).alias("folha"))
 
 
 Query = Callable[[Tables], DataFrame]
 
 QUERIES: dict[str, Query] = {
     "bronze_profile": lambda t: quality.check_not_null(t.bronze, t.bronze.columns),
+    "attach_departures": _attach_departures,
     "dedup_exact": lambda t: dedup.dedup_exact(t.bronze),
     "dedup_latest": lambda t: dedup.dedup_latest(t.bronze, [KEY], [F.col(START)]),
     "dedup_first": lambda t: dedup.dedup_key(t.bronze, [KEY], [F.col(START)], keep="first"),
@@ -355,6 +386,8 @@ QUERIES: dict[str, Query] = {
     "nine_box_view": lambda t: warehouse.nine_box_view(t.employees, t.areas),
     "root_cause": _root_cause,
     "action_plan": lambda t: planning.action_plan(kpis.root_cause(t.silver)),
+    "action_details": _action_details,
+    "improvement_cycles": _improvement_cycles,
     "kpi_cover": lambda t: kpis.kpi_cover(series.monthly_series(t.silver, *SERIES)),
     "monthly_kpis": lambda t: kpis.monthly_kpis(series.monthly_series(t.silver, *SERIES), "2001-07"),
     "dimension_members": lambda t: quality.dimension_members(t.silver, ["area", "senioridade", "genero"]),
@@ -364,7 +397,7 @@ QUERIES: dict[str, Query] = {
     "dim_area": _dim_area,
     "dim_motivo": _dim_reason,
     "scd2_employee": _scd2,
-    "dim_employee": lambda t: warehouse.dim_employee(snapshots(t.silver), t.areas),
+    "dim_employee": lambda t: warehouse.dim_employee(snapshots(t.silver), t.areas, unique=True),
     "fact_departure": _fact_departure,
     "fact_headcount": _fact_headcount,
     "turnover_ltm": lambda t: warehouse.turnover_ltm(t.headcount, t.areas, REFERENCE_DATE),
@@ -381,6 +414,7 @@ QUERIES: dict[str, Query] = {
     "silver_partitions": _silver_partitions,
     "incremental_ingest": _incremental_ingest,
     "late_export": _late_export,
+    "refreshed_exports": _refreshed_exports,
     # No SQL counterpart: results of a trained forest, and one JSON text.
     "attrition_scores": lambda t: t.scores,
     "risk_by_area": lambda t: kpis.risk_by_area(t.scores),

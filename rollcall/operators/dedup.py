@@ -20,7 +20,10 @@ def dedup_exact(df: DataFrame) -> DataFrame:
 
 
 def count_copies(df: DataFrame) -> DataFrame:
-    """Distinct rows with the number of times each occurs."""
+    """Distinct rows with the number of times each occurs. Rows that are already counted are returned as they are,
+    so one counted table can serve the gate and the cleaning."""
+    if COPIES in df.columns:
+        return df
     return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(COPIES))
 
 
@@ -54,7 +57,8 @@ def dedup_counted(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -
         F.count(F.lit(1)).alias(VERSIONS),
     )
     return picked.select(
-        *[F.col(c) if c in keys else F.col(f"picked.`{c}`") for c in df.columns], COPIES, VERSIONS)
+        *[F.col(c) if c in keys else F.col(f"picked.`{c}`") for c in distinct.columns if c != COPIES],
+        COPIES, VERSIONS)
 
 
 def dedup_latest(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:

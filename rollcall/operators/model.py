@@ -61,10 +61,19 @@ def with_class_weight(df: DataFrame, label: str = "label") -> DataFrame:
     return df.withColumn("weight", weight)
 
 
+def check_categories(df: DataFrame, columns: Sequence[str], most: int) -> None:
+    """The distinct values of a category end up on the driver and as bins of every tree node, so they are counted
+    first."""
+    counts = df.agg(*[F.approx_count_distinct(c, 0.02).alias(c) for c in columns]).first().asDict()
+    if wide := {c: n for c, n in counts.items() if n > most}:
+        raise ValueError(f"too many distinct values for a category (limit {most}): {wide}")
+
+
 def train_attrition(labelled: DataFrame, trees: int = 100, depth: int = 6, min_leaf: int = 15,
                     numeric: Sequence[str] = NUMERIC, categorical: Sequence[str] = CATEGORICAL,
-                    seed: int = SEED) -> PipelineModel:
+                    seed: int = SEED, max_categories: int = 10_000) -> PipelineModel:
     """Random forest over indexed categories. Unseen categories get a class of their own when scoring."""
+    check_categories(labelled, categorical, max_categories)
     indexers: list[StringIndexerModel] = [
         StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep", stringOrderType="alphabetAsc")
         .fit(labelled)

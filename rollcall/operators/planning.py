@@ -5,11 +5,12 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.fixed_values import (
-    ACTION_OWNERS, ANNUAL_GROWTH, HEADCOUNT_WITHOUT_BASE, REASON_ACTION, REASON_ACTION_OTHERWISE)
+    ACTION_HOW, ACTION_OWNERS, ACTION_WHEN, ACTION_WHERE, ACTION_WHY, ANNUAL_GROWTH, CYCLE_ACT, CYCLE_CHECK, CYCLE_DO,
+    CYCLE_PLAN, HEADCOUNT_WITHOUT_BASE, REASON_ACTION, REASON_ACTION_OTHERWISE)
 from rollcall.functions import lookup, month_key
 from rollcall.operators.kpis import ranked_causes
 
@@ -33,18 +34,58 @@ def plan_gap(plan: DataFrame, projected: DataFrame) -> DataFrame:
     return both.withColumn("gap", F.col("headcount_projetado") - F.col("headcount_planejado"))
 
 
+def _deadline(position: Column) -> Column:
+    return F.when(position <= 4, 30).when(position <= 7, 60).otherwise(90)
+
+
+def _plan_id(position: Column) -> Column:
+    return F.concat(F.lit("PA"), F.lpad(position.cast("string"), 3, "0"))
+
+
+def _owner(position: Column, owners: Sequence[str]) -> Column:
+    return F.element_at(F.array(*map(F.lit, owners)), F.pmod(position - 1, F.lit(len(owners))) + 1)
+
+
+def _action(cause: Column) -> Column:
+    return F.coalesce(lookup(cause, REASON_ACTION), F.lit(REASON_ACTION_OTHERWISE))
+
+
 def action_plan(causes: DataFrame, most: int = 10, owners: Sequence[str] = ACTION_OWNERS) -> DataFrame:
     """One action per cause, by rank: the first four within 30 days, the next three within 60, the rest within 90."""
-    position = F.col("position")
-    owner = F.element_at(F.array(*map(F.lit, owners)), F.pmod(position - 1, F.lit(len(owners))) + 1)
+    position, cause = F.col("position"), F.col("causa_raiz_desc")
     return ranked_causes(causes, most).select(
-        F.concat(F.lit("PA"), F.lpad(position.cast("string"), 3, "0")).alias("id"),
-        F.col("causa_raiz_desc").alias("causa_raiz"),
+        _plan_id(position).alias("id"),
+        cause.alias("causa_raiz"),
         F.col("area_predominante").alias("area_foco"),
-        F.coalesce(lookup(F.col("causa_raiz_desc"), REASON_ACTION), F.lit(REASON_ACTION_OTHERWISE))
-        .alias("acao_proposta"),
-        F.when(position <= 4, 30).when(position <= 7, 60).otherwise(90).alias("horizonte_dias"),
+        _action(cause).alias("acao_proposta"),
+        _deadline(position).alias("horizonte_dias"),
         F.when(position <= 4, F.lit("Alta")).when(position <= 7, F.lit("Média")).otherwise(F.lit("Baixa"))
         .alias("prioridade"),
-        owner.alias("responsavel"),
+        _owner(position, owners).alias("responsavel"),
     )
+
+
+def _text(template: str, *values: Column) -> Column:
+    """Fill {0}, {1}, ... of a template."""
+    text = F.lit(template)
+    for i, value in enumerate(values):
+        text = F.replace(text, F.lit(f"{{{i}}}"), value.cast("string"))
+    return text
+
+
+def action_details(causes: DataFrame, most: int = 10, owners: Sequence[str] = ACTION_OWNERS) -> DataFrame:
+    """What, why, who, where, when and how of each action, as text."""
+    position, cause = F.col("position"), F.col("causa_raiz_desc")
+    values = (cause, F.col("pct_do_total_voluntario"), F.col("area_predominante"), _deadline(position))
+    return ranked_causes(causes, most).select(
+        _plan_id(position).alias("plano_id"), _action(cause).alias("what"), _text(ACTION_WHY, *values).alias("why"),
+        _owner(position, owners).alias("who"), _text(ACTION_WHERE, *values).alias("where"),
+        _text(ACTION_WHEN, *values).alias("when"), _text(ACTION_HOW, *values).alias("how"))
+
+
+def improvement_cycles(causes: DataFrame, most: int = 5) -> DataFrame:
+    """Plan, do, check and act for the most frequent causes, as text."""
+    values = (F.col("causa_raiz_desc"), F.col("pct_do_total_voluntario"), F.col("area_predominante"))
+    return ranked_causes(causes, most).select(
+        F.col("causa_raiz_desc").alias("causa_raiz"), _text(CYCLE_PLAN, *values).alias("plan"),
+        _text(CYCLE_DO, *values).alias("do"), F.lit(CYCLE_CHECK).alias("check"), F.lit(CYCLE_ACT).alias("act"))

@@ -77,14 +77,16 @@ def dim_reason(spark: SparkSession) -> DataFrame:
         "e_retencao_possivel": "boolean"})
 
 
-def scd2(snapshots: DataFrame, keys: Sequence[str], date: str, tracked: Sequence[str]) -> DataFrame:
+def scd2(snapshots: DataFrame, keys: Sequence[str], date: str, tracked: Sequence[str],
+         unique: bool = False) -> DataFrame:
     """Versions of each key: a new one whenever a tracked attribute differs from the snapshot before.
 
     Adds `valid_from`, `valid_to` (last day, NULL while current), `is_current` and `version` (from 1). Other columns
     are those of the version's first snapshot. Copies are merged before the windows, so that a window holds at most
-    one row per snapshot date.
+    one row per snapshot date; `unique` says that the rows come merged already, as clean exports do, and saves that
+    shuffle.
     """
-    rows = dedup_latest(snapshots, [*keys, date], [])
+    rows = snapshots if unique else dedup_latest(snapshots, [*keys, date], [])
     history = Window.partitionBy(*keys).orderBy(date)
     state = F.struct(*tracked)
     versions = (
@@ -102,9 +104,10 @@ def scd2(snapshots: DataFrame, keys: Sequence[str], date: str, tracked: Sequence
     )
 
 
-def dim_employee(snapshots: DataFrame, areas: DataFrame, date: str = "snapshot_date") -> DataFrame:
+def dim_employee(snapshots: DataFrame, areas: DataFrame, date: str = "snapshot_date",
+                 unique: bool = False) -> DataFrame:
     """Employee dimension, type 2 on position, seniority and area."""
-    versions = scd2(snapshots, [KEY], date, TRACKED)
+    versions = scd2(snapshots, [KEY], date, TRACKED, unique)
     return versions.join(F.broadcast(areas.select("sk_area", "area")), "area", "left").select(
         (F.col(KEY) * VERSIONS_PER_KEY + F.col("version")).alias("sk_colaborador"),
         F.col(KEY).alias("nk_matricula"),

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from rollcall.operators import kpis, planning, quality, series, warehouse
+from rollcall.operators.dedup import count_copies
 from rollcall.plans.silver import clean_columns, quality_log, staged_silver
 from rollcall.sources.files import read_bronze, read_silver, write_json, write_silver, write_table
 from rollcall.sources.store import Store
@@ -33,8 +34,9 @@ class Paths:
 
 
 def bronze_to_silver(spark: SparkSession, bronze: DataFrame, paths: Paths, store: Store) -> DataFrame:
-    """Write the clean table and its quality log; both read one staged copy of the work."""
-    staged = store.keep(staged_silver(bronze, store), "staged")
+    """Write the clean table and its quality log. Both read the repaired rows that `staged_silver` has stored; what
+    is left to do for the clean table is a join with the few medians."""
+    staged = staged_silver(bronze, store)
     write_silver(clean_columns(staged), paths.silver)
     write_json(quality_log(staged).coalesce(1), paths.quality_log)
     return read_silver(spark, paths.silver)
@@ -84,9 +86,12 @@ SORT = {
 
 def run(spark: SparkSession, bronze_path: str, root: str, start: str, end: str, as_of: str,
         min_rows: int = 4000, max_out_of_range: int = 0) -> Paths:
-    """Read the export, check it, and write silver and gold. Raises before writing if the bronze gate fails."""
+    """Read the export, check it, and write silver and gold. Raises before writing if the bronze gate fails.
+
+    The export is scanned and shuffled once: gate and cleaning both start from its counted distinct rows.
+    """
     paths, store = Paths(root), Store(spark, "pipeline")
-    bronze = read_bronze(spark, bronze_path)
+    bronze = store.keep(count_copies(read_bronze(spark, bronze_path)), "counted")
     quality.require(quality.bronze_gate(bronze, min_rows, max_out_of_range=max_out_of_range))
     silver = bronze_to_silver(spark, bronze, paths, store)
     for name, table in gold_tables(silver, start, end, as_of).items():

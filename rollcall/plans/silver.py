@@ -42,7 +42,10 @@ def _flag(condition: Column) -> Column:
 
 
 def repair_rows(bronze: DataFrame, keys: Sequence[str] = (KEY,), areas: Mapping[str, str] = AREA_NAMES) -> DataFrame:
-    """Deduplicate, then apply every row-level rule. Flag columns tell which rules touched a row."""
+    """Deduplicate, then apply every row-level rule. Flag columns tell which rules touched a row.
+
+    `bronze` may also be the table of its distinct rows with their counts (`count_copies`).
+    """
     rows = dedup_counted(bronze, keys, [parse_date(F.col(START)), F.col(START)])
 
     area = canonical(F.col("area"), areas)
@@ -80,7 +83,7 @@ def repair_rows(bronze: DataFrame, keys: Sequence[str] = (KEY,), areas: Mapping[
         "q_no_end": _flag((status == LEFT) & end.isNull()),
     }
     return rows.select(
-        *[repaired.get(c, F.col(c)).alias(c) for c in bronze.columns],
+        *[repaired.get(c, F.col(c)).alias(c) for c in bronze.columns if c != COPIES],
         COPIES, VERSIONS,
         *[c.alias(name) for name, c in flags.items()],
     )

@@ -42,9 +42,12 @@ def text_keys(schema: T.StructType) -> T.StructType:
     ])
 
 
-def read_bronze(spark: SparkSession, path: str, schema: T.StructType = BRONZE) -> DataFrame:
-    """CSV export with a header (a leading BOM is accepted), under a declared schema."""
-    raw = spark.read.schema(text_keys(schema)).option("header", True).option("encoding", "UTF-8").csv(path)
+def read_bronze(spark: SparkSession, path: str, schema: T.StructType = BRONZE, multi_line: bool = False) -> DataFrame:
+    """CSV export with a header (a leading BOM is accepted), under a declared schema.
+
+    `multi_line` accepts line breaks inside quoted values, at the price of one task per file.
+    """
+    raw = spark.read.schema(text_keys(schema)).options(header=True, encoding="UTF-8", multiLine=multi_line).csv(path)
     return from_csv_types(raw, schema)
 
 

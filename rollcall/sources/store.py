@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,7 +26,8 @@ class Store:
     This does three things at once: the work so far is not repeated by each of several readers, a lost executor
     does not send the job back to the source files, and the planner learns the true size of the table, so that it
     broadcasts the table in a later join only when it is small enough (`spark.sql.autoBroadcastJoinThreshold`) and
-    shuffles it otherwise.
+    shuffles it otherwise. Every kept table gets a folder of its own, so that a DataFrame over an earlier one stays
+    valid; all lie under `root`, which can be removed when the job is over.
     """
 
     def __init__(self, spark: SparkSession, name: str = "work"):
@@ -36,5 +38,6 @@ class Store:
         return f"{self.root}/{table}"
 
     def keep(self, df: DataFrame, table: str) -> DataFrame:
-        df.write.mode("overwrite").parquet(self.path(table))
-        return self.spark.read.schema(df.schema).parquet(self.path(table))
+        path = self.path(f"{table}-{uuid.uuid4().hex[:12]}")
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)

@@ -8,11 +8,14 @@ gives the same silver table as one batch over all files.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import datetime as dt
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rollcall.operators.dedup import dedup_latest
+from rollcall.operators.dedup import COPIES, dedup_latest
 from rollcall.plans.silver import clean_columns, staged_silver
 from rollcall.schema import BRONZE, KEY
 from rollcall.sources.files import from_csv_types, text_keys
@@ -42,6 +45,42 @@ def clean_exports(history: DataFrame, store: Store | None = None) -> DataFrame:
     return clean_columns(staged_silver(history, store, [KEY, EXPORT_DATE], [EXPORT_DATE]))
 
 
+def read_exports(spark: SparkSession, cleaned: str) -> DataFrame:
+    return clean_columns(spark.read.parquet(cleaned))
+
+
+def _rows_per_export(df: DataFrame, count: Column) -> DataFrame:
+    return df.groupBy(EXPORT_DATE).agg(count.alias("rows"))
+
+
+def stale_exports(spark: SparkSession, history: str, cleaned: str) -> list[dt.date]:
+    """Export dates that are not cleaned yet, or have gained rows since. One date per day of the calendar."""
+    landed = _rows_per_export(spark.read.parquet(history), F.count(F.lit(1)))
+    try:
+        done = _rows_per_export(spark.read.parquet(cleaned), F.sum(COPIES)).withColumnRenamed("rows", "done")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        done = landed.select(EXPORT_DATE, F.lit(None).alias("done")).limit(0)
+    waiting = landed.join(done, EXPORT_DATE, "left").where(~F.col("rows").eqNullSafe(F.col("done")))
+    return [r[EXPORT_DATE] for r in waiting.select(EXPORT_DATE).collect()]
+
+
+def refresh_exports(spark: SparkSession, history: str, cleaned: str, store: Store) -> list[dt.date]:
+    """Clean the exports that changed and replace their partitions; the others are neither read nor written."""
+    days = stale_exports(spark, history, cleaned)
+    if days:
+        changed = spark.read.parquet(history).where(F.col(EXPORT_DATE).isin(days))
+        staged = staged_silver(changed, store, [KEY, EXPORT_DATE], [EXPORT_DATE])
+        staged.hint("rebalance", EXPORT_DATE).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic").partitionBy(EXPORT_DATE).parquet(cleaned)
+    return days
+
+
 def current_view(exports: DataFrame) -> DataFrame:
-    """The newest export of each key. A file that arrives late cannot replace a newer one."""
+    """The newest export of each key. A file that arrives late cannot replace a newer one.
+
+    The view of a view and more exports is the view of all of them, so it can be kept up by
+    `current_view(view.unionByName(new_exports))` without reading the history again.
+    """
     return dedup_latest(exports, [KEY], [F.col(EXPORT_DATE)])

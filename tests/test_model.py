@@ -8,7 +8,10 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from rollcall.operators import kpis, model, repair
+from rollcall.operators.quality import GateFailed
+from rollcall.plans import attrition
 from rollcall.plans.silver import silver
+from rollcall.sources import Store
 
 REF = "2021-06-30"
 
@@ -118,3 +121,28 @@ def test_retrain_on_first_monday(spark):
     days = spark.createDataFrame([("2024-01-01",), ("2024-01-08",), ("2024-02-05",), ("2024-02-06",)], "d string")
     got = days.where(model.is_retrain_day(F.col("d").cast("date")))
     assert rows(got, "d") == [("2024-01-01",), ("2024-02-05",)]
+
+
+def test_category_guard(table):
+    labelled = model.label_attrition(table, REF)
+    with pytest.raises(ValueError, match="cidade"):
+        model.train_attrition(labelled, trees=1, max_categories=20)
+
+
+def test_daily_step_trains_on_the_first_monday_only(spark, table, tmp_path):
+    store, path = Store(spark, "test-attrition"), str(tmp_path / "model")
+    monday, tuesday = dt.date(2022, 7, 4), dt.date(2022, 7, 5)
+    trained = attrition.run(table, monday, path, store, ref=dt.date(2021, 6, 30), trees=20)
+    assert trained.metrics.first()["roc_auc"] > 0.6
+    scored = attrition.run(table, tuesday, path, store)
+    assert scored.metrics is None and scored.scores.count() == trained.scores.count()
+    assert scored.top_risk.count() == 20 and scored.risk_by_area.count() == 3
+
+
+def test_rejected_model_is_not_saved(spark, table, tmp_path):
+    path = tmp_path / "model"
+    nobody = table.withColumn("engajamento_score_base", F.rand(1) * 0 + 5)
+    with pytest.raises(GateFailed):
+        attrition.run(nobody, dt.date(2022, 7, 5), str(path), Store(spark, "test-reject"), ref=dt.date(2021, 6, 30),
+                      train=True, trees=5)
+    assert not path.exists()

@@ -6,14 +6,16 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from rollcall.operators import quality, series
+from rollcall.operators import joins, quality, series
 from rollcall.plans import export, pipeline
 from rollcall.plans.silver import clean_columns, silver, staged_silver
 from rollcall.schema import BRONZE
+from rollcall.session import settings
 from rollcall.sources import (
     Store, read_bronze, read_metadata, read_silver, write_csv, write_json, write_silver, write_table)
 from rollcall.sources.store import shared_folder
-from rollcall.streaming import clean_exports, current_view, ingest_increment
+from rollcall.streaming import (
+    clean_exports, current_view, ingest_increment, read_exports, refresh_exports)
 
 HEADER = ",".join(BRONZE.fieldNames())
 LINE = "{key},Nome,{area},Cargo,RH,2020-01-01,12,30,Feminino,Parda,Recife,{pay},7.0,3.0,90.0,{boss},Ativo,,,"
@@ -141,3 +143,53 @@ def test_late_export_does_not_replace_a_newer_one(spark, people, tmp_path):
 def test_write_table_sorts_inside_files(spark, tmp_path):
     write_table(spark.range(10).orderBy(F.desc("id")), str(tmp_path / "t"), sort=["id"])
     assert [r[0] for r in spark.read.parquet(str(tmp_path / "t")).collect()] == sorted(range(10))
+
+
+def test_refresh_cleans_only_what_changed(spark, people, tmp_path):
+    landing, history, progress, cleaned = (str(tmp_path / n) for n in ("landing", "history", "progress", "cleaned"))
+    store = Store(spark, "test-refresh")
+
+    def arrive(day, *data):
+        write_csv(people(*data), f"{landing}/export_date={day}/{len(list(tmp_path.rglob('part-*')))}")
+        ingest_increment(spark, landing, history, progress)
+        return [d.isoformat() for d in refresh_exports(spark, history, cleaned, store)]
+
+    def files(day):
+        return {p.name for p in (tmp_path / "cleaned" / f"export_date={day}").glob("*.parquet")}
+
+    assert arrive("2020-01-01", {"matricula": 1}, {"matricula": 1}) == ["2020-01-01"]
+    before = files("2020-01-01")
+    assert arrive("2020-01-02", {"matricula": 1, "cargo": "Novo"}) == ["2020-01-02"]
+    assert files("2020-01-01") == before
+    # A second file of the first export arrives late: that export is cleaned again as a whole.
+    assert arrive("2020-01-01", {"matricula": 2, "engajamento_score_base": None}) == ["2020-01-01"]
+    assert refresh_exports(spark, history, cleaned, store) == []
+    got = read_exports(spark, cleaned)
+    assert rows(got, "matricula", "cargo", "engajamento_score_base", F.col("export_date").cast("string")) == [
+        (1, "Cargo_1", 7.0, "2020-01-01"), (1, "Novo", 7.0, "2020-01-02"), (2, "Cargo_1", 7.0, "2020-01-01")]
+    # The view of a view and a new export is the view of all.
+    old, new = got.where("export_date = '2020-01-01'"), got.where("export_date = '2020-01-02'")
+    assert rows(current_view(current_view(old).unionByName(new)), "*") == rows(current_view(got), "*")
+
+
+def test_attach_departures(spark, people):
+    gone = spark.createDataFrame(
+        [(1, "2020-01-01", "Voluntário", "a"), (1, "2021-01-01", "Voluntário", "b"), (9, "2020-01-01", "x", "c")],
+        "matricula long, data_desligamento string, tipo_desligamento string, motivo_desligamento string")
+    base = people({"matricula": 1}, {"matricula": 2}).drop("data_desligamento", "tipo_desligamento", "motivo_desligamento")
+    got = joins.attach_departures(base, gone)
+    assert rows(got, "matricula", "data_desligamento", "motivo_desligamento") == [(1, "2021-01-01", "b"), (2, None, None)]
+
+
+def test_kept_tables_do_not_overwrite_each_other(spark, people):
+    store = Store(spark, "test-twice")
+    first = silver(people({"matricula": 1}), store)
+    second = silver(people({"matricula": 2}), store)
+    assert rows(first, "matricula") == [(1,)] and rows(second, "matricula") == [(2,)]
+
+
+def test_settings_follow_the_input_size():
+    small, large = settings(8), settings(8000, 100 * 1024**4)
+    assert small["spark.sql.shuffle.partitions"] == "8"
+    assert large["spark.sql.shuffle.partitions"] == "200000"
+    assert settings(100, 1024**4)["spark.sql.shuffle.partitions"] == "4096"
