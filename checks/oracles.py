@@ -509,12 +509,12 @@ ORACLES: dict[str, tuple[str, str]] = {
     "nine_box": (SILVER, f"""SELECT {_BOX}, area, count(*) AS headcount,
         {_mean('engajamento_score_base')} AS engajamento_medio, {_mean('salario_mensal')} AS salario_medio
         FROM silver WHERE status = 'Ativo' GROUP BY 1, 2, 3"""),
-    "nine_box_view": (SCD, """SELECT area, c.senioridade,
-        CASE WHEN c.faixa_salarial IN ('10-20k', '20k+') AND c.senioridade = 'Liderança' THEN 3
-             WHEN c.senioridade = 'Sênior/Especialista' THEN 2 ELSE 1 END AS perf_box,
-        CASE WHEN c.faixa_etaria IN ('25-34', '35-44') THEN 3
-             WHEN c.faixa_etaria IN ('18-24', '45-54') THEN 2 ELSE 1 END AS pot_box, count(*) AS headcount
-        FROM employees c JOIN dim_area USING (sk_area) WHERE c.e_registro_atual GROUP BY 1, 2, 3, 4"""),
+    "nine_box_view": (SCD, """SELECT a.area, v.senioridade,
+        1 + CAST(v.senioridade = 'Sênior/Especialista' AS INT)
+          + 2 * CAST(v.senioridade = 'Liderança' AND v.salario_mensal >= 10000 AS INT) AS perf_box,
+        1 + CAST(v.idade BETWEEN 18 AND 54 AS INT) + CAST(v.idade BETWEEN 25 AND 44 AS INT) AS pot_box,
+        count(*) AS headcount
+        FROM versions v JOIN dim_area a USING (area) WHERE v.is_current GROUP BY ALL"""),
     "root_cause": (CAUSES, "SELECT * FROM causes"),
     "action_plan": (CAUSES, f"""SELECT 'PA' || lpad(CAST(i + 1 AS VARCHAR), 3, '0') AS id,
         causa_raiz_desc AS causa_raiz, area_predominante AS area_foco,

@@ -67,7 +67,9 @@ def root_cause(df: DataFrame) -> DataFrame:
     # min of (-count, name) is the most frequent area; areas without a name do not compete.
     rank = F.when(F.col("area").isNotNull(), F.struct((-F.col("all_exits")).alias("n"), F.col("area").alias("area")))
     reasons = cells.groupBy("reason").agg(F.sum("voluntary").alias("voluntary"), F.min(rank)["area"].alias("area"))
-    total = reasons.agg(F.sum("voluntary")).scalar()
+    # All exits are summed beside the voluntary ones so that both uses of `cells` need the same columns and share one
+    # shuffle.
+    total = cells.agg(F.struct(F.sum("voluntary").alias("voluntary"), F.sum("all_exits"))).scalar()["voluntary"]
     return reasons.where(F.col("voluntary") > 0).select(
         F.col("reason").alias("causa_raiz_desc"),
         F.coalesce("area", F.lit(AREA_OTHERWISE)).alias("area_predominante"),

@@ -16,9 +16,13 @@ CELLS_PER_OCTAVE = 1024
 def _cell(value: Column) -> Column:
     """A coarse position that never decreases as the value grows: about 0.07 % wide, whatever the scale.
 
-    There are at most some two million cells, and a few thousand in practice, so the cells of one group fit one task.
+    There are at most some four million cells, and a few thousand in practice, so the cells of one group fit one task.
     """
-    return F.signum(value).cast("bigint") * F.floor(F.log2(F.abs(value) + 1) * CELLS_PER_OCTAVE)
+    # Exponents of doubles lie above -1075, so the shifted position is positive; zero lies between the signs, and
+    # infinity counts as an exponent of 1025.
+    exponent = F.least(F.log2(F.abs(value)), F.lit(1025.0))
+    size = F.floor(exponent * CELLS_PER_OCTAVE) + 1075 * CELLS_PER_OCTAVE
+    return F.when(value == 0, F.lit(0)).otherwise(F.signum(value).cast("bigint") * size)
 
 
 def group_median(df: DataFrame, keys: Sequence[str], value: str, out: str = "median") -> DataFrame:
@@ -46,7 +50,9 @@ def group_median(df: DataFrame, keys: Sequence[str], value: str, out: str = "med
         .where((F.col("before") < F.col("hi")) & (F.col("upto") >= F.col("lo")))
     )
     m = middle.select(*[F.col(k).alias(f"m_{k}") for k in keys], F.col("cell").alias("m_cell"), "before", "lo", "hi")
-    same = F.col("cell") == F.col("m_cell")
+    # Null-safe also for the cell: a plain equality adds a filter to one use of `counts`, and the two uses would no
+    # longer share their shuffle.
+    same = F.col("cell").eqNullSafe(F.col("m_cell"))
     for k in keys:
         same = same & F.col(k).eqNullSafe(F.col(f"m_{k}"))
     within = Window.partitionBy(*keys, "cell").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)

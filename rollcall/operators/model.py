@@ -69,11 +69,18 @@ def check_categories(df: DataFrame, columns: Sequence[str], most: int) -> None:
         raise ValueError(f"too many distinct values for a category (limit {most}): {wide}")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """A table in fewer partitions than there are cores is dealt out by key; a larger one is left as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def train_attrition(labelled: DataFrame, trees: int = 100, depth: int = 6, min_leaf: int = 15,
                     numeric: Sequence[str] = NUMERIC, categorical: Sequence[str] = CATEGORICAL,
-                    seed: int = SEED, max_categories: int = 10_000) -> PipelineModel:
+                    seed: int = SEED, max_categories: int = 10_000, key: str = KEY) -> PipelineModel:
     """Random forest over indexed categories. Unseen categories get a class of their own when scoring."""
     check_categories(labelled, categorical, max_categories)
+    labelled = spread(labelled, key)
     indexers: list[StringIndexerModel] = [
         StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep", stringOrderType="alphabetAsc")
         .fit(labelled)

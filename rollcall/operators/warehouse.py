@@ -13,14 +13,16 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rollcall.fixed_values import (
-    DIM_AREA, DIM_REASON, MONTH_NAMES, TURNOVER_COST_FACTOR, WEEKDAY_NAMES)
-from rollcall.functions import age_band, literal_table, month_key, months_between_calendar, salary_band
+    DIM_AREA, DIM_REASON, HIGH_SALARY_BANDS, LEADER, MONTH_NAMES, POTENTIAL_BY_AGE_BAND, SENIOR, TURNOVER_COST_FACTOR,
+    WEEKDAY_NAMES)
+from rollcall.functions import (
+    age_band, literal_table, lookup, month_key, months_between_calendar, percent, salary_band)
 from rollcall.functions.numbers import MONEY
 from rollcall.operators.dedup import dedup_latest
 from rollcall.operators.kpis import performance_box, potential_box
 from rollcall.operators.series import (
     MEASURES, cell_mean, enps, headcount_cells, monthly_turnover, spine_bounds)
-from rollcall.schema import END, ENGAGEMENT, KEY, KIND, PERFORMANCE, REASON, SALARY, START
+from rollcall.schema import END, ENGAGEMENT, KEY, PERFORMANCE, REASON, SALARY, START
 
 VERSIONS_PER_KEY = 10000
 TRACKED = ("cargo", "senioridade", "area")
@@ -108,7 +110,7 @@ def dim_employee(snapshots: DataFrame, areas: DataFrame, date: str = "snapshot_d
                  unique: bool = False) -> DataFrame:
     """Employee dimension, type 2 on position, seniority and area."""
     versions = scd2(snapshots, [KEY], date, TRACKED, unique)
-    return versions.join(F.broadcast(areas.select("sk_area", "area")), "area", "left").select(
+    return versions.join(areas.select("sk_area", "area"), "area", "left").select(
         (F.col(KEY) * VERSIONS_PER_KEY + F.col("version")).alias("sk_colaborador"),
         F.col(KEY).alias("nk_matricula"),
         "cargo", "senioridade", "sk_area", "genero", "raca_cor", "cidade",
@@ -137,8 +139,8 @@ def fact_departure(silver: DataFrame, employees: DataFrame, areas: DataFrame, re
     )
     joined = (
         gone.join(version, valid, "left").drop(version[KEY])
-        .join(F.broadcast(areas.select("sk_area", "area")), "area", "left")
-        .join(F.broadcast(reasons.select("sk_motivo", F.col("motivo").alias(REASON))), REASON, "left")
+        .join(areas.select("sk_area", "area"), "area", "left")
+        .join(reasons.select("sk_motivo", F.col("motivo").alias(REASON)), REASON, "left")
     )
     months = months_between_calendar(F.col(START), F.col(END))
     star = (performance_box(F.col(PERFORMANCE)) == 3) & (potential_box(F.col(ENGAGEMENT), months) == 3)
@@ -166,7 +168,7 @@ def fact_headcount(silver: DataFrame, areas: DataFrame, start: str | dt.date, en
     cells = headcount_cells(silver, *spine_bounds(start, end), ["area", "senioridade"], MEASURES)
     used = (F.col("headcount") > 0) | (F.col("admissoes") > 0) | (F.col("desligamentos") > 0)
     month = month_key(F.col("month"))
-    return cells.where(used).join(F.broadcast(areas.select("sk_area", "area")), "area", "left").select(
+    return cells.where(used).join(areas.select("sk_area", "area"), "area", "left").select(
         F.xxhash64(month, "area", "senioridade").alias("sk_headcount"),
         "sk_area", month.alias("competencia"), "senioridade", "headcount", "admissoes", "desligamentos",
         F.col("desligamentos_voluntarios").alias("desligamentos_vol"),
@@ -182,60 +184,57 @@ def fact_headcount(silver: DataFrame, areas: DataFrame, start: str | dt.date, en
 
 # --- views ---------------------------------------------------------------------------------------------
 
-TURNOVER_LTM = """
-SELECT a.area, a.classificacao_risco,
-       sum(f.desligamentos) AS total_desligamentos,
-       sum(f.desligamentos_vol) AS desligamentos_voluntarios,
-       avg(f.headcount) AS headcount_medio,
-       round(sum(f.desligamentos) / nullif(avg(f.headcount), 0) * 100, 1) AS turnover_ltm_pct,
-       round(sum(f.desligamentos) * count(DISTINCT f.competencia) / nullif(sum(f.headcount), 0) * 100, 1)
-         AS turnover_ltm_pct_area,
-       round(sum(f.desligamentos_vol) / nullif(sum(f.desligamentos), 0) * 100, 1) AS pct_voluntario
-FROM {fact} f JOIN {areas} a ON f.sk_area = a.sk_area
-WHERE f.competencia BETWEEN date_format(add_months(:as_of, -12), 'yyyy-MM') AND date_format(:as_of, 'yyyy-MM')
-GROUP BY a.area, a.classificacao_risco
-"""
-
-NINE_BOX = """
-SELECT a.area, c.senioridade,
-       CASE WHEN c.faixa_salarial IN ('10-20k', '20k+') AND c.senioridade = 'Liderança' THEN 3
-            WHEN c.senioridade = 'Sênior/Especialista' THEN 2 ELSE 1 END AS perf_box,
-       CASE WHEN c.faixa_etaria IN ('25-34', '35-44') THEN 3
-            WHEN c.faixa_etaria IN ('18-24', '45-54') THEN 2 ELSE 1 END AS pot_box,
-       count(*) AS headcount
-FROM {employees} c JOIN {areas} a ON c.sk_area = a.sk_area
-WHERE c.e_registro_atual
-GROUP BY ALL
-"""
-
-TURNOVER_COST_LTM = """
-SELECT a.area,
-       sum(f.custo_estimado_turnover) AS custo_total_turnover,
-       count(*) AS total_desligamentos,
-       sum(f.custo_estimado_turnover) / count(f.custo_estimado_turnover) AS custo_medio_por_desligamento
-FROM {fact} f JOIN {dates} d ON f.sk_data_deslig = d.sk_data JOIN {areas} a ON f.sk_area = a.sk_area
-WHERE d.data_completa BETWEEN add_months(:as_of, -12) AND :as_of
-GROUP BY a.area
-"""
+def _a_year_before(as_of: str | dt.date) -> tuple[Column, Column]:
+    day = F.lit(dt.date.fromisoformat(as_of) if isinstance(as_of, str) else as_of)
+    return F.add_months(day, -12), day
 
 
-def _view(spark: SparkSession, text: str, as_of: str | dt.date | None = None, **tables: DataFrame) -> DataFrame:
-    day = dt.date.fromisoformat(as_of) if isinstance(as_of, str) else as_of
-    return spark.sql(text, {"as_of": day} if day else None, **tables)
+def _one_decimal(part: Column, whole: Column) -> Column:
+    return F.round(percent(part, whole), 1)
 
 
 def turnover_ltm(fact: DataFrame, areas: DataFrame, as_of: str | dt.date) -> DataFrame:
     """Turnover since the month twelve back, by area: thirteen months, counting the current one.
 
     `turnover_ltm_pct` divides by the mean month x seniority row, `turnover_ltm_pct_area` by the area's mean month.
+    The months are summed before the area's names are joined on.
     """
-    return _view(fact.sparkSession, TURNOVER_LTM, as_of, fact=fact, areas=areas)
+    since, day = _a_year_before(as_of)
+    exits, months = F.col("total_desligamentos"), F.col("months")
+    by_area = fact.where(F.col("competencia").between(month_key(since), month_key(day))).groupBy("sk_area").agg(
+        F.sum("desligamentos").alias("total_desligamentos"),
+        F.sum("desligamentos_vol").alias("desligamentos_voluntarios"),
+        F.avg("headcount").alias("headcount_medio"),
+        F.sum("headcount").alias("people_months"),
+        F.count_distinct("competencia").alias("months"),
+    )
+    return by_area.join(areas, "sk_area").select(
+        "area", "classificacao_risco", "total_desligamentos", "desligamentos_voluntarios", "headcount_medio",
+        _one_decimal(exits, F.col("headcount_medio")).alias("turnover_ltm_pct"),
+        _one_decimal(exits * months, F.col("people_months")).alias("turnover_ltm_pct_area"),
+        _one_decimal(F.col("desligamentos_voluntarios"), exits).alias("pct_voluntario"),
+    )
 
 
 def nine_box_view(employees: DataFrame, areas: DataFrame) -> DataFrame:
     """Current employee versions by area, seniority and a grid from salary and age bands."""
-    return _view(employees.sparkSession, NINE_BOX, employees=employees, areas=areas)
+    well_paid_leader = (F.col("senioridade") == LEADER) & F.col("faixa_salarial").isin(*HIGH_SALARY_BANDS)
+    performance = F.when(well_paid_leader, 3).when(F.col("senioridade") == SENIOR, 2).otherwise(1)
+    potential = F.coalesce(lookup(F.col("faixa_etaria"), POTENTIAL_BY_AGE_BAND), F.lit(1))
+    cells = employees.where("e_registro_atual").groupBy(
+        "sk_area", "senioridade", performance.alias("perf_box"), potential.alias("pot_box")
+    ).agg(F.count(F.lit(1)).alias("headcount"))
+    return cells.join(areas.select("sk_area", "area"), "sk_area").drop("sk_area")
 
 
 def turnover_cost_ltm(fact: DataFrame, dates: DataFrame, areas: DataFrame, as_of: str | dt.date) -> DataFrame:
-    return _view(fact.sparkSession, TURNOVER_COST_LTM, as_of, fact=fact, dates=dates, areas=areas)
+    """Sum, number and mean of departure costs of the last twelve months, by area."""
+    since, day = _a_year_before(as_of)
+    days = dates.where(F.col("data_completa").between(since, day)).select(F.col("sk_data").alias("sk_data_deslig"))
+    cost = F.col("custo_estimado_turnover")
+    by_area = fact.join(days, "sk_data_deslig").groupBy("sk_area").agg(
+        F.sum(cost).alias("custo_total_turnover"),
+        F.count(F.lit(1)).alias("total_desligamentos"),
+        F.avg(cost).alias("custo_medio_por_desligamento"),
+    )
+    return by_area.join(areas.select("sk_area", "area"), "sk_area").drop("sk_area")

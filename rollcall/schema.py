@@ -38,6 +38,8 @@ BRONZE = T.StructType([
     T.StructField(REASON, T.StringType()),
 ])
 
+DEPARTURES = T.StructType([f for f in BRONZE if f.name in (KEY, END, KIND, REASON)])
+
 COLUMNS = BRONZE.fieldNames()
 OPTIONAL = ("gestor_matricula", END, KIND, REASON)
 REQUIRED_BRONZE = (

@@ -37,6 +37,13 @@ def test_even_group_spans_two_cells(spark):
     assert rows(medians.group_median(df, ["g"], "v"), "g", "median") == [("a", 501.0)]
 
 
+def test_cells_never_decrease(spark):
+    values = [-math.inf, -1e308, -2.0, -1.0, -0.3, -5e-324, -0.0, 0.0, 5e-324, 1e-9, 0.3, 1.0, 1.5, 2.0, 1e308, math.inf]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double")
+    cells = [r[0] for r in df.orderBy("i").select(medians._cell(df.v)).collect()]
+    assert cells == sorted(cells) and cells[6] == cells[7] == 0 and cells[5] < 0 < cells[8]
+
+
 def test_hot_group(spark):
     """One group holds a third of the rows, in few and in many distinct values."""
     data = [("hot" if i % 3 == 0 else f"g{i % 500}", "x", float((i * 7919) % 10_007) / 8) for i in range(30_000)]
