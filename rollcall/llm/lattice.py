@@ -1,7 +1,8 @@
 """LM scoring: corpus word counts, backed off to the marginal probability of a subword lattice.
 
 A word's lattice holds every way to split it into pieces of an existing vocabulary, whose scores weight the pieces; the
-forward recursion in log space sums over all of them. That probability is the prior of a word model counted over the
+forward recursion in log space sums over all of them. One pass of expectation-maximisation over the distinct training
+words adds their expected piece counts to those weights. The marginal is the prior of a word model counted over the
 training documents: P(word) = (count + types * lattice) / (tokens + types). The product over a text's words and its
 end is the marginal probability of the text, since no piece crosses a word's border.
 
@@ -28,6 +29,10 @@ from rollcall.llm.common import TEXT_BYTES, map_columns, store_of
 FREQUENT = 50_000
 #: Prior share of a text's end among tokens, and of single bytes among pieces.
 END_SHARE, BYTE_SHARE = 1 / 1024, 1 / 1024
+#: Pieces that the vocabulary's own scores count for, next to those expected in the training words.
+SCORE_PIECES = 1000.0
+#: Stands for a character spelled in bytes among expected pieces.
+BYTES = ""
 WORD_START = "▁"
 LN10 = math.log(10)
 
@@ -38,7 +43,6 @@ class Lattice:
     def __init__(self, pieces: dict[str, float], byte: float):
         self.pieces, self.byte = pieces, byte
         self.longest = max(map(len, pieces), default=1)
-        self.starts = {p[:1] for p in pieces}
 
     @classmethod
     def from_file(cls, path: str) -> Lattice:
@@ -53,19 +57,43 @@ class Lattice:
         total = math.log(sum(weights.values())) - math.log1p(-BYTE_SHARE)
         return cls({p: math.log(w) - total for p, w in weights.items()}, math.log(BYTE_SHARE / 256))
 
-    def log_marginal(self, word: str) -> float:
-        """Natural logarithm of the summed probability of all segmentations. A character may also be its bytes."""
-        text, pieces, longest = WORD_START + word, self.pieces, self.longest
-        forward = [0.0] * (len(text) + 1)
+    def _forward(self, text: str) -> tuple[list[float], list[list[tuple[float, int, str]]]]:
+        """Log sums over all segmentations of each prefix, and the weighted pieces that end there."""
+        pieces, longest, byte = self.pieces, self.longest, self.byte
+        forward, ending = [0.0], [[]]
         for end in range(1, len(text) + 1):
-            terms = [forward[end - 1] + self.byte * len(text[end - 1].encode("utf-8", "surrogatepass"))]
+            here = [(byte * len(text[end - 1].encode()), end - 1, BYTES)]
             for start in range(max(0, end - longest), end):
-                weight = pieces.get(text[start:end])
-                if weight is not None:
-                    terms.append(forward[start] + weight)
+                if (weight := pieces.get(text[start:end])) is not None:
+                    here.append((weight, start, text[start:end]))
+            terms = [forward[start] + weight for weight, start, _ in here]
             most = max(terms)
-            forward[end] = most + math.log(sum([math.exp(t - most) for t in terms])) if len(terms) > 1 else most
-        return forward[-1]
+            forward.append(most + math.log(sum([math.exp(t - most) for t in terms])) if len(terms) > 1 else most)
+            ending.append(here)
+        return forward, ending
+
+    def log_marginal(self, word: str) -> float:
+        """Natural logarithm of the summed probability of all segmentations. A character may also be its bytes."""
+        return self._forward(WORD_START + word)[0][-1]
+
+    def expect(self, word: str, into: dict[str, float]) -> None:
+        """Adds the pieces that a segmentation, drawn by its probability, is expected to hold."""
+        forward, ending = self._forward(WORD_START + word)
+        share = [0.0] * len(forward)
+        share[-1] = 1.0
+        for end in range(len(forward) - 1, 0, -1):
+            if share[end]:
+                for weight, start, piece in ending[end]:
+                    part = share[end] * math.exp(forward[start] + weight - forward[end])
+                    share[start] += part
+                    into[piece] = into.get(piece, 0.0) + part
+
+    def refitted(self, expected: dict[str, float]) -> Lattice:
+        """Weights from the expected counts, with the present weights as SCORE_PIECES further pieces."""
+        total = sum(expected.values()) + SCORE_PIECES
+        # bytes keep at least their present share
+        return Lattice({p: math.log((expected.get(p, 0.0) + SCORE_PIECES * math.exp(w)) / total)
+                        for p, w in self.pieces.items()}, self.byte)
 
 
 @lru_cache(maxsize=2)
@@ -101,10 +129,28 @@ def count_words(texts: DataFrame) -> DataFrame:
         F.sum("count").alias("count"))
 
 
-def with_prior(counts: DataFrame, path: str) -> DataFrame:
+def refit(counts: DataFrame, path: str) -> Lattice:
+    """The lattice after one pass over all distinct training words. One row per piece reaches the driver."""
+    def make():
+        own = lattice(path)
+
+        def work(c):
+            into: dict[str, float] = {}
+            for word in c["word"]:
+                own.expect(word.decode(), into)
+            return {"piece": list(into), "times": list(into.values())}
+        return work
+
+    words = counts.where("count > 0").select("word")
+    expected = (map_columns(words, "piece string, times double", make)
+                .groupBy("piece").agg(F.sum("times").alias("times")))
+    return lattice(path).refitted({r.piece: round(r.times, 6) for r in expected.collect()})
+
+
+def with_prior(counts: DataFrame, own: Lattice) -> DataFrame:
     """Adds `prior`: the natural logarithm of the lattice marginal, less the share of ends."""
     def make():
-        own, rest = lattice(path), math.log1p(-END_SHARE)
+        rest = math.log1p(-END_SHARE)
 
         def work(c):
             return c | {"prior": [own.log_marginal(w.decode()) + rest for w in c["word"]]}
@@ -117,7 +163,8 @@ def score_texts(docs: DataFrame, path: str, frequent: int = FREQUENT) -> DataFra
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row."""
     store = store_of(docs, "lattice")
     texts = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.expr(TEXT_BYTES).alias("body"))
-    vocabulary = store.keep(with_prior(count_words(texts), path), "vocabulary")
+    counts = store.keep(count_words(texts), "counts")
+    vocabulary = store.keep(with_prior(counts, refit(counts, path)), "vocabulary")
     ends = texts.where("NOT held_out").count()
     words, types = vocabulary.agg(F.coalesce(F.sum("count"), F.lit(0)),
                                   F.count(F.when(F.col("count") > 0, 1))).first()

@@ -25,11 +25,11 @@ CELLS = 1000
 LEAST_WORDS, MOST_REPEATED = 50, 50
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 #: Signal: least distance of its limit from the median, in its own unit.
-SIGNALS = {"symbol_share": 30, "dup_line_share": 200, "repeat_share": 100, "capital_share": 150, "word_tenths": 25}
+SIGNALS = {"symbol_share": 30, "dup_line_share": 500, "repeat_share": 500, "capital_share": 150, "word_tenths": 25}
 #: Documents a sketch must have seen before it sets limits by itself.
 LEAST_DOCS = 200
-#: Times the distance from the median to the 90 % quantile.
-SPREADS = 4
+#: Times the distance from the median to the 75 % quantile.
+SPREADS = 8
 
 
 def repeated_words(words: list[bytes]) -> int:
@@ -104,14 +104,14 @@ def limits(sketch: DataFrame, by: list[str]) -> DataFrame:
     merged = (merged.withColumn("below", F.sum("n").over(group.orderBy("cell")))
               .withColumn("docs", F.sum("n").over(group)))
 
-    def quantile(tenths: int) -> Column:
-        return F.min(F.when(10 * F.col("below") >= tenths * F.col("docs"), F.col("cell")))
+    def quantile(percent: int) -> Column:
+        return F.min(F.when(100 * F.col("below") >= percent * F.col("docs"), F.col("cell")))
 
     width = F.create_map(*[F.lit(x) for item in SIGNALS.items() for x in item])
-    spread = F.greatest(SPREADS * (F.col("q90") - F.col("q50")), width[F.col("signal")])
-    return (merged.groupBy(*by, "signal").agg(F.max("docs").alias("docs"), quantile(5).alias("q50"),
-                                              quantile(9).alias("q90"))
-            .withColumn("limit", F.col("q50") + spread).drop("q50", "q90"))
+    spread = F.greatest(SPREADS * (F.col("q75") - F.col("q50")), width[F.col("signal")])
+    return (merged.groupBy(*by, "signal").agg(F.max("docs").alias("docs"), quantile(50).alias("q50"),
+                                              quantile(75).alias("q75"))
+            .withColumn("limit", F.col("q50") + spread).drop("q50", "q75"))
 
 
 def thresholds(measures: DataFrame, store: Store) -> DataFrame:
@@ -187,15 +187,15 @@ based AS (
 signals AS (
     SELECT doc_id, lang, source, base_failed, unnest([
         {'signal': 'symbol_share', 'cell': 1000 * n_symbols // greatest(word_chars, 1), 'width': 30},
-        {'signal': 'dup_line_share', 'cell': 1000 * n_dup_lines // greatest(n_lines, 1), 'width': 200},
-        {'signal': 'repeat_share', 'cell': 1000 * n_repeat_words // greatest(n_words, 1), 'width': 100},
+        {'signal': 'dup_line_share', 'cell': 1000 * n_dup_lines // greatest(n_lines, 1), 'width': 500},
+        {'signal': 'repeat_share', 'cell': 1000 * n_repeat_words // greatest(n_words, 1), 'width': 500},
         {'signal': 'capital_share', 'cell': 1000 * n_capitals // greatest(word_chars, 1), 'width': 150},
         {'signal': 'word_tenths', 'cell': 10 * word_chars // greatest(n_words, 1), 'width': 25}], recursive := true)
     FROM based),
 cells AS (SELECT * REPLACE (least(cell, 1000) AS cell) FROM signals),
 limits AS (
     SELECT lang, source, signal, grouping(lang, source) AS level, count(*) AS docs,
-           quantile_disc(cell, 0.5) + greatest(4 * (quantile_disc(cell, 0.9) - quantile_disc(cell, 0.5)), max(width))
+           quantile_disc(cell, 0.5) + greatest(8 * (quantile_disc(cell, 0.75) - quantile_disc(cell, 0.5)), max(width))
                AS bound
     FROM cells WHERE NOT base_failed GROUP BY GROUPING SETS ((lang, source, signal), (lang, signal), (signal))),
 verdicts AS (
