@@ -229,7 +229,7 @@ def _unresolved(members: DataFrame, labels: DataFrame, store: Store) -> DataFram
     return named.join(store.keep(one, "open"), ["band", "bucket"])
 
 
-def _blocks(open_members: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+def _blocks(open_members: DataFrame, sizes: DataFrame, percent: int, store: Store) -> DataFrame:
     """One row per member and block pair that it belongs to: band, bucket, la, pa, lb, pb, side, class, label.
 
     A bucket of up to BLOCK members is one block. In a larger one a member's level is the logarithm of its set's size,
@@ -237,8 +237,9 @@ def _blocks(open_members: DataFrame, sizes: DataFrame, percent: int) -> DataFram
     block of its own and of the next level.
     """
     step = -float(np.log(percent / 100)) * 1.001  # wider than a link can be, whatever the rounding
-    ranked = open_members.join(sizes, "class")
+    ranked = store.keep(open_members.join(sizes, "class"), "ranked")
     span = ranked.groupBy("band", "bucket").agg(F.min("n_shingles").alias("least"), F.max("n_shingles").alias("most"))
+    span = store.keep(span, "span")  # read anew, so that the join may split a bucket with very many members
 
     def level(of: str) -> Column:
         return F.when(F.col("size") <= BLOCK, 0).otherwise(
@@ -295,7 +296,7 @@ def link_classes(docs: DataFrame, classes: DataFrame, width: int, percent: int,
     open_members = store.keep(_unresolved(members.drop("size", "first"), labels, store), "open_members")
     if open_members.isEmpty():
         return links
-    blocks = _blocks(open_members, classes.select("class", "n_shingles"), percent)
+    blocks = _blocks(open_members, classes.select("class", "n_shingles"), percent, store)
     blocks = (blocks.join(classes.select("class", F.col("data").alias("signature")), "class")
               .join(sets.withColumnRenamed("data", "shingles"), "class"))
     more = blocks.groupBy("band", "bucket", "la", "pa", "lb", "pb").applyInPandas(
@@ -336,5 +337,5 @@ def kept_documents(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFr
     stays = near_copies(docs.select("doc_id", "text"), width, percent)
     gone = stays.where("NOT kept").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
     gone = store_of(docs, "near_dedup").keep(gone, "gone")
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_hash")),
-                     "left_anti")
+    same = docs["doc_id"].eqNullSafe(gone["_id"]) & (F.xxhash64(docs["text"]) == gone["_hash"])
+    return docs.join(gone, same, "left_anti")
