@@ -1,25 +1,9 @@
 from __future__ import annotations
 
-import random
-import sys
-from pathlib import Path
-
 import duckdb
 import pytest
 
-sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
-
-SF = "/root/testdata/sf0.001"
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
-#: Names that operators use for columns of their own.
-CLASHING = ("kept", "size", "row", "body", "class", "data", "label", "_id", "_hash", "_row", "n_words", "key", "part",
-            "pos", "line", "kept_text", "n_lines", "n_dropped", "times", "component_id", "host", "tokens")
-
-
-def prose(n: int, seed: int) -> str:
-    draw = random.Random(seed)
-    words = ["".join(draw.choice("aeioustrnlm") for _ in range(draw.randint(2, 7))) for _ in range(n)]
-    return " ".join(words).capitalize() + "."
+from .helpers import CLASHING, SCHEMA, prose
 
 
 @pytest.fixture(scope="session")
@@ -62,7 +46,3 @@ def sql_over():
         return [dict(zip(names, r)) for r in found.fetchall()]
 
     return run
-
-
-def table(df, *columns) -> list[tuple]:
-    return sorted((tuple(r) for r in df.select(*columns).collect()), key=repr)

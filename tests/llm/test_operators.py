@@ -7,10 +7,8 @@ import random
 from collections import Counter
 from itertools import combinations
 
-import brute
 import numpy as np
 import pytest
-from conftest import SCHEMA, prose, table
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -19,6 +17,9 @@ from rollcall.llm import (
     bpe, common, exact_dedup, lattice, licenses, line_dedup, mixing, near_dedup, quality, toxicity, url_rules)
 from rollcall.sources import Store
 
+from . import brute
+from .helpers import SCHEMA, prose, table
+
 
 # --- mixing
 
@@ -140,7 +141,7 @@ def test_repeated_words(words):
 def test_limits_follow_the_group(spark):
     """A share that is usual in one source is an outlier in another; a small group uses its language's limit."""
     def rows(source, share, n, start):
-        return [(start + i, " ".join(["#"] * share + [f"w{start + i}x{k}" for k in range(100 - share)]), "en", source, 0)
+        return [(start + i, " ".join("#" * (k < share) + f"w{start + i}x{k}" for k in range(100)), "en", source, 0)
                 for i in range(n)]
     docs = spark.createDataFrame(rows("code", 60, 300, 0) + rows("prose", 0, 300, 1000) + rows("prose", 60, 5, 2000)
                                  + rows("tiny", 0, 5, 3000), SCHEMA)

@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from collections import Counter
 
-import brute
 import numpy as np
-from conftest import SF
 from tokenizers import Tokenizer
 
 import corpus_pipeline
 from checks.compare import connect
 from rollcall.llm import bpe, line_dedup, mixing, quality
 
+from . import brute
+from .helpers import SF
+
 
 def test_stages():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "line_dedup", "near_dedup", "mix_sources", "bpe"]

@@ -4,15 +4,15 @@ from __future__ import annotations
 
 import hashlib
 
-import brute
 import numpy as np
 import pytest
-from conftest import SF
-
 import __spark_entry__ as entry
 from checks.compare import connect, rows_of
 from rollcall.llm.queries import ORACLES
 
+from . import brute
+from .helpers import SF
+
 
 @pytest.fixture(scope="module")
 def con():
