@@ -47,8 +47,9 @@ def clean_lines(docs: DataFrame, least_chars: int = 40, least_docs: int = 5) ->
     dropped = store.keep(dropped, "dropped").toDF("_id2", "_hash2", "_dropped")
     rows = docs.select(F.struct("*").alias("_row"), F.col("doc_id").alias("_id"),
                        F.xxhash64("text").alias("_text_hash"))
+    # one way at every size: what a broadcast saves on small inputs says nothing about large ones
     joined = rows.join(
-        dropped, F.col("_id").eqNullSafe(F.col("_id2")) & (F.col("_text_hash") == F.col("_hash2")), "left")
+        dropped.hint("merge"), F.col("_id").eqNullSafe(F.col("_id2")) & (F.col("_text_hash") == F.col("_hash2")), "left")
     lines = _lines(F.col("_row.text"))
     kept = F.array_sort(F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_dropped")))
     text = F.when(F.col("_dropped").isNull(), F.coalesce(F.col("_row.text"), F.lit(""))).otherwise(
