@@ -42,7 +42,8 @@ class Lattice:
 
     def __init__(self, pieces: dict[str, float], byte: float):
         self.pieces, self.byte = pieces, byte
-        self.longest = max(map(len, pieces), default=1)
+        # every beginning of a piece, so that a search stops where no piece goes on
+        self.beginnings: dict[str, float | None] = {p[:k]: None for p in pieces for k in range(1, len(p))} | pieces
 
     @classmethod
     def from_file(cls, path: str) -> Lattice:
@@ -57,34 +58,64 @@ class Lattice:
         total = math.log(sum(weights.values())) - math.log1p(-BYTE_SHARE)
         return cls({p: math.log(w) - total for p, w in weights.items()}, math.log(BYTE_SHARE / 256))
 
-    def _forward(self, text: str) -> tuple[list[float], list[list[tuple[float, int, str]]]]:
-        """Log sums over all segmentations of each prefix, and the weighted pieces that end there."""
-        pieces, longest, byte = self.pieces, self.longest, self.byte
-        forward, ending = [0.0], [[]]
-        for end in range(1, len(text) + 1):
-            here = [(byte * len(text[end - 1].encode()), end - 1, BYTES)]
-            for start in range(max(0, end - longest), end):
-                if (weight := pieces.get(text[start:end])) is not None:
-                    here.append((weight, start, text[start:end]))
-            terms = [forward[start] + weight for weight, start, _ in here]
-            most = max(terms)
-            forward.append(most + math.log(sum([math.exp(t - most) for t in terms])) if len(terms) > 1 else most)
-            ending.append(here)
+    def _forward(self, text: str) -> tuple[list[float], list[list[tuple[int, str, float]]]]:
+        """Log sums over all segmentations of each prefix; and per end the pieces there: start, piece, log sum."""
+        n, get, byte, exp = len(text), self.beginnings.get, self.byte, math.exp
+        forward: list[float] = [0.0]
+        ending: list[list] = [[] for _ in range(n + 1)]
+        for start in range(n):
+            if start:
+                terms = ending[start]
+                if len(terms) == 1:
+                    forward.append(terms[0][2])
+                else:
+                    most = max([t[2] for t in terms])
+                    forward.append(most + math.log(sum([exp(t[2] - most) for t in terms])))
+            here, end = forward[start], start + 1
+            ending[end].append((start, BYTES, here + byte * len(text[start].encode())))
+            while end <= n and (weight := get(piece := text[start:end], BYTES)) is not BYTES:
+                if weight is not None:
+                    ending[end].append((start, piece, here + weight))
+                end += 1
+        most = max(t[2] for t in ending[n])
+        forward.append(most + math.log(sum([exp(t[2] - most) for t in ending[n]])))
         return forward, ending
 
     def log_marginal(self, word: str) -> float:
-        """Natural logarithm of the summed probability of all segmentations. A character may also be its bytes."""
-        return self._forward(WORD_START + word)[0][-1]
+        """Natural logarithm of the summed probability of all segmentations. A character may also be its bytes.
+
+        The recursion of `_forward`, without a record of the pieces.
+        """
+        text, get, byte, exp = WORD_START + word, self.beginnings.get, self.byte, math.exp
+        n = len(text)
+        terms: list[list[float]] = [[] for _ in range(n + 1)]
+        terms[0].append(0.0)
+        for start in range(n + 1):
+            here = terms[start]
+            if len(here) == 1:
+                total = here[0]
+            else:
+                most = max(here)
+                total = most + math.log(sum([exp(t - most) for t in here]))
+            if start == n:
+                return total
+            end = start + 1
+            terms[end].append(total + byte * len(text[start].encode()))
+            while end <= n and (weight := get(text[start:end], BYTES)) is not BYTES:
+                if weight is not None:
+                    terms[end].append(total + weight)
+                end += 1
 
     def expect(self, word: str, into: dict[str, float]) -> None:
         """Adds the pieces that a segmentation, drawn by its probability, is expected to hold."""
         forward, ending = self._forward(WORD_START + word)
-        share = [0.0] * len(forward)
+        share, exp = [0.0] * len(forward), math.exp
         share[-1] = 1.0
         for end in range(len(forward) - 1, 0, -1):
-            if share[end]:
-                for weight, start, piece in ending[end]:
-                    part = share[end] * math.exp(forward[start] + weight - forward[end])
+            whole, total = share[end], forward[end]
+            if whole > 1e-9:  # what is below adds nothing to counts that are rounded to a millionth
+                for start, piece, term in ending[end]:
+                    part = whole * exp(term - total)
                     share[start] += part
                     into[piece] = into.get(piece, 0.0) + part
 
