@@ -18,7 +18,7 @@ from rollcall.functions import active_at, age_band, month_key, risk_band, salary
 from rollcall.functions.numbers import MONEY, exact_mean
 from rollcall.operators import dedup, joins, kpis, medians, model, planning, quality, repair, series, warehouse
 from rollcall.plans import export
-from rollcall.plans.silver import clean_columns, quality_log, silver, staged_silver
+from rollcall.plans.silver import clean_columns, quality_log, repair_rows, silver, staged_silver
 from rollcall.schema import END, ENGAGEMENT, KEY, KIND, REASON, SALARY, START
 from rollcall.sources import (
     Store, bronze_view, read_bronze, read_silver, snapshots, write_csv, write_silver)
@@ -359,7 +359,7 @@ QUERIES: dict[str, Query] = {
     "repair_interval": _repair_interval,
     "replace_status": _replace_status,
     "silver": lambda t: silver(t.bronze, t.scratch("silver")),
-    "quality_log": lambda t: quality_log(staged_silver(t.bronze, t.scratch("log"))),
+    "quality_log": lambda t: quality_log(repair_rows(t.bronze)),
     "unexpected_nulls": lambda t: quality.unexpected_nulls(t.bronze),
     "status_counts": lambda t: quality.value_counts(t.silver, "status"),
     "bronze_gate": _bronze_gate,

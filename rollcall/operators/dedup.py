@@ -7,6 +7,8 @@ its reducer as one row per map task, where a `row_number` window would sort all
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,20 +40,29 @@ def _pick(df: DataFrame, keys: Sequence[str], order: Sequence[Column], keep: str
     raise ValueError(f"keep must be 'latest' or 'first', not {keep!r}")
 
 
+def _group(df: DataFrame, keys: Sequence[str]) -> list[Column]:
+    """The keys; and for a row with an unreadable key, which is NULL, its other columns too, so that rows of different
+    people are never merged for want of a key."""
+    unreadable = reduce(or_, [F.col(k).isNull() for k in keys])
+    rest = [F.col(c) for c in df.columns if c not in keys and c != COPIES]
+    return [*[F.col(k) for k in keys], F.when(unreadable, F.struct(*rest)).alias("_unkeyed")]
+
+
 def dedup_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], keep: str = "latest") -> DataFrame:
     """One row per key: the latest (or first) by `order`, NULLs losing either way.
 
     Ties go to the greatest (smallest) row by the remaining columns, so the choice does not depend on row order.
+    Rows with a NULL key are merged with equal rows only.
     The whole row is the aggregate, hence columns must be orderable (no maps).
     """
-    picked = df.groupBy(*keys).agg(_pick(df, keys, order, keep).alias("picked"))
+    picked = df.groupBy(*_group(df, keys)).agg(_pick(df, keys, order, keep).alias("picked"))
     return picked.select(*[F.col(c) if c in keys else F.col(f"picked.`{c}`") for c in df.columns])
 
 
 def dedup_counted(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """As `dedup_key` on the distinct rows, with counts of rows and of distinct rows per key for the quality log."""
     distinct = count_copies(df)
-    picked = distinct.groupBy(*keys).agg(
+    picked = distinct.groupBy(*_group(distinct, keys)).agg(
         _pick(distinct, keys, order, "latest").alias("picked"),
         F.sum(COPIES).alias(COPIES),
         F.count(F.lit(1)).alias(VERSIONS),

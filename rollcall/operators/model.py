@@ -69,18 +69,22 @@ def check_categories(df: DataFrame, columns: Sequence[str], most: int) -> None:
         raise ValueError(f"too many distinct values for a category (limit {most}): {wide}")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """A table in fewer partitions than there are cores is dealt out by key; a larger one is left as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+def spread(df: DataFrame, key: str, partitions: int) -> DataFrame:
+    """Rows dealt out by key and put in order, always alike: trees draw their rows per partition and in its order, so
+    the forest would otherwise differ with the cores of the session."""
+    return df.repartition(partitions, key).sortWithinPartitions(*[key, *[c for c in df.columns if c != key]])
 
 
 def train_attrition(labelled: DataFrame, trees: int = 100, depth: int = 6, min_leaf: int = 15,
                     numeric: Sequence[str] = NUMERIC, categorical: Sequence[str] = CATEGORICAL,
-                    seed: int = SEED, max_categories: int = 10_000, key: str = KEY) -> PipelineModel:
-    """Random forest over indexed categories. Unseen categories get a class of their own when scoring."""
+                    seed: int = SEED, max_categories: int = 10_000, key: str = KEY,
+                    partitions: int = 32) -> PipelineModel:
+    """Random forest over indexed categories. Unseen categories get a class of their own when scoring.
+
+    `partitions` is part of the model: choose it for the size of the table, not for the session.
+    """
     check_categories(labelled, categorical, max_categories)
-    labelled = spread(labelled, key)
+    labelled = spread(labelled, key, partitions)
     indexers: list[StringIndexerModel] = [
         StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep", stringOrderType="alphabetAsc")
         .fit(labelled)

@@ -23,7 +23,7 @@ def table_sizes(tables: Mapping[str, DataFrame]) -> dict[str, int]:
 def as_section(name: str, df: DataFrame) -> DataFrame:
     """(section, rows, document): one table as a JSON array, in the order of its columns' values."""
     rows = F.sort_array(F.collect_list(F.struct(*df.columns)))
-    return df.agg(F.lit(name).alias("section"), F.count(F.lit(1)).alias("rows"), F.to_json(rows).alias("document"))
+    return df.agg(F.lit(name).alias("section"), F.count(F.lit(1)).alias("rows"), F.to_json(rows, {"ignoreNullFields": "false"}).alias("document"))
 
 
 def export_document(tables: Mapping[str, DataFrame], most: int = DOCUMENT_ROWS) -> DataFrame:

@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from rollcall.operators import kpis, planning, quality, series, warehouse
 from rollcall.operators.dedup import count_copies
-from rollcall.plans.silver import clean_columns, quality_log, staged_silver
-from rollcall.sources.files import read_bronze, read_silver, write_json, write_silver, write_table
+from rollcall.plans.silver import clean_columns, impute, quality_log, repair_rows
+from rollcall.sources.files import (
+    read_bronze, read_malformed, read_silver, write_json, write_silver, write_table)
 from rollcall.sources.store import Store
 
 
@@ -22,6 +23,10 @@ class Paths:
     def silver(self) -> str:
         return f"{self.root}/silver/colaboradores"
 
+    @property
+    def malformed(self) -> str:
+        return f"{self.root}/quarantine/malformed"
+
     @property
     def quality_log(self) -> str:
         return f"{self.root}/silver/quality_log"
@@ -34,11 +39,11 @@ class Paths:
 
 
 def bronze_to_silver(spark: SparkSession, bronze: DataFrame, paths: Paths, store: Store) -> DataFrame:
-    """Write the clean table and its quality log. Both read the repaired rows that `staged_silver` has stored; what
-    is left to do for the clean table is a join with the few medians."""
-    staged = staged_silver(bronze, store)
-    write_silver(clean_columns(staged), paths.silver)
-    write_json(quality_log(staged).coalesce(1), paths.quality_log)
+    """Write the clean table and its quality log. Both read the stored repaired rows; what is left to do for the clean
+    table is a join with the few medians, and the log needs no median at all."""
+    repaired = store.keep(repair_rows(bronze), "repaired")
+    write_silver(clean_columns(impute(repaired, store)), paths.silver)
+    write_json(quality_log(repaired).coalesce(1), paths.quality_log)
     return read_silver(spark, paths.silver)
 
 
@@ -88,11 +93,14 @@ def run(spark: SparkSession, bronze_path: str, root: str, start: str, end: str,
         min_rows: int = 4000, max_out_of_range: int = 0) -> Paths:
     """Read the export, check it, and write silver and gold. Raises before writing if the bronze gate fails.
 
+    Rows that do not parse are written to a quarantine folder, so every row of the export is in one of the two.
+
     The export is scanned and shuffled once: gate and cleaning both start from its counted distinct rows.
     """
     paths, store = Paths(root), Store(spark, "pipeline")
     bronze = store.keep(count_copies(read_bronze(spark, bronze_path)), "counted")
     quality.require(quality.bronze_gate(bronze, min_rows, max_out_of_range=max_out_of_range))
+    write_json(read_malformed(spark, bronze_path), paths.malformed)
     silver = bronze_to_silver(spark, bronze, paths, store)
     for name, table in gold_tables(silver, start, end, as_of).items():
         write_table(table, paths.gold(name))

@@ -122,14 +122,14 @@ def silver(bronze: DataFrame, store: Store | None = None, approx: bool = False)
     return clean_columns(staged_silver(bronze, store, approx=approx))
 
 
-def quality_log(staged: DataFrame) -> DataFrame:
-    """(step, rows, detail): all steps from a single aggregation over the flag columns."""
+def quality_log(repaired: DataFrame) -> DataFrame:
+    """(step, rows, detail) of rows with flag columns, imputed or not: all steps from a single aggregation over the flag columns."""
     counts = {
         "exact_duplicates_removed": F.sum(F.col(COPIES) - F.col(VERSIONS)),
         "key_duplicates_removed": F.sum(F.col(VERSIONS) - 1),
         "silver_rows": F.count(F.lit(1)),
     } | {step: F.count_if(F.col(flag)) for step, flag, _ in STEPS if flag}
-    one = staged.agg(*[F.coalesce(counts[step], F.lit(0)).alias(step) for step, _, _ in STEPS])
+    one = repaired.agg(*[F.coalesce(counts[step], F.lit(0)).alias(step) for step, _, _ in STEPS])
     lines = F.array(*[
         F.struct(F.lit(step).alias("step"), F.col(step).cast("bigint").alias("rows"), F.lit(detail).alias("detail"))
         for step, _, detail in STEPS

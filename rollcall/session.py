@@ -5,23 +5,21 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 PARTITION_BYTES = 256 * 1024 * 1024
-MOST_PARTITIONS = 200_000
 
 
-def settings(cores: int, input_bytes: int = 0) -> dict[str, str]:
+def settings(cores: int, input_bytes: int = 0, split_mb: int = 128) -> dict[str, str]:
     """Settings that do not depend on the query.
 
     Adaptive execution merges small shuffle partitions and splits the skewed ones of joins, but it never raises
-    their number, so that starts from the input size. The number is held below the point where bookkeeping of
-    shuffle blocks costs more than large partitions do.
+    their number, so that starts from the input size.
     """
     wanted = max(cores, -(-input_bytes // PARTITION_BYTES))
     return {
-        "spark.sql.shuffle.partitions": str(min(wanted, MOST_PARTITIONS)),
+        "spark.sql.shuffle.partitions": str(wanted),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
-        "spark.sql.files.maxPartitionBytes": "256m" if input_bytes > PARTITION_BYTES * cores else "32m",
+        "spark.sql.files.maxPartitionBytes": f"{split_mb}m",
         "spark.sql.session.timeZone": "UTC",
     }
 

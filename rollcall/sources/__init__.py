@@ -1,5 +1,5 @@
 from rollcall.sources.files import (
-    read_bronze, read_metadata, read_silver, write_csv, write_json, write_silver, write_table)
+    read_bronze, read_malformed, read_metadata, read_silver, write_csv, write_json, write_silver, write_table)
 from rollcall.sources.store import Store
 from rollcall.sources.trade_view import bronze_view, snapshots
 

@@ -10,6 +10,8 @@ from pyspark.sql import types as T
 
 from rollcall.schema import BRONZE
 
+MALFORMED = "_malformed"
+
 
 def csv_schema(schema: T.StructType) -> T.StructType:
     """Integers read as doubles: exports write a nullable integer as `100123.0`, which an integer schema nulls."""
@@ -42,13 +44,43 @@ def text_keys(schema: T.StructType) -> T.StructType:
     ])
 
 
+def header_of(spark: SparkSession, path: str, multi_line: bool = False) -> list[str]:
+    """Column names of the first file, without a leading BOM."""
+    first = spark.read.options(header=True, encoding="UTF-8", multiLine=multi_line).csv(path)
+    return [c.removeprefix("\ufeff").strip() for c in first.columns]
+
+
+def _read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool) -> DataFrame:
+    """Columns found by the names in the header, whatever their order; MALFORMED holds a row that does not parse.
+
+    A file whose header differs from the first file's fails the read.
+    """
+    found = header_of(spark, path, multi_line)
+    if missing := [f.name for f in schema if f.name not in found]:
+        raise ValueError(f"columns missing from the export: {missing}")
+    declared = {f.name: f for f in text_keys(schema)}
+    fields = [declared.get(c, T.StructField(c, T.StringType())) for c in found]
+    raw = spark.read.schema(T.StructType([*fields, T.StructField(MALFORMED, T.StringType())])).options(
+        header=True, encoding="UTF-8", multiLine=multi_line, enforceSchema=False,
+        columnNameOfCorruptRecord=MALFORMED).csv(path)
+    # a value is only parsed where its column is read: this reads all, whatever is selected later
+    return raw.where(F.size(F.array(*[F.col(f.name).cast("string") for f in fields])) > 0)
+
+
 def read_bronze(spark: SparkSession, path: str, schema: T.StructType = BRONZE, multi_line: bool = False) -> DataFrame:
-    """CSV export with a header (a leading BOM is accepted), under a declared schema.
+    """CSV export with a header (a leading BOM is accepted), under a declared schema, columns found by name.
 
+    Rows with too few or too many fields, or with a number that does not parse, are left to `read_malformed`.
     `multi_line` accepts line breaks inside quoted values, at the price of one task per file.
     """
-    raw = spark.read.schema(text_keys(schema)).options(header=True, encoding="UTF-8", multiLine=multi_line).csv(path)
-    return from_csv_types(raw, schema)
+    raw = _read_csv(spark, path, schema, multi_line).where(F.col(MALFORMED).isNull())
+    return from_csv_types(raw.select(*schema.fieldNames()), schema)
+
+
+def read_malformed(spark: SparkSession, path: str, schema: T.StructType = BRONZE, multi_line: bool = False) -> DataFrame:
+    """(record): the text of the rows that `read_bronze` leaves out. Together they are all rows of the export."""
+    raw = _read_csv(spark, path, schema, multi_line)
+    return raw.where(F.col(MALFORMED).isNotNull()).select(F.col(MALFORMED).alias("record"))
 
 
 def read_silver(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -61,8 +93,9 @@ def write_silver(df: DataFrame, path: str, partition: str = "area", fmt: str = "
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", sort: Sequence[str] = ()) -> None:
-    """Overwrite a table; `sort` keeps rows ordered inside each file, for min/max skipping."""
-    (df.sortWithinPartitions(*sort) if sort else df).write.mode("overwrite").format(fmt).save(path)
+    """Overwrite a table; `sort` ranges the rows over files and orders them inside each, for min/max skipping."""
+    ranged = df.repartitionByRange(*sort).sortWithinPartitions(*sort) if sort else df
+    ranged.write.mode("overwrite").format(fmt).save(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -72,7 +105,8 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def write_json(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").json(path)
+    """JSON lines; a NULL is written as such, so that every line has every field."""
+    df.write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
 
 def read_metadata(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:

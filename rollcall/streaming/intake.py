@@ -28,7 +28,8 @@ def ingest_increment(spark: SparkSession, landing: str, history: str, checkpoint
                      files_per_batch: int | None = None) -> None:
     """Take in every export not seen before, then stop."""
     declared = T.StructType([*text_keys(BRONZE).fields, T.StructField(EXPORT_DATE, T.DateType())])
-    reader = spark.readStream.schema(declared).option("header", True)
+    # a file whose header is not the declared one fails the batch instead of filling the wrong columns
+    reader = spark.readStream.schema(declared).options(header=True, enforceSchema=False)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     arrivals = from_csv_types(reader.csv(landing), BRONZE)

@@ -26,9 +26,13 @@ def test_ties_do_not_depend_on_row_order(people):
     assert one == two and len(one) == 1
 
 
-def test_null_keys_form_one_group(people):
-    df = people({"matricula": None, "cidade": "a"}, {"matricula": None, "cidade": "b"}, {"matricula": 2})
-    assert dedup.dedup_latest(df, ["matricula"], [F.col("data_admissao")]).count() == 2
+def test_null_keys_are_never_merged(people):
+    df = people({"matricula": None, "cidade": "a"}, {"matricula": None, "cidade": "b"}, {"matricula": 2},
+                {"matricula": None, "cidade": "b"}, {"matricula": 2, "cidade": "c"})
+    order = [F.col("data_admissao")]
+    assert rows(dedup.dedup_latest(df, ["matricula"], order), "matricula", "cidade") == [
+        (2, "c"), (None, "a"), (None, "b")]
+    assert rows(dedup.dedup_counted(df, ["matricula"], order), "cidade", dedup.COPIES) == [("a", 1), ("b", 2), ("c", 2)]
 
 
 def test_counts_of_copies_and_versions(people):

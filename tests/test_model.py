@@ -146,3 +146,10 @@ def test_rejected_model_is_not_saved(spark, table, tmp_path):
         attrition.run(nobody, dt.date(2022, 7, 5), str(path), Store(spark, "test-reject"), ref=dt.date(2021, 6, 30),
                       train=True, trees=5)
     assert not path.exists()
+
+
+def test_forest_does_not_depend_on_the_input_partitions(spark, table):
+    labelled = model.label_attrition(table, REF)
+    one, many = (model.importances(model.train_attrition(labelled.repartition(n), trees=8), labelled).collect()
+                 for n in (2, 7))
+    assert one == many

@@ -12,7 +12,7 @@ from rollcall.plans.silver import clean_columns, silver, staged_silver
 from rollcall.schema import BRONZE
 from rollcall.session import settings
 from rollcall.sources import (
-    Store, read_bronze, read_metadata, read_silver, write_csv, write_json, write_silver, write_table)
+    Store, read_bronze, read_malformed, read_metadata, read_silver, write_csv, write_json, write_silver, write_table)
 from rollcall.sources.store import shared_folder
 from rollcall.streaming import (
     clean_exports, current_view, ingest_increment, read_exports, refresh_exports)
@@ -30,6 +30,33 @@ def test_csv_with_bom_and_float_keys(spark, tmp_path):
         (100123, "TECNOLOGIA ", 5000.5, 9007199254740993), (7, "a, b", None, None)]
 
 
+def test_columns_are_found_by_name(spark, tmp_path):
+    names = BRONZE.fieldNames()
+    swapped = [names[1], names[0], *names[2:], "extra"]
+    (tmp_path / "a.csv").write_text(",".join(swapped) + "\nNome,5,RH" + "," * (len(names) - 2) + "\n", encoding="utf-8")
+    got = read_bronze(spark, str(tmp_path / "a.csv"))
+    assert got.columns == names and rows(got, "matricula", "nome_ficticio", "area") == [(5, "Nome", "RH")]
+    (tmp_path / "b.csv").write_text(",".join(names[:-1]) + "\n", encoding="utf-8")
+    with pytest.raises(ValueError, match=names[-1]):
+        read_bronze(spark, str(tmp_path / "b.csv"))
+
+
+def test_no_row_of_an_export_disappears(spark, tmp_path):
+    good = LINE.format(key="7", area="RH", pay="5000", boss="1")
+    bad = [good + ",surplus", "7,short", LINE.format(key="8", area="RH", pay="five", boss="1")]
+    (tmp_path / "a.csv").write_text("\n".join([HEADER, good, *bad]) + "\n", encoding="utf-8")
+    assert rows(read_bronze(spark, str(tmp_path / "a.csv")), "matricula") == [(7,)]
+    assert rows(read_malformed(spark, str(tmp_path / "a.csv")), "record") == sorted((b,) for b in bad)
+
+
+def test_sorted_tables_are_ranged_over_files(spark, tmp_path):
+    df = spark.range(0, 1000, 1, 4).select(F.pmod(F.xxhash64("id"), F.lit(1000)).alias("k"), "id")
+    write_table(df, str(tmp_path / "t"), sort=("k",))
+    spans = sorted((r["lo"], r["hi"]) for r in spark.read.parquet(str(tmp_path / "t")).groupBy(F.input_file_name())
+                   .agg(F.min("k").alias("lo"), F.max("k").alias("hi")).collect())
+    assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+
+
 def test_csv_round_trip(people, spark, tmp_path):
     df = people({"area": "RH "}, {"genero": None, "nome_ficticio": 'a"b,c\n'})
     write_csv(df, str(tmp_path / "out"))
@@ -191,5 +218,5 @@ def test_kept_tables_do_not_overwrite_each_other(spark, people):
 def test_settings_follow_the_input_size():
     small, large = settings(8), settings(8000, 100 * 1024**4)
     assert small["spark.sql.shuffle.partitions"] == "8"
-    assert large["spark.sql.shuffle.partitions"] == "200000"
+    assert large["spark.sql.shuffle.partitions"] == "409600"
     assert settings(100, 1024**4)["spark.sql.shuffle.partitions"] == "4096"
