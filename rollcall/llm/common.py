@@ -59,7 +59,7 @@ def map_columns(df: DataFrame, schema: str, make: Callable[[], Callable[[Columns
 class Memo(dict):
     """A dictionary that computes what it lacks and forgets everything when full; long keys are not kept."""
 
-    def __init__(self, compute: Callable, limit: int = 300_000, longest: int = 64):
+    def __init__(self, compute: Callable, limit: int = 100_000, longest: int = 64):
         super().__init__()
         self.compute, self.limit, self.longest = compute, limit, longest
 
