@@ -12,7 +12,7 @@ _CHECK = "check observed:d6 limit passed:flag"
 _COHORT = (
     "competencia area admissoes:int engajamento_medio:d6 salario_medio:d6 performance_medio:d6 desligamentos:int "
     "voluntarios:int")
-_MEMBER = "sk_colaborador:int nk_matricula:int cargo senioridade sk_area:int"
+_MEMBER = "sk_colaborador nk_matricula:int cargo senioridade sk_area:int"
 
 COLUMNS: dict[str, Spec] = {name: spec(text) for name, text in {
     "bronze_profile": "column nulls:int",
@@ -20,7 +20,7 @@ COLUMNS: dict[str, Spec] = {name: spec(text) for name, text in {
     "dedup_exact": _PERSON_RAW,
     "dedup_latest": _PERSON_RAW,
     "dedup_first": _PERSON_RAW,
-    "normalize_area": "matricula:int area",
+    "normalize_area": _PERSON_RAW,
     "count_unknown_area": "rows:int",
     "null_out_of_range": "matricula:int engajamento_score_base:d4",
     "impute_engagement": "matricula:int area engajamento_score_base:d4",
@@ -85,9 +85,9 @@ COLUMNS: dict[str, Spec] = {name: spec(text) for name, text in {
         "matricula:int cargo senioridade area valid_from valid_to is_current:flag version:int",
     "dim_employee":
         f"{_MEMBER} genero raca_cor cidade faixa_etaria faixa_salarial data_inicio_vigencia data_fim_vigencia "
-        "e_registro_atual:flag",
+        "e_registro_atual:flag versao:int",
     "fact_departure":
-        "sk_desligamento:int sk_colaborador:int sk_area:int sk_motivo:int sk_data_deslig:int sk_data_admissao:int "
+        "sk_desligamento sk_colaborador sk_area:int sk_motivo:int sk_data_deslig:int sk_data_admissao:int "
         "tempo_casa_dias:int tempo_casa_meses:int salario_na_saida:d2 engajamento_ultimo:d2 performance_ultimo:d2 "
         "custo_estimado_turnover:d2 e_early_turnover:flag e_late_turnover:flag e_top_talent:flag",
     "fact_headcount":
@@ -104,6 +104,11 @@ COLUMNS: dict[str, Spec] = {name: spec(text) for name, text in {
     "attrition_labels": "matricula:int label:d1 tempo_casa_meses_ref:d1",
     "base_rate": "eligible:int leavers:int taxa_attrition_base:d1",
     "risk_band": "matricula:int score:d4 faixa_risco",
+    "rule_risk_by_area": "area headcount:int risco_medio:d3 qtd_alto_risco:int",
+    "rule_top_risk":
+        "matricula:int area cargo senioridade tempo_casa_meses_ref:int engajamento_score_base:d4 "
+        "performance_score:d4 risco_attrition_score:d4",
+    "rule_band_counts": "faixa_risco rows:int",
     "person_bands": "matricula:int faixa_etaria faixa_salarial",
     "retrain_days": "competencia dia",
     "incremental_ingest": _PERSON_RAW + " export_date",

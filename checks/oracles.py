@@ -221,21 +221,21 @@ versions AS (
     row_number() OVER w AS version
   FROM marked WHERE changed WINDOW w AS (PARTITION BY matricula ORDER BY day)),
 employees AS (
-  SELECT matricula * 10000 + version AS sk_colaborador, matricula AS nk_matricula, cargo, senioridade, sk_area, genero,
+  SELECT CAST(matricula AS VARCHAR) || '-' || CAST(version AS VARCHAR) AS sk_colaborador, matricula AS nk_matricula, cargo, senioridade, sk_area, genero,
     raca_cor, cidade,
     CASE WHEN idade BETWEEN 18 AND 24 THEN '18-24' WHEN idade BETWEEN 25 AND 34 THEN '25-34'
       WHEN idade BETWEEN 35 AND 44 THEN '35-44' WHEN idade BETWEEN 45 AND 54 THEN '45-54'
       WHEN idade >= 55 THEN '55+' END AS faixa_etaria,
     CASE WHEN salario_mensal <= 5000 THEN 'Até 5k' WHEN salario_mensal < 10000 THEN '5-10k'
       WHEN salario_mensal < 20000 THEN '10-20k' WHEN salario_mensal >= 20000 THEN '20k+' END AS faixa_salarial,
-    valid_from AS data_inicio_vigencia, valid_to AS data_fim_vigencia, is_current AS e_registro_atual, version
+    valid_from AS data_inicio_vigencia, valid_to AS data_fim_vigencia, is_current AS e_registro_atual, version AS versao
   FROM versions LEFT JOIN dim_area USING (area)),
 tenured AS (
   SELECT *, (year(data_desligamento) - year(data_admissao)) * 12 + month(data_desligamento) - month(data_admissao)
     AS casa FROM silver WHERE data_desligamento IS NOT NULL),
 fact AS (
-  SELECT matricula * 100000 + (data_desligamento - DATE '1970-01-01') AS sk_desligamento,
-    (SELECT min_by(sk_colaborador, version) FROM employees e WHERE e.nk_matricula = t.matricula
+  SELECT CAST(matricula AS VARCHAR) || '-' || CAST(data_desligamento AS VARCHAR) AS sk_desligamento,
+    (SELECT min_by(sk_colaborador, versao) FROM employees e WHERE e.nk_matricula = t.matricula
       AND (e.data_fim_vigencia IS NULL OR e.data_fim_vigencia >= t.data_desligamento)) AS sk_colaborador,
     sk_area, sk_motivo,
     CAST(strftime(data_desligamento, '%Y%m%d') AS BIGINT) AS sk_data_deslig,
@@ -266,6 +266,28 @@ fact_hc AS (
   FROM hc FULL JOIN ins USING (competencia, area, senioridade) FULL JOIN outs USING (competencia, area, senioridade)
     LEFT JOIN op USING (competencia, area, senioridade) LEFT JOIN dim_area USING (area))"""
 
+STAR = f"""{SCD}{FACT_HC.removeprefix(DIMS)},
+days AS (
+  SELECT CAST(strftime(d, '%Y%m%d') AS BIGINT) AS sk_data FROM generate_series(
+    (SELECT least(min(data_admissao), min(data_desligamento)) FROM silver),
+    (SELECT greatest(max(data_admissao), max(data_desligamento)) FROM silver), INTERVAL 1 DAY) AS g(d))"""
+
+
+def _no_parent(name: str, child: str, column: str, parent: str, key: str) -> str:
+    return f"""SELECT '{name}' AS constraint_name, count(DISTINCT {column}) AS violations FROM {child}
+        WHERE {column} NOT IN (SELECT {key} FROM {parent})"""
+
+
+def _not_key(name: str, table: str, columns: str) -> str:
+    return f"""SELECT '{name}' AS constraint_name, count(*) AS violations
+        FROM (SELECT 1 FROM {table} GROUP BY {columns} HAVING count(*) > 1)"""
+
+
+def _nulls(name: str, table: str, columns: str) -> str:
+    found = " + ".join(f"count(*) FILTER ({c} IS NULL)" for c in columns.split())
+    return f"SELECT '{name}' AS constraint_name, {found} AS violations FROM {table}"
+
+
 def _checks(source: str, lines: list[tuple[str, str, str, str]]) -> str:
     """UNION of (check, expression, operator, limit) over one source."""
     sign = {"==": "="}
@@ -333,6 +355,13 @@ labelled AS (
     AND (data_desligamento IS NULL OR data_desligamento > DATE '{LABEL_DATE}'))"""
 
 
+_RULED = f"""{SILVER},
+ruled AS (
+  SELECT *, CASE WHEN score > 0 AND score <= 0.15 THEN 'Baixo' WHEN score > 0.15 AND score <= 0.35 THEN 'Médio'
+    WHEN score > 0.35 AND score <= 1 THEN 'Alto' END AS faixa_risco
+  FROM (SELECT *, round((10 - engajamento_score_base) / 20, 4) AS score FROM silver WHERE status = 'Ativo'))"""
+
+
 def _plan(first: str, base: str) -> str:
     return f"""SELECT strftime(DATE '{first}' + to_months(CAST(i - 1 AS INT)), '%Y-%m') AS competencia, area,
       round(coalesce(b.hc, 50) * pow(1 + 0.045 / 12, i), 0) AS headcount_planejado
@@ -594,20 +623,24 @@ ORACLES: dict[str, tuple[str, str]] = {
         count(*) AS total_desligamentos, avg(custo_estimado_turnover) AS custo_medio_por_desligamento
         FROM fact JOIN dim_area USING (sk_area)
         WHERE sk_data_deslig BETWEEN 20000801 AND {REFERENCE_DATE.replace('-', '')} GROUP BY 1"""),
-    "star_constraints": (SCD, """
-        SELECT 'pk_dim_colaborador' AS constraint_name, count(*) - count(DISTINCT sk_colaborador) AS violations
-        FROM employees
-        UNION ALL SELECT 'pk_fct_desligamento', count(*) - count(DISTINCT sk_desligamento) FROM fact
-        UNION ALL SELECT 'fk_colaborador', count(DISTINCT sk_colaborador) FROM fact
-          WHERE sk_colaborador NOT IN (SELECT sk_colaborador FROM employees)
-        UNION ALL SELECT 'fk_area', count(DISTINCT sk_area) FROM fact
-          WHERE sk_area NOT IN (SELECT sk_area FROM dim_area)
-        UNION ALL SELECT 'fk_motivo', count(DISTINCT sk_motivo) FROM fact
-          WHERE sk_motivo NOT IN (SELECT sk_motivo FROM dim_reason)
-        UNION ALL SELECT 'fk_data_deslig', count(DISTINCT sk_data_deslig) FROM fact
-          WHERE sk_data_deslig NOT IN (SELECT CAST(strftime(d, '%Y%m%d') AS BIGINT) FROM generate_series(
-            (SELECT least(min(data_admissao), min(data_desligamento)) FROM silver),
-            (SELECT greatest(max(data_admissao), max(data_desligamento)) FROM silver), INTERVAL 1 DAY) AS g(d))"""),
+    "star_constraints": (STAR, "\nUNION ALL\n".join([
+        _not_key("pk_dim_colaborador", "employees", "sk_colaborador"),
+        _not_key("pk_fct_desligamento", "fact", "sk_desligamento"),
+        _no_parent("fk_colaborador", "fact", "sk_colaborador", "employees", "sk_colaborador"),
+        _no_parent("fk_area", "fact", "sk_area", "dim_area", "sk_area"),
+        _no_parent("fk_motivo", "fact", "sk_motivo", "dim_reason", "sk_motivo"),
+        _no_parent("fk_data_deslig", "fact", "sk_data_deslig", "days", "sk_data"),
+        _no_parent("fk_data_admissao", "fact", "sk_data_admissao", "days", "sk_data"),
+        _no_parent("fk_colaborador_area", "employees", "sk_area", "dim_area", "sk_area"),
+        _no_parent("fk_headcount_area", "fact_hc", "sk_area", "dim_area", "sk_area"),
+        _not_key("pk_dim_data", "days", "sk_data"),
+        _not_key("pk_dim_area", "dim_area", "sk_area"),
+        _not_key("pk_dim_motivo", "dim_reason", "sk_motivo"),
+        _not_key("pk_fct_headcount", "fact_hc", "competencia, sk_area, senioridade"),
+        _nulls("not_null_dim_colaborador", "employees", "nk_matricula sk_area data_inicio_vigencia"),
+        _nulls("not_null_fct_desligamento", "fact",
+               "sk_colaborador sk_area sk_motivo sk_data_deslig sk_data_admissao"),
+        _nulls("not_null_fct_headcount", "fact_hc", "sk_area competencia senioridade headcount")])),
     "funnel": (FUNNEL, f"SELECT *, {_RATES} FROM counted"),
     "attrition_labels": (_LABELS, "SELECT * FROM labelled"),
     "base_rate": (_LABELS, """SELECT count(*) AS eligible, sum(label) AS leavers,
@@ -615,6 +648,12 @@ ORACLES: dict[str, tuple[str, str]] = {
     "risk_band": (SILVER, """SELECT *, CASE WHEN score > 0 AND score <= 0.15 THEN 'Baixo'
         WHEN score > 0.15 AND score <= 0.35 THEN 'Médio' WHEN score > 0.35 AND score <= 1 THEN 'Alto' END AS faixa_risco
         FROM (SELECT matricula, round((10 - engajamento_score_base) / 20, 4) AS score FROM silver)"""),
+    "rule_risk_by_area": (_RULED, """SELECT area, count(*) AS headcount,
+        round(CAST(sum(CAST(score AS DECIMAL(18,12))) AS DOUBLE) / count(score), 3) AS risco_medio,
+        count(*) FILTER (faixa_risco = 'Alto') AS qtd_alto_risco FROM ruled GROUP BY 1"""),
+    "rule_top_risk": (_RULED, """SELECT *, score AS risco_attrition_score, tempo_casa_meses AS tempo_casa_meses_ref
+        FROM ruled ORDER BY score DESC, matricula LIMIT 20"""),
+    "rule_band_counts": (_RULED, "SELECT faixa_risco, count(*) AS rows FROM ruled GROUP BY 1"),
     "person_bands": (SILVER, """SELECT matricula,
         CASE WHEN idade BETWEEN 18 AND 24 THEN '18-24' WHEN idade BETWEEN 25 AND 34 THEN '25-34'
           WHEN idade BETWEEN 35 AND 44 THEN '35-44' WHEN idade BETWEEN 45 AND 54 THEN '45-54'

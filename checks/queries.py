@@ -211,6 +211,10 @@ def _star_constraints(t: Tables) -> DataFrame:
     def violations(name: str, found: DataFrame) -> DataFrame:
         return found.agg(F.lit(name).alias("constraint_name"), F.count(F.lit(1)).alias("violations"))
 
+    def nulls(name: str, df: DataFrame) -> DataFrame:
+        return quality.check_not_null(df, df.columns).agg(
+            F.lit(name).alias("constraint_name"), F.sum("nulls").alias("violations"))
+
     parts = [
         violations("pk_dim_colaborador", quality.check_pk(t.employees, ["sk_colaborador"])),
         violations("pk_fct_desligamento", quality.check_pk(fact, ["sk_desligamento"])),
@@ -218,6 +222,18 @@ def _star_constraints(t: Tables) -> DataFrame:
         violations("fk_area", quality.check_fk(fact, "sk_area", t.areas, "sk_area")),
         violations("fk_motivo", quality.check_fk(fact, "sk_motivo", t.reasons, "sk_motivo")),
         violations("fk_data_deslig", quality.check_fk(fact, "sk_data_deslig", dates, "sk_data")),
+        violations("fk_data_admissao", quality.check_fk(fact, "sk_data_admissao", dates, "sk_data")),
+        violations("fk_colaborador_area", quality.check_fk(t.employees, "sk_area", t.areas, "sk_area")),
+        violations("fk_headcount_area", quality.check_fk(t.headcount, "sk_area", t.areas, "sk_area")),
+        violations("pk_dim_data", quality.check_pk(dates, ["sk_data"])),
+        violations("pk_dim_area", quality.check_pk(t.areas, ["sk_area"])),
+        violations("pk_dim_motivo", quality.check_pk(t.reasons, ["sk_motivo"])),
+        violations("pk_fct_headcount", quality.check_pk(t.headcount, ["sk_headcount"])),
+        *[nulls(f"not_null_{name}", df) for name, df in (
+            ("dim_colaborador", t.employees.select("nk_matricula", "sk_area", "data_inicio_vigencia")),
+            ("fct_desligamento", fact.select("sk_colaborador", "sk_area", "sk_motivo", "sk_data_deslig",
+                                             "sk_data_admissao")),
+            ("fct_headcount", t.headcount.select("sk_area", "competencia", "senioridade", "headcount")))],
     ]
     result = parts[0]
     for part in parts[1:]:
@@ -237,6 +253,14 @@ def _risk_band(t: Tables) -> DataFrame:
     return t.silver.select(KEY, score.alias("score"), risk_band(score).alias("faixa_risco"))
 
 
+def _rule_scores(t: Tables) -> DataFrame:
+    """Active people with a score that follows from engagement alone, shaped as the model's scores are."""
+    score = F.round((10 - F.col(ENGAGEMENT)) / 20, 4)
+    return t.silver.where(F.col("status") == ACTIVE).withColumns({
+        "risco_attrition_score": score, "faixa_risco": risk_band(score),
+        "tempo_casa_meses_ref": F.col("tempo_casa_meses")})
+
+
 def _person_bands(t: Tables) -> DataFrame:
     return t.silver.select(
         KEY, age_band(F.col("idade")).alias("faixa_etaria"), salary_band(F.col(SALARY)).alias("faixa_salarial"))
@@ -408,6 +432,9 @@ QUERIES: dict[str, Query] = {
     "attrition_labels": lambda t: t.labelled,
     "base_rate": lambda t: model.base_rate(t.labelled),
     "risk_band": _risk_band,
+    "rule_risk_by_area": lambda t: kpis.risk_by_area(_rule_scores(t)),
+    "rule_top_risk": lambda t: kpis.top_risk(_rule_scores(t)),
+    "rule_band_counts": lambda t: quality.value_counts(_rule_scores(t), "faixa_risco"),
     "person_bands": _person_bands,
     "retrain_days": _retrain_days,
     "csv_roundtrip": _csv_roundtrip,

@@ -1,7 +1,7 @@
 """Star schema: dimensions, facts, reporting views.
 
-Surrogate keys are computed from natural keys. Where the natural key is numeric the surrogate is plain arithmetic on
-it, which never collides; a 64-bit hash would, at some billions of rows.
+Surrogate keys of people and departures are both parts of the natural key as text, key-version and key-date, so no
+number of versions and no date makes two of them equal.
 """
 
 from __future__ import annotations
@@ -24,7 +24,6 @@ from rollcall.operators.series import (
     MEASURES, cell_mean, enps, headcount_cells, monthly_turnover, spine_bounds)
 from rollcall.schema import END, ENGAGEMENT, KEY, PERFORMANCE, REASON, SALARY, START
 
-VERSIONS_PER_KEY = 10000
 TRACKED = ("cargo", "senioridade", "area")
 
 
@@ -33,6 +32,11 @@ def date_key(date: Column) -> Column:
     return F.year(date) * 10000 + F.month(date) * 100 + F.dayofmonth(date)
 
 
+def _joined_key(first: str, second: str) -> Column:
+    """Both parts as text; NULL if one is."""
+    return F.concat(F.col(first).cast("string"), F.lit("-"), F.col(second).cast("string"))
+
+
 def _name(names: Sequence[str], index: Column) -> Column:
     return F.element_at(F.array(*map(F.lit, names)), index)
 
@@ -111,7 +115,7 @@ def dim_employee(snapshots: DataFrame, areas: DataFrame, date: str = "snapshot_d
     """Employee dimension, type 2 on position, seniority and area."""
     versions = scd2(snapshots, [KEY], date, TRACKED, unique)
     return versions.join(areas.select("sk_area", "area"), "area", "left").select(
-        (F.col(KEY) * VERSIONS_PER_KEY + F.col("version")).alias("sk_colaborador"),
+        _joined_key(KEY, "version").alias("sk_colaborador"),
         F.col(KEY).alias("nk_matricula"),
         "cargo", "senioridade", "sk_area", "genero", "raca_cor", "cidade",
         age_band(F.col("idade")).alias("faixa_etaria"),
@@ -128,7 +132,8 @@ def turnover_cost(salary: Column, factor: float = TURNOVER_COST_FACTOR) -> Colum
 
 
 def fact_departure(silver: DataFrame, employees: DataFrame, areas: DataFrame, reasons: DataFrame) -> DataFrame:
-    """One row per departure, tied to the employee version valid on that day (the first version if earlier)."""
+    """One row per departure, tied to the employee version valid on that day (the first version if earlier). Measures
+    are wider than a warehouse would declare them, so that one value out of range does not end the load."""
     gone = silver.where(F.col(END).isNotNull())
     version = employees.select(
         F.col("nk_matricula").alias(KEY), "sk_colaborador", "data_inicio_vigencia", "data_fim_vigencia", "versao")
@@ -145,17 +150,17 @@ def fact_departure(silver: DataFrame, employees: DataFrame, areas: DataFrame, re
     months = months_between_calendar(F.col(START), F.col(END))
     star = (performance_box(F.col(PERFORMANCE)) == 3) & (potential_box(F.col(ENGAGEMENT), months) == 3)
     return joined.select(
-        # One departure per person, so person and day identify it. 100,000 days reach beyond the year 2240.
-        (F.col(KEY) * 100000 + F.datediff(F.col(END), F.lit("1970-01-01").cast("date"))).alias("sk_desligamento"),
+        # One departure per person, so person and day identify it.
+        _joined_key(KEY, END).alias("sk_desligamento"),
         "sk_colaborador", "sk_area", "sk_motivo",
         date_key(F.col(END)).cast("int").alias("sk_data_deslig"),
         date_key(F.col(START)).cast("int").alias("sk_data_admissao"),
         F.datediff(F.col(END), F.col(START)).alias("tempo_casa_dias"),
         months.cast("int").alias("tempo_casa_meses"),
-        F.col(SALARY).cast("decimal(10,2)").alias("salario_na_saida"),
-        F.col(ENGAGEMENT).cast("decimal(4,2)").alias("engajamento_ultimo"),
-        F.col(PERFORMANCE).cast("decimal(3,2)").alias("performance_ultimo"),
-        turnover_cost(F.col(SALARY)).cast("decimal(12,2)").alias("custo_estimado_turnover"),
+        F.col(SALARY).cast("decimal(18,2)").alias("salario_na_saida"),
+        F.col(ENGAGEMENT).cast("decimal(18,2)").alias("engajamento_ultimo"),
+        F.col(PERFORMANCE).cast("decimal(18,2)").alias("performance_ultimo"),
+        turnover_cost(F.col(SALARY)).cast("decimal(28,2)").alias("custo_estimado_turnover"),
         (months < 6).alias("e_early_turnover"),
         (months > 48).alias("e_late_turnover"),
         star.alias("e_top_talent"),
@@ -174,9 +179,9 @@ def fact_headcount(silver: DataFrame, areas: DataFrame, start: str | dt.date, en
         F.col("desligamentos_voluntarios").alias("desligamentos_vol"),
         monthly_turnover(F.col("desligamentos"), F.col("opening")).cast("decimal(12,2)")
         .alias("turnover_mensal_pct"),
-        F.round(cell_mean(ENGAGEMENT), 2).cast("decimal(4,2)").alias("engajamento_medio"),
+        F.round(cell_mean(ENGAGEMENT), 2).cast("decimal(18,2)").alias("engajamento_medio"),
         F.round(cell_mean(SALARY), 2).cast("decimal(18,2)").alias("salario_medio"),
-        F.round(cell_mean(PERFORMANCE), 2).cast("decimal(4,2)").alias("performance_medio"),
+        F.round(cell_mean(PERFORMANCE), 2).cast("decimal(18,2)").alias("performance_medio"),
         enps(F.year("month")).cast("decimal(5,1)").alias("enps"),
         F.when(F.col("headcount") > 0, F.col(f"sum_{SALARY}")).cast("decimal(28,2)").alias("custo_folha"),
     )
