@@ -50,13 +50,25 @@ def test_departure_meets_the_version_of_its_day(spark, people):
     employees = warehouse.dim_employee(snaps, areas)
     fact = warehouse.fact_departure(table, employees, areas, reasons)
     assert rows(fact, "sk_colaborador", "sk_area", "sk_motivo", "sk_data_deslig", "tempo_casa_dias") == [
-        (10001, 7, 8, 20200229, 45), (20002, 7, 8, 20200301, 46), (30001, 7, None, 20200120, 5)]
+        ("1-1", 7, 8, 20200229, 45), ("2-2", 7, 8, 20200301, 46), ("3-1", 7, None, 20200120, 5)]
     assert float(fact.first()["custo_estimado_turnover"]) == 7500.0
     costs = warehouse.turnover_cost_ltm(fact, warehouse.dim_date(spark, "2020-01-01", "2020-12-31"), areas, "2020-02-29")
     assert [(r["area"], r["total_desligamentos"], float(r["custo_total_turnover"])) for r in costs.collect()] == [
         ("RH", 2, 15000.0)]
 
 
+def test_departures_of_any_date_and_value_have_keys_of_their_own(spark, people):
+    left = {"status": "Desligado", "data_admissao": "1960-01-01", "performance_score": 10.0, "salario_mensal": 90000.0}
+    table = repair.parse_dates(people(
+        {"matricula": 101, "data_desligamento": "1969-12-31", **left},
+        {"matricula": 100, "data_desligamento": "2243-10-16", **left}))
+    areas, reasons = warehouse.dim_area(spark), warehouse.dim_reason(spark)
+    employees = warehouse.dim_employee(table.withColumn("snapshot_date", F.lit(dt.date(2020, 1, 1))), areas)
+    fact = warehouse.fact_departure(table, employees, areas, reasons)
+    assert rows(fact, "sk_desligamento", F.col("performance_ultimo").cast("double")) == [
+        ("100-2243-10-16", 10.0), ("101-1969-12-31", 10.0)]
+
+
 def test_calendar(spark):
     got = {r["sk_data"]: r for r in warehouse.dim_date(spark, "2023-12-30", "2024-01-01").collect()}
     day = got[20231231]
