@@ -333,7 +333,8 @@ def _export_document(t: Tables) -> DataFrame:
         "log_qualidade": quality_log(t.staged),
     }
     kept = {name: t.store.keep(table, name) for name, table in gold.items()}
-    return export.full_document(export.export_document(kept))
+    order = {"causa_raiz_ranking": [-F.col("total_desligamentos")], "risco_por_area": [-F.col("risco_medio")]}
+    return export.full_document(export.export_document(kept, order=order))
 
 
 def _attach_departures(t: Tables) -> DataFrame:

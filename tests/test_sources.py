@@ -108,6 +108,12 @@ def test_export_document(spark, people):
         export.export_document(tables, most=1)
 
 
+def test_sections_keep_their_order_and_null_fields(spark):
+    causes = spark.createDataFrame([("a", 1), ("b", 3), ("c", None), ("d", 3)], "cause string, n long")
+    got = export.export_document({"causes": causes}, order={"causes": [-F.col("n")]}).first()["document"]
+    assert [(r["cause"], r["n"]) for r in json.loads(got)] == [("c", None), ("b", 3), ("d", 3), ("a", 1)]
+
+
 def test_export_tables(spark, tmp_path):
     export.export_tables({"a": spark.range(3), "b": spark.range(0)}, str(tmp_path))
     assert spark.read.json(str(tmp_path / "a")).count() == 3
