@@ -8,9 +8,10 @@
    is dropped once the posterior chance that its similarity reaches the threshold falls below MISS, given the matches
    so far and a uniform prior. Survivors are verified on their full sets. Components of the links come next.
 4. A bucket of three or more that still holds different components is compared whole, in blocks: block pairs are rows
-   of their own, a block holds at most BLOCK classes, pairs of one component are skipped, the others go through the
-   same two tests. Blocks are sorted by set size, and block pairs whose sizes rule out a link are not made. So no
-   bucket is cut, and only links that tie components together leave a task.
+   of their own, a block holds about BLOCK classes, pairs of one component are skipped, the others go through the same
+   two tests. Blocks are sorted by set size, and block pairs whose sizes rule out a link are not made; nor are those
+   inside the bucket's largest component. So no bucket is cut, and only links that tie components together leave a
+   task.
 
 Defined cases: a null text, or one without words, has an empty set and is linked with nothing, not even with another
 such text. Repeated rows and rows that share a doc_id are rows of their own; equal sets are linked. A null doc_id comes
@@ -185,7 +186,7 @@ def _with(pairs: DataFrame, data: DataFrame, key: str, name: str) -> DataFrame:
 def _block_links(percent: int, n: int):
     """Links of one block pair that tie different components together."""
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        _, _, level_a, part_a, level_b, part_b = key
+        _, _, cell_a, part_a, cell_b, part_b = key
         names, labels = list(rows["class"]), list(rows["label"])
         sides = rows["side"].to_numpy()
         signatures = _matrix(rows["signature"], n)
@@ -199,7 +200,7 @@ def _block_links(percent: int, n: int):
             return x
 
         links = []
-        within = (level_a, part_a) == (level_b, part_b)
+        within = (cell_a, part_a) == (cell_b, part_b)
         rights = np.arange(len(names)) if within else np.flatnonzero(sides == 1)
         for i in np.flatnonzero(sides == 0):
             others = rights[rights > i] if within else rights
@@ -230,40 +231,53 @@ def _unresolved(members: DataFrame, labels: DataFrame, store: Store) -> DataFram
 
 
 def _blocks(open_members: DataFrame, sizes: DataFrame, percent: int, store: Store) -> DataFrame:
-    """One row per member and block pair that it belongs to: band, bucket, la, pa, lb, pb, side, class, label.
+    """One row per member and block pair that it belongs to: band, bucket, ca, pa, cb, pb, side, class, label.
 
     A bucket of up to BLOCK members is one block. In a larger one a member's level is the logarithm of its set's size,
-    in steps that the threshold allows a link to span, and its part is a hash. A block, (level, part), meets every
-    block of its own and of the next level.
+    in steps that the threshold allows a link to span. Its cell is twice the level, and one more if it is of the
+    bucket's largest component; its part is a hash, of as many parts as the cell has times BLOCK members. A block,
+    (cell, part), meets every block of its own and of the next level, unless both are of the largest component.
     """
     step = -float(np.log(percent / 100)) * 1.001  # wider than a link can be, whatever the rounding
     ranked = store.keep(open_members.join(sizes, "class"), "ranked")
-    span = ranked.groupBy("band", "bucket").agg(F.min("n_shingles").alias("least"), F.max("n_shingles").alias("most"))
+    span = (ranked.where(F.col("size") > BLOCK).groupBy("band", "bucket", "label")
+            .agg(F.count(F.lit(1)).alias("n"), F.min("n_shingles").alias("least"))
+            .groupBy("band", "bucket").agg(F.min("least").alias("least"), F.max(F.struct("n", "label")).alias("most"))
+            .select("band", "bucket", "least", F.col("most.label").alias("main")))
     span = store.keep(span, "span")  # read anew, so that the join may split a bucket with very many members
+    level = F.floor(F.log(F.col("n_shingles") / F.col("least")) / step)
+    cell = F.when(F.col("least").isNull(), 0).otherwise(2 * level + (F.col("label") == F.col("main")).cast("int"))
+    celled = store.keep(ranked.join(span, ["band", "bucket"], "left").select(
+        "band", "bucket", "class", "label", cell.cast("int").alias("cell")), "celled")
+    # a bucket has few cells, as many as its sizes span steps
+    counts = (celled.groupBy("band", "bucket", "cell").agg(F.count(F.lit(1)).alias("n")).groupBy("band", "bucket")
+              .agg(F.map_from_entries(F.collect_list(F.struct("cell", "n"))).alias("counts")))
+    celled = celled.join(store.keep(counts, "counts"), ["band", "bucket"])
 
-    def level(of: str) -> Column:
-        return F.when(F.col("size") <= BLOCK, 0).otherwise(
-            F.floor(F.log(F.col(of) / F.col("least")) / step)).cast("int")
+    def parts(of: Column) -> Column:
+        return F.ceil(F.coalesce(F.try_element_at("counts", of), F.lit(0)) / BLOCK).cast("int")
 
-    parts = F.ceil(F.col("size") / BLOCK).cast("int")
-    ranked = ranked.join(span, ["band", "bucket"]).select(
-        "band", "bucket", "class", "label", level("n_shingles").alias("level"), level("most").alias("last"),
-        parts.alias("parts"), F.pmod(F.xxhash64("class"), parts).cast("int").alias("own"))
+    def met(other: Column, row) -> Column:
+        n = parts(other)
+        every = F.transform(F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1), lambda q: F.struct(
+            *[c.alias(name) for name, c in zip(("ca", "pa", "cb", "pb", "side"), row(q))]))
+        return F.slice(every, 1, n)
 
-    def pairs(la, pa, lb, pb, side) -> Column:
-        return F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda p: F.struct(
-            la.alias("la"), pa(p).alias("pa"), lb.alias("lb"), pb(p).alias("pb"), side(p).alias("side")))
+    here, own = F.col("cell"), F.col("own")
+    inside = met(here, lambda q: (here, F.least(own, q), here, F.greatest(own, q),
+                                  F.when(own <= q, 0).otherwise(1)))
 
-    own, here = F.col("own"), F.col("level")
-    same = pairs(here, lambda p: F.least(own, p), here, lambda p: F.greatest(own, p),
-                 lambda p: F.when(own <= p, 0).otherwise(1))
-    after = pairs(here, lambda p: own, here + 1, lambda p: p, lambda p: F.lit(0))
-    before = pairs(here - 1, lambda p: p, here, lambda p: own, lambda p: F.lit(1))
-    none = F.slice(same, 1, 0)
-    met = F.concat(same, F.when(here < F.col("last"), after).otherwise(none),
-                   F.when(here > 0, before).otherwise(none))
-    return ranked.select("band", "bucket", "class", "label", F.explode(met).alias("e")).select(
-        "band", "bucket", "class", "label", "e.*")
+    def after(k: int) -> Column:
+        return met(here + k, lambda q: (here, own, here + k, q, F.lit(0)))
+
+    def before(k: int) -> Column:
+        return met(here - k, lambda q: (here - k, q, here, own, F.lit(1)))
+
+    pairs = F.when(here % 2 == 0, F.concat(inside, after(1), after(2), after(3), before(2), before(1))).otherwise(
+        F.concat(before(1), after(1), before(3)))
+    return (celled.withColumn("own", F.pmod(F.xxhash64("class"), parts(here)).cast("int"))
+            .select("band", "bucket", "class", "label", F.explode(pairs).alias("e"))
+            .select("band", "bucket", "class", "label", "e.*"))
 
 
 def link_classes(docs: DataFrame, classes: DataFrame, width: int, percent: int, n: int, store: Store) -> DataFrame:
@@ -274,20 +288,21 @@ def link_classes(docs: DataFrame, classes: DataFrame, width: int, percent: int,
                .agg(F.count(F.lit(1)).alias("size"), F.min("class").alias("first")).where("size > 1"))
     members = store.keep(banded.join(buckets, ["band", "bucket"]), "members")
 
-    # the first classes of buckets are few against the members, but one may stand against very many of them
-    pairs = (members.where(F.col("class") != F.col("first"))
-             .select(F.col("first").alias("a"), F.col("class").alias("b")).distinct())
-    near = map_columns(_with(_with(pairs, classes, "a", "sa"), classes, "b", "sb").select("a", "b", "sa", "sb"),
-                       "a binary, b binary", _prune(percent, n))
-    near = store.keep(near, "near")
-
     several = members.select("class").distinct()
     wanted = (several.join(classes.select("class", "first_id"), "class").select(F.col("first_id").alias("doc_id")))
     wanted = store.keep(wanted.distinct(), "wanted").withColumnRenamed("doc_id", "_id")
     texts = docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
     sets = (sketched(texts, width, n, sets=True).where("class IS NOT NULL").select("class", "data")
             .join(several, "class", "left_semi").dropDuplicates(["class"]))
-    sets = store.keep(sets, "sets")
+    # with the signatures, so that blocks meet both in one join
+    sets = store.keep(sets.join(classes.select("class", F.col("data").alias("signature")), "class"), "sets")
+
+    # the first classes of buckets are few against the members, but one may stand against very many of them
+    pairs = (members.where(F.col("class") != F.col("first"))
+             .select(F.col("first").alias("a"), F.col("class").alias("b")).distinct())
+    near = map_columns(_with(_with(pairs, classes, "a", "sa"), classes, "b", "sb").select("a", "b", "sa", "sb"),
+                       "a binary, b binary", _prune(percent, n))
+    near = store.keep(near, "near")
     checked = map_columns(_with(_with(near, sets, "a", "xa"), sets, "b", "xb").select("a", "b", "xa", "xb"),
                           "a binary, b binary", _verify(percent))
     links = store.keep(checked, "links")
@@ -297,9 +312,8 @@ def link_classes(docs: DataFrame, classes: DataFrame, width: int, percent: int,
     if open_members.isEmpty():
         return links
     blocks = _blocks(open_members, classes.select("class", "n_shingles"), percent, store)
-    blocks = (blocks.join(classes.select("class", F.col("data").alias("signature")), "class")
-              .join(sets.withColumnRenamed("data", "shingles"), "class"))
-    more = blocks.groupBy("band", "bucket", "la", "pa", "lb", "pb").applyInPandas(
+    blocks = blocks.join(sets.withColumnRenamed("data", "shingles"), "class")
+    more = blocks.groupBy("band", "bucket", "ca", "pa", "cb", "pb").applyInPandas(
         _block_links(percent, n), "a binary, b binary")
     return links.union(store.keep(more, "more_links"))
 
