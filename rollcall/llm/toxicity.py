@@ -4,8 +4,8 @@ Every labelled text that names a group gets a twin in which each group's name is
 loss, training penalises the squared difference between the scores of a text and its twin, so that a name by itself
 moves the score little and neutral mentions are not taken for toxicity.
 
-Features are presences in the whole text: its words, and their 4- and 5-grams with the word's borders. Those with the
-strongest association to the label (chi-squared, counted by Spark over the training texts) are kept, at most MOST_KEPT.
+Features are presences in the whole text: its words, and their 4- and 5-grams with the word's borders, however long a
+word is; text without ASCII spaces or punctuation is one word. Those with the strongest association to the label (chi-squared, counted by Spark over the training texts) are kept, at most MOST_KEPT.
 The training texts are a bounded sample: at most SAMPLE of each label, those with the smallest hashes of doc_id.
 
 Defined cases: a null or empty text has no features and gets the score of the bias, which is low. Rows with a null or
@@ -18,17 +18,22 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
-from rollcall.llm.common import TEXT_BYTES, Memo, map_columns, store_of
+from rollcall.llm.common import TEXT_BYTES, Memo, map_columns, session_of, store_of
 
 #: Rows of each label to learn from; features kept; documents a kept feature must occur in, and its chi-squared.
 SAMPLE, MOST_KEPT, LEAST_TEXTS, LEAST_CHI = 4000, 4096, 5, 15.0
 GRAMS = (4, 5)
-LONGEST_WORD = 40
+#: Features that a task counts before it passes the counts on.
+MOST_COUNTED = 500_000
 #: Weight of the counterfactual penalty and of the squared weights.
 COUNTERFACTUAL, RIDGE, STEPS = 1.0, 1e-4, 400
 #: Names that are swapped within their row, each for the next.
@@ -49,10 +54,18 @@ def words_of(text: bytes) -> set[bytes]:
     return set(text.translate(_WORD_BYTES).split())
 
 
-def features_of(word: bytes) -> set[str]:
-    text = word.decode()[:LONGEST_WORD] if len(word) > 4 * LONGEST_WORD else word.decode()
+def walk(word: bytes) -> Iterator[str]:
+    """The features of a word, one after the other; some come repeatedly."""
+    text = word.decode()
     marked = f"^{text}$"
-    return {f"={text}"} | {marked[i:i + n] for n in GRAMS for i in range(len(marked) - n + 1)}
+    yield f"={text}"
+    for n in GRAMS:
+        for i in range(len(marked) - n + 1):
+            yield marked[i:i + n]
+
+
+def features_of(word: bytes) -> set[str]:
+    return set(walk(word))
 
 
 def swaps(groups=GROUPS) -> dict[bytes, bytes]:
@@ -76,20 +89,30 @@ def sampled(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
 
 
 def associations(texts: DataFrame) -> DataFrame:
-    """feature, pos, neg: training texts of each label that hold it. Counted per batch before they are shuffled."""
-    def make():
-        cache = Memo(features_of)
+    """feature, pos, neg: training texts of each label that hold it. Counted per task before they are shuffled; a task
+    whose texts hold very many features passes its counts on in parts."""
+    schema = "feature string, pos long, neg long"
+    arrow = to_arrow_schema(StructType.fromDDL(schema))
+    session_of(texts)
 
-        def work(c):
-            counts = [Counter(), Counter()]
-            for label, body in zip(c["toxic"], c["body"]):
-                counts[label].update(set().union(*map(cache.__getitem__, words_of(body))))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache, counts = Memo(features_of), [Counter(), Counter()]
+
+        def counted() -> pa.RecordBatch:
             names = list(counts[0].keys() | counts[1].keys())
-            return {"feature": names, "pos": [counts[1][n] for n in names], "neg": [counts[0][n] for n in names]}
-        return work
+            columns = {"feature": names, "pos": [counts[1][n] for n in names], "neg": [counts[0][n] for n in names]}
+            for each in counts:
+                each.clear()
+            return pa.RecordBatch.from_pydict(columns, schema=arrow)
+
+        for batch in batches:
+            for label, body in zip(batch["toxic"].to_pylist(), batch["body"].to_pylist()):
+                counts[label].update(set().union(*map(cache.__getitem__, words_of(body))))
+                if len(counts[0]) + len(counts[1]) > MOST_COUNTED:
+                    yield counted()
+        yield counted()
 
-    return map_columns(texts, "feature string, pos long, neg long", make).groupBy("feature").agg(
-        F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    return texts.mapInArrow(run, schema).groupBy("feature").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
 
 
 def select_features(texts: DataFrame, most: int, least_texts: int, least_chi: float) -> list[str]:
@@ -110,7 +133,7 @@ class Presence:
 
     def __init__(self, features: list[str]):
         number = {f: i for i, f in enumerate(features)}
-        self.cache = Memo(lambda w: tuple(number[f] for f in features_of(w) if f in number))
+        self.cache = Memo(lambda w: tuple({number[f] for f in walk(w) if f in number}))
 
     def __call__(self, words: set[bytes]) -> set[int]:
         return set().union(*map(self.cache.__getitem__, words))

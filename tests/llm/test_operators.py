@@ -182,6 +182,25 @@ def test_counterfactuals_spare_neutral_mentions(spark):
     assert wrong[4.0] < wrong[0.0] - 0.2 and found[4.0] >= 390
 
 
+def test_toxic_terms_late_in_an_unspaced_run_count(spark, monkeypatch):
+    """Text without ASCII spaces is one word, and read to its end; counts passed on in parts are the same."""
+    draw = random.Random(7)
+
+    def run(*extra):
+        return "".join(chr(draw.randint(0x4E00, 0x4EFF)) for _ in range(200)) + "".join(extra) + "\u3002"
+
+    rows = [(i, run("\u5783\u573e\u4eba\u6e23"), 1) for i in range(100)] + [(1000 + i, run(), 0) for i in range(100)]
+    docs = spark.createDataFrame([(i, t, "zh", "a", 0) for i, t, _ in rows], SCHEMA)
+    labels = spark.createDataFrame([(i, 1, y) for i, _, y in rows], "doc_id long, quality int, toxic int")
+    scored = {r.doc_id: r.predicted for r in toxicity.score_documents(docs, labels).collect()}
+    assert all(scored[i] == y for i, _, y in rows)
+    texts = docs.join(labels, "doc_id").select("toxic", F.expr(common.TEXT_BYTES).alias("body")).coalesce(1)
+    whole = table(toxicity.associations(texts), "feature", "pos", "neg")
+    assert ("\u5783\u573e\u4eba\u6e23", 100, 0) in whole
+    monkeypatch.setattr(toxicity, "MOST_COUNTED", 1000)
+    assert table(toxicity.associations(texts), "feature", "pos", "neg") == whole
+
+
 # --- licences
 
 @pytest.mark.parametrize("expression, value", [
