@@ -1,8 +1,10 @@
 """URL filters by association rules. DataFrame operations and Spark's FP-growth only.
 
-Labelled pages are transactions of URL tokens and a label. FP-growth mines the frequent combinations; rules of a few
-tokens that imply a bad label with enough confidence and support block the URLs that hold all their tokens. Rules are
-matched through an inverted index from token to rule. Given rules by host and path come first.
+Labelled pages are transactions of URL tokens and a label. FP-growth mines the frequent combinations; rules of any
+number of tokens that imply a bad label with enough confidence and support block the URLs that hold all their tokens.
+A rule is left out if one with a token less has at least its confidence, which changes neither a verdict nor the highest
+confidence. Rules are matched through an inverted index from each rule's rarest token. Given rules by host and path come
+first.
 
 Defined cases: a null url, or one without "://", has an empty host and path and no tokens; no mined rule blocks it. A
 page without a label is no transaction; one with several labels counts once per label. Repeated rows are judged
@@ -24,8 +26,6 @@ GIVEN = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com"
          ("org", "/fr/", "allow"))
 #: Share and number of labelled pages that a combination must reach, and share of bad ones among those it matches.
 LEAST_SUPPORT, LEAST_PAGES, LEAST_CONFIDENCE = 0.002, 20, 0.6
-#: Tokens a rule may combine.
-MOST_TOKENS = 2
 BAD = "=bad"
 
 
@@ -62,7 +62,7 @@ def url_tokens(url: Column, host: Column, path: Column) -> Column:
 
 
 def mine_rules(tokens: DataFrame, least_support: float = LEAST_SUPPORT, least_pages: int = LEAST_PAGES,
-               least_confidence: float = LEAST_CONFIDENCE, most_tokens: int = MOST_TOKENS) -> DataFrame:
+               least_confidence: float = LEAST_CONFIDENCE) -> DataFrame:
     """rule (number), tokens, confidence, support. Takes the columns tokens (distinct strings) and bad (boolean)."""
     items = tokens.select(F.when(F.col("bad"), F.concat("tokens", F.array(F.lit(BAD)))).otherwise(F.col("tokens"))
                           .alias("items"))
@@ -72,21 +72,34 @@ def mine_rules(tokens: DataFrame, least_support: float = LEAST_SUPPORT, least_pa
             [], StructType.fromDDL("tokens array<string>, confidence double, support double, rule long"))
     support = max(least_support, least_pages / n)
     model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=least_confidence).fit(items)
-    return (model.associationRules.where((F.size("antecedent") <= most_tokens)
-                                         & (F.get("consequent", F.lit(0)) == BAD))
-            .select(F.array_sort("antecedent").alias("tokens"), "confidence", "support")
-            .withColumn("rule", F.monotonically_increasing_id()))
+    mined = store_of(tokens, "url_rules").keep(
+        model.associationRules.where(F.get("consequent", F.lit(0)) == BAD)
+        .select(F.array_sort("antecedent").alias("tokens"), "confidence", "support"), "mined")
+    return without_implied(mined).withColumn("rule", F.monotonically_increasing_id())
+
+
+def without_implied(mined: DataFrame) -> DataFrame:
+    """The rules but those of which one with a token less has at least their confidence. Tokens are sorted."""
+    fewer = F.transform("tokens", lambda t: F.array_except("tokens", F.array(t)))
+    implied = (mined.select("tokens", "confidence", F.explode(fewer).alias("_fewer"))
+               .join(mined.select(F.col("tokens").alias("_fewer"), F.col("confidence").alias("_confidence")), "_fewer")
+               .where("_confidence >= confidence").select("tokens").distinct())
+    return mined.join(implied, "tokens", "left_anti")
 
 
 def matches(token_sets: DataFrame, rules: DataFrame) -> DataFrame:
     """The token sets that hold all tokens of a rule, with the highest confidence among those rules.
 
-    The index has one row per token and rule. Token sets are distinct, so a host with most pages is one row here.
+    The index has one row per rule, under that of its tokens which the fewest token sets hold. Token sets are distinct,
+    so a host with most pages is one row here.
     """
-    index = rules.select("rule", "confidence", F.size("tokens").alias("needed"), F.explode("tokens").alias("token"))
     tokens = token_sets.select("tokens", F.explode("tokens").alias("token"))
-    return (tokens.join(index, "token").groupBy("tokens", "rule", "needed", "confidence")
-            .agg(F.count(F.lit(1)).alias("found")).where("found = needed")
+    needed = rules.select("rule", "confidence", F.col("tokens").alias("needed"), F.explode("tokens").alias("token"))
+    holders = tokens.join(needed.select("token").distinct(), "token").groupBy("token").agg(
+        F.count(F.lit(1)).alias("sets"))
+    index = needed.join(holders, "token").groupBy("rule", "confidence", "needed").agg(
+        F.min_by("token", F.struct("sets", "token")).alias("token"))
+    return (tokens.join(index, "token").where(F.size(F.array_except("needed", "tokens")) == 0)
             .groupBy("tokens").agg(F.max("confidence").alias("bad_confidence")))
 
 

@@ -379,6 +379,33 @@ def test_mined_rules_equal_plain_counts(spark):
     assert rules == want
 
 
+def test_rules_of_three_tokens(spark):
+    """Host, section and query key imply the label only together. Verdicts are those of all combinations of any size."""
+    draw = random.Random(4)
+    pages, labels = [], []
+    for i in range(3000):
+        host, section, key = draw.choice("pq"), draw.choice(["en", "shop"]), draw.choice("ab")
+        bad = draw.random() < (0.9 if host + section + key == "pshopa" else 0.1)
+        pages.append((i, f"http://{host}.com/{section}/{i}?{key}=1"))
+        labels.append((i, 0 if bad else 1, 0))
+    pages = spark.createDataFrame(pages, "page_id long, url string")
+    bad = url_rules.bad_labels(spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    host, path = url_rules.host_and_path(F.col("url"))
+    read = pages.select("page_id", url_rules.url_tokens(F.col("url"), host, path).alias("tokens"))
+    joined = read.join(bad, read["page_id"] == bad["doc_id"]).select("page_id", "tokens", "bad").collect()
+    hits = {}
+    for r in joined:
+        for k in range(1, len(r.tokens) + 1):
+            for c in combinations(sorted(r.tokens), k):
+                hits.setdefault(c, []).append(r.bad)
+    rules = {c: sum(h) / len(h) for c, h in hits.items() if sum(h) >= 20 and sum(h) / len(h) >= 0.6}
+    assert min(map(len, rules)) == 3
+    want = {r.page_id: max((v for c, v in rules.items() if set(c) <= set(r.tokens)), default=None) for r in joined}
+    got = {r.page_id: (r.verdict, r.bad_confidence) for r in url_rules.judge_urls(pages, bad).collect()}
+    assert got == {i: ("allow" if v is None else "block", v) for i, v in want.items()}
+    assert any(v is not None for v in want.values())
+
+
 # --- near copies
 
 def test_near_copies_on_odd_rows(odd, odd_rows, empty):
