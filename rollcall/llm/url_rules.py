@@ -24,8 +24,8 @@ from rollcall.llm.common import lower_ascii, session_of, store_of
 #: Given rules: host, path and verdict.
 GIVEN = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"),
          ("org", "/fr/", "allow"))
-#: Share and number of labelled pages that a combination must reach, and share of bad ones among those it matches.
-LEAST_SUPPORT, LEAST_PAGES, LEAST_CONFIDENCE = 0.002, 20, 0.6
+#: Bad labelled pages that a combination must match, in a table of any size, and their share among those it matches.
+LEAST_PAGES, LEAST_CONFIDENCE = 20, 0.6
 BAD = "=bad"
 
 
@@ -61,7 +61,7 @@ def url_tokens(url: Column, host: Column, path: Column) -> Column:
         marked("query", query))))
 
 
-def mine_rules(tokens: DataFrame, least_support: float = LEAST_SUPPORT, least_pages: int = LEAST_PAGES,
+def mine_rules(tokens: DataFrame, least_pages: int = LEAST_PAGES,
                least_confidence: float = LEAST_CONFIDENCE) -> DataFrame:
     """rule (number), tokens, confidence, support. Takes the columns tokens (distinct strings) and bad (boolean)."""
     items = tokens.select(F.when(F.col("bad"), F.concat("tokens", F.array(F.lit(BAD)))).otherwise(F.col("tokens"))
@@ -70,7 +70,7 @@ def mine_rules(tokens: DataFrame, least_support: float = LEAST_SUPPORT, least_pa
     if n < least_pages:
         return session_of(tokens).createDataFrame(
             [], StructType.fromDDL("tokens array<string>, confidence double, support double, rule long"))
-    support = max(least_support, least_pages / n)
+    support = (least_pages - 0.5) / n  # times n it is rounded up
     model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=least_confidence).fit(items)
     mined = store_of(tokens, "url_rules").keep(
         model.associationRules.where(F.get("consequent", F.lit(0)) == BAD)

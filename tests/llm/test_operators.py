@@ -406,6 +406,15 @@ def test_rules_of_three_tokens(spark):
     assert any(v is not None for v in want.values())
 
 
+def test_the_pages_a_rule_needs_do_not_grow_with_the_table(spark):
+    hosts = ["bad.com"] * 20 + ["few.com"] * 19 + ["good.com"] * 12_000
+    pages = spark.createDataFrame([(i, f"http://{h}/{i}") for i, h in enumerate(hosts)], "page_id long, url string")
+    bad = spark.createDataFrame([(i, h != "good.com") for i, h in enumerate(hosts)], "doc_id long, bad boolean")
+    got = url_rules.judge_urls(pages, bad).groupBy("host", "verdict").count()
+    assert table(got, "host", "verdict", "count") == [
+        ("bad.com", "block", 20), ("few.com", "allow", 19), ("good.com", "allow", 12_000)]
+
+
 # --- near copies
 
 def test_near_copies_on_odd_rows(odd, odd_rows, empty):
