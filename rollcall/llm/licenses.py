@@ -1,12 +1,13 @@
 """License scans: an Aho-Corasick automaton over a text's words, and licence expressions of identifier tags.
 
 The automaton finds notice phrases and identifier tags in one pass over the words joined by single spaces. Behind a
-tag, the rest of its line in the original text is a licence expression: a shunting-yard parser puts it in postfix
-order (with binds closest, then and, then or), and its value says how freely the text may be used.
+tag, the longest well-formed beginning of the rest of its line in the original text is a licence expression; what comes
+after it, the end of a comment or prose, is none, but may hold further tags. A shunting-yard parser puts the expression
+in postfix order (with binds closest, then and, then or), and its value says how freely the text may be used.
 
 Defined cases: a null text is an empty one. Texts of any length are read whole; all places count, overlapping ones and
-repeats too. An expression that does not parse adds the known identifiers in it, but no value. Rows are judged one by
-one; an empty table gives an empty table. Other columns are not looked at.
+repeats too. A tag without a well-formed expression behind it adds the known identifiers up to where none can become
+of it, but no value. Rows are judged one by one; an empty table gives an empty table. Other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -42,8 +43,10 @@ BINDS = {"or": 1, "and": 2, "with": 3}
 #: ASCII letters and digits and everything beyond ASCII belong to words; the rest separates them.
 _WORD_BYTES = bytes(b | 0x20 if 0x41 <= b <= 0x5A else b if b >= 0x80 or chr(b).isalnum() else 0x20
                     for b in range(256))
-_TAG_LINE = re.compile(r"spdx[^a-z0-9]+license[^a-z0-9]+identifier[^a-z0-9(\n]*([^\n]*)")
+_TAG = re.compile(r"(?<![a-z0-9])spdx[^a-z0-9]+license[^a-z0-9]+identifier(?![a-z0-9])[^a-z0-9(\n<>/]*")
 _TOKEN = re.compile(r"[a-z0-9][a-z0-9.+_-]*|[()]|\S")
+#: A token behind a tag, on the same line. No identifier ends in a dot or dash: these end a sentence or begin "-->".
+_NEXT = re.compile(r"[^\S\n]*([a-z0-9](?:[a-z0-9._+-]*[a-z0-9+])?|[()])")
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -92,6 +95,30 @@ def postfix(expression: str) -> list[str] | None:
     return out if out and not operand_next else None
 
 
+def leading(text: str, at: int, end: int) -> tuple[list[str], int]:
+    """The tokens from `at` on that can begin an expression, and how many of them are the longest well-formed one."""
+    tokens: list[str] = []
+    whole = depth = 0
+    operand_next = True
+    while found := _NEXT.match(text, at, end):
+        token = found.group(1)
+        if token in BINDS or token == ")":
+            if operand_next or (token == ")" and not depth):
+                break
+            depth -= token == ")"
+            operand_next = token in BINDS
+        elif operand_next:
+            depth += token == "("
+            operand_next = token == "("
+        else:
+            break
+        tokens.append(token)
+        at = found.end()
+        if not depth and not operand_next:
+            whole = len(tokens)
+    return tokens, whole
+
+
 def freedom(items: list[str]) -> float:
     """Value of a postfix expression: the freer of two choices, the stricter of two duties, an exception halfway up."""
     stack: list[float] = []
@@ -130,11 +157,14 @@ def scan(text: bytes, automaton) -> tuple:
         labels.add(label)
     values += [FREEDOM[x] for x in labels]
     if tagged:
-        for expression in _TAG_LINE.findall(text.lower().decode()):
-            items = postfix(expression.strip())
-            if items:
-                values.append(freedom(items))
-            labels |= {x for t in _TOKEN.findall(expression) if t not in BINDS and (x := label_of(t))}
+        lowered = text.lower().decode()
+        tags = [m.span() for m in _TAG.finditer(lowered)]
+        for (_, begin), (end, _) in zip(tags, [*tags[1:], (len(lowered), 0)]):
+            tokens, whole = leading(lowered, begin, end)
+            if whole:
+                tokens = tokens[:whole]
+                values.append(freedom(postfix(" ".join(tokens))))
+            labels |= {x for t in tokens if t not in BINDS and (x := label_of(t))}
     return len(words), sorted(places), base, labels, min(values, default=UNKNOWN)
 
 

@@ -225,6 +225,31 @@ def test_scan_finds_phrases_tags_and_overlaps():
     assert licenses.scan(b"submit licenses", own) == (2, [], set(), set(), licenses.UNKNOWN)
 
 
+TAG = "SPDX-License-Identifier:"
+
+
+@pytest.mark.parametrize("text, labels, score", [
+    (f"/* {TAG} GPL-2.0 OR MIT */", {"gpl", "mit"}, 1.0), (f"/* {TAG} GPL-2.0*/ int mit;", {"gpl"}, 0.3),
+    (f"<!-- {TAG} GPL-2.0 -->", {"gpl"}, 0.3), (f"<!--{TAG}AGPL-3.0-only--><p>apache mit</p>", {"agpl"}, 0.2),
+    (f"x {TAG} (GPL-2.0+ AND MIT) WITH Foo. Then prose on apache and mit", {"gpl", "mit"}, 0.65),
+    (f"{TAG} MIT is what this is under, not Apache", {"mit"}, 1.0), (f"{TAG} MIT, see apache", {"mit"}, 1.0),
+    (f"{TAG} MIT {TAG} GPL-2.0 or apache tail {TAG}", {"mit", "gpl", "apache"}, 1.0),
+    (f"{TAG} MIT OR {TAG} GPL-2.0", {"mit", "gpl"}, 0.3), (f'"{TAG[:-1]}": "MPL-2.0", "x": "mit"', {"mpl"}, 0.6),
+    (f"{TAG} (MIT OR GPL-2.0 */ apache", {"mit", "gpl"}, 0.5), (f"{TAG} */ apache\nmit", set(), 0.5),
+    (f"{TAG} GPL-2.0 OR\nMIT", {"gpl"}, 0.3)])
+def test_what_follows_an_expression_is_not_part_of_it(text, labels, score):
+    found = licenses.scan(text.encode(), licenses.automaton())
+    assert found[3] == labels and found[4] == pytest.approx(score)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["mit", "gpl-2.0", "or", "and", "with", "(", ")"]), max_size=12))
+def test_leading_expressions_are_the_longest(tokens):
+    text = " ".join(tokens)
+    whole = max((k for k in range(len(tokens) + 1) if licenses.postfix(" ".join(tokens[:k]))), default=0)
+    assert licenses.leading(text, 0, len(text))[1] == whole
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.sampled_from(["gnu", "general", "public", "license", "Apache", "cc", "by", "MIT", "é", "-"]), max_size=30),
        st.sampled_from([" ", "\n", ", ", "{"]))
