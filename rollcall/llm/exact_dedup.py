@@ -1,7 +1,9 @@
 """Exact dedup by an exchange of Golomb-coded fingerprints.
 
-1. Every partition normalises its texts, fingerprints them and sorts the fingerprints. To each owner, a range of the
-   fingerprint space, it sends its share as gaps in a Golomb-Rice code.
+1. Every partition normalises its texts, fingerprints them and sorts the fingerprints. Rows that share one within the
+   partition are suspects already. To each owner, a range of the fingerprint space, it sends its share of the distinct
+   fingerprints as gaps in a Golomb-Rice code, so a text that many rows hold is one entry per partition. The number of
+   owners follows the number of rows.
 2. Owners decode and merge what they got and answer each partition with a bitmap of those that occurred elsewhere too.
 3. Suspects alone are shuffled with their texts, and grouped by all their bytes. A bitmap of fixed size over the
    suspects' fingerprints lets the second scan leave the others where they are; when it fills up, more texts move,
@@ -27,6 +29,8 @@ from rollcall.llm.common import SPACES, TEXT_BYTES, map_columns, session_of, sto
 
 #: Bits of the filter over suspects' fingerprints that scanning tasks get: 1 MB at any size of the input.
 FILTER_BITS = 23
+#: Fingerprints that an owner gets on average at most.
+OWNED = 2_000_000
 
 
 def normalised(text: bytes) -> bytes:
@@ -65,11 +69,17 @@ def rice_parameter(span: int, n: int) -> int:
     return max(0, min(63, int(span / max(n, 1) * 0.69).bit_length() - 1))
 
 
+def owners_for(rows: int, least: int) -> int:
+    return max(least, -(-rows // OWNED))
+
+
 def _owner_starts(owners: int) -> list[int]:
     return [-(-(o << 64) // owners) for o in range(owners + 1)]
 
 
-ROWS = ("kind int, part long, pos long, doc_id long, sha binary, owner int, n long, k int, payload binary")
+#: `entry` is the number of a row's fingerprint among the distinct ones of its partition, or the first of a message.
+ROWS = ("kind int, part long, pos long, doc_id long, sha binary, entry long, repeated boolean, owner int, n long, k int, "
+        "payload binary")
 
 
 def _fingerprint(owners: int):
@@ -91,11 +101,13 @@ def _fingerprint(owners: int):
             shas += [hashlib.sha256(normalised(t)).digest() for t in b.column("body").to_pylist()]
         prints = np.frombuffer(b"".join(s[:8] for s in shas), dtype=">u8").astype(np.uint64)
         order = np.argsort(prints, kind="stable")
-        prints = prints[order]
+        prints, entries, counts = np.unique(prints[order], return_inverse=True, return_counts=True)
+        repeated = counts[entries] > 1
         for lo in range(0, len(order), 50_000):
             some = order[lo:lo + 50_000]
             yield batch(kind=[0] * len(some), part=[part] * len(some), pos=list(range(lo, lo + len(some))),
-                        doc_id=[ids[i] for i in some], sha=[shas[i] for i in some])
+                        doc_id=[ids[i] for i in some], sha=[shas[i] for i in some],
+                        entry=entries[lo:lo + 50_000], repeated=repeated[lo:lo + 50_000])
         cuts = np.searchsorted(prints, np.array(starts[1:-1], dtype=np.uint64)) if owners > 1 else []
         bounds = [0, *map(int, cuts), len(prints)]
         for o in range(owners):
@@ -104,7 +116,7 @@ def _fingerprint(owners: int):
                 own = prints[lo:hi]
                 gaps = np.diff(own, prepend=np.uint64(starts[o]))
                 k = rice_parameter(starts[o + 1] - starts[o], hi - lo)
-                yield batch(kind=[1], part=[part], pos=[lo], owner=[o], n=[hi - lo], k=[k],
+                yield batch(kind=[1], part=[part], entry=[lo], owner=[o], n=[hi - lo], k=[k],
                             payload=[golomb_encode(gaps, k)])
 
     return run
@@ -121,19 +133,19 @@ def _answer(owners: int):
         twice = counts[where] > 1
         ends = np.cumsum([len(x) for x in lists])
         bitmaps = [np.packbits(x).tobytes() for x in np.split(twice, ends[:-1])]
-        return pd.DataFrame({"part": messages["part"], "pos": messages["pos"], "n": messages["n"], "bitmap": bitmaps})
+        return pd.DataFrame({"part": messages["part"], "entry": messages["entry"], "n": messages["n"], "bitmap": bitmaps})
 
     return run
 
 
 def _expand():
     def work(c):
-        part, pos = [], []
-        for p, lo, n, bits in zip(c["part"], c["pos"], c["n"], c["bitmap"]):
+        part, entry = [], []
+        for p, lo, n, bits in zip(c["part"], c["entry"], c["n"], c["bitmap"]):
             found = lo + np.flatnonzero(np.unpackbits(np.frombuffer(bits, np.uint8))[:n])
             part += [p] * len(found)
-            pos += found.tolist()
-        return {"part": part, "pos": pos}
+            entry += found.tolist()
+        return {"part": part, "entry": entry}
     return work
 
 
@@ -159,14 +171,16 @@ def find_copies(docs: DataFrame, owners: int | None = None, filter_bits: int = F
     """One row per row of `docs`: doc_id, keep_id, group_size, kept, text_sha256."""
     spark = session_of(docs)
     store = store_of(docs, "exact_dedup")
-    owners = owners or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    owners = owners or owners_for(docs.count(), int(spark.conf.get("spark.sql.shuffle.partitions")))
     bodies = docs.select("doc_id", F.expr(TEXT_BYTES).alias("body"))
     sent = store.keep(bodies.mapInArrow(_fingerprint(owners), ROWS), "fingerprints")
-    rows = sent.where("kind = 0").select("part", "pos", "doc_id", "sha")
-    answers = (sent.where("kind = 1").select("owner", "part", "pos", "n", "k", "payload")
-               .groupBy("owner").applyInPandas(_answer(owners), "part long, pos long, n long, bitmap binary"))
-    places = map_columns(answers, "part long, pos long", _expand)
-    suspects = store.keep(rows.join(places, ["part", "pos"], "left_semi"), "suspects")
+    read = sent.where("kind = 0").select("part", "pos", "doc_id", "sha", "entry", "repeated")
+    rows = read.drop("entry", "repeated")
+    answers = (sent.where("kind = 1").select("owner", "part", "entry", "n", "k", "payload")
+               .groupBy("owner").applyInPandas(_answer(owners), "part long, entry long, n long, bitmap binary"))
+    places = map_columns(answers, "part long, entry long", _expand)
+    elsewhere = read.where("NOT repeated").join(places, ["part", "entry"], "left_semi")
+    suspects = store.keep(read.where("repeated").unionByName(elsewhere).select(rows.columns), "suspects")
 
     # the first bits of each suspect's fingerprint, packed: at most 2**(bits - 3) bytes, whatever the input
     slot = F.conv(F.hex(F.substring("sha", 1, 4)), 16, 10).cast("long")

@@ -326,6 +326,24 @@ def test_golomb_round_trip(values, k):
     assert exact_dedup.golomb_decode(exact_dedup.golomb_encode(gaps, k), len(gaps), k).tolist() == values
 
 
+def test_a_partition_sends_a_text_once(spark, monkeypatch):
+    """Copies within one partition, across partitions and both; an owner gets one entry per text and partition."""
+    texts = ["hot"] * 3000 + ["pair", "pair"] + [f"t{i}" for i in range(500)]
+    parts = [list(enumerate(texts)), [(9000, "hot"), (9001, "t7"), (9002, "new")]]
+    docs = spark.createDataFrame(spark.sparkContext.union([spark.sparkContext.parallelize(p, 1) for p in parts]),
+                                 "doc_id long, text string")
+    bodies = docs.select("doc_id", F.expr(common.TEXT_BYTES).alias("body"))
+    sent = bodies.mapInArrow(exact_dedup._fingerprint(3), exact_dedup.ROWS).where("kind = 1")
+    assert sent.agg(F.sum("n")).first()[0] == 502 + 3
+    holders = {}
+    for r in docs.collect():
+        holders.setdefault(r.text, []).append(r.doc_id)
+    want = sorted((i, min(ids), len(ids), i == min(ids)) for ids in holders.values() for i in ids)
+    monkeypatch.setattr(exact_dedup, "OWNED", 100)
+    assert exact_dedup.owners_for(1001, 4) == 11 and exact_dedup.owners_for(10, 4) == 4
+    assert table(exact_dedup.find_copies(docs), "doc_id", "keep_id", "group_size", "kept") == sorted(want, key=repr)
+
+
 def test_copies_on_odd_rows(odd, odd_rows, sql_over, empty):
     got = exact_dedup.find_copies(odd, owners=5, filter_bits=8)
     want = sql_over(exact_dedup.SQL, odd_rows)
