@@ -36,7 +36,8 @@ GRAMS = (4, 5)
 MOST_COUNTED = 500_000
 #: Weight of the counterfactual penalty and of the squared weights.
 COUNTERFACTUAL, RIDGE, STEPS = 1.0, 1e-4, 400
-#: Names that are swapped within their row, each for the next.
+#: Names that are swapped within their row, each for the next, in the languages of the corpus: English, German, French
+#: and Spanish. No name stands in two rows.
 GROUPS = (
     ("women", "men"), ("woman", "man"), ("girls", "boys"),
     ("muslims", "christians", "jews", "hindus", "buddhists", "atheists"),
@@ -44,6 +45,21 @@ GROUPS = (
     ("gay", "straight", "lesbian", "bisexual", "transgender"),
     ("black", "white", "asian", "latino", "african", "european", "arab"),
     ("immigrants", "refugees", "natives", "foreigners"), ("disabled", "deaf", "blind", "elderly", "young"),
+    ("frauen", "männer"), ("frau", "mann"), ("mädchen", "jungen"),
+    ("muslime", "christen", "juden", "buddhisten", "atheisten"),
+    ("schwule", "lesben", "bisexuelle", "heterosexuelle"),
+    ("schwarze", "weiße", "asiaten", "afrikaner", "europäer", "araber"),
+    ("einwanderer", "flüchtlinge", "einheimische", "ausländer"), ("behinderte", "gehörlose", "blinde"),
+    ("femmes", "hommes"), ("femme", "homme"), ("filles", "garçons"),
+    ("musulmans", "chrétiens", "juifs", "bouddhistes", "athées"),
+    ("homosexuels", "lesbiennes", "bisexuels", "hétérosexuels"),
+    ("noirs", "blancs", "asiatiques", "africains", "européens", "arabes"),
+    ("immigrés", "réfugiés", "étrangers"), ("handicapés", "sourds", "aveugles"),
+    ("mujeres", "hombres"), ("mujer", "hombre"), ("niñas", "niños"),
+    ("musulmanes", "cristianos", "judíos", "budistas", "ateos"),
+    ("homosexuales", "lesbianas", "bisexuales", "heterosexuales"),
+    ("negros", "blancos", "asiáticos", "africanos", "europeos", "árabes"),
+    ("inmigrantes", "refugiados", "extranjeros"), ("discapacitados", "sordos", "ciegos"),
 )
 
 _WORD_BYTES = bytes(b | 0x20 if 0x41 <= b <= 0x5A else b if b >= 0x80 or chr(b).isalnum() else 0x20
@@ -72,6 +88,23 @@ def swaps(groups=GROUPS) -> dict[bytes, bytes]:
     return {a.encode(): b.encode() for g in groups for a, b in zip(g, (*g[1:], g[0]))}
 
 
+def twin_of(words: set[bytes], swap: dict[bytes, bytes]) -> set[bytes]:
+    return {swap.get(w, w) for w in words}
+
+
+def differing_twins(texts: DataFrame, groups=GROUPS) -> int:
+    """Texts whose twin has other words, so that the penalty can act on them. Takes the column body."""
+    def make():
+        swap = swaps(groups)
+
+        def work(c):
+            return {"differs": [int(twin_of(w, swap) != w) for w in map(words_of, c["body"])]}
+        return work
+
+    return map_columns(texts.select("body"), "differs int", make).agg(
+        F.coalesce(F.sum("differs"), F.lit(0))).first()[0]
+
+
 def held_out(doc_id: Column, folds: int = 5, fold: int = 0) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("null")).cast("binary")) % folds == fold
 
@@ -149,7 +182,7 @@ def train_rows(texts: DataFrame, features: list[str], groups) -> DataFrame:
             for body in c["body"]:
                 words = words_of(body)
                 out["held"].append(sorted(own(words)))
-                out["twin"].append(sorted(own({swap.get(w, w) for w in words})))
+                out["twin"].append(sorted(own(twin_of(words, swap))))
             return out
         return work
 

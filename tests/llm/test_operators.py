@@ -201,6 +201,15 @@ def test_toxic_terms_late_in_an_unspaced_run_count(spark, monkeypatch):
     assert table(toxicity.associations(texts), "feature", "pos", "neg") == whole
 
 
+def test_texts_in_every_language_have_twins(spark):
+    names = [n for row in toxicity.GROUPS for n in row]
+    assert len(names) == len(set(names))
+    texts = ["all women here", "Die Frauen, hier", "les étrangers ici", "las mujeres de allí", "nobody at all", ""]
+    bodies = spark.createDataFrame([(t.encode(),) for t in texts], "body binary").coalesce(1)
+    assert toxicity.differing_twins(bodies) == 4
+    assert toxicity.differing_twins(bodies, toxicity.GROUPS[:1]) == 1
+
+
 # --- licences
 
 @pytest.mark.parametrize("expression, value", [
