@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rollcall.llm import bpe, exact_dedup, lattice, licenses, line_dedup, mixing, near_dedup, quality, toxicity
-from rollcall.llm import url_rules
+from rollcall.llm import alignment, bpe, exact_dedup, lattice, licenses, line_dedup, merkle, mixing, near_dedup
+from rollcall.llm import ngram_quality, quality, toxicity, url_rules
 
 
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -58,11 +58,25 @@ def op10_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op11_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.alignment_digests(_documents(spark, folder), alignment.byte_bpe_path(),
+                                       alignment.piece_bpe_path())
+
+
+def op12_ngram_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_quality.score_documents(_documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
+
+
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.audit(_documents(spark, folder))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_mix_sources, op2_bpe, op3_quality_rules, op4_toxicity, op5_license_scan, op6_lattice_lm, op7_exact_dedup,
-        op8_line_dedup, op9_url_rules, op10_near_dedup)}
+        op8_line_dedup, op9_url_rules, op10_near_dedup, op11_token_alignment, op12_ngram_quality,
+        op13_merkle_manifest)}
 
 ORACLES: dict[str, str] = {
     "op1_mix_sources": mixing.SQL, "op3_quality_rules": quality.SQL, "op7_exact_dedup": exact_dedup.SQL,
-    "op8_line_dedup": line_dedup.SQL}
+    "op8_line_dedup": line_dedup.SQL, "op13_merkle_manifest": merkle.SQL}
