@@ -12,47 +12,72 @@ table. Columns other than the text are handed through or left out by the caller.
 from __future__ import annotations
 
 import hashlib
-import heapq
 import json
 import sys
 import unicodedata
 from array import array
+from collections.abc import Callable
 from functools import lru_cache
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import TEXT_BYTES, Memo, map_columns
+from rollcall.llm.common import TEXT_BYTES, map_columns
 
 #: White space of the pre-tokenizer's `\s`.
 SPACE_CLASS = r"\t\n\x0b\x0c\r \x85\p{Z}"
 
 
 def merge(symbols: list[int], ranks: dict[tuple[int, int], tuple[int, int]]) -> list[int]:
-    """Merges adjacent symbols, lowest rank first and leftmost among equals, until no pair has a rank."""
-    n = len(symbols)
-    left, right, alive = list(range(-1, n - 1)), list(range(1, n + 1)), [True] * n
-    queue = []
-
-    def push(i: int) -> None:
-        if i >= 0 and (j := right[i]) < n and (found := ranks.get((symbols[i], symbols[j]))):
-            heapq.heappush(queue, (found[0], i, symbols[i], symbols[j], found[1]))
+    """Merges adjacent symbols, lowest rank first and leftmost among equals, until no pair has a rank.
 
-    for i in range(n - 1):
-        push(i)
+    A queue entry is rank and place as one whole number. Symbols that were merged into their left neighbour are -1.
+    """
+    n = len(symbols)
+    left, right, bits, rank_of = list(range(-1, n - 1)), list(range(1, n + 1)), n.bit_length(), ranks.get
+    found = map(rank_of, zip(symbols, symbols[1:]))
+    queue = [f[0] << bits | i for i, f in enumerate(found) if f]
+    heapify(queue)
     while queue:
-        _, i, a, b, merged = heapq.heappop(queue)
-        j = right[i] if alive[i] else n
-        if j >= n or symbols[i] != a or symbols[j] != b:
+        entry = heappop(queue)
+        i = entry & (1 << bits) - 1
+        j = right[i]
+        found = rank_of((symbols[i], symbols[j])) if j < n else None
+        if not found or found[0] != entry >> bits:
             continue  # stale: one of the two has been merged since
-        symbols[i], alive[j], right[i] = merged, False, right[j]
-        if right[i] < n:
-            left[right[i]] = i
-        push(left[i])
-        push(i)
-    return [s for s, here in zip(symbols, alive) if here]
+        merged = symbols[i] = found[1]
+        symbols[j] = -1
+        right[i] = after = right[j]
+        if after < n:
+            left[after] = i
+            if found := rank_of((merged, symbols[after])):
+                heappush(queue, found[0] << bits | i)
+        before = left[i]
+        if before >= 0 and (found := rank_of((symbols[before], merged))):
+            heappush(queue, found[0] << bits | before)
+    return [s for s in symbols if s >= 0]
+
+
+class Ages(dict):
+    """A dictionary that computes what it lacks. When full it forgets what was not asked for since it was half full."""
+
+    def __init__(self, compute: Callable, limit: int = 400_000, longest: int = 64):
+        super().__init__()
+        self.compute, self.half, self.longest, self.older = compute, limit // 2, longest, {}
+
+    def __missing__(self, key):
+        value = self.older.get(key)
+        if value is None:
+            value = self.compute(key)
+        if len(key) <= self.longest:
+            if len(self) >= self.half:
+                self.older = dict(self)
+                self.clear()
+            self[key] = value
+        return value
 
 
 class Codec:
@@ -76,8 +101,9 @@ class Codec:
         self.strings = [strings[i] for i in range(len(strings))]
         steps = data["pre_tokenizer"]["pretokenizers"]
         self.pattern = regex.compile(steps[0]["pattern"]["Regex"].replace(r"\s", SPACE_CLASS))
-        self.pieces = Memo(self._encode_piece)
-        self.chunks = Memo(self._encode_chunk)
+        self.marks = tuple({c.encode()[:2] for c in self.special})
+        self.pieces = Ages(self._encode_piece)
+        self.chunks = Ages(self._encode_chunk)
 
     @staticmethod
     def _byte_letters() -> list[str]:
@@ -88,13 +114,17 @@ class Codec:
 
     def _encode_piece(self, piece: str) -> bytes:
         data = piece.encode()
-        ids = array("I", merge([self.inner[b] for b in data[:-1]] + [self.last[data[-1]]], self.ranks))
+        symbols = [self.inner[b] for b in data]
+        symbols[-1] = self.last[data[-1]]
+        ids = array("I", merge(symbols, self.ranks))
         if sys.byteorder == "big":
             ids.byteswap()
         return ids.tobytes()
 
     def _encode_chunk(self, chunk: bytes) -> bytes:
         """Pieces never hold white space, so what stands between white space is encoded by itself."""
+        if chunk.isascii() and not any(m in chunk for m in self.marks):  # no characters to compose, nothing special to set apart
+            return b"".join(map(self.pieces.__getitem__, self.pattern.findall(chunk.decode().lower())))
         out = []
         for part in self.special_split.split(chunk.decode()):
             if part in self.special:
