@@ -66,21 +66,21 @@ def places(levels: int) -> list[list[int]]:
     return [[BYTES * address(levels, depth, i) for i in range(FAN ** depth)] for depth in range(levels)]
 
 
-def climbs(block: int, leaves: int) -> int:
+def climbs(block: int, leaves: int, full: int = HEIGHT) -> int:
     """Levels above the leaves that a block covers: all, but for the only block of a small tree."""
     height = 0
     while FAN ** height < leaves:
         height += 1
-    return HEIGHT if block else height
+    return full if block else height
 
 
 def node(digests: list[bytes]) -> bytes:
     return sha256("".join(d.hex() for d in digests).encode()).digest()
 
 
-def lay_out(block: int, leaves: list[bytes]) -> bytes:
+def lay_out(block: int, leaves: list[bytes], full: int = HEIGHT) -> bytes:
     """The nodes of a block; what a last block lacks stays zero."""
-    height = climbs(block, len(leaves))
+    height = climbs(block, len(leaves), full)
     at, out, level = places(height + 1), bytearray(BYTES * size_of(height + 1)), leaves
     for depth in range(height, -1, -1):
         for place, digest in zip(at[depth], level):
@@ -140,11 +140,11 @@ def source_key() -> Column:
     return F.coalesce(F.concat(F.lit("1"), F.col("source").cast("string")), F.lit("0"))
 
 
-def blocks(leaves: DataFrame) -> DataFrame:
-    """tree, block, n, nodes and items: from leaves (tree, pos, leaf, item). A group has FAN ** HEIGHT rows at most."""
+def blocks(leaves: DataFrame, full: int) -> DataFrame:
+    """tree, block, n, nodes and items: from leaves (tree, pos, leaf, item). A group has FAN ** full rows at most."""
     session_of(leaves)
     each = F.sort_array(F.collect_list(F.struct("pos", "leaf", "item")))
-    grouped = (leaves.groupBy("tree", F.expr(f"pos DIV {FAN ** HEIGHT}").alias("block")).agg(each.alias("rows"))
+    grouped = (leaves.groupBy("tree", F.expr(f"pos DIV {FAN ** full}").alias("block")).agg(each.alias("rows"))
                .select("tree", "block", "rows.leaf", F.col("rows.item").alias("items")))
     schema = ("tree string, block long, n int, nodes binary, items "
               + grouped.schema["items"].dataType.simpleString())
@@ -155,7 +155,7 @@ def blocks(leaves: DataFrame) -> DataFrame:
             leaf, block = batch["leaf"].to_pylist(), batch["block"].to_pylist()
             yield pa.RecordBatch.from_arrays(
                 [batch["tree"], batch["block"], pa.array(map(len, leaf), pa.int32()),
-                 pa.array(map(lay_out, block, leaf), pa.binary()), batch["items"].cast(arrow.field("items").type)],
+                 pa.array([lay_out(k, each, full) for k, each in zip(block, leaf)], pa.binary()), batch["items"].cast(arrow.field("items").type)],
                 schema=arrow)
 
     return grouped.mapInArrow(build, schema)
@@ -166,13 +166,13 @@ def root_of() -> Column:
     return F.expr(f"substring(nodes, 1, {BYTES})")
 
 
-def tiers(leaves: DataFrame, store: Store, name: str) -> list[DataFrame]:
+def tiers(leaves: DataFrame, store: Store, name: str, full: int) -> list[DataFrame]:
     """The stored blocks of every tier, from the leaves up; in the last one every tree has one block."""
-    out = [store.keep(blocks(leaves), f"{name}_0")]
+    out = [store.keep(blocks(leaves, full), f"{name}_0")]
     while (out[-1].agg(F.max("block")).first()[0] or 0) > 0:
         above = out[-1].select("tree", F.col("block").alias("pos"), root_of().alias("leaf"),
                                F.lit(None).cast("int").alias("item"))
-        out.append(store.keep(blocks(above), f"{name}_{len(out)}"))
+        out.append(store.keep(blocks(above, full), f"{name}_{len(out)}"))
     return out
 
 
@@ -182,32 +182,33 @@ class Manifest:
 
     rows: list[DataFrame]
     sources: list[DataFrame]
+    height: int
 
     def root(self) -> DataFrame:
         """One row with the root as hexadecimal text; none for an empty table."""
         return self.sources[-1].select(F.lower(F.hex(root_of())).alias("root"))
 
 
-def manifest(leaves: DataFrame, store: Store) -> Manifest:
-    """Of leaves (source, doc_id, leaf, item), whatever their items are."""
+def manifest(leaves: DataFrame, store: Store, height: int = HEIGHT) -> Manifest:
+    """Of leaves (source, doc_id, leaf, item), whatever their items are; blocks have FAN ** height leaves."""
     keyed = leaves.select(source_key().alias("tree"), "doc_id", "leaf", "item",
                           F.monotonically_increasing_id().alias("tie"), F.lit(1).alias("one"))
     placed = running(keyed, store, ["tree"], ["doc_id", "leaf", "tie"], "one", "pos")
-    rows = tiers(placed.select("tree", "pos", "leaf", "item"), store, "rows")
+    rows = tiers(placed.select("tree", "pos", "leaf", "item"), store, "rows", height)
     subroots = rows[-1].select(F.lit("").alias("tree"), F.col("tree").alias("item"), root_of().alias("leaf"),
                                F.lit(1).alias("one"))
     numbered = running(subroots, store, ["tree"], ["item"], "one", "pos")
-    return Manifest(rows, tiers(numbered.select("tree", "pos", "leaf", "item"), store, "sources"))
+    return Manifest(rows, tiers(numbered.select("tree", "pos", "leaf", "item"), store, "sources", height), height)
 
 
 # --- proofs
 
-def descend(tier: DataFrame, above: DataFrame, carried: str = "") -> DataFrame:
+def descend(tier: DataFrame, above: DataFrame, carried: str, full: int) -> DataFrame:
     """tree, pos, leaf, item, path and what is `carried`, of every leaf of a tier. `above` has tree, block, path and
     what is carried, one row per block."""
-    names = [x.split()[0] for x in carried.split(",") if x.strip()]
+    names = [x.split()[0] for x in carried.split(",")]
     item = tier.schema["items"].dataType.elementType.simpleString()
-    schema = f"tree string, pos long, leaf binary, item {item}, path binary" + (f", {carried}" if carried else "")
+    schema = f"tree string, pos long, leaf binary, item {item}, path binary, {carried}"
     arrow = to_arrow_schema(StructType.fromDDL(schema))
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -215,10 +216,10 @@ def descend(tier: DataFrame, above: DataFrame, carried: str = "") -> DataFrame:
             for row in range(batch.num_rows):
                 one = batch.slice(row, 1)
                 tree, block, n, nodes, path = (one[c][0].as_py() for c in ("tree", "block", "n", "nodes", "path"))
-                height = climbs(block, n)
+                height = climbs(block, n, full)
                 low = places(height + 1)[height]
                 columns = {
-                    "tree": [tree] * n, "pos": range(block * FAN ** HEIGHT, block * FAN ** HEIGHT + n),
+                    "tree": [tree] * n, "pos": range(block * FAN ** full, block * FAN ** full + n),
                     "leaf": [nodes[p:p + BYTES] for p in low[:n]], "item": one["items"].flatten(),
                     "path": [siblings(nodes, height, n, i) + path for i in range(n)]
                 } | {c: [one[c][0].as_py()] * n for c in names}
@@ -233,26 +234,26 @@ def proofs(found: Manifest, store: Store) -> DataFrame:
     """item, leaf, path, subroot and root of every leaf."""
     top = found.sources[-1].select("tree", "block", F.lit(b"").alias("path"), root_of().alias("root"))
     for k in range(len(found.sources) - 1, -1, -1):
-        top = descend(found.sources[k], top, "root binary")
+        top = descend(found.sources[k], top, "root binary", found.height)
         if k:
             top = store.keep(top.select("tree", F.col("pos").alias("block"), "path", "root"), f"way_sources_{k}")
     carried = "subroot binary, root binary"
     way = store.keep(top.select(F.col("item").alias("tree"), F.lit(0).cast("long").alias("block"), "path",
                                 F.col("leaf").alias("subroot"), "root"), "way_sources_0")
     for k in range(len(found.rows) - 1, 0, -1):
-        way = store.keep(descend(found.rows[k], way, carried).select(
+        way = store.keep(descend(found.rows[k], way, carried, found.height).select(
             "tree", F.col("pos").alias("block"), "path", "subroot", "root"), f"way_rows_{k}")
-    return descend(found.rows[0], way, carried).select("item", "leaf", "path", "subroot", "root")
+    return descend(found.rows[0], way, carried, found.height).select("item", "leaf", "path", "subroot", "root")
 
 
-def audit(docs: DataFrame) -> DataFrame:
+def audit(docs: DataFrame, height: int = HEIGHT) -> DataFrame:
     """Every row's leaf, proof and the root that its leaf, altered where `tampered`, leads to."""
     store = store_of(docs, "merkle")
     tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
     altered = F.when(tampered, leaf_digest({"text": F.translate("text", "\n", "")}))
     leaves = docs.select("doc_id", "source", leaf_digest().alias("leaf"),
                          F.struct("doc_id", altered.alias("altered")).alias("item"))
-    found = proofs(manifest(leaves, store), store)
+    found = proofs(manifest(leaves, store, height), store)
     schema = ("doc_id long, leaf string, subroot string, root string, proof_sha256 string, folded_root string, "
               "verified boolean")
     arrow = to_arrow_schema(StructType.fromDDL(schema))

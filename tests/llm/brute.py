@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import bisect
+import hashlib
 import math
 import re
 import zlib
@@ -97,3 +99,119 @@ def url_parts(url: str | None) -> tuple[str, str, str | None]:
     host, path = lower(host), slash + path
     fits = [h + p for h, p, _ in RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
     return host, path, max(fits, key=len, default=None)
+
+
+# --- n-gram classifier
+
+def gram_slots(text: bytes, bits: int) -> Counter:
+    """Slots of single words and of pairs, counted one by one."""
+    words, mask = re.findall(rb"[0-9A-Za-z\x80-\xff]+|[^0-9A-Za-z\x80-\xff\s\x00]", text), (1 << 64) - 1
+    hashes = [zlib.crc32(w) for w in words]
+    pairs = [1 if a == b else (a * 0x9E3779B97F4A7C55 + b * 0xC2B2AE3D27D4EB4F) & mask
+             for a, b in zip(hashes, hashes[1:])]
+    return Counter(((h * 0x9E3779B97F4A7C15) & mask) >> (64 - bits) for h in [*hashes, *pairs])
+
+
+def gram_values(counts: Counter) -> dict:
+    raw = {s: 1 + math.log(n) for s, n in counts.items()}
+    length = math.sqrt(sum(v * v for v in raw.values())) or 1.0
+    return {s: v / length for s, v in raw.items()}
+
+
+def follow_the_leader(rows: list[tuple[dict, int, float]], alpha, beta, l1, l2) -> dict:
+    """Weights after the rows (values by slot, label, importance) in their order; textbook form, slot by slot."""
+    z, n = defaultdict(float), defaultdict(float)
+
+    def weight(i):
+        if abs(z[i]) <= l1:
+            return 0.0
+        return -(z[i] - math.copysign(l1, z[i])) / ((beta + math.sqrt(n[i])) / alpha + l2)
+
+    for x, label, importance in rows:
+        w = {i: weight(i) for i in x}
+        p = 1 / (1 + math.exp(-sum(w[i] * v for i, v in x.items())))
+        for i, v in x.items():
+            g = importance * (p - label) * v
+            sigma = (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / alpha
+            z[i] += g - sigma * w[i]
+            n[i] += g * g
+    return {i: weight(i) for i in z}
+
+
+# --- Merkle manifest
+
+def digest(*parts: str) -> str:
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def leaf(row: tuple, text: str | None) -> str:
+    doc_id, _, lang, source, n_chars = row
+    return digest(*("-" if v is None else f"{len(str(v).encode())}:{v}" for v in (doc_id, source, lang, n_chars, text)))
+
+
+def tree(leaves: list[str]) -> tuple[str, list[list[tuple[int, list[str]]]]]:
+    """The root, and for each leaf its place in the run and the run, level by level."""
+    ways, at, level = [[] for _ in leaves], list(range(len(leaves))), leaves
+    while len(level) > 1:
+        for k, i in enumerate(at):
+            ways[k].append((i % 3, level[i - i % 3:i - i % 3 + 3]))
+        at = [i // 3 for i in at]
+        level = [digest(*level[i:i + 3]) for i in range(0, len(level), 3)]
+    return level[0], ways
+
+
+def merkle(rows: list[tuple]) -> list[tuple]:
+    """doc_id, leaf, subroot, root, proof_sha256, folded_root and verified of each row."""
+    groups = defaultdict(list)
+    for r in rows:
+        groups[r[3]].append(r)
+    order = sorted(groups, key=lambda s: (s is not None, (s or "").encode()))
+    trees = {}
+    for s in order:
+        groups[s].sort(key=lambda r: (r[0] is not None, r[0] or 0, leaf(r, r[1])))
+        trees[s] = tree([leaf(r, r[1]) for r in groups[s]])
+    root, tops = tree([trees[s][0] for s in order]) if order else ("", [])
+    out = []
+    for s, top in zip(order, tops):
+        subroot, ways = trees[s]
+        for r, way in zip(groups[s], ways):
+            way = way + top
+            tampered = r[0] is not None and zlib.crc32(str(r[0]).encode()) % 2 == 0
+            own = leaf(r, r[1].replace("\n", "") if tampered and r[1] is not None else r[1])
+            for place, run in way:
+                own = digest(*run[:place], own, *run[place + 1:])
+            proof = digest(*(d for place, run in way for k, d in enumerate(run) if k != place))
+            out.append((r[0], leaf(r, r[1]), subroot, root, proof, own, own == root))
+    return out
+
+
+# --- alignment
+
+def aligned(rows: list[tuple], encode_a, encode_b) -> list[tuple]:
+    """The columns of the query for each row; the encoders give (id, bytes) of every token."""
+    linked, groups = [], []
+    for _, text, *_ in rows:
+        body = b" " + (text or "").encode()
+        a, b = encode_a(text or ""), encode_b(text or "")
+        if not text or b"".join(s for _, s in a) != body or b"".join(s for _, s in b) != body:
+            linked.append([]), groups.append(([], [], []))
+            continue
+        ends = []
+        for side in (a, b):
+            at, own = 0, []
+            for _, s in side:
+                at += len(s)
+                own.append(at)
+            ends.append(own)
+        pairs = [(i, j) for i, e in enumerate(ends[0]) for j in [bisect.bisect_left(ends[1], e)] if ends[1][j] == e]
+        linked.append([(a[i][0], b[j][0]) for i, j in pairs])
+        cuts = [(-1, -1), *pairs]
+        groups.append((a, b, [",".join(str(x) for x, _ in a[p[0] + 1:q[0] + 1]) + "|"
+                              + ",".join(str(x) for x, _ in b[p[1] + 1:q[1] + 1]) for p, q in zip(cuts, pairs)]))
+    counts = Counter(x for each in linked for x in each)
+    most = defaultdict(int)
+    for (_, b), n in counts.items():
+        most[b] = max(most[b], n)
+    return [(r[0], len(a), len(b), len(g), len(ls), sum(counts[x] == most[x[1]] for x in ls),
+             sum(counts[x] for x in ls), digest(";".join(g)) if g else "")
+            for r, ls, (a, b, g) in zip(rows, linked, groups)]
