@@ -113,6 +113,7 @@ COLUMNS: dict[str, Spec] = {name: spec(text) for name, text in {
     "retrain_days": "competencia dia",
     "incremental_ingest": _PERSON_RAW + " export_date",
     "refreshed_exports": "export_date senioridade headcount:int folha:d2",
+    "intake_quarantine": "export_date rows:int malformed:int bad_keys:int silver_rows:int folha:d2",
     "late_export": "matricula:int area senioridade export_date",
     "csv_roundtrip": _PERSON_RAW,
     "silver_partitions": "area rows:int",

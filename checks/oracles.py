@@ -330,6 +330,15 @@ def _exports(days: tuple[str, ...]) -> str:
         name="cleaned", source="history", keys="matricula, export_date", within="export_date, ")
 
 
+_QUARANTINE = f"""{NAMES},
+landed AS (
+  SELECT *, (matricula - 100000) % 31 = 0 AS bad_key,
+    (matricula - 100000) % 31 = 0 OR ((matricula - 100000) % 29 = 0 AND salario_mensal IS NOT NULL) AS bad,
+    CASE WHEN matricula % 2 = 0 THEN DATE '{EXPORTS[0]}' ELSE DATE '{EXPORTS[1]}' END AS export_date FROM raw),
+history AS (SELECT * EXCLUDE (bad, bad_key) FROM landed WHERE NOT bad),""" + _CLEAN.format(
+    name="cleaned", source="history", keys="matricula, export_date", within="export_date, ")
+
+
 _COHORTS = f"""{SILVER},
 adm AS (
   SELECT strftime(data_admissao, '%Y-%m') AS competencia, area, count(matricula) AS admissoes,
@@ -668,6 +677,11 @@ ORACLES: dict[str, tuple[str, str]] = {
     "incremental_ingest": (_exports(EXPORTS[:2]), "SELECT * FROM cleaned"),
     "refreshed_exports": (_exports(EXPORTS[:2]), """SELECT export_date, senioridade, count(*) AS headcount,
         sum(CAST(salario_mensal AS DECIMAL(18,2))) AS folha FROM cleaned GROUP BY 1, 2"""),
+    "intake_quarantine": (_QUARANTINE, """SELECT * FROM (
+        SELECT export_date, count(*) FILTER (NOT bad) AS rows, count(*) FILTER (bad) AS malformed,
+          count(*) FILTER (bad_key) AS bad_keys FROM landed GROUP BY 1)
+        JOIN (SELECT export_date, count(*) AS silver_rows, sum(CAST(salario_mensal AS DECIMAL(18,2))) AS folha
+              FROM cleaned GROUP BY 1) USING (export_date)"""),
     "late_export": (_exports((EXPORTS[2],)), "SELECT * FROM cleaned"),
 }
 

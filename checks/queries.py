@@ -24,7 +24,7 @@ from rollcall.sources import (
     Store, bronze_view, read_bronze, read_silver, snapshots, write_csv, write_silver)
 from rollcall.sources.trade_view import REFERENCE_DATE
 from rollcall.streaming import clean_exports, current_view, ingest_increment, read_exports, refresh_exports
-from rollcall.streaming.intake import EXPORT_DATE
+from rollcall.streaming.intake import EXPORT_DATE, ledger, read_history, read_quarantine
 
 SERIES = ("1998-08-17", REFERENCE_DATE)
 LABEL_DATE = "2000-07-31"
@@ -308,7 +308,28 @@ def _incremental_ingest(t: Tables) -> DataFrame:
     for day in EXPORTS[:2]:
         _write_export(t, landing, day)
         ingest_increment(t.spark, landing, history, work.path("progress"))
-    return _dates_as_text(clean_exports(t.spark.read.parquet(history), work))
+    return _dates_as_text(clean_exports(read_history(t.spark, history), work))
+
+
+def _intake_quarantine(t: Tables) -> DataFrame:
+    """An export with unreadable salaries and keys: what came in, what is in quarantine, what is clean."""
+    work = t.scratch("quarantine")
+    landing, history = work.path("landing"), work.path("history")
+    order = F.col(KEY) - 100000
+    pay, key = F.col(SALARY).cast("string"), F.col(KEY).cast("string")
+    spoilt = {SALARY: F.when(order % 29 == 0, F.concat(pay, F.lit("x"))).otherwise(pay),
+              KEY: F.when(order % 31 == 0, F.concat(F.lit("k"), key)).otherwise(key)}
+    for day, rest in ((EXPORTS[0], 0), (EXPORTS[1], 1)):
+        write_csv(t.bronze.where(order % 2 == rest).withColumns(spoilt), f"{landing}/export_date={day}")
+        ingest_increment(t.spark, landing, history, work.path("progress"))
+    refresh_exports(t.spark, history, work.path("cleaned"), work)
+    clean = read_exports(t.spark, work.path("cleaned")).groupBy(EXPORT_DATE).agg(
+        F.count(F.lit(1)).alias("silver_rows"), F.sum(F.col(SALARY).cast(MONEY)).alias("folha"))
+    taken = ledger(t.spark, history).groupBy(EXPORT_DATE).agg(
+        F.sum("rows").alias("rows"), F.sum("malformed").alias("malformed"))
+    held = read_quarantine(t.spark, history).groupBy(EXPORT_DATE).agg(
+        F.count_if(F.col("record").contains("k1")).alias("bad_keys"))
+    return taken.join(clean, EXPORT_DATE).join(held, EXPORT_DATE)
 
 
 def _late_export(t: Tables) -> DataFrame:
@@ -318,7 +339,7 @@ def _late_export(t: Tables) -> DataFrame:
     for day in (EXPORTS[2], EXPORTS[0]):
         _write_export(t, landing, day)
         ingest_increment(t.spark, landing, history, work.path("progress"), files_per_batch=2)
-    return current_view(clean_exports(t.spark.read.parquet(history), work))
+    return current_view(clean_exports(read_history(t.spark, history), work))
 
 
 def _export_document(t: Tables) -> DataFrame:
@@ -441,6 +462,7 @@ QUERIES: dict[str, Query] = {
     "csv_roundtrip": _csv_roundtrip,
     "silver_partitions": _silver_partitions,
     "incremental_ingest": _incremental_ingest,
+    "intake_quarantine": _intake_quarantine,
     "late_export": _late_export,
     "refreshed_exports": _refreshed_exports,
     # No SQL counterpart: results of a trained forest, and one JSON text.

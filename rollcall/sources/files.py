@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,7 +27,7 @@ def from_csv_types(df: DataFrame, schema: T.StructType) -> DataFrame:
     for field in schema:
         column = F.col(field.name)
         if isinstance(field.dataType, T.LongType):
-            column = F.regexp_replace(F.trim(column), r"\.0*$", "").try_cast("bigint")
+            column = _key_number(column)
         elif isinstance(field.dataType, T.IntegerType):
             column = column.try_cast("int")
         elif isinstance(field.dataType, T.DoubleType):
@@ -50,9 +50,17 @@ def header_of(spark: SparkSession, path: str, multi_line: bool = False) -> list[
     return [c.removeprefix("\ufeff").strip() for c in first.columns]
 
 
-def _read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool) -> DataFrame:
+def _key_number(text: Column) -> Column:
+    """A 64-bit number written as text, also as `100123.0`; NULL if it is no number."""
+    return F.regexp_replace(F.trim(text), r"\.0*$", "").try_cast("bigint")
+
+
+def read_csv_rows(spark: SparkSession, path: str | list[str], schema: T.StructType = BRONZE, multi_line: bool = False,
+                  more: Sequence[Column] = ()) -> DataFrame:
     """Columns found by the names in the header, whatever their order; MALFORMED holds a row that does not parse.
 
+    That is a row with too few or too many fields, with a number that does not parse, or with a key that is no number
+    (the record is then written anew from its fields). `more` adds columns of the file, such as `_metadata.file_path`.
     A file whose header differs from the first file's fails the read.
     """
     found = header_of(spark, path, multi_line)
@@ -63,23 +71,28 @@ def _read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line:
     raw = spark.read.schema(T.StructType([*fields, T.StructField(MALFORMED, T.StringType())])).options(
         header=True, encoding="UTF-8", multiLine=multi_line, enforceSchema=False,
         columnNameOfCorruptRecord=MALFORMED).csv(path)
+    keys = [F.col(f.name) for f in schema if isinstance(f.dataType, T.LongType)]
+    bad = [(F.length(F.trim(k)) > 0) & _key_number(k).isNull() for k in keys]
+    unreadable = F.coalesce(F.greatest(*bad, F.lit(False), F.lit(False)), F.lit(False))
+    record = F.coalesce(F.col(MALFORMED), F.when(unreadable, F.to_csv(F.struct(*[f.name for f in fields]))))
     # a value is only parsed where its column is read: this reads all, whatever is selected later
-    return raw.where(F.size(F.array(*[F.col(f.name).cast("string") for f in fields])) > 0)
+    return (raw.where(F.size(F.array(*[F.col(f.name).cast("string") for f in fields])) > 0)
+            .select(*[f.name for f in fields], record.alias(MALFORMED), *more))
 
 
 def read_bronze(spark: SparkSession, path: str, schema: T.StructType = BRONZE, multi_line: bool = False) -> DataFrame:
     """CSV export with a header (a leading BOM is accepted), under a declared schema, columns found by name.
 
-    Rows with too few or too many fields, or with a number that does not parse, are left to `read_malformed`.
+    Rows with too few or too many fields, or with a number or key that does not parse, are left to `read_malformed`.
     `multi_line` accepts line breaks inside quoted values, at the price of one task per file.
     """
-    raw = _read_csv(spark, path, schema, multi_line).where(F.col(MALFORMED).isNull())
+    raw = read_csv_rows(spark, path, schema, multi_line).where(F.col(MALFORMED).isNull())
     return from_csv_types(raw.select(*schema.fieldNames()), schema)
 
 
 def read_malformed(spark: SparkSession, path: str, schema: T.StructType = BRONZE, multi_line: bool = False) -> DataFrame:
     """(record): the text of the rows that `read_bronze` leaves out. Together they are all rows of the export."""
-    raw = _read_csv(spark, path, schema, multi_line)
+    raw = read_csv_rows(spark, path, schema, multi_line)
     return raw.where(F.col(MALFORMED).isNotNull()).select(F.col(MALFORMED).alias("record"))
 
 

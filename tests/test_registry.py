@@ -34,7 +34,7 @@ def test_query_equals_sql(spark, con, name):
     assert ok, note
 
 
-SLOW_TO_PLAN = {"incremental_ingest", "late_export", "refreshed_exports", "export_document"}
+SLOW_TO_PLAN = {"incremental_ingest", "late_export", "refreshed_exports", "export_document", "intake_quarantine"}
 
 
 @pytest.mark.parametrize("name", [n for n in QUERIES if n not in SLOW_TO_PLAN])
