@@ -114,6 +114,13 @@ COLUMNS: dict[str, Spec] = {name: spec(text) for name, text in {
     "incremental_ingest": _PERSON_RAW + " export_date",
     "refreshed_exports": "export_date senioridade headcount:int folha:d2",
     "intake_quarantine": "export_date rows:int malformed:int bad_keys:int silver_rows:int folha:d2",
+    "funnel_by_cohort": "competencia segmento view:int click:int signup:int purchase:int view_to_click:d4 "
+                        "click_to_signup:d4 signup_to_purchase:d4 mean_days:d3",
+    "stratified_split": "matricula:int label:int in_train:flag",
+    "encode_city": "matricula:int cidade cidade_mean:d9",
+    "city_means": "cidade other:flag mean:d9",
+    "rule_auc": "roc_auc:d9 positives:int negatives:int",
+    "quality_sla_model": "metric observed:d6 target:d4 alert:d4 state",
     "late_export": "matricula:int area senioridade export_date",
     "csv_roundtrip": _PERSON_RAW,
     "silver_partitions": "area rows:int",

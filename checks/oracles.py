@@ -371,6 +371,41 @@ ruled AS (
   FROM (SELECT *, round((10 - engajamento_score_base) / 20, 4) AS score FROM silver WHERE status = 'Ativo'))"""
 
 
+_SLA = f"""
+        SELECT 'key_completeness' AS metric, k AS observed, 1.0 AS target, 0.995 AS alert,
+          CASE WHEN k < 0.995 THEN 'alert' WHEN k >= 1 THEN 'ok' ELSE 'warn' END AS state
+        FROM (SELECT count(matricula) / CAST(count(*) AS DOUBLE) AS k FROM raw)
+        UNION ALL SELECT 'copies_share', k, 0.005, 0.01,
+          CASE WHEN k > 0.01 THEN 'alert' WHEN k < 0.005 THEN 'ok' ELSE 'warn' END
+        FROM (SELECT {_SHARE_COPIES} AS k FROM raw)
+        UNION ALL SELECT 'engagement_in_range', k, 1.0, 0.99,
+          CASE WHEN k < 0.99 THEN 'alert' WHEN k >= 1 THEN 'ok' ELSE 'warn' END
+        FROM (SELECT {_count('engajamento_score_base BETWEEN 0 AND 10')}
+              / CAST(count(engajamento_score_base) AS DOUBLE) AS k FROM raw)"""
+
+# The first event of the first stage, then for each person and stage the first event not before the one reached.
+_STEPS = f"""WITH s0 AS (SELECT user_id, min(ts) AS t0 FROM events WHERE event_type = '{STAGES[0]}' AND user_id IS NOT NULL
+  GROUP BY 1), """ + ", ".join(
+    f"""s{k} AS (SELECT *, (SELECT min(e.ts) FROM events e WHERE e.user_id = p.user_id AND e.event_type = '{s}'
+      AND e.ts >= p.t{k - 1}) AS t{k} FROM s{k - 1} p)""" for k, s in enumerate(STAGES) if k)
+
+_AUC = f"""{_LABELS},
+rated AS (SELECT label, round((10 - s.engajamento_score_base) / 20, 4) AS score
+          FROM labelled JOIN silver s USING (matricula)),
+ranked AS (
+  SELECT label, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2.0 AS place FROM rated
+  WHERE score IS NOT NULL),
+measured AS (
+  SELECT count(*) FILTER (label = 1) AS positives, count(*) FILTER (label = 0) AS negatives,
+    (sum(place) FILTER (label = 1) - positives * (positives + 1) / 2.0) / nullif(positives * negatives, 0) AS roc_auc
+  FROM ranked)"""
+
+_FOLDED = f"""{_LABELS},
+people AS (
+  SELECT matricula, s.cidade, label, CAST('0x' || substr(sha256('42|' || matricula), 1, 8) AS BIGINT) % 5 AS fold
+  FROM labelled JOIN silver s USING (matricula))"""
+
+
 def _plan(first: str, base: str) -> str:
     return f"""SELECT strftime(DATE '{first}' + to_months(CAST(i - 1 AS INT)), '%Y-%m') AS competencia, area,
       round(coalesce(b.hc, 50) * pow(1 + 0.045 / 12, i), 0) AS headcount_planejado
@@ -463,17 +498,7 @@ ORACLES: dict[str, tuple[str, str]] = {
         ("engagement_range", _count("engajamento_score_base NOT BETWEEN 0 AND 10"), "<=", "0"),
         ("start_date", _count("data_admissao IS NULL OR CAST(data_admissao AS DATE) <= DATE '2000-01-01'"), "==", "0"),
     ])),
-    "quality_sla": (NAMES, f"""
-        SELECT 'key_completeness' AS metric, k AS observed, 1.0 AS target, 0.995 AS alert,
-          CASE WHEN k < 0.995 THEN 'alert' WHEN k >= 1 THEN 'ok' ELSE 'warn' END AS state
-        FROM (SELECT count(matricula) / CAST(count(*) AS DOUBLE) AS k FROM raw)
-        UNION ALL SELECT 'copies_share', k, 0.005, 0.01,
-          CASE WHEN k > 0.01 THEN 'alert' WHEN k < 0.005 THEN 'ok' ELSE 'warn' END
-        FROM (SELECT {_SHARE_COPIES} AS k FROM raw)
-        UNION ALL SELECT 'engagement_in_range', k, 1.0, 0.99,
-          CASE WHEN k < 0.99 THEN 'alert' WHEN k >= 1 THEN 'ok' ELSE 'warn' END
-        FROM (SELECT {_count('engajamento_score_base BETWEEN 0 AND 10')}
-              / CAST(count(engajamento_score_base) AS DOUBLE) AS k FROM raw)"""),
+    "quality_sla": (NAMES, _SLA),
     "expectations_bronze": (NAMES, _checks("raw", [
         ("min_rows", "count(*)", ">=", "4000"),
         ("not_null:matricula", _count("matricula IS NULL"), "==", "0"),
@@ -651,6 +676,27 @@ ORACLES: dict[str, tuple[str, str]] = {
                "sk_colaborador sk_area sk_motivo sk_data_deslig sk_data_admissao"),
         _nulls("not_null_fct_headcount", "fact_hc", "sk_area competencia senioridade headcount")])),
     "funnel": (FUNNEL, f"SELECT *, {_RATES} FROM counted"),
+    "funnel_by_cohort": (_STEPS, f"""SELECT *, {_RATES} FROM (
+        SELECT strftime(t0, '%Y-%m') AS competencia, c_mktsegment AS segmento,
+          {', '.join(f'count(t{k}) AS {s}' for k, s in enumerate(STAGES))},
+          avg(date_sub('second', t0, t{len(STAGES) - 1})) / 86400 AS mean_days
+        FROM s{len(STAGES) - 1} LEFT JOIN customer ON c_custkey = user_id GROUP BY 1, 2)"""),
+    "stratified_split": (_LABELS, """SELECT matricula, label,
+        row_number() OVER (PARTITION BY label ORDER BY sha256('42|' || matricula), matricula)
+          <= 75 * count(*) OVER (PARTITION BY label) // 100 AS in_train FROM labelled"""),
+    "encode_city": (_FOLDED + """,
+cells AS (SELECT cidade, fold, sum(label) AS s, count(*) AS n FROM people GROUP BY ALL),
+priors AS (SELECT f.fold, sum(c.s) / sum(c.n) AS prior FROM (SELECT DISTINCT fold FROM people) f
+           JOIN cells c ON c.fold <> f.fold GROUP BY 1)""", """SELECT p.matricula, p.cidade,
+          (coalesce(sum(c.s), 0) + 20 * any_value(prior)) / (coalesce(sum(c.n), 0) + 20) AS cidade_mean
+        FROM people p JOIN priors USING (fold) LEFT JOIN cells c ON c.cidade IS NOT DISTINCT FROM p.cidade
+          AND c.fold <> p.fold GROUP BY 1, 2"""),
+    "city_means": (_FOLDED, """SELECT cidade, FALSE AS other,
+          (sum(label) + 20 * (SELECT avg(label) FROM people)) / (count(*) + 20) AS mean FROM people GROUP BY 1
+        UNION ALL SELECT NULL, TRUE, avg(label) FROM people"""),
+    "rule_auc": (_AUC, "SELECT * FROM measured"),
+    "quality_sla_model": (_AUC, _SLA + """ UNION ALL SELECT 'model_auc', roc_auc, 0.65, 0.6,
+        CASE WHEN roc_auc < 0.6 THEN 'alert' WHEN roc_auc >= 0.65 THEN 'ok' ELSE 'warn' END FROM measured"""),
     "attrition_labels": (_LABELS, "SELECT * FROM labelled"),
     "base_rate": (_LABELS, """SELECT count(*) AS eligible, sum(label) AS leavers,
         round(sum(label) / CAST(count(*) AS DOUBLE) * 100, 1) AS taxa_attrition_base FROM labelled"""),

@@ -16,7 +16,8 @@ from rollcall.fixed_values import (
     ACTIVE, ACTIVE_CORRECTED, AREAS, ENGAGEMENT_SCALE, LEADER, LEFT)
 from rollcall.functions import active_at, age_band, month_key, risk_band, salary_band
 from rollcall.functions.numbers import MONEY, exact_mean
-from rollcall.operators import dedup, joins, kpis, medians, model, planning, quality, repair, series, warehouse
+from rollcall.operators import (
+    dedup, encoding, joins, kpis, medians, model, planning, quality, ranking, repair, series, warehouse)
 from rollcall.plans import export
 from rollcall.plans.silver import clean_columns, quality_log, repair_rows, silver, staged_silver
 from rollcall.schema import END, ENGAGEMENT, KEY, KIND, REASON, SALARY, START
@@ -79,12 +80,15 @@ class Tables:
     def labelled(self) -> DataFrame:
         return model.label_attrition(self.silver, LABEL_DATE)
 
+    @cached_property
+    def split(self) -> tuple[DataFrame, DataFrame]:
+        return model.split_rows(self.labelled, self.store)
+
     @cached_property
     def forest(self):
-        train, _ = model.split_by_key(self.labelled)
         path = self.store.path("attrition_model")
-        model.save_model(model.train_attrition(train), path)
-        return model.load_model(path)
+        model.save_model(model.train_attrition(self.split[0], store=self.store), path)
+        return model.load_model(self.spark, path)
 
     @cached_property
     def scores(self) -> DataFrame:
@@ -92,9 +96,8 @@ class Tables:
 
     @cached_property
     def metrics(self) -> DataFrame:
-        train, test = model.split_by_key(self.labelled)
         return self.store.keep(
-            model.model_metrics(self.forest, train, test, self.scores, LABEL_DATE), "metrics")
+            model.model_metrics(self.forest, *self.split, self.scores, LABEL_DATE), "metrics")
 
     def scratch(self, name: str) -> Store:
         return Store(self.spark, f"{name}-{uuid.uuid4().hex[:8]}")
@@ -245,6 +248,12 @@ def _funnel(t: Tables) -> DataFrame:
     return kpis.funnel(t.raw("events"), STAGES, {"dia": F.to_date("ts")})
 
 
+def _funnel_by_cohort(t: Tables) -> DataFrame:
+    """By the month in which people began, and their market segment."""
+    people = t.raw("customer").select(F.col("c_custkey").alias("user_id"), F.col("c_mktsegment").alias("segmento"))
+    return kpis.ordered_funnel(t.raw("events"), STAGES, t.scratch("funnel"), people, ["segmento"])
+
+
 # --- model ---------------------------------------------------------------------------------------------
 
 def _risk_band(t: Tables) -> DataFrame:
@@ -253,6 +262,16 @@ def _risk_band(t: Tables) -> DataFrame:
     return t.silver.select(KEY, score.alias("score"), risk_band(score).alias("faixa_risco"))
 
 
+def _rule_auc(t: Tables) -> DataFrame:
+    """How well engagement alone tells who leaves: scores in tenths, so nearly all of them are tied."""
+    rated = t.labelled.select("label", F.round((10 - F.col(ENGAGEMENT)) / 20, 4).alias("score"))
+    return ranking.roc_auc(rated, t.scratch("auc"))
+
+
+def _sla_with_model(t: Tables) -> DataFrame:
+    return quality.quality_sla(t.bronze, auc=_rule_auc(t).first()["roc_auc"])
+
+
 def _rule_scores(t: Tables) -> DataFrame:
     """Active people with a score that follows from engagement alone, shaped as the model's scores are."""
     score = F.round((10 - F.col(ENGAGEMENT)) / 20, 4)
@@ -451,6 +470,12 @@ QUERIES: dict[str, Query] = {
         t.departures, warehouse.dim_date_for(t.silver), t.areas, REFERENCE_DATE),
     "star_constraints": _star_constraints,
     "funnel": _funnel,
+    "funnel_by_cohort": _funnel_by_cohort,
+    "stratified_split": lambda t: ranking.stratified_split(t.labelled, t.scratch("split")),
+    "encode_city": lambda t: encoding.encode_out_of_fold(t.labelled, "cidade", "cidade_mean"),
+    "city_means": lambda t: encoding.category_means(t.labelled, "cidade"),
+    "rule_auc": _rule_auc,
+    "quality_sla_model": _sla_with_model,
     "attrition_labels": lambda t: t.labelled,
     "base_rate": lambda t: model.base_rate(t.labelled),
     "risk_band": _risk_band,

@@ -12,6 +12,7 @@ from rollcall.fixed_values import (
 from rollcall.functions import exact_mean, lookup
 from rollcall.functions.numbers import MONEY
 from rollcall.schema import ENGAGEMENT, KEY, KIND, PERFORMANCE, REASON, SALARY
+from rollcall.sources.store import Store
 
 
 def area_risk_proxy(df: DataFrame) -> DataFrame:
@@ -159,3 +160,48 @@ def funnel(events: DataFrame, stages: Sequence[str], keys: Sequence[str] | dict[
         for a, b in zip(stages, stages[1:])
     ]
     return counted.select(*names, *stages, *ratios, F.round("mean_days", 4).alias("mean_days"))
+
+
+def step_times(events: DataFrame, stages: Sequence[str], store: Store, who: str = "user_id", stage: str = "event_type",
+               at: str = "ts") -> DataFrame:
+    """(who, t0, t1, ...): when each person who began passed each stage, every stage at or after the one before.
+
+    The first event of the first stage begins; then a person moves to stage k with the first event of that stage
+    which is not earlier than the move to stage k - 1, so taking the earliest one never costs a later stage. Each
+    stage is one join of its events with the people waiting for it and one aggregate, partial before the shuffle:
+    every event is shuffled once at most, and the events of a person are never gathered, however many there are.
+    """
+    def of(name: str) -> DataFrame:
+        return events.where((F.col(stage) == name) & F.col(who).isNotNull() & F.col(at).isNotNull()).select(
+            F.col(who).alias(who), F.col(at).alias("_at"))
+
+    people = store.keep(of(stages[0]).groupBy(who).agg(F.min("_at").alias("t0")), "step_0")
+    for k, name in enumerate(stages[1:], 1):
+        waiting = people.where(F.col(f"t{k - 1}").isNotNull()).select(who, F.col(f"t{k - 1}").alias("_from"))
+        moved = of(name).join(waiting, who).where(F.col("_at") >= F.col("_from")).groupBy(who).agg(
+            F.min("_at").alias(f"t{k}"))
+        people = store.keep(people.join(moved, who, "left"), f"step_{k}")
+    return people
+
+
+def ordered_funnel(events: DataFrame, stages: Sequence[str], store: Store, people: DataFrame | None = None,
+                   keys: Sequence[str] = (), who: str = "user_id", stage: str = "event_type",
+                   at: str = "ts") -> DataFrame:
+    """People per stage by the month in which they began and by `keys` of `people`; ratios and mean days to the end.
+
+    A person counts in a stage only after passing all before it, so the counts are nested: none exceeds the one to
+    its left. A path may cross midnight or the end of a month; it belongs to the month in which it began. People
+    whose keys are unknown form groups of NULLs.
+    """
+    times = step_times(events, stages, store, who, stage, at)
+    if people is not None:
+        one = people.groupBy(who).agg(*[F.min(k).alias(k) for k in keys])
+        times = times.join(one, who, "left")
+    last = f"t{len(stages) - 1}"
+    seconds = F.timestamp_diff("SECOND", F.col("t0"), F.col(last)).cast("decimal(20,0)")
+    counted = times.groupBy(F.date_format("t0", "yyyy-MM").alias("competencia"), *keys).agg(
+        *[F.count(f"t{k}").alias(s) for k, s in enumerate(stages)],
+        (F.sum(seconds).cast("double") / F.nullif(F.count(last), F.lit(0)) / 86400).alias("mean_days"))
+    ratios = [F.round(F.col(b).cast("double") / F.nullif(F.col(a), F.lit(0)), 4).alias(f"{a}_to_{b}")
+              for a, b in zip(stages, stages[1:])]
+    return counted.select("competencia", *keys, *stages, *ratios, F.round("mean_days", 4).alias("mean_days"))

@@ -4,23 +4,28 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollcall.fixed_values import ACTIVE, VOLUNTARY
 from rollcall.functions import active_at, risk_band
+from rollcall.operators.encoding import category_means, encode, encode_out_of_fold
 from rollcall.operators.quality import Rule, evaluate, union_checks
+from rollcall.operators.ranking import roc_auc, stratified_split
 from rollcall.schema import END, ENGAGEMENT, KEY, KIND, PERFORMANCE, PRODUCTIVITY, SALARY, START
+from rollcall.sources.store import Store
 
 TENURE = "tempo_casa_meses_ref"
 NUMERIC = ("idade", TENURE, SALARY, ENGAGEMENT, PERFORMANCE, PRODUCTIVITY)
-CATEGORICAL = ("area", "senioridade", "genero", "cidade")
+#: Closed lists are indexed; open ones, with any number of values, become means of the label.
+CATEGORICAL = ("area", "senioridade", "genero")
+OPEN = ("cidade",)
 SCORE = "risco_attrition_score"
 SEED = 42
 
@@ -61,12 +66,27 @@ def with_class_weight(df: DataFrame, label: str = "label") -> DataFrame:
     return df.withColumn("weight", weight)
 
 
-def check_categories(df: DataFrame, columns: Sequence[str], most: int) -> None:
-    """The distinct values of a category end up on the driver and as bins of every tree node, so they are counted
-    first."""
-    counts = df.agg(*[F.approx_count_distinct(c, 0.02).alias(c) for c in columns]).first().asDict()
-    if wide := {c: n for c, n in counts.items() if n > most}:
-        raise ValueError(f"too many distinct values for a category (limit {most}): {wide}")
+@dataclass(frozen=True)
+class AttritionModel:
+    """A fitted pipeline, and the tables of means by which open categories become numbers."""
+
+    pipeline: PipelineModel
+    means: dict[str, DataFrame]
+
+    @property
+    def stages(self) -> list:
+        return self.pipeline.stages
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        for column, table in self.means.items():
+            df = encode(df, table, column, f"{column}_mean")
+        return self.pipeline.transform(df)
+
+
+def split_rows(labelled: DataFrame, store: Store, share: int = 75) -> tuple[DataFrame, DataFrame]:
+    """Rows to train on and to test with, the same share of each class to one row."""
+    both = store.keep(stratified_split(labelled, store, share=share), "split")
+    return both.where("in_train").drop("in_train"), both.where("NOT in_train").drop("in_train")
 
 
 def spread(df: DataFrame, key: str, partitions: int) -> DataFrame:
@@ -77,14 +97,21 @@ def spread(df: DataFrame, key: str, partitions: int) -> DataFrame:
 
 def train_attrition(labelled: DataFrame, trees: int = 100, depth: int = 6, min_leaf: int = 15,
                     numeric: Sequence[str] = NUMERIC, categorical: Sequence[str] = CATEGORICAL,
-                    seed: int = SEED, max_categories: int = 10_000, key: str = KEY,
-                    partitions: int = 32) -> PipelineModel:
-    """Random forest over indexed categories. Unseen categories get a class of their own when scoring.
-
-    `partitions` is part of the model: choose it for the size of the table, not for the session.
+                    seed: int = SEED, key: str = KEY, partitions: int = 32, opened: Sequence[str] = OPEN,
+                    store: Store | None = None) -> AttritionModel:
+    """Random forest over indexed closed categories and smoothed means of open ones.
+
+    Values of a closed category end up on the driver and as bins of every node, so a column with any number of values
+    belongs to `opened`: it is trained on out of fold and scored by the means of all training rows. Unseen values get a
+    class of their own, or the mean of all. `partitions` is part of the model: choose it for the size of the table, not
+    for the session.
     """
-    check_categories(labelled, categorical, max_categories)
-    labelled = spread(labelled, key, partitions)
+    store = store or Store(labelled.sparkSession, "attrition")
+    means = {c: store.keep(category_means(labelled, c), f"means_{c}") for c in opened}
+    for c in opened:
+        labelled = encode_out_of_fold(labelled, c, f"{c}_mean", key=key)
+    labelled = spread(store.keep(labelled, "encoded"), key, partitions)
+    numeric = [*numeric, *[f"{c}_mean" for c in opened]]
     indexers: list[StringIndexerModel] = [
         StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep", stringOrderType="alphabetAsc")
         .fit(labelled)
@@ -96,12 +123,13 @@ def train_attrition(labelled: DataFrame, trees: int = 100, depth: int = 6, min_l
         labelCol="label", featuresCol="features", weightCol="weight", numTrees=trees, maxDepth=depth,
         minInstancesPerNode=min_leaf, seed=seed,
         maxBins=max(32, *[len(m.labels) + 1 for m in indexers]))
-    return Pipeline(stages=[*indexers, assembler, forest]).fit(with_class_weight(labelled))
+    return AttritionModel(Pipeline(stages=[*indexers, assembler, forest]).fit(with_class_weight(labelled)), means)
 
 
-def auc(model: PipelineModel, labelled: DataFrame) -> float:
-    return BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC").evaluate(
-        model.transform(labelled))
+def auc(model: AttritionModel, labelled: DataFrame, store: Store | None = None) -> float | None:
+    """Exact, with ties; None if only one class is there."""
+    scored = model.transform(labelled).select(vector_to_array("probability")[1].alias("score"), "label")
+    return roc_auc(scored, store or Store(labelled.sparkSession, "auc")).first()["roc_auc"]
 
 
 def temporal_holdout(df: DataFrame, train_ref: str | dt.date, test_ref: str | dt.date,
@@ -112,17 +140,17 @@ def temporal_holdout(df: DataFrame, train_ref: str | dt.date, test_ref: str | dt
     return label_attrition(df, train_ref, days), label_attrition(df, test_ref, days)
 
 
-def importances(model: PipelineModel, df: DataFrame) -> DataFrame:
+def importances(model: AttritionModel, df: DataFrame) -> DataFrame:
     """(feature, importance) from the forest. One row per feature."""
     assembler, forest = model.stages[-2], model.stages[-1]
-    names = [n.removesuffix("_idx") for n in assembler.getInputCols()]
+    names = [n.removesuffix("_idx").removesuffix("_mean") for n in assembler.getInputCols()]
     values = forest.featureImportances.toArray().tolist()
     rows = [F.struct(F.lit(n).alias("feature"), F.lit(v).alias("importance"))
             for n, v in zip(names, values, strict=True)]
     return df.sparkSession.range(1).select(F.inline(F.array(*rows))).orderBy(F.desc("importance"), "feature")
 
 
-def score_attrition(model: PipelineModel, df: DataFrame, as_of: str | dt.date) -> DataFrame:
+def score_attrition(model: AttritionModel, df: DataFrame, as_of: str | dt.date) -> DataFrame:
     """Risk score and band of everyone with active status, tenure taken at `as_of`."""
     today = df.where(F.col("status") == ACTIVE).withColumn(TENURE, tenure_at(F.lit(_date(as_of)), F.col(START)))
     scored = model.transform(today).withColumn(SCORE, vector_to_array("probability")[1])
@@ -139,7 +167,7 @@ def base_rate(labelled: DataFrame) -> DataFrame:
         F.round(F.sum("label") / F.nullif(F.count(F.lit(1)), F.lit(0)) * 100, 1).alias("taxa_attrition_base"))
 
 
-def model_metrics(model: PipelineModel, train: DataFrame, test: DataFrame, scores: DataFrame,
+def model_metrics(model: AttritionModel, train: DataFrame, test: DataFrame, scores: DataFrame,
                   ref: str | dt.date, days: int = 365) -> DataFrame:
     """One row: quality on the holdout, sizes, base rate, five strongest factors, people per risk band."""
     sizes = train.select("label", F.lit(1).alias("train"), F.lit(0).alias("test")).unionAll(
@@ -153,7 +181,7 @@ def model_metrics(model: PipelineModel, train: DataFrame, test: DataFrame, score
     top = importances(model, train).limit(5).agg(F.map_from_entries(F.collect_list(
         F.struct("feature", F.round("importance", 3)))).alias("fatores_risco_top5"))
     return base.select(
-        F.lit(round(auc(model, test), 3)).alias("roc_auc"), "*",
+        F.round(F.lit(auc(model, test)).cast("double"), 3).alias("roc_auc"), "*",
         top.scalar().alias("fatores_risco_top5"),
         *[bands.select(c).scalar().alias(c) for c in bands.columns],
         F.lit(str(_date(ref))).alias("data_referencia_treino"),
@@ -190,9 +218,14 @@ def is_retrain_day(day: Column) -> Column:
     return (F.weekday(day) == 0) & (F.dayofmonth(day) <= 7)
 
 
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def load_model(spark: SparkSession, path: str) -> AttritionModel:
+    pipeline = PipelineModel.load(f"{path}/pipeline")
+    opened = [c.removesuffix("_mean") for c in pipeline.stages[-2].getInputCols() if c.endswith("_mean")]
+    return AttritionModel(pipeline, {c: spark.read.parquet(f"{path}/means/{c}") for c in opened})
 
 
-def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
+def save_model(model: AttritionModel, path: str) -> None:
+    """Replaces a saved model, which must not be `model` itself as loaded from there."""
+    model.pipeline.write().overwrite().save(f"{path}/pipeline")
+    for column, table in model.means.items():
+        table.write.mode("overwrite").parquet(f"{path}/means/{column}")

@@ -5,7 +5,6 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 
 from rollcall.operators import kpis, model
@@ -27,7 +26,7 @@ def retrains_on(day: dt.date) -> bool:
     return day.weekday() == 0 and day.day <= 7
 
 
-def _outcome(forest: PipelineModel, silver: DataFrame, day: dt.date, store: Store,
+def _outcome(forest: model.AttritionModel, silver: DataFrame, day: dt.date, store: Store,
              metrics: DataFrame | None = None) -> Outcome:
     scores = store.keep(model.score_attrition(forest, silver, day), "scores")
     return Outcome(scores, kpis.risk_by_area(scores), kpis.top_risk(scores), metrics)
@@ -40,11 +39,11 @@ def run(silver: DataFrame, day: dt.date, model_path: str, store: Store, ref: dt.
     A new model replaces the saved one only after it passed the gate.
     """
     if not (retrains_on(day) if train is None else train):
-        return _outcome(model.load_model(model_path), silver, day, store)
+        return _outcome(model.load_model(silver.sparkSession, model_path), silver, day, store)
     ref = ref or day - dt.timedelta(days=days)
     labelled = store.keep(model.label_attrition(silver, ref, days), "labelled")
-    fitting, holdout = model.split_by_key(labelled)
-    forest = model.train_attrition(fitting, trees=trees)
+    fitting, holdout = model.split_rows(labelled, store)
+    forest = model.train_attrition(fitting, trees=trees, store=store)
     fresh = _outcome(forest, silver, day, store)
     metrics = store.keep(model.model_metrics(forest, fitting, holdout, fresh.scores, ref, days), "metrics")
     if gate:

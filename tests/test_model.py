@@ -90,7 +90,7 @@ def test_model_finds_the_cause(table, fitted, tmp_path):
     strict = model.model_gate(metrics, scores, min_scores=10**6, leading="idade").where("not passed")
     assert rows(strict, "check") == [("leading_factor:idade",), ("scored_rows",)]
     model.save_model(forest, str(tmp_path / "m"))
-    again = model.score_attrition(model.load_model(str(tmp_path / "m")), table, "2022-06-30")
+    again = model.score_attrition(model.load_model(table.sparkSession, str(tmp_path / "m")), table, "2022-06-30")
     assert rows(again, "matricula", "risco_attrition_score") == rows(scores, "matricula", "risco_attrition_score")
 
 
@@ -123,10 +123,21 @@ def test_retrain_on_first_monday(spark):
     assert rows(got, "d") == [("2024-01-01",), ("2024-02-05",)]
 
 
-def test_category_guard(table):
+def test_a_category_may_have_any_number_of_values(table):
+    """A city of its own for everyone: nothing is indexed, nothing is refused, unseen cities are scored."""
+    labelled = model.label_attrition(table, REF).withColumn("cidade", F.col("matricula").cast("string"))
+    forest = model.train_attrition(labelled, trees=2)
+    assert set(forest.means) == {"cidade"} and "cidade_mean" in forest.stages[-2].getInputCols()
+    assert model.score_attrition(forest, table, "2022-06-30").where("risco_attrition_score is null").count() == 0
+
+
+def test_metrics_take_exact_shares_of_each_class(table):
     labelled = model.label_attrition(table, REF)
-    with pytest.raises(ValueError, match="cidade"):
-        model.train_attrition(labelled, trees=1, max_categories=20)
+    train, test = model.split_rows(labelled, Store(table.sparkSession, "test-split"))
+    all_of, taken = ({r["label"]: r["n"] for r in df.groupBy("label").agg(F.count("*").alias("n")).collect()}
+                     for df in (labelled, train))
+    assert taken == {label: n * 75 // 100 for label, n in all_of.items()}
+    assert train.count() + test.count() == labelled.count()
 
 
 def test_daily_step_trains_on_the_first_monday_only(spark, table, tmp_path):
