@@ -1,9 +1,12 @@
 """Quality rules with thresholds that the data set: quantile sketches per language and source.
 
-Signals of a document are shares in thousandths (and tenths of characters for the mean word). A sketch counts the
-documents per whole value, so it has at most 1001 cells, merges by addition, and gives any quantile to one unit.
-Sketches of a source with few documents are merged into the one of its language, or of all. A signal's limit is its
-median plus a multiple of its spread, so what is usual in a language and source passes, wherever that lies.
+Signals of a document are shares in thousandths, and tenths of characters for the mean word. A sketch counts documents
+per cell of values: whole values below 256, then ranges of 1/128 of their value, so any value has a cell, sketches
+merge by addition, and a quantile is off by less than 1/128 of itself. The sketch of each language and source is merged
+with the one of its whole language, which counts as PRIOR documents at every size: a large source is judged by itself,
+a small one by its language, with no border between. A signal's limit lies above the group's median by a multiple of
+the distance to an upper quantile (SIGNALS), so what is usual in a language and source passes, wherever that lies. The
+only floor is the error of the sketch.
 
 Defined cases: a null text has no words. Null languages and sources are groups of their own. Every row is judged by
 itself. An empty table gives an empty table. Columns other than text, lang and source are not looked at.
@@ -20,16 +23,15 @@ from rollcall.sources import Store
 
 SYMBOLS = b"#*$%&|<>"
 CAPITALS = bytes(range(0x41, 0x5B))
-#: Largest cell of a sketch; what lies beyond counts as this.
-CELLS = 1000
 LEAST_WORDS, MOST_REPEATED = 50, 50
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-#: Signal: least distance of its limit from the median, in its own unit.
-SIGNALS = {"symbol_share": 30, "dup_line_share": 500, "repeat_share": 500, "capital_share": 150, "word_tenths": 25}
-#: Documents a sketch must have seen before it sets limits by itself.
-LEAST_DOCS = 200
-#: Times the distance from the median to the 75 % quantile.
-SPREADS = 8
+#: Signal: the upper quantile in percent, and how many times its distance from the median the limit lies above it.
+SIGNALS = {"symbol_share": (90, 4), "dup_line_share": (98, 2), "repeat_share": (95, 6), "capital_share": (90, 4),
+           "word_tenths": (90, 3)}
+#: Documents as which the sketch of the language counts beside the one of a source.
+PRIOR = 50
+#: Bits of a value that its cell keeps.
+CELL_BITS = 8
 
 
 def repeated_words(words: list[bytes]) -> int:
@@ -79,10 +81,9 @@ def base_failed() -> Column:
 
 
 def signals() -> dict[str, Column]:
-    """Whole numbers from 0 to CELLS, exact in any engine."""
+    """Whole numbers, exact in any engine."""
     def share(part: str, whole: str, scale: int) -> Column:
-        value = F.expr(f"{scale} * {part} DIV greatest({whole}, 1)")
-        return F.least(value, F.lit(CELLS)).cast("int")
+        return F.expr(f"{scale} * {part} DIV greatest({whole}, 1)")
     return {"symbol_share": share("n_symbols", "word_chars", 1000),
             "dup_line_share": share("n_dup_lines", "n_lines", 1000),
             "repeat_share": share("n_repeat_words", "n_words", 1000),
@@ -90,43 +91,59 @@ def signals() -> dict[str, Column]:
             "word_tenths": share("word_chars", "n_words", 10)}
 
 
+def cell_of(value: str) -> Column:
+    """The least value of the cell: all but the leading CELL_BITS bits are zero."""
+    low = f"greatest(length(bin({value})) - {CELL_BITS}, 0)"
+    return F.expr(f"shiftleft(shiftright({value}, {low}), {low})")
+
+
 def sketches(measures: DataFrame) -> DataFrame:
-    """lang, source, signal, cell, n: documents that pass the base rules, counted per whole value of each signal."""
-    each = F.explode(F.array(*[F.struct(F.lit(s).alias("signal"), v.alias("cell")) for s, v in signals().items()]))
+    """lang, source, signal, cell, n: documents that pass the base rules, counted per cell of each signal."""
+    each = F.explode(F.array(*[F.struct(F.lit(s).alias("signal"), v.alias("value")) for s, v in signals().items()]))
     return (measures.where(~base_failed()).select("lang", "source", each.alias("e"))
-            .groupBy("lang", "source", "e.signal", "e.cell").agg(F.count(F.lit(1)).alias("n")))
+            .select("lang", "source", "e.signal", cell_of("e.value").alias("cell"))
+            .groupBy("lang", "source", "signal", "cell").agg(F.count(F.lit(1)).alias("n")))
 
 
-def limits(sketch: DataFrame, by: list[str]) -> DataFrame:
-    """by, signal, docs, limit: from the sketches merged into the groups `by`."""
-    merged = sketch.groupBy(*by, "signal", "cell").agg(F.sum("n").alias("n"))
-    group = Window.partitionBy(*by, "signal")
-    merged = (merged.withColumn("below", F.sum("n").over(group.orderBy("cell")))
-              .withColumn("docs", F.sum("n").over(group)))
+def merged_sketches(sketch: DataFrame, store: Store) -> DataFrame:
+    """lang, source, signal, cell, weight: each source's sketch with its language's, scaled to PRIOR documents.
 
-    def quantile(percent: int) -> Column:
-        return F.min(F.when(100 * F.col("below") >= percent * F.col("docs"), F.col("cell")))
-
-    width = F.create_map(*[F.lit(x) for item in SIGNALS.items() for x in item])
-    spread = F.greatest(SPREADS * (F.col("q75") - F.col("q50")), width[F.col("signal")])
-    return (merged.groupBy(*by, "signal").agg(F.max("docs").alias("docs"), quantile(50).alias("q50"),
-                                              quantile(75).alias("q75"))
-            .withColumn("limit", F.col("q50") + spread).drop("q50", "q75"))
+    Weights are whole: n of the source times the documents of the language, plus n of the language times PRIOR.
+    """
+    language = store.keep(sketch.groupBy("lang", "signal", "cell").agg(F.sum("n").alias("shared")).withColumnsRenamed(
+        {"lang": "_lang", "signal": "_signal"}), "languages")
+    groups = sketch.select("lang", "source", "signal").distinct()
+    prior = groups.join(language, F.col("lang").eqNullSafe(F.col("_lang")) & (F.col("signal") == F.col("_signal")))
+    both = sketch.select("*", F.lit(0).cast("long").alias("shared")).unionByName(
+        prior.select("lang", "source", "signal", "cell", F.lit(0).cast("long").alias("n"), "shared"))
+    cells = both.groupBy("lang", "source", "signal", "cell").agg(F.sum("n").alias("n"), F.sum("shared").alias("shared"))
+    in_language = F.sum("shared").over(Window.partitionBy("lang", "source", "signal")).cast("decimal(18,0)")
+    weight = F.col("n").cast("decimal(18,0)") * in_language + F.col("shared").cast("decimal(18,0)") * PRIOR
+    return cells.select("lang", "source", "signal", "cell", weight.alias("weight"))
+
+
+def limits(merged: DataFrame) -> DataFrame:
+    """lang, source, signal, limit: the largest value that passes."""
+    group = Window.partitionBy("lang", "source", "signal")
+    summed = (merged.withColumn("below", F.sum("weight").over(group.orderBy("cell")))
+              .withColumn("all", F.sum("weight").over(group)))
+    upper, times = (F.create_map(*[F.lit(x) for s, v in SIGNALS.items() for x in (s, v[k])])[F.col("signal")]
+                    for k in (0, 1))
+
+    def quantile(percent: Column) -> Column:
+        return F.min(F.when(100 * F.col("below") >= percent * F.col("all"), F.col("cell")))
+
+    found = summed.groupBy("lang", "source", "signal").agg(quantile(F.lit(50)).alias("middle"),
+                                                           quantile(upper).alias("upper"))
+    limit = F.col("middle") + times * (F.col("upper") - F.col("middle"))
+    return found.withColumn("_limit", limit).select(
+        "lang", "source", "signal", F.expr("_limit + greatest(1, _limit DIV 128)").alias("limit"))
 
 
 def thresholds(measures: DataFrame, store: Store) -> DataFrame:
     """lang, source and the limit of each signal; no row for a group in which no document passes the base rules."""
     sketch = store.keep(sketches(measures), "sketches")
-    general = {r.signal: r.limit for r in limits(sketch, []).collect()}  # one row per signal
-    own = limits(sketch, ["lang", "source"])
-    language = limits(sketch, ["lang"]).select(
-        F.col("lang").alias("_lang"), F.col("signal").alias("_signal"),
-        F.when(F.col("docs") >= LEAST_DOCS, F.col("limit")).alias("_limit"))
-    both = own.join(language, F.col("lang").eqNullSafe(F.col("_lang")) & (F.col("signal") == F.col("_signal")))
-    rest = F.create_map(*[F.lit(x) for item in (general or {"": 0}).items() for x in item])
-    chosen = both.withColumn("limit", F.when(F.col("docs") >= LEAST_DOCS, F.col("limit"))
-                             .otherwise(F.coalesce("_limit", rest[F.col("signal")])))
-    per_group = chosen.groupBy("lang", "source").agg(
+    per_group = limits(merged_sketches(sketch, store)).groupBy("lang", "source").agg(
         *[F.max(F.when(F.col("signal") == s, F.col("limit"))).alias(f"{s}_limit") for s in SIGNALS])
     return store.keep(per_group, "thresholds")
 
@@ -186,26 +203,35 @@ based AS (
            n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM measured),
 signals AS (
     SELECT doc_id, lang, source, base_failed, unnest([
-        {'signal': 'symbol_share', 'cell': 1000 * n_symbols // greatest(word_chars, 1), 'width': 30},
-        {'signal': 'dup_line_share', 'cell': 1000 * n_dup_lines // greatest(n_lines, 1), 'width': 500},
-        {'signal': 'repeat_share', 'cell': 1000 * n_repeat_words // greatest(n_words, 1), 'width': 500},
-        {'signal': 'capital_share', 'cell': 1000 * n_capitals // greatest(word_chars, 1), 'width': 150},
-        {'signal': 'word_tenths', 'cell': 10 * word_chars // greatest(n_words, 1), 'width': 25}], recursive := true)
+        {'signal': 'symbol_share', 'value': 1000 * n_symbols // greatest(word_chars, 1), 'up': 90, 'times': 4},
+        {'signal': 'dup_line_share', 'value': 1000 * n_dup_lines // greatest(n_lines, 1), 'up': 98, 'times': 2},
+        {'signal': 'repeat_share', 'value': 1000 * n_repeat_words // greatest(n_words, 1), 'up': 95, 'times': 6},
+        {'signal': 'capital_share', 'value': 1000 * n_capitals // greatest(word_chars, 1), 'up': 90, 'times': 4},
+        {'signal': 'word_tenths', 'value': 10 * word_chars // greatest(n_words, 1), 'up': 90, 'times': 3}],
+        recursive := true)
     FROM based),
-cells AS (SELECT * REPLACE (least(cell, 1000) AS cell) FROM signals),
+cells AS (
+    SELECT *, (value >> greatest(length(bin(value)) - 8, 0)::BIGINT) << greatest(length(bin(value)) - 8, 0)::BIGINT AS cell
+    FROM signals),
+counted AS (
+    SELECT g.lang, g.source, g.signal, c.cell, any_value(c.up) AS up, any_value(c.times) AS times,
+           (count(*) FILTER (c.source IS NOT DISTINCT FROM g.source))::HUGEINT AS own, count(*)::HUGEINT AS shared
+    FROM (SELECT DISTINCT lang, source, signal FROM cells WHERE NOT base_failed) g
+    JOIN cells c ON c.signal = g.signal AND c.lang IS NOT DISTINCT FROM g.lang WHERE NOT c.base_failed GROUP BY ALL),
+weighed AS (SELECT *, own * sum(shared) OVER (PARTITION BY lang, source, signal) + shared * 50 AS weight FROM counted),
+placed AS (
+    SELECT *, sum(weight) OVER (PARTITION BY lang, source, signal ORDER BY cell) AS below,
+           sum(weight) OVER (PARTITION BY lang, source, signal) AS every FROM weighed),
+quantiles AS (
+    SELECT lang, source, signal, any_value(times) AS times, min(cell) FILTER (100 * below >= 50 * every) AS middle,
+           min(cell) FILTER (100 * below >= up * every) AS upper FROM placed GROUP BY 1, 2, 3),
 limits AS (
-    SELECT lang, source, signal, grouping(lang, source) AS level, count(*) AS docs,
-           quantile_disc(cell, 0.5) + greatest(8 * (quantile_disc(cell, 0.75) - quantile_disc(cell, 0.5)), max(width))
-               AS bound
-    FROM cells WHERE NOT base_failed GROUP BY GROUPING SETS ((lang, source, signal), (lang, signal), (signal))),
+    SELECT lang, source, signal, l + greatest(1, l // 128) AS bound
+    FROM (SELECT *, middle + times * (upper - middle) AS l FROM quantiles)),
 verdicts AS (
-    SELECT c.doc_id, bool_and(coalesce(c.cell <= CASE WHEN s.docs >= 200 THEN s.bound WHEN l.docs >= 200 THEN l.bound
-                                       ELSE g.bound END OR s.docs IS NULL, TRUE)) AS inside
-    FROM cells c
-    LEFT JOIN limits s ON s.level = 0 AND s.signal = c.signal AND s.lang IS NOT DISTINCT FROM c.lang
-                      AND s.source IS NOT DISTINCT FROM c.source
-    LEFT JOIN limits l ON l.level = 1 AND l.signal = c.signal AND l.lang IS NOT DISTINCT FROM c.lang
-    LEFT JOIN limits g ON g.level = 3 AND g.signal = c.signal
+    SELECT c.doc_id, bool_and(coalesce(c.value <= s.bound, TRUE)) AS inside
+    FROM cells c LEFT JOIN limits s ON s.signal = c.signal AND s.lang IS NOT DISTINCT FROM c.lang
+                                   AND s.source IS NOT DISTINCT FROM c.source
     GROUP BY c.doc_id)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND inside AS kept

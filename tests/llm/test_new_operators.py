@@ -235,3 +235,43 @@ def test_manifest_of_several_tiers(spark):
     assert len(kept.rows) == 3 and len(kept.sources) == 3
     assert kept.root().first().root == brute.merkle(rows)[0][3]
     assert {r.n for r in kept.rows[0].select("n").collect()} <= set(range(1, 10))
+
+
+# --- adaptive limits of the quality rules
+
+def test_cells_are_near_their_values_and_merge(spark):
+    from rollcall.llm import quality
+
+    values = [*range(0, 2000), *(7 ** k for k in range(2, 20))]
+    got = spark.createDataFrame([(v,) for v in values], "v long").select("v", quality.cell_of("v").alias("cell")).collect()
+    assert all(r.cell <= r.v and 128 * (r.v - r.cell) <= max(r.v, 1) for r in got)
+    assert all(r.cell == r.v for r in got if r.v < 256)
+
+
+def test_limits_equal_quantiles_of_the_merged_group(spark):
+    """Every signal can reject, limits differ between groups, and a long unspaced word is no end of the scale."""
+    from rollcall.llm import quality
+
+    def text(k, symbols, width, capitals=0):
+        words = [chr(97 + j % 26) * 3 + f"{k}x{j}" + "y" * width for j in range(60)]
+        words = [w.upper() if j < capitals else w for j, w in enumerate(words)]
+        return " ".join(words) + " " + "#" * symbols
+
+    rows = [(k, text(k, k % 3, 2), "en", "plain", 0) for k in range(300)]
+    rows += [(1000 + k, text(k, 40 + k % 5, 3), "en", "code", 0) for k in range(300)]
+    rows += [(2000 + k, text(k, 0, 110 + k % 3), "zh", "long", 0) for k in range(60)]
+    odd = [(5000, text(1, 45, 2), "en", "plain", 0), (5001, text(1, 45, 3), "en", "code", 0),
+           (5002, text(1, 0, 3000), "zh", "long", 0), (5003, text(1, 1, 2, 60), "en", "plain", 0)]
+    docs = spark.createDataFrame(rows + odd, SCHEMA)
+    kept = {r.doc_id for r in quality.kept_documents(docs).select("doc_id").collect()}
+    assert kept == {r[0] for r in rows} | {5001}
+
+
+def test_quality_on_held_out_rows_of_each_label(spark):
+    """Nothing here is learnt from labels: clean rows stay but for the base rules, labelled junk goes."""
+    folder = "/root/testdata/sf0.1"
+    got = {r.doc_id: r for r in entry.queries()["op3_quality_rules"](spark, folder).collect()}
+    labels = connect(folder).execute("SELECT doc_id, quality FROM labels WHERE quality IS NOT NULL").fetchall()
+    clean, junk = ([got[i] for i, y in labels if y == k and not got[i].base_failed] for k in (1, 0))
+    assert sum(r.kept for r in clean) / len(clean) > 0.98
+    assert sum(r.kept for r in junk) / len(junk) < 0.05
