@@ -43,15 +43,19 @@ def lower_bytes(text: bytes) -> bytes:
     return text.lower()
 
 
-def map_columns(df: DataFrame, schema: str, make: Callable[[], Callable[[Columns], Columns]]) -> DataFrame:
-    """`mapInArrow` over columns as Python lists. `make` runs once per task and may set up caches there."""
+def map_columns(df: DataFrame, schema: str, make: Callable[[], Callable[[Columns], Columns]],
+                rows: int | None = None) -> DataFrame:
+    """`mapInArrow` over columns as Python lists. `make` runs once per task and may set up caches there. With `rows`, a
+    batch is turned into lists in slices of so many rows, which bounds the copies held of wide rows."""
     session_of(df)
     arrow = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
         for batch in batches:
-            yield pa.RecordBatch.from_pydict(work(batch.to_pydict()), schema=arrow)
+            for first in range(0, batch.num_rows, rows or max(batch.num_rows, 1)):
+                part = batch.slice(first, rows)
+                yield pa.RecordBatch.from_pydict(work(part.to_pydict()), schema=arrow)
 
     return df.mapInArrow(run, schema)
 

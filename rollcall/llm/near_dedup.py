@@ -34,6 +34,8 @@ from rollcall.llm.common import TEXT_BYTES, Memo, components, map_columns, sessi
 from rollcall.sources import Store
 
 ROWS_PER_BAND = 4
+#: Rows with texts, signatures or sets that a task takes at once.
+SLICE = 500
 #: Hashes compared at a time, and the posterior chance of a link below which a pair is dropped.
 BATCH, MISS = 8, 1e-9
 BLOCK = 512
@@ -139,7 +141,7 @@ def sketched(docs: DataFrame, width: int, n: int, sets: bool) -> DataFrame:
         return work
 
     return map_columns(docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.expr(TEXT_BYTES).alias("body")),
-                       "doc_id long, text_hash long, n_shingles long, class binary, data binary", make)
+                       "doc_id long, text_hash long, n_shingles long, class binary, data binary", make, SLICE)
 
 
 def _bands(n: int):
@@ -282,7 +284,7 @@ def _blocks(open_members: DataFrame, sizes: DataFrame, percent: int, store: Stor
 
 def link_classes(docs: DataFrame, classes: DataFrame, width: int, percent: int, n: int, store: Store) -> DataFrame:
     """a, b: links between classes whose components are those of all pairs that reach the threshold."""
-    banded = map_columns(classes.select("class", "data"), "class binary, band int, bucket binary", _bands(n))
+    banded = map_columns(classes.select("class", "data"), "class binary, band int, bucket binary", _bands(n), SLICE)
     banded = store.keep(banded, "banded")
     buckets = (banded.groupBy("band", "bucket")
                .agg(F.count(F.lit(1)).alias("size"), F.min("class").alias("first")).where("size > 1"))
@@ -301,10 +303,10 @@ def link_classes(docs: DataFrame, classes: DataFrame, width: int, percent: int,
     pairs = (members.where(F.col("class") != F.col("first"))
              .select(F.col("first").alias("a"), F.col("class").alias("b")).distinct())
     near = map_columns(_with(_with(pairs, classes, "a", "sa"), classes, "b", "sb").select("a", "b", "sa", "sb"),
-                       "a binary, b binary", _prune(percent, n))
+                       "a binary, b binary", _prune(percent, n), SLICE)
     near = store.keep(near, "near")
     checked = map_columns(_with(_with(near, sets, "a", "xa"), sets, "b", "xb").select("a", "b", "xa", "xb"),
-                          "a binary, b binary", _verify(percent))
+                          "a binary, b binary", _verify(percent), SLICE)
     links = store.keep(checked, "links")
 
     labels = store.keep(components(links, store, "star"), "labels")

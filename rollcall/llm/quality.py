@@ -14,11 +14,16 @@ itself. An empty table gives an empty table. Columns other than text, lang and s
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
-from rollcall.llm.common import TEXT_BYTES, map_columns, store_of
+from rollcall.llm.common import TEXT_BYTES, session_of, store_of
 from rollcall.sources import Store
 
 SYMBOLS = b"#*$%&|<>"
@@ -30,6 +35,8 @@ SIGNALS = {"symbol_share": (90, 4), "dup_line_share": (98, 2), "repeat_share": (
            "word_tenths": (90, 3)}
 #: Documents as which the sketch of the language counts beside the one of a source.
 PRIOR = 50
+#: Rows that a task measures at once.
+SLICE = 1000
 #: Bits of a value that its cell keeps.
 CELL_BITS = 8
 
@@ -65,15 +72,19 @@ def measured(docs: DataFrame, keep: dict[str, Column]) -> DataFrame:
     source = docs.select(*[c.alias(k) for k, c in keep.items()], F.expr(TEXT_BYTES).alias("body"))
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in source.schema if f.name != "body")
     schema += "".join(f", {n} long" for n in names)
+    arrow = to_arrow_schema(StructType.fromDDL(schema))
+    session_of(docs)
     kept_names = list(keep)
 
-    def make():
-        def work(c):
-            found = list(zip(*map(measure, c["body"]))) or [[] for _ in names]
-            return {k: c[k] for k in kept_names} | dict(zip(names, map(list, found)))
-        return work
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first in range(0, batch.num_rows, SLICE):
+                part = batch.slice(first, SLICE)
+                found = zip(*map(measure, part["body"].to_pylist()))
+                handed = [part[c].cast(arrow.field(c).type) for c in kept_names]  # never turned into Python objects
+                yield pa.RecordBatch.from_arrays([*handed, *[pa.array(c, pa.int64()) for c in found]], schema=arrow)
 
-    return map_columns(source, schema, make)
+    return source.mapInArrow(run, schema)
 
 
 def base_failed() -> Column:
