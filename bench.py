@@ -23,7 +23,8 @@ HEADLINE = (
     "root_cause", "action_plan", "kpi_cover", "workforce_plan", "plan_gap", "scd2_employee", "dim_employee",
     "fact_departure", "fact_headcount", "turnover_ltm", "nine_box_view", "turnover_cost_ltm", "star_constraints",
     "funnel", "attrition_labels", "attrition_scores", "model_metrics", "risk_by_area", "top_risk", "csv_roundtrip",
-    "silver_partitions", "incremental_ingest",
+    "silver_partitions", "incremental_ingest", "intake_quarantine", "funnel_by_cohort", "stratified_split", "encode_city",
+    "rule_auc",
 )
 ONCE = {"attrition_scores", "model_metrics"}  # the forest is trained once per session, so a repeat only reads results
 REPEATS = int(os.environ.get("BENCH_REPEATS", "2"))
