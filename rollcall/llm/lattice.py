@@ -1,10 +1,12 @@
-"""LM scoring: corpus word counts, backed off to the marginal probability of a subword lattice.
+"""LM scoring: the marginal probability of a document over all its splits into pieces of a subword lattice.
 
 A word's lattice holds every way to split it into pieces of an existing vocabulary, whose scores weight the pieces; the
-forward recursion in log space sums over all of them. One pass of expectation-maximisation over the distinct training
-words adds their expected piece counts to those weights. The marginal is the prior of a word model counted over the
-training documents: P(word) = (count + types * lattice) / (tokens + types). The product over a text's words and its
-end is the marginal probability of the text, since no piece crosses a word's border.
+forward recursion in log space sums over all of them. One pass of expectation-maximisation over the training words adds
+their expected piece counts to those weights. `score` is the sum of the logarithms of a text's words and its end: since
+no piece crosses a word's border, that is the marginal probability of the text over all its segmentations.
+
+`mixture_score` is a second model, in which the marginal is the prior of the words counted over the training documents:
+P(word) = (count + types * lattice) / (tokens + types).
 
 Words are counted per batch before they are shuffled. The `frequent` most frequent words, a fixed number, go to every
 task; a document's other words are joined with the stored vocabulary, which is never held in one place.
@@ -106,11 +108,11 @@ class Lattice:
                     terms[end].append(total + weight)
                 end += 1
 
-    def expect(self, word: str, into: dict[str, float]) -> None:
-        """Adds the pieces that a segmentation, drawn by its probability, is expected to hold."""
+    def expect(self, word: str, into: dict[str, float], times: float = 1.0) -> None:
+        """Adds the pieces that `times` segmentations, drawn by their probability, are expected to hold."""
         forward, ending = self._forward(WORD_START + word)
         share, exp = [0.0] * len(forward), math.exp
-        share[-1] = 1.0
+        share[-1] = times
         for end in range(len(forward) - 1, 0, -1):
             whole, total = share[end], forward[end]
             if whole > 1e-9:  # what is below adds nothing to counts that are rounded to a millionth
@@ -161,18 +163,19 @@ def count_words(texts: DataFrame) -> DataFrame:
 
 
 def refit(counts: DataFrame, path: str) -> Lattice:
-    """The lattice after one pass over all distinct training words. One row per piece reaches the driver."""
+    """The lattice after one pass over all training words, each as often as it occurs. One row per piece reaches the
+    driver."""
     def make():
         own = lattice(path)
 
         def work(c):
             into: dict[str, float] = {}
-            for word in c["word"]:
-                own.expect(word.decode(), into)
+            for word, times in zip(c["word"], c["count"]):
+                own.expect(word.decode(), into, times)
             return {"piece": list(into), "times": list(into.values())}
         return work
 
-    words = counts.where("count > 0").select("word")
+    words = counts.where("count > 0")
     expected = (map_columns(words, "piece string, times double", make)
                 .groupBy("piece").agg(F.sum("times").alias("times")))
     return lattice(path).refitted({r.piece: round(r.times, 6) for r in expected.collect()})
@@ -191,7 +194,7 @@ def with_prior(counts: DataFrame, own: Lattice) -> DataFrame:
 
 
 def score_texts(docs: DataFrame, path: str, frequent: int = FREQUENT) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row."""
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score and mixture_score of every row."""
     store = store_of(docs, "lattice")
     texts = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.expr(TEXT_BYTES).alias("body"))
     counts = store.keep(count_words(texts), "counts")
@@ -207,34 +210,37 @@ def score_texts(docs: DataFrame, path: str, frequent: int = FREQUENT) -> DataFra
                 F.log10(count + max(types, 1) * F.exp(prior)) - model_rest]
 
     # a prior too small for a double would be zero; such a word is scored from its logarithm alone
-    base, model = scores(F.col("count"), F.col("prior"))
-    model = F.when((F.col("count") == 0) & (F.col("prior") < -600),
-                   F.col("prior") / LN10 + math.log10(max(types, 1)) - model_rest).otherwise(model)
+    base, mixture = scores(F.col("count"), F.col("prior"))
+    mixture = F.when((F.col("count") == 0) & (F.col("prior") < -600),
+                     F.col("prior") / LN10 + math.log10(max(types, 1)) - model_rest).otherwise(mixture)
     vocabulary = vocabulary.select("word", (F.col("count") > 0).cast("long").alias("known"), base.alias("base"),
-                                   model.alias("model"), "count")
+                                   (F.col("prior") / LN10).alias("marginal"), mixture.alias("mixture"), "count")
     top = vocabulary.orderBy(F.desc("count"), "word").limit(frequent).drop("count").collect()
-    table = {bytes(r.word): (r.known, r.base, r.model) for r in top}
+    table = {bytes(r.word): (r.known, r.base, r.marginal, r.mixture) for r in top}
     shared = store.spark.sparkContext.broadcast(table)
     end_base = math.log10(ends + 1) - base_rest
-    end_model = math.log10(ends + max(types, 1) * END_SHARE) - model_rest
+    end_marginal = math.log10(END_SHARE)
+    end_mixture = math.log10(ends + max(types, 1) * END_SHARE) - model_rest
 
     def make():
         own = shared.value
 
         def work(c):
-            out = {k: [] for k in ("n_tokens", "n_known", "base_score", "score", "rare")}
+            out = {k: [] for k in ("n_tokens", "n_known", "base_score", "score", "mixture_score", "rare")}
             for body in c["body"]:
                 counts = Counter(body.lower().split())
-                n, known, base, model, rare = 1, int(ends > 0), end_base, end_model, []
+                n, known, rare = 1, int(ends > 0), []
+                base, marginal, mixture = end_base, end_marginal, end_mixture
                 for word, times in counts.items():
                     n += times
                     if found := own.get(word):
                         known += times * found[0]
                         base += times * found[1]
-                        model += times * found[2]
+                        marginal += times * found[2]
+                        mixture += times * found[3]
                     else:
                         rare.append({"word": word, "times": times})
-                for k, v in zip(out, (n, known, base, model, rare)):
+                for k, v in zip(out, (n, known, base, marginal, mixture, rare)):
                     out[k].append(v)
             return {"row": c["row"], "doc_id": c["doc_id"], "held_out": c["held_out"]} | out
         return work
@@ -242,12 +248,12 @@ def score_texts(docs: DataFrame, path: str, frequent: int = FREQUENT) -> DataFra
     rows = map_columns(
         texts.withColumn("row", F.monotonically_increasing_id()),
         "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, "
-        "rare array<struct<word: binary, times: long>>", make)
+        "mixture_score double, rare array<struct<word: binary, times: long>>", make)
     rows = store.keep(rows, "rows")
     rare = (rows.select("row", F.explode("rare").alias("r")).select("row", "r.word", "r.times")
             .join(vocabulary.drop("count"), "word")
             .groupBy("row").agg(*[F.sum(F.col("times") * F.col(c)).alias(f"rare_{c}")
-                                  for c in ("known", "base", "model")]))
+                                  for c in ("known", "base", "marginal", "mixture")]))
 
     def total(column: str, more: str) -> Column:
         # sums of doubles differ in their last digits with the order of rows
@@ -256,4 +262,5 @@ def score_texts(docs: DataFrame, path: str, frequent: int = FREQUENT) -> DataFra
 
     return rows.drop("rare").join(rare, "row", "left").select(
         "doc_id", "held_out", "n_tokens", total("n_known", "rare_known"), F.lit(tokens).cast("long")
-        .alias("train_tokens"), total("base_score", "rare_base"), total("score", "rare_model"))
+        .alias("train_tokens"), total("base_score", "rare_base"), total("score", "rare_marginal"),
+        total("mixture_score", "rare_mixture"))

@@ -73,6 +73,37 @@ def base_scores(rows: list[tuple]) -> dict:
                 sum(math.log10((counts[t] + 1) / (n + v + 1)) for t in ts)) for i, ts in tokens.items()}
 
 
+def splits(text: str, pieces: dict[str, float], byte: float) -> list[tuple[list[str], float]]:
+    """Every split of a text into pieces, "" for a character in bytes, with its probability."""
+    if not text:
+        return [([], 1.0)]
+    firsts = [(text[:k], pieces[text[:k]], k) for k in range(1, len(text) + 1) if text[:k] in pieces]
+    firsts.append(("", byte ** len(text[0].encode()), 1))
+    return [([piece, *rest], p * q) for piece, p, k in firsts for rest, q in splits(text[k:], pieces, byte)]
+
+
+def lattice_scores(rows: list[tuple], pieces: dict[str, float], byte: float, own: float, end: float) -> dict:
+    """doc_id: (score, mixture_score), by writing out all splits of all words. Weights are probabilities."""
+    words = {r[0]: WORD.findall(lower(r[1] or "")) for r in rows}
+    train = [i for i in words if fold(i, 7) != 2]
+    counts = Counter(w for i in train for w in words[i])
+    held = Counter()
+    for word, times in counts.items():
+        ways = splits("\u2581" + word, pieces, byte)
+        total = sum(p for _, p in ways)
+        for split, p in ways:
+            for piece in split:
+                held[piece] += times * p / total
+    whole = sum(held.values()) + own
+    fitted = {x: (held[x] + own * p) / whole for x, p in pieces.items()}
+    prior = {w: (1 - end) * sum(p for _, p in splits("\u2581" + w, fitted, byte)) for ws in words.values() for w in ws}
+    types, tokens = len(counts) + (len(train) > 0), sum(counts.values()) + len(train)
+    return {i: (math.log10(end) + sum(math.log10(prior[w]) for w in ws),
+                sum(math.log10((c + max(types, 1) * p) / (tokens + max(types, 1)))
+                    for c, p in [(len(train), end), *((counts[w], prior[w]) for w in ws)]))
+            for i, ws in words.items()}
+
+
 PHRASES = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
 
 

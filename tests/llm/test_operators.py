@@ -320,11 +320,26 @@ def test_lattice_odd_rows(odd, odd_rows, empty):
 
 def test_frequent_words_do_not_change_scores(spark, odd):
     few, all_ = (table(lattice.score_texts(odd, lattice.pieces_path(), frequent=k), "doc_id", "n_known", "base_score",
-                       "score") for k in (1, 100_000))
+                       "score", "mixture_score") for k in (1, 100_000))
     assert [x[:2] for x in few] == [x[:2] for x in all_]
     assert [y for x in few for y in x[2:]] == pytest.approx([y for x in all_ for y in x[2:]], abs=1e-4)
 
 
+def test_scores_sum_over_all_splits_of_the_texts(spark):
+    draw = random.Random(3)
+    texts = [" ".join("".join(draw.choice("aeinsté") for _ in range(draw.randint(1, 6))) for _ in range(draw.randint(0, 9)))
+             for _ in range(40)] + [None, "", "\U0001f600 tea", "Tea tEA\ttea"]
+    rows = [(i, t, "en", "a", 0) for i, t in enumerate(texts)]
+    path = lattice.pieces_path()
+    own = lattice.lattice(path)
+    want = brute.lattice_scores(rows, {p: math.exp(w) for p, w in own.pieces.items()}, math.exp(own.byte),
+                                lattice.SCORE_PIECES, lattice.END_SHARE)
+    for frequent in (5, 1000):
+        got = lattice.score_texts(spark.createDataFrame(rows, SCHEMA), path, frequent).collect()
+        assert {r.doc_id: (r.score, r.mixture_score) for r in got} == {
+            i: pytest.approx(v, abs=1e-4) for i, v in want.items()}
+
+
 # --- exact dedup
 
 @settings(max_examples=100, deadline=None)
