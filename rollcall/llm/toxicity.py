@@ -1,15 +1,17 @@
 """Toxicity: a logistic classifier over words and character n-grams, regularised by counterfactuals.
 
-Every labelled text that names a group gets a twin in which each group's name is swapped for another's. Besides the log
-loss, training penalises the squared difference between the scores of a text and its twin, so that a name by itself
-moves the score little and neutral mentions are not taken for toxicity.
+Every labelled text that names a group gets a twin in which each group's name is swapped for another's. Of the other
+texts a share, chosen by their bytes, is read as a pair: once with one group's name put in, once with another's in the
+same place. Besides the log loss, training penalises the squared difference between the scores of the two of a pair, so
+that a name by itself moves the score little and neutral mentions are not taken for toxicity.
 
 Features are presences in the whole text: its words, and their 4- and 5-grams with the word's borders, however long a
 word is; text without ASCII spaces or punctuation is one word. Those with the strongest association to the label (chi-squared, counted by Spark over the training texts) are kept, at most MOST_KEPT.
-The training texts are a bounded sample: at most SAMPLE of each label, those with the smallest hashes of doc_id.
+The training texts are a bounded sample: at most SAMPLE of each label, those with the smallest hashes of doc_id. Of
+several rows with one doc_id the text with the smallest SHA-256 is learnt from.
 
 Defined cases: a null or empty text has no features and gets the score of the bias, which is low. Rows with a null or
-other label are not learnt from; of several labels of a document each counts as a row. A null doc_id is hashed as the
+other label are not learnt from; equal labels of a document count once, differing ones as a row each. A null doc_id is hashed as the
 text "null" and never learnt from. Every row is scored by itself; an empty table gives an empty table. Other columns
 are not looked at.
 """
@@ -17,6 +19,7 @@ are not looked at.
 from __future__ import annotations
 
 import math
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -35,7 +38,9 @@ GRAMS = (4, 5)
 #: Features that a task counts before it passes the counts on.
 MOST_COUNTED = 500_000
 #: Weight of the counterfactual penalty and of the squared weights.
-COUNTERFACTUAL, RIDGE, STEPS = 1.0, 1e-4, 400
+COUNTERFACTUAL, RIDGE, STEPS = 20.0, 1e-4, 400
+#: One text in so many that name no group is read with two names put in.
+INSERTED = 4
 #: Names that are swapped within their row, each for the next, in the languages of the corpus: English, German, French
 #: and Spanish. No name stands in two rows.
 GROUPS = (
@@ -92,8 +97,21 @@ def twin_of(words: set[bytes], swap: dict[bytes, bytes]) -> set[bytes]:
     return {swap.get(w, w) for w in words}
 
 
+def pair_of(body: bytes, words: set[bytes], swap: dict[bytes, bytes],
+            share: int = INSERTED) -> tuple[set[bytes], set[bytes]] | None:
+    """The words of the two texts whose scores should agree; None where no group is named and none is put in."""
+    twin = twin_of(words, swap)
+    if twin != words:
+        return words, twin
+    turn, place = divmod(zlib.crc32(body), share)
+    if place or not swap:
+        return None
+    name = list(swap)[turn % len(swap)]
+    return words | {name}, words | {swap[name]}
+
+
 def differing_twins(texts: DataFrame, groups=GROUPS) -> int:
-    """Texts whose twin has other words, so that the penalty can act on them. Takes the column body."""
+    """Texts whose twin has other words without a name put in. Takes the column body."""
     def make():
         swap = swaps(groups)
 
@@ -110,15 +128,16 @@ def held_out(doc_id: Column, folds: int = 5, fold: int = 0) -> Column:
 
 
 def sampled(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
-    """toxic and body of the texts to learn from. The ids are picked from the labels alone: at most 2 * sample of
-    them, so they are broadcast and no text moves."""
-    usable = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    """toxic and body of the texts to learn from. The ids are picked from the labels alone, at most 2 * sample of
+    them, so that only their texts move; copies of an id are merged before they do."""
+    usable = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()
+                          & ~held_out(F.col("doc_id"))).select("doc_id", "toxic").distinct()
     order = [F.xxhash64("doc_id"), "doc_id"]
-    picked = [usable.where(F.col("toxic") == k).select("doc_id", "toxic").orderBy(*order).limit(sample)
-              for k in (0, 1)]
+    picked = [usable.where(F.col("toxic") == k).orderBy(*order).limit(sample) for k in (0, 1)]
     ids = store_of(docs, "toxicity").keep(picked[0].union(picked[1]), "picked")
-    return (docs.select("doc_id", F.expr(TEXT_BYTES).alias("body")).join(F.broadcast(ids), "doc_id")
-            .select("toxic", "body"))
+    texts = (docs.select("doc_id", F.expr(TEXT_BYTES).alias("body")).join(ids.select("doc_id"), "doc_id", "left_semi")
+             .groupBy("doc_id").agg(F.expr("min_by(body, sha2(body, 256))").alias("body")))
+    return ids.join(texts, "doc_id").select("toxic", "body")
 
 
 def associations(texts: DataFrame) -> DataFrame:
@@ -173,25 +192,31 @@ class Presence:
 
 
 def train_rows(texts: DataFrame, features: list[str], groups) -> DataFrame:
-    """label, the features of a text and those of its counterfactual twin (the same where no group is named)."""
+    """label and the features of a text; left and right, those of its counterfactual pair, NULL where it has none or
+    where no kept feature differs."""
     def make():
         own, swap = Presence(features), swaps(groups)
 
         def work(c):
-            out = {"label": c["toxic"], "held": [], "twin": []}
+            out = {"label": c["toxic"], "held": [], "left": [], "right": []}
             for body in c["body"]:
                 words = words_of(body)
-                out["held"].append(sorted(own(words)))
-                out["twin"].append(sorted(own(twin_of(words, swap))))
+                pair = pair_of(body, words, swap)
+                left, right = (sorted(own(w)) for w in pair) if pair else (None, None)
+                if left == right:
+                    left = right = None
+                for k, v in zip(("held", "left", "right"), (sorted(own(words)), left, right)):
+                    out[k].append(v)
             return out
         return work
 
-    return map_columns(texts, "label int, held array<int>, twin array<int>", make)
+    return map_columns(texts, "label int, held array<int>, left array<int>, right array<int>", make)
 
 
-def fit(labels: np.ndarray, held: list, twins: list, n_features: int, counterfactual: float = COUNTERFACTUAL,
+def fit(labels: np.ndarray, held: list, pairs: list, n_features: int, counterfactual: float = COUNTERFACTUAL,
         ridge: float = RIDGE, steps: int = STEPS) -> tuple[np.ndarray, float]:
-    """Weights and bias by Adam on all rows: log loss, ridge and the squared score change under a swap.
+    """Weights and bias by Adam on all rows: log loss, half the squared weights by `ridge`, and the mean squared
+    difference of the two scores (between 0 and 1) of a pair by `counterfactual`.
 
     Both labels weigh the same. Rows come sorted, so that the result does not depend on their order.
     """
@@ -199,25 +224,29 @@ def fit(labels: np.ndarray, held: list, twins: list, n_features: int, counterfac
         return (np.repeat(np.arange(len(rows)), [len(r) for r in rows]),
                 np.array([i for r in rows for i in r], dtype=np.int64))
 
-    n = len(labels)
+    def sigmoid(x):
+        return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+
+    n, k = len(labels), len(pairs)
     row, column = sparse(held)
-    changed = [i for i in range(n) if list(held[i]) != list(twins[i])]
-    row_a, column_a = sparse([held[i] for i in changed])
-    row_b, column_b = sparse([twins[i] for i in changed])
+    row_a, column_a = sparse([a for a, _ in pairs])
+    row_b, column_b = sparse([b for _, b in pairs])
     share = labels.mean()
     weight = np.where(labels == 1, 0.5 / share, 0.5 / (1 - share)) / n
     w, b = np.zeros(n_features), 0.0
     m, v = np.zeros(n_features + 1), np.zeros(n_features + 1)
     for step in range(1, steps + 1):
         logit = np.bincount(row, w[column], n) + b
-        error = weight * (1 / (1 + np.exp(-np.clip(logit, -30, 30))) - labels)
-        grad = np.bincount(column, error[row], n_features) + ridge * w
-        if changed:
-            k = len(changed)
-            change = np.bincount(row_a, w[column_a], k) - np.bincount(row_b, w[column_b], k)
-            pull = 2 * counterfactual * change / k
-            grad += np.bincount(column_a, pull[row_a], n_features) - np.bincount(column_b, pull[row_b], n_features)
-        full = np.append(grad, error.sum())
+        error = weight * (sigmoid(logit) - labels)
+        grad, grad_b = np.bincount(column, error[row], n_features) + ridge * w, error.sum()
+        if k:
+            one = sigmoid(np.bincount(row_a, w[column_a], k) + b)
+            other = sigmoid(np.bincount(row_b, w[column_b], k) + b)
+            pull = 2 * counterfactual * (one - other) / k
+            pull_a, pull_b = pull * one * (1 - one), pull * other * (1 - other)
+            grad += np.bincount(column_a, pull_a[row_a], n_features) - np.bincount(column_b, pull_b[row_b], n_features)
+            grad_b += pull_a.sum() - pull_b.sum()
+        full = np.append(grad, grad_b)
         m, v = 0.9 * m + 0.1 * full, 0.999 * v + 0.001 * full ** 2
         move = 0.05 * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
         w, b = w - move[:-1], b - move[-1]
@@ -232,9 +261,9 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, groups=GROUP
     features = select_features(texts, most, least_texts, least_chi)
     if not features:
         return [], np.zeros(0), -1.0
-    rows = sorted((r.label, r.held, r.twin) for r in train_rows(texts, features, groups).collect())
-    w, b = fit(np.array([r[0] for r in rows], dtype=float), [r[1] for r in rows], [r[2] for r in rows],
-               len(features), counterfactual)
+    rows = sorted((r.label, r.held, r.left or [], r.right or []) for r in train_rows(texts, features, groups).collect())
+    w, b = fit(np.array([r[0] for r in rows], dtype=float), [r[1] for r in rows],
+               [r[2:] for r in rows if r[2] != r[3]], len(features), counterfactual)
     return features, w, b
 
 

@@ -104,6 +104,17 @@ def lattice_scores(rows: list[tuple], pieces: dict[str, float], byte: float, own
             for i, ws in words.items()}
 
 
+def toxicity_loss(labels: list, held: list, pairs: list, w: list, b: float, counterfactual: float, ridge: float) -> float:
+    """What the training of the toxicity classifier minimises, row by row."""
+    def score(items):
+        return 1 / (1 + math.exp(-b - sum(w[i] for i in items)))
+
+    share = {y: labels.count(y) for y in (0, 1)}
+    loss = sum(-math.log(score(h) if y else 1 - score(h)) / (2 * share[y]) for y, h in zip(labels, held))
+    loss += ridge / 2 * sum(x * x for x in w)
+    return loss + counterfactual * sum((score(p) - score(q)) ** 2 for p, q in pairs) / max(len(pairs), 1)
+
+
 PHRASES = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
 
 

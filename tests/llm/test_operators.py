@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 import random
 from collections import Counter
@@ -201,6 +202,53 @@ def test_toxic_terms_late_in_an_unspaced_run_count(spark, monkeypatch):
     assert table(toxicity.associations(texts), "feature", "pos", "neg") == whole
 
 
+@pytest.mark.parametrize("penalty", [0.0, 3.0])
+def test_fit_reaches_the_least_of_the_written_loss(penalty):
+    draw = random.Random(11)
+    held = [sorted(draw.sample(range(6), draw.randint(0, 4))) for _ in range(60)]
+    labels = [int(draw.random() < (0.8 if 0 in h else 0.2)) for h in held]
+    pairs = [([0, 1], [0, 2]), ([3], [4]), ([1, 5], [2, 5])]
+    w, b = toxicity.fit(np.array(labels, dtype=float), held, pairs, 6, penalty, 0.01, 4000)
+    at = [*w, b]
+
+    def loss(x):
+        return brute.toxicity_loss(labels, held, pairs, x[:6], x[6], penalty, 0.01)
+
+    for i in range(7):
+        up, down = (loss([v + d * (i == j) for j, v in enumerate(at)]) for d in (1e-4, -1e-4))
+        assert abs(up - down) / 2e-4 < 1e-4
+    assert not penalty or abs(w[3] - w[4]) < 0.5
+
+
+def test_repeated_ids_do_not_widen_the_sample(spark):
+    """3000 rows of one doc_id with three label rows, and ids without copies."""
+    texts = [(5, f"text number {i}") for i in range(3000)] + [(i, f"other {i}") for i in range(10, 60)]
+    docs = spark.createDataFrame([(i, t, "en", "a", 0) for i, t in texts], SCHEMA)
+    labels = spark.createDataFrame([(5, 1, 1)] * 3 + [(5, 1, 0)] + [(i, 1, i % 2) for i in range(10, 60)],
+                                   "doc_id long, quality int, toxic int")
+    learnt = table(toxicity.sampled(docs, labels, 20), "toxic", "body")
+    least = min((t for i, t in texts if i == 5), key=lambda t: hashlib.sha256(t.encode()).hexdigest()).encode()
+    everything = table(toxicity.sampled(docs, labels, 1000), "toxic", "body")
+    used = [i for i in range(10, 60) if brute.fold(i, 5)]
+    assert brute.fold(5, 5) and sorted((y, bytes(t)) for y, t in everything) == sorted(
+        [(0, least), (1, least)] + [(i % 2, f"other {i}".encode()) for i in used])
+    assert len([y for y, _ in learnt if y]) == 20 and {(y, bytes(t)) for y, t in learnt} <= {(y, bytes(t)) for y, t in everything}
+
+
+def test_names_are_put_into_a_share_of_the_texts():
+    swap = toxicity.swaps()
+    bodies = [f"sentence {i} about rivers".encode() for i in range(2000)]
+    pairs = [toxicity.pair_of(b, toxicity.words_of(b), swap) for b in bodies]
+    put_in = [(left - toxicity.words_of(b), right - toxicity.words_of(b)) for b, p in zip(bodies, pairs) if p
+              for left, right in [p]]
+    assert 400 < len(put_in) < 600
+    assert all(len(x) == len(y) == 1 and swap[min(x)] == min(y) for x, y in put_in)
+    named = b"all women here"
+    assert toxicity.pair_of(named, toxicity.words_of(named), swap) == ({b"all", b"women", b"here"},
+                                                                      {b"all", b"men", b"here"})
+    assert toxicity.pair_of(b"", set(), {}) is None
+
+
 def test_texts_in_every_language_have_twins(spark):
     names = [n for row in toxicity.GROUPS for n in row]
     assert len(names) == len(set(names))

@@ -7,7 +7,10 @@ import hashlib
 import numpy as np
 import pytest
 import __spark_entry__ as entry
+from pyspark.sql import functions as F
+
 from checks.compare import connect, rows_of
+from rollcall.llm import toxicity
 from rollcall.llm.queries import ORACLES
 
 from . import brute
@@ -68,6 +71,26 @@ def test_toxicity_on_held_out_rows(spark):
     assert sum(p == y == 1 for p, y, _ in held) / sum(y for _, y, _ in held) > 0.9
 
 
+def test_names_of_groups_hardly_move_held_out_scores(spark):
+    """Each held-out text is read with one group's name and with another's put in."""
+    folder = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    swap = toxicity.swaps()
+    names = list(swap)
+    held = [(n, r.text or "") for n, r in enumerate(
+        docs.where(toxicity.held_out(F.col("doc_id"))).orderBy("doc_id").select("text").collect())]
+    probes = [(2 * n + k, f"{t} {name.decode()}", "en", "a", 0) for n, t in held
+              for k, name in enumerate((names[n % len(names)], swap[names[n % len(names)]]))]
+    probes = spark.createDataFrame(probes, docs.select("doc_id", "text", "lang", "source", "n_chars").schema)
+    moved = {}
+    for penalty in (0.0, toxicity.COUNTERFACTUAL):
+        model = toxicity.train(docs, labels, counterfactual=penalty)
+        scores = {r.doc_id: r.score for r in toxicity.score(probes, model).collect()}
+        moved[penalty] = [abs(scores[2 * n] - scores[2 * n + 1]) for n, _ in held]
+    got, without = moved[toxicity.COUNTERFACTUAL], moved[0.0]
+    assert max(got) < 0.05 and sum(got) < sum(without) / 4
+
+
 def test_licenses(spark, documents):
     got = result(spark, "op5_license_scan")
     for doc_id, text, *_ in documents:
