@@ -13,6 +13,8 @@ _COHORT = (
     "competencia area admissoes:int engajamento_medio:d6 salario_medio:d6 performance_medio:d6 desligamentos:int "
     "voluntarios:int")
 _MEMBER = "sk_colaborador nk_matricula:int cargo senioridade sk_area:int"
+_VERSIONS = (f"{_MEMBER} genero raca_cor cidade faixa_etaria faixa_salarial data_inicio_vigencia data_fim_vigencia "
+             "e_registro_atual:flag versao:int")
 
 COLUMNS: dict[str, Spec] = {name: spec(text) for name, text in {
     "bronze_profile": "column nulls:int",
@@ -83,9 +85,8 @@ COLUMNS: dict[str, Spec] = {name: spec(text) for name, text in {
     "dim_motivo": "sk_motivo:int motivo categoria_rca e_retencao_possivel:flag desligamentos:int",
     "scd2_employee":
         "matricula:int cargo senioridade area valid_from valid_to is_current:flag version:int",
-    "dim_employee":
-        f"{_MEMBER} genero raca_cor cidade faixa_etaria faixa_salarial data_inicio_vigencia data_fim_vigencia "
-        "e_registro_atual:flag versao:int",
+    "dim_employee": _VERSIONS,
+    "dim_employee_incremental": _VERSIONS,
     "fact_departure":
         "sk_desligamento sk_colaborador sk_area:int sk_motivo:int sk_data_deslig:int sk_data_admissao:int "
         "tempo_casa_dias:int tempo_casa_meses:int salario_na_saida:d2 engajamento_ultimo:d2 performance_ultimo:d2 "

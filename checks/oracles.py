@@ -644,6 +644,7 @@ ORACLES: dict[str, tuple[str, str]] = {
         GROUP BY 1, 2, 3, 4"""),
     "scd2_employee": (SCD, "SELECT * FROM versions"),
     "dim_employee": (SCD, "SELECT * FROM employees"),
+    "dim_employee_incremental": (SCD, "SELECT * FROM employees"),
     "fact_departure": (SCD, "SELECT * FROM fact"),
     "fact_headcount": (FACT_HC, "SELECT * FROM fact_hc"),
     "turnover_ltm": (FACT_HC, """SELECT area, classificacao_risco, sum(desligamentos) AS total_desligamentos,

@@ -113,7 +113,11 @@ def scd2(snapshots: DataFrame, keys: Sequence[str], date: str, tracked: Sequence
 def dim_employee(snapshots: DataFrame, areas: DataFrame, date: str = "snapshot_date",
                  unique: bool = False) -> DataFrame:
     """Employee dimension, type 2 on position, seniority and area."""
-    versions = scd2(snapshots, [KEY], date, TRACKED, unique)
+    return dim_employee_of(scd2(snapshots, [KEY], date, TRACKED, unique), areas)
+
+
+def dim_employee_of(versions: DataFrame, areas: DataFrame) -> DataFrame:
+    """Employee dimension from its versions."""
     return versions.join(areas.select("sk_area", "area"), "area", "left").select(
         _joined_key(KEY, "version").alias("sk_colaborador"),
         F.col(KEY).alias("nk_matricula"),

@@ -1,0 +1,91 @@
+"""A dimension loaded snapshot by snapshot equals the one built from all snapshots."""
+
+from __future__ import annotations
+
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from rollcall.operators import warehouse
+from rollcall.plans import dimension
+
+from conftest import rows
+
+KEYS, TRACKED = ["k"], ["a"]
+COLUMNS = ("k", "a", "other", "valid_from", "valid_to", "is_current", "version")
+
+
+def frame(spark, data):
+    return spark.createDataFrame(data, "k long, a string, other long, day date")
+
+
+def load(spark, root, arrived, history):
+    return dimension.load_snapshots(frame(spark, arrived), frame(spark, history), root, KEYS, "day", TRACKED)
+
+
+def day(month: int, date: int = 1) -> dt.date:
+    return dt.date(2024, month, date)
+
+
+def full(spark, history):
+    return rows(warehouse.scd2(frame(spark, history), KEYS, "day", TRACKED), *COLUMNS)
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_snapshots_in_any_order_equal_the_full_build(spark, tmp_path, seed):
+    draw, root, history = random.Random(seed), str(tmp_path / "dim"), {}
+    snaps = {m: [(k, draw.choice(["A", "B", None]), draw.randint(0, 1), day(m)) for k in range(12) if draw.random() < 0.8]
+             for m in range(1, 6)}
+    order = list(snaps)
+    draw.shuffle(order)
+    # the last load is a correction: other values under a date that is known
+    for m in (*order, order[1]):
+        if m in history:
+            snaps[m] = [(k, draw.choice(["A", "B"]), o + 5, d) for k, _, o, d in snaps[m]]
+        history[m] = snaps[m]
+        load(spark, root, snaps[m], [r for s in history.values() for r in s])
+        assert rows(dimension.read_dimension(spark, root), *COLUMNS) == full(
+            spark, [r for s in history.values() for r in s])
+    current = dimension.read_dimension(spark, root, current=True)
+    assert current.where("NOT is_current").count() == 0 and current.count() == len({k for s in snaps.values() for k, *_ in s})
+
+
+def test_only_what_changes_is_replaced(spark, tmp_path):
+    root = str(tmp_path / "dim")
+    snaps = {m: [(k, state if k < 3 else "same", 0, day(m)) for k in range(6)]
+             for m, state in ((1, "A"), (2, "B"), (4, "C"), (5, "D"))}
+    history: list = []
+    for m, data in snaps.items():
+        history += data
+        assert load(spark, root, data, history) <= {dimension.OPEN}
+
+    def folders():
+        out: dict = {}
+        for part, path in dimension._list(spark, root)[1]:
+            out.setdefault(part, set()).add(path)
+        return out
+
+    before = folders()
+    assert set(before) == {"2024-01", "2024-03", "2024-04", dimension.OPEN}
+    # a repeated snapshot, and a late one that lies inside a version of the same state, change nothing
+    assert load(spark, root, snaps[2], history) == set() and folders() == before
+    late = [(3, "same", 9, day(3)), (0, "B", 9, day(3))]
+    assert load(spark, root, late[:1], history + late[:1]) == set() and folders() == before
+    # a state of its own for one key splits that key's versions; what was closed before is left alone
+    late = [*late[:1], (0, "X", 9, day(3))]
+    assert load(spark, root, late[1:], history + late) == {"2024-03", "2024-04", dimension.OPEN}
+    after = folders()
+    assert after["2024-01"] == before["2024-01"]
+    assert rows(dimension.read_dimension(spark, root), *COLUMNS) == full(spark, history + late)
+
+
+def test_rows_without_key_or_date_and_an_empty_snapshot(spark, tmp_path):
+    root = str(tmp_path / "dim")
+    assert load(spark, root, [], []) == set()
+    data = [(None, "A", 0, day(1)), (1, "A", 0, None), (1, "A", 0, day(1)), (1, "A", 0, day(1))]
+    load(spark, root, data, data)
+    assert load(spark, root, [], data) == set()
+    assert rows(dimension.read_dimension(spark, root), *COLUMNS) == [(1, "A", 0, day(1), None, True, 1)]
+    assert dimension.read_dimension(spark, root).select(F.max("last_seen")).first()[0] == day(1)
