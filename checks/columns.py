@@ -99,6 +99,11 @@ COLUMNS: dict[str, Spec] = {name: spec(text) for name, text in {
         "turnover_ltm_pct:d1 turnover_ltm_pct_area:d1 pct_voluntario:d1",
     "turnover_cost_ltm":
         "area custo_total_turnover:d2 total_desligamentos:int custo_medio_por_desligamento:d4",
+    "departure_careers":
+        "sk_desligamento sk_colaborador senioridade_inicial senioridade_na_saida versoes:int dias_desde_mudanca:int",
+    "departure_profiles":
+        "senioridade_inicial senioridade_na_saida categoria_rca desligamentos:int com_mudanca:int "
+        "dias_desde_mudanca_medio:d4 early_turnover:int custo_total_turnover:d2",
     "star_constraints": "constraint_name violations:int",
     "funnel": "dia view:int click:int signup:int purchase:int view_to_click:d4 click_to_signup:d4 "
               "signup_to_purchase:d4 mean_days:d4",

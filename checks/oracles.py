@@ -248,6 +248,15 @@ fact AS (
     performance_score >= 4 AND engajamento_score_base >= 7.5 AND casa <= 60 AS e_top_talent
   FROM tenured t LEFT JOIN dim_area USING (area) LEFT JOIN dim_reason r ON r.motivo = t.motivo_desligamento)"""
 
+CAREERS = f"""{SCD},
+careers AS (
+  SELECT f.*, (SELECT s.senioridade FROM employees s WHERE s.nk_matricula = e.nk_matricula AND s.versao = 1)
+      AS senioridade_inicial,
+    e.senioridade AS senioridade_na_saida, coalesce(e.versao, 0) AS versoes,
+    CASE WHEN e.versao > 1 THEN CAST(strptime(CAST(sk_data_deslig AS VARCHAR), '%Y%m%d') AS DATE)
+      - CAST(e.data_inicio_vigencia AS DATE) END AS dias_desde_mudanca
+  FROM fact f LEFT JOIN employees e USING (sk_colaborador))"""
+
 FACT_HC = f"""{DIMS},
 hc AS (
   SELECT mes, competencia, area, senioridade, count(*) AS headcount, {_ENPS} AS enps,
@@ -658,6 +667,12 @@ ORACLES: dict[str, tuple[str, str]] = {
         count(*) AS total_desligamentos, avg(custo_estimado_turnover) AS custo_medio_por_desligamento
         FROM fact JOIN dim_area USING (sk_area)
         WHERE sk_data_deslig BETWEEN 20000801 AND {REFERENCE_DATE.replace('-', '')} GROUP BY 1"""),
+    "departure_careers": (CAREERS, "SELECT * FROM careers"),
+    "departure_profiles": (CAREERS, """SELECT senioridade_inicial, senioridade_na_saida, categoria_rca,
+        count(*) AS desligamentos, count(dias_desde_mudanca) AS com_mudanca,
+        avg(dias_desde_mudanca) AS dias_desde_mudanca_medio, count(*) FILTER (e_early_turnover) AS early_turnover,
+        sum(custo_estimado_turnover) AS custo_total_turnover
+        FROM careers LEFT JOIN dim_reason USING (sk_motivo) GROUP BY 1, 2, 3"""),
     "star_constraints": (STAR, "\nUNION ALL\n".join([
         _not_key("pk_dim_colaborador", "employees", "sk_colaborador"),
         _not_key("pk_fct_desligamento", "fact", "sk_desligamento"),

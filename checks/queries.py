@@ -22,7 +22,7 @@ from rollcall.plans import dimension, export
 from rollcall.plans.silver import clean_columns, quality_log, repair_rows, silver, staged_silver
 from rollcall.schema import END, ENGAGEMENT, KEY, KIND, REASON, SALARY, START
 from rollcall.sources import (
-    Store, bronze_view, read_bronze, read_silver, snapshots, write_csv, write_silver)
+    Store, bronze_view, read_bronze, read_silver, snapshots, write_bucketed, write_csv, write_silver)
 from rollcall.sources.trade_view import REFERENCE_DATE, SNAPSHOT_DATES
 from rollcall.streaming import clean_exports, current_view, ingest_increment, read_exports, refresh_exports
 from rollcall.streaming.intake import EXPORT_DATE, ledger, read_history, read_quarantine
@@ -72,6 +72,14 @@ class Tables:
     def departures(self) -> DataFrame:
         return self.store.keep(_fact_departure(self), "fct_desligamento")
 
+    @cached_property
+    def careers(self) -> DataFrame:
+        """Departures with careers, from tables placed by person."""
+        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        placed = [write_bucketed(df, self.store.path(f"placed_{name}"), "nk_matricula", buckets)
+                  for name, df in (("fct_desligamento", self.departures), ("dim_colaborador", self.employees))]
+        return warehouse.departure_careers(*placed)
+
     @cached_property
     def headcount(self) -> DataFrame:
         return self.store.keep(_fact_headcount(self), "fct_headcount_mensal")
@@ -480,6 +488,8 @@ QUERIES: dict[str, Query] = {
     "turnover_ltm": lambda t: warehouse.turnover_ltm(t.headcount, t.areas, REFERENCE_DATE),
     "turnover_cost_ltm": lambda t: warehouse.turnover_cost_ltm(
         t.departures, warehouse.dim_date_for(t.silver), t.areas, REFERENCE_DATE),
+    "departure_careers": lambda t: t.careers,
+    "departure_profiles": lambda t: warehouse.departure_profiles(t.careers, t.reasons),
     "star_constraints": _star_constraints,
     "funnel": _funnel,
     "funnel_by_cohort": _funnel_by_cohort,

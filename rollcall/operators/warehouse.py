@@ -156,6 +156,7 @@ def fact_departure(silver: DataFrame, employees: DataFrame, areas: DataFrame, re
     return joined.select(
         # One departure per person, so person and day identify it.
         _joined_key(KEY, END).alias("sk_desligamento"),
+        F.col(KEY).alias("nk_matricula"),
         "sk_colaborador", "sk_area", "sk_motivo",
         date_key(F.col(END)).cast("int").alias("sk_data_deslig"),
         date_key(F.col(START)).cast("int").alias("sk_data_admissao"),
@@ -191,6 +192,30 @@ def fact_headcount(silver: DataFrame, areas: DataFrame, start: str | dt.date, en
     )
 
 
+def departure_careers(fact: DataFrame, employees: DataFrame) -> DataFrame:
+    """Departures with the person's career up to that day: seniority at first and at the end, number of versions, days
+    since the last change (NULL without one).
+
+    Every row of the fact stays; one without a known person has 0 versions and NULLs. Versions are grouped and joined
+    by the person's key alone, so that tables placed by it (`write_bucketed`) are read without a shuffle. A person has
+    at most one version per snapshot.
+    """
+    version = F.struct("versao", date_key(F.col("data_inicio_vigencia")).alias("since"), "senioridade",
+                       "data_inicio_vigencia")
+    careers = employees.groupBy("nk_matricula").agg(F.array_sort(F.collect_list(version)).alias("versions"))
+    departed = F.col("sk_data_deslig")
+    reached = F.filter("versions", lambda v: (v["versao"] == 1) | (v["since"] <= departed))
+    first, last = F.get("reached", F.lit(0)), F.get("reached", F.size("reached") - 1)
+    day = F.make_date(F.floor(departed / 10000), F.floor(departed / 100) % 100, departed % 100)
+    return fact.join(careers, "nk_matricula", "left").withColumn("reached", reached).select(
+        *fact.columns,
+        first["senioridade"].alias("senioridade_inicial"),
+        last["senioridade"].alias("senioridade_na_saida"),
+        F.coalesce(F.size("reached"), F.lit(0)).alias("versoes"),
+        F.when(F.size("reached") > 1, F.datediff(day, last["data_inicio_vigencia"])).alias("dias_desde_mudanca"),
+    )
+
+
 # --- views ---------------------------------------------------------------------------------------------
 
 def _a_year_before(as_of: str | dt.date) -> tuple[Column, Column]:
@@ -247,3 +272,20 @@ def turnover_cost_ltm(fact: DataFrame, dates: DataFrame, areas: DataFrame, as_of
         F.avg(cost).alias("custo_medio_por_desligamento"),
     )
     return by_area.join(areas.select("sk_area", "area"), "sk_area").drop("sk_area")
+
+
+def departure_profiles(careers: DataFrame, reasons: DataFrame) -> DataFrame:
+    """Departures by seniority at first and at the end and by category of the reason: number, how many had changed
+    position before, their mean days since, early ones, cost.
+
+    Careers are summed by reason before the categories are joined on; a reason without a category is kept as NULL.
+    """
+    path, days = ["senioridade_inicial", "senioridade_na_saida"], F.col("dias_desde_mudanca")
+    by_reason = careers.groupBy(*path, "sk_motivo").agg(
+        F.count(F.lit(1)).alias("n"), F.count(days).alias("changed"), F.sum(days).alias("days"),
+        F.count_if("e_early_turnover").alias("early"), F.sum("custo_estimado_turnover").alias("cost"))
+    named = by_reason.join(reasons.select("sk_motivo", "categoria_rca"), "sk_motivo", "left")
+    return named.groupBy(*path, "categoria_rca").agg(
+        F.sum("n").alias("desligamentos"), F.sum("changed").alias("com_mudanca"),
+        (F.sum("days") / F.nullif(F.sum("changed"), F.lit(0))).alias("dias_desde_mudanca_medio"),
+        F.sum("early").alias("early_turnover"), F.sum("cost").alias("custo_total_turnover"))

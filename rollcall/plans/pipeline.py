@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from rollcall.operators import kpis, planning, quality, series, warehouse
 from rollcall.operators.dedup import count_copies
 from rollcall.plans.silver import clean_columns, impute, quality_log, repair_rows
+from rollcall.sources.buckets import write_bucketed
 from rollcall.sources.files import (
     read_bronze, read_malformed, read_silver, write_json, write_silver, write_table)
 from rollcall.sources.store import Store
@@ -107,6 +108,15 @@ def run(spark: SparkSession, bronze_path: str, root: str, start: str, end: str,
     return paths
 
 
-def write_star(tables: dict[str, DataFrame], paths: Paths) -> None:
+#: Tables with few rows per person, joined on the person.
+PLACED = ("dim_colaborador", "fct_desligamento")
+
+
+def write_star(tables: dict[str, DataFrame], paths: Paths, buckets: int | None = None) -> None:
+    """With `buckets`, versions and departures of a person lie in buckets of the same number, for joins without a
+    shuffle, and are read by `read_bucketed`; otherwise rows are ranged for skipping by date."""
     for name, table in tables.items():
-        write_table(table, paths.star(name), sort=SORT.get(name, ()))
+        if buckets and name in PLACED:
+            write_bucketed(table, paths.star(name), "nk_matricula", buckets, SORT[name])
+        else:
+            write_table(table, paths.star(name), sort=SORT.get(name, ()))
