@@ -21,7 +21,8 @@ HEADLINE = (
     "expectations_bronze", "expectations_silver", "protect_pii", "check_pk", "check_fk", "group_median",
     "monthly_series", "granular_series", "productivity_by_area", "cohort_join", "area_risk_proxy", "nine_box",
     "root_cause", "action_plan", "kpi_cover", "workforce_plan", "plan_gap", "scd2_employee", "dim_employee",
-    "fact_departure", "fact_headcount", "turnover_ltm", "nine_box_view", "turnover_cost_ltm", "star_constraints",
+    "fact_departure", "fact_headcount", "turnover_ltm", "nine_box_view", "turnover_cost_ltm", "departure_careers",
+    "departure_profiles", "star_constraints",
     "funnel", "attrition_labels", "attrition_scores", "model_metrics", "risk_by_area", "top_risk", "csv_roundtrip",
     "silver_partitions", "incremental_ingest", "intake_quarantine", "funnel_by_cohort", "stratified_split", "encode_city",
     "rule_auc",
