@@ -92,7 +92,7 @@ COLUMNS: dict[str, Spec] = {name: spec(text) for name, text in {
         "tempo_casa_dias:int tempo_casa_meses:int salario_na_saida:d2 engajamento_ultimo:d2 performance_ultimo:d2 "
         "custo_estimado_turnover:d2 e_early_turnover:flag e_late_turnover:flag e_top_talent:flag",
     "fact_headcount":
-        "sk_area:int competencia senioridade headcount:int admissoes:int desligamentos:int desligamentos_vol:int "
+        "sk_headcount sk_area:int competencia senioridade headcount:int admissoes:int desligamentos:int desligamentos_vol:int "
         "turnover_mensal_pct:d2 engajamento_medio:d2 salario_medio:d2 performance_medio:d2 enps:d1 custo_folha:d2",
     "turnover_ltm":
         "area classificacao_risco total_desligamentos:int desligamentos_voluntarios:int headcount_medio:d4 "

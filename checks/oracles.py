@@ -267,7 +267,8 @@ ins AS (SELECT competencia, area, senioridade, count(*) AS admissoes FROM came G
 outs AS (SELECT competencia, area, senioridade, count(*) AS desligamentos,
          count(*) FILTER (tipo_desligamento = 'Voluntário') AS vol FROM gone GROUP BY ALL),
 fact_hc AS (
-  SELECT sk_area, competencia, senioridade, coalesce(headcount, 0) AS headcount, coalesce(admissoes, 0) AS admissoes,
+  SELECT CAST(to_json([competencia, area, senioridade]) AS VARCHAR) AS sk_headcount, sk_area, competencia, senioridade,
+    coalesce(headcount, 0) AS headcount, coalesce(admissoes, 0) AS admissoes,
     coalesce(desligamentos, 0) AS desligamentos, coalesce(vol, 0) AS desligamentos_vol,
     {_turnover('coalesce(desligamentos, 0)', 'coalesce(opening, 0)')} AS turnover_mensal_pct,
     e2 AS engajamento_medio, s2 AS salario_medio, p2 AS performance_medio,

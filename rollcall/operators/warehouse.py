@@ -1,7 +1,7 @@
 """Star schema: dimensions, facts, reporting views.
 
-Surrogate keys of people and departures are both parts of the natural key as text, key-version and key-date, so no
-number of versions and no date makes two of them equal.
+Surrogate keys are the parts of the natural key as text: key-version, key-date, and for headcount cells a list in JSON,
+where neither a separator inside a name nor a NULL makes two of them equal.
 """
 
 from __future__ import annotations
@@ -179,7 +179,7 @@ def fact_headcount(silver: DataFrame, areas: DataFrame, start: str | dt.date, en
     used = (F.col("headcount") > 0) | (F.col("admissoes") > 0) | (F.col("desligamentos") > 0)
     month = month_key(F.col("month"))
     return cells.where(used).join(areas.select("sk_area", "area"), "area", "left").select(
-        F.xxhash64(month, "area", "senioridade").alias("sk_headcount"),
+        F.to_json(F.array(month, "area", "senioridade")).alias("sk_headcount"),
         "sk_area", month.alias("competencia"), "senioridade", "headcount", "admissoes", "desligamentos",
         F.col("desligamentos_voluntarios").alias("desligamentos_vol"),
         monthly_turnover(F.col("desligamentos"), F.col("opening")).cast("decimal(12,2)")

@@ -95,6 +95,15 @@ def test_facts_of_cells_without_people(people, spark):
         ("2020-01", 1, 0, 0), ("2020-02", 0, 1, 100)]
 
 
+def test_keys_of_cells_with_nulls_and_separators(people, spark):
+    names = ("a", 'b","c'), ('a","b', "c"), (None, "a"), ("a", None), ("", "a")
+    df = repair.parse_dates(people(*[{"matricula": i, "area": a, "senioridade": s} for i, (a, s) in enumerate(names)]))
+    fact = warehouse.fact_headcount(df, warehouse.dim_area(spark), "2020-01-01", "2020-01-31")
+    assert rows(fact, "sk_headcount") == sorted(
+        [('["2020-01","a","b\\",\\"c"]',), ('["2020-01","a\\",\\"b","c"]',), ('["2020-01",null,"a"]',),
+         ('["2020-01","a",null]',), ('["2020-01","","a"]',)], key=repr)
+
+
 def test_turnover_of_thirteen_months(spark):
     fact = spark.createDataFrame(
         [(7, "2019-12", "x", 10, 5, 5), (7, "2020-01", "x", 10, 1, 0), (7, "2020-01", "y", 30, 1, 1),
