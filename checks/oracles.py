@@ -599,22 +599,18 @@ ORACLES: dict[str, tuple[str, str]] = {
         LEFT JOIN actions ON reason = causa_raiz_desc WHERE i < 10"""),
     "action_details": (CAUSES, f"""SELECT 'PA' || lpad(CAST(i + 1 AS VARCHAR), 3, '0') AS plano_id,
         coalesce(action, 'Plano de ação a definir junto à área') AS what,
-        'Eliminar/mitigar a causa-raiz ''' || causa_raiz_desc || ''', responsável por '
-          || CAST(pct_do_total_voluntario AS VARCHAR) || '% das saídas voluntárias, concentradas em '
-          || area_predominante || '.' AS why,
+        CAST(pct_do_total_voluntario AS VARCHAR) || '% dos pedidos de saída: ' || causa_raiz_desc || ' (mais em '
+          || area_predominante || ')' AS why,
         CASE i % {len(ACTION_OWNERS)} {_OWNER_CASE} END AS who,
-        'Área ' || area_predominante || ' — implementação coordenada com RH Corporativo.' AS "where",
-        'Início imediato, conclusão em até ' || CASE WHEN i < 4 THEN '30' WHEN i < 7 THEN '60' ELSE '90' END
-          || ' dias.' AS "when",
-        'Diagnóstico detalhado, desenho da solução, piloto em ' || area_predominante || ', rollout geral.' AS how
+        area_predominante AS "where", 'D+' || CASE WHEN i < 4 THEN '30' WHEN i < 7 THEN '60' ELSE '90' END AS "when",
+        'Plano por causa: ' || causa_raiz_desc AS how
         FROM (SELECT *, row_number() OVER (ORDER BY total_desligamentos DESC, causa_raiz_desc) - 1 AS i FROM causes)
         LEFT JOIN actions ON reason = causa_raiz_desc WHERE i < 10"""),
     "improvement_cycles": (CAUSES, """SELECT causa_raiz_desc AS causa_raiz,
-        'Diagnosticar extensão do problema ''' || causa_raiz_desc
-          || ''' via pesquisa de clima segmentada e entrevistas de desligamento.' AS plan,
-        'Implementar piloto da ação corretiva em ' || area_predominante || ', área de maior incidência.' AS "do",
-        'Medir variação de turnover voluntário e engajamento na área-piloto após 60 dias.' AS "check",
-        'Se resultado positivo, expandir para demais áreas; se não, revisar abordagem com a liderança.' AS act
+        'Causa: ' || causa_raiz_desc || ' (' || CAST(pct_do_total_voluntario AS VARCHAR) || '%)' AS plan,
+        'Área: ' || area_predominante AS "do",
+        'Indicador: ' || CAST(pct_do_total_voluntario AS VARCHAR) || '% por ' || causa_raiz_desc AS "check",
+        'Decidir em ' || area_predominante AS act
         FROM causes ORDER BY total_desligamentos DESC, causa_raiz_desc LIMIT 5"""),
     "kpi_cover": (SERIES_CTE, """SELECT *, turnover_ltm_pct <= 18 AS turnover_na_meta, enps_atual >= 50 AS enps_na_meta
         FROM (SELECT competencia, headcount_total AS headcount_atual,

@@ -3,17 +3,25 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+import re
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.fixed_values import (
-    ACTION_HOW, ACTION_OWNERS, ACTION_WHEN, ACTION_WHERE, ACTION_WHY, ANNUAL_GROWTH, CYCLE_ACT, CYCLE_CHECK, CYCLE_DO,
-    CYCLE_PLAN, HEADCOUNT_WITHOUT_BASE, REASON_ACTION, REASON_ACTION_OTHERWISE)
+    ACTION_OWNERS, ANNUAL_GROWTH, HEADCOUNT_WITHOUT_BASE, REASON_ACTION, REASON_ACTION_OTHERWISE)
 from rollcall.functions import lookup, month_key
 from rollcall.operators.kpis import ranked_causes
 
+#: Texts of our own that state the figures and nothing else; a caller passes what their readers should see.
+ACTION_TEXTS = {
+    "why": "{share}% dos pedidos de saída: {cause} (mais em {area})", "where": "{area}", "when": "D+{days}",
+    "how": "Plano por causa: {cause}"}
+CYCLE_TEXTS = {
+    "plan": "Causa: {cause} ({share}%)", "do": "Área: {area}", "check": "Indicador: {share}% por {cause}",
+    "act": "Decidir em {area}"}
+
 
 def workforce_plan(headcount: DataFrame, areas: DataFrame, start: str | dt.date, months: int = 6,
                    growth: float = ANNUAL_GROWTH, otherwise: int = HEADCOUNT_WITHOUT_BASE) -> DataFrame:
@@ -65,27 +73,30 @@ def action_plan(causes: DataFrame, most: int = 10, owners: Sequence[str] = ACTIO
     )
 
 
-def _text(template: str, *values: Column) -> Column:
-    """Fill {0}, {1}, ... of a template."""
-    text = F.lit(template)
-    for i, value in enumerate(values):
-        text = F.replace(text, F.lit(f"{{{i}}}"), value.cast("string"))
-    return text
+def _text(template: str, values: Mapping[str, Column]) -> Column:
+    """Each {name} of a template replaced by its value, all from the template: a value that looks like a name stays.
+    NULL if a value that the template names is NULL."""
+    parts = re.split("(" + "|".join(rf"\{{{name}\}}" for name in values) + ")", template)
+    return F.concat(F.lit(""), *[
+        values[p[1:-1]].cast("string") if i % 2 else F.lit(p) for i, p in enumerate(parts)])
 
 
-def action_details(causes: DataFrame, most: int = 10, owners: Sequence[str] = ACTION_OWNERS) -> DataFrame:
-    """What, why, who, where, when and how of each action, as text."""
+def action_details(causes: DataFrame, most: int = 10, owners: Sequence[str] = ACTION_OWNERS,
+                   texts: Mapping[str, str] = ACTION_TEXTS) -> DataFrame:
+    """What, why, who, where, when and how of each action. `texts` are templates over {cause}, {share}, {area}, {days}."""
     position, cause = F.col("position"), F.col("causa_raiz_desc")
-    values = (cause, F.col("pct_do_total_voluntario"), F.col("area_predominante"), _deadline(position))
+    values = {"cause": cause, "share": F.col("pct_do_total_voluntario"), "area": F.col("area_predominante"),
+              "days": _deadline(position)}
+    made = {name: _text(texts[name], values).alias(name) for name in ("why", "where", "when", "how")}
     return ranked_causes(causes, most).select(
-        _plan_id(position).alias("plano_id"), _action(cause).alias("what"), _text(ACTION_WHY, *values).alias("why"),
-        _owner(position, owners).alias("who"), _text(ACTION_WHERE, *values).alias("where"),
-        _text(ACTION_WHEN, *values).alias("when"), _text(ACTION_HOW, *values).alias("how"))
+        _plan_id(position).alias("plano_id"), _action(cause).alias("what"), made["why"],
+        _owner(position, owners).alias("who"), made["where"], made["when"], made["how"])
 
 
-def improvement_cycles(causes: DataFrame, most: int = 5) -> DataFrame:
-    """Plan, do, check and act for the most frequent causes, as text."""
-    values = (F.col("causa_raiz_desc"), F.col("pct_do_total_voluntario"), F.col("area_predominante"))
+def improvement_cycles(causes: DataFrame, most: int = 5, texts: Mapping[str, str] = CYCLE_TEXTS) -> DataFrame:
+    """Plan, do, check and act for the most frequent causes. `texts` are templates over {cause}, {share}, {area}."""
+    values = {"cause": F.col("causa_raiz_desc"), "share": F.col("pct_do_total_voluntario"),
+              "area": F.col("area_predominante")}
     return ranked_causes(causes, most).select(
-        F.col("causa_raiz_desc").alias("causa_raiz"), _text(CYCLE_PLAN, *values).alias("plan"),
-        _text(CYCLE_DO, *values).alias("do"), F.lit(CYCLE_CHECK).alias("check"), F.lit(CYCLE_ACT).alias("act"))
+        F.col("causa_raiz_desc").alias("causa_raiz"),
+        *[_text(texts[name], values).alias(name) for name in ("plan", "do", "check", "act")])
