@@ -218,7 +218,8 @@ def _scd2(t: Tables) -> DataFrame:
 
 def _dim_employee_incremental(t: Tables) -> DataFrame:
     """The second snapshot first, then the first, which is late, then the third."""
-    root, history, loaded = t.store.path(f"dimension-{uuid.uuid4().hex[:12]}"), snapshots(t.silver), []
+    root, loaded = t.store.path(f"dimension-{uuid.uuid4().hex[:12]}"), []
+    history = snapshots(t.silver).select(*warehouse.DESCRIBED, "snapshot_date")
     for n in (1, 0, 2):
         loaded.append(SNAPSHOT_DATES[n])
         dimension.load_snapshots(

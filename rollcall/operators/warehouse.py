@@ -25,6 +25,8 @@ from rollcall.operators.series import (
 from rollcall.schema import END, ENGAGEMENT, KEY, PERFORMANCE, REASON, SALARY, START
 
 TRACKED = ("cargo", "senioridade", "area")
+#: What the employee dimension is made of: versions need no other columns of a snapshot.
+DESCRIBED = (KEY, *TRACKED, "genero", "raca_cor", "cidade", "idade", SALARY)
 
 
 def date_key(date: Column) -> Column:

@@ -93,6 +93,12 @@ def _changing(late: DataFrame, versions: DataFrame, keys: Sequence[str], date: s
     return late.join(stored, [*same_key, inside | first], "left_anti")
 
 
+def _all_newer(rows: DataFrame, current: DataFrame, date: str) -> bool:
+    """Whether all rows come after all that was seen, as in the daily load; two columns tell."""
+    first, last = rows.agg(F.min(date)).first()[0], current.agg(F.max("last_seen")).first()[0]
+    return first is None or last is None or first > last
+
+
 def load_snapshots(arrived: DataFrame, history: DataFrame, root: str, keys: Sequence[str], date: str,
                    tracked: Sequence[str]) -> set[str]:
     """Brings rows of one or more snapshots into the dimension under `root`; returns the parts that were replaced.
@@ -107,31 +113,32 @@ def load_snapshots(arrived: DataFrame, history: DataFrame, root: str, keys: Sequ
     like = build_versions(rows.where("false"), keys, date, tracked)
     seq, entries = _list(spark, root)
     current = _read(like, [e for e in entries if e[0] == OPEN])
-    met = store.keep(rows.join(current.select(*keys, F.col("last_seen").alias("_until"),
-                                              (F.col("version") - 1).alias("_base")), keys, "left"), "met")
-    late = met.where(F.col(date) <= F.col("_until")).select(*rows.columns)
-    if not late.isEmpty():
-        late = store.keep(_changing(late, _read(like, entries), keys, date, tracked), "late")
-    changed = late.select(*keys).distinct()
-    since: dt.date | None = late.agg(F.min(date)).first()[0]
-    newer = met.where(F.col("_until").isNull() | (F.col(date) > F.col("_until")))
-    newer = newer.join(changed, keys, "left_anti").withColumn("_seen", F.col(date)).withColumn(
-        "_base", F.coalesce("_base", F.lit(0))).drop("_until")
-    touched = newer.select(*keys).distinct()
-    standing = current.join(touched, keys, "left_semi").select(
+    newer, late, changed, since = rows, None, None, None
+    if not _all_newer(rows, current, date):
+        met = store.keep(rows.join(current.select(*keys, F.col("last_seen").alias("_until")), keys, "left"), "met")
+        newer = met.where(F.col("_until").isNull() | (F.col(date) > F.col("_until"))).drop("_until")
+        late = store.keep(_changing(met.where(F.col(date) <= F.col("_until")).drop("_until"),
+                                    _read(like, entries), keys, date, tracked), "late")
+        since = late.agg(F.min(date)).first()[0]
+    if since is not None:
+        changed = late.select(*keys).distinct()
+        newer, standing = newer.join(changed, keys, "left_anti"), current.join(changed, keys, "left_anti")
+    elif newer.isEmpty():
+        return set()
+    else:
+        standing = current
+    # a current version that meets nothing newer comes out as it is
+    standing = standing.select(
         *[F.col("valid_from").alias(date) if c == date else F.col(c) for c in rows.columns],
         F.col("last_seen").alias("_seen"), (F.col("version") - 1).alias("_base"))
-    made = _versions(standing.unionByName(newer), keys, date, tracked)
+    made = _versions(standing.unionByName(newer.withColumns({"_seen": F.col(date), "_base": F.lit(0)})),
+                     keys, date, tracked)
     if since is not None:
         # a version closed earlier is the same before and after
         made = made.unionByName(
             build_versions(history.select(*rows.columns).join(changed, keys, "left_semi"), keys, date, tracked)
             .where(F.col("valid_to").isNull() | (F.col("valid_to") >= since - dt.timedelta(1))))
-    made = store.keep(made, "made")
-    if made.isEmpty():
-        return set()
     replaced = {OPEN}
-    kept = current.join(touched.union(changed), keys, "left_anti")
     if since is not None:
         least = (since - dt.timedelta(1)).strftime("%Y-%m")
         reached = [e for e in entries if e[0] != OPEN and e[0] >= least]
@@ -140,9 +147,9 @@ def load_snapshots(arrived: DataFrame, history: DataFrame, root: str, keys: Sequ
         replaced |= {r.part for r in gone.collect()}
         older = _read(like, [e for e in reached if e[0] in replaced])
         left = older.where(F.col("valid_to") >= since - dt.timedelta(1)).join(changed, keys, "left_anti")
-        kept = kept.unionByName(left).unionByName(older.where(F.col("valid_to") < since - dt.timedelta(1)))
+        made = made.unionByName(left).unionByName(older.where(F.col("valid_to") < since - dt.timedelta(1)))
     folder = f"{root}/load-{uuid.uuid4().hex}"
-    made.unionByName(kept).withColumn("part", part_of(F.col("valid_to"))).write.partitionBy("part").parquet(folder)
+    made.withColumn("part", part_of(F.col("valid_to"))).write.partitionBy("part").parquet(folder)
     parts = {r.part for r in spark.read.schema("part string").parquet(folder).distinct().collect()}
     counting = [e for e in entries if e[0] not in replaced] + [(p, f"{folder}/part={p}") for p in sorted(parts)]
     spark.createDataFrame([(*e, seq + 1) for e in counting], LIST).coalesce(1).write.mode("append").parquet(f"{root}/list")

@@ -89,3 +89,14 @@ def test_rows_without_key_or_date_and_an_empty_snapshot(spark, tmp_path):
     assert load(spark, root, [], data) == set()
     assert rows(dimension.read_dimension(spark, root), *COLUMNS) == [(1, "A", 0, day(1), None, True, 1)]
     assert dimension.read_dimension(spark, root).select(F.max("last_seen")).first()[0] == day(1)
+
+
+def test_a_snapshot_newer_than_all_is_written_once(spark, tmp_path, monkeypatch):
+    """The daily load joins nothing and stores its rows once before the new parts."""
+    kept, keep = [], dimension.Store.keep
+    monkeypatch.setattr(dimension.Store, "keep", lambda self, df, name: kept.append(name) or keep(self, df, name))
+    root, snaps = str(tmp_path / "dim"), [[(k, a, 0, day(m)) for k in range(4)] for m, a in ((1, "A"), (2, "B"))]
+    load(spark, root, snaps[0], snaps[0])
+    load(spark, root, snaps[1][:2], snaps[0] + snaps[1][:2])
+    assert kept == ["arrived", "arrived"]
+    assert rows(dimension.read_dimension(spark, root), *COLUMNS) == full(spark, snaps[0] + snaps[1][:2])
