@@ -110,8 +110,9 @@ def train_attrition(labelled: DataFrame, trees: int = 100, depth: int = 6, min_l
     means = {c: store.keep(category_means(labelled, c), f"means_{c}") for c in opened}
     for c in opened:
         labelled = encode_out_of_fold(labelled, c, f"{c}_mean", key=key)
-    labelled = spread(store.keep(labelled, "encoded"), key, partitions)
     numeric = [*numeric, *[f"{c}_mean" for c in opened]]
+    # only what the trees see: all of it is shuffled and sorted, by several passes
+    labelled = store.keep(labelled.select(*dict.fromkeys([key, "label", *numeric, *categorical])), "encoded")
     indexers: list[StringIndexerModel] = [
         StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep", stringOrderType="alphabetAsc")
         .fit(labelled)
@@ -123,7 +124,8 @@ def train_attrition(labelled: DataFrame, trees: int = 100, depth: int = 6, min_l
         labelCol="label", featuresCol="features", weightCol="weight", numTrees=trees, maxDepth=depth,
         minInstancesPerNode=min_leaf, seed=seed,
         maxBins=max(32, *[len(m.labels) + 1 for m in indexers]))
-    return AttritionModel(Pipeline(stages=[*indexers, assembler, forest]).fit(with_class_weight(labelled)), means)
+    rows = spread(with_class_weight(labelled), key, partitions)
+    return AttritionModel(Pipeline(stages=[*indexers, assembler, forest]).fit(rows), means)
 
 
 def auc(model: AttritionModel, labelled: DataFrame, store: Store | None = None) -> float | None:

@@ -164,3 +164,11 @@ def test_forest_does_not_depend_on_the_input_partitions(spark, table):
     one, many = (model.importances(model.train_attrition(labelled.repartition(n), trees=8), labelled).collect()
                  for n in (2, 7))
     assert one == many
+
+
+def test_only_what_the_trees_see_is_shuffled(table, monkeypatch):
+    seen, spread = [], model.spread
+    monkeypatch.setattr(model, "spread", lambda df, *more: seen.append(df.columns) or spread(df, *more))
+    model.train_attrition(model.label_attrition(table, REF), trees=2)
+    assert [set(c) for c in seen] == [
+        {"matricula", "label", "weight", "cidade_mean", *model.NUMERIC, *model.CATEGORICAL}]
