@@ -76,7 +76,7 @@ def read_csv_rows(spark: SparkSession, path: str | list[str], schema: T.StructTy
     unreadable = F.coalesce(F.greatest(*bad, F.lit(False), F.lit(False)), F.lit(False))
     record = F.coalesce(F.col(MALFORMED), F.when(unreadable, F.to_csv(F.struct(*[f.name for f in fields]))))
     # a value is only parsed where its column is read: this reads all, whatever is selected later
-    return (raw.where(F.size(F.array(*[F.col(f.name).cast("string") for f in fields])) > 0)
+    return (raw.where(F.size(F.array(*[F.col(f.name).isNull() for f in fields])) > 0)
             .select(*[f.name for f in fields], record.alias(MALFORMED), *more))
 
 

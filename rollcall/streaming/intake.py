@@ -85,10 +85,15 @@ def corrected(spark: SparkSession, landing: str, history: str) -> DataFrame:
             .select("path", "modificationTime", "length"))
 
 
-def _plain_path(uri: str):
-    """`_metadata.file_path` is escaped and has another number of slashes than the listing."""
-    text = F.url_decode(F.replace(F.col(uri), F.lit("+"), F.lit("%2B")))
-    return F.regexp_replace(text, "^file:/+", "file:/")
+def _plain_path(path: str):
+    """Listings differ in the number of slashes."""
+    return F.regexp_replace(path, "^file:/+", "file:/")
+
+
+def _uris(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """_path, _uri: the escaped name by which rows of a file know it, once per file. No file is opened."""
+    return spark.read.format("binaryFile").load(paths).select(
+        _plain_path("path").alias("_path"), F.col("_metadata.file_path").alias("_uri"))
 
 
 def take_files(spark: SparkSession, files: list, history: str) -> None:
@@ -97,24 +102,28 @@ def take_files(spark: SparkSession, files: list, history: str) -> None:
         return
     store = Store(spark, "intake")
     listed = spark.createDataFrame([tuple(f) for f in files], FILE).select(
-        F.regexp_replace("path", "^file:/+", "file:/").alias("_path"), "*",
+        _plain_path("path").alias("_path"), "*",
         F.sha2(F.concat_ws("|", "path", F.col("length").cast("string"), F.unix_micros("modificationTime")
                            .cast("string")), 256).substr(1, 24).alias(VERSION),
         F.to_date(F.regexp_extract("path", rf"{EXPORT_DATE}=(\d+-\d+-\d+)", 1)).alias(EXPORT_DATE))
     if lost := [r.path for r in listed.where(F.col(EXPORT_DATE).isNull()).select("path").collect()]:
         raise ValueError(f"not in a folder of an export date: {lost[:3]}")
-    raw = read_csv_rows(spark, [f.path for f in files], more=[F.col("_metadata.file_path").alias("_uri")])
-    typed = from_csv_types(raw.select(*BRONZE.fieldNames(), MALFORMED, _plain_path("_uri").alias("_path")), BRONZE)
-    rows = store.keep(typed.join(listed.select("_path", VERSION, EXPORT_DATE), "_path").drop("_path"), "taken")
+    # kept, so that the planner knows how small it is and the rows are not shuffled to meet it
+    paths = [f.path for f in files]
+    listed = store.keep(listed.join(_uris(spark, paths), "_path").drop("_path"), "listed")
+    raw = read_csv_rows(spark, paths, more=[F.col("_metadata.file_path").alias("_uri")])
+    typed = from_csv_types(raw.select(*BRONZE.fieldNames(), MALFORMED, "_uri"), BRONZE)
+    rows = store.keep(typed.join(listed.select("_uri", VERSION, EXPORT_DATE), "_uri").drop("_uri"), "taken")
     good, bad = rows.where(F.col(MALFORMED).isNull()).drop(MALFORMED), rows.where(F.col(MALFORMED).isNotNull())
     record = bad.select(F.col(MALFORMED).alias("record"), VERSION, EXPORT_DATE)
     for table, part in ((history, good), (quarantine_of(history), record)):
-        (part.hint("rebalance", EXPORT_DATE, VERSION).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy(EXPORT_DATE, VERSION).parquet(table))
+        # a task of the read holds rows of a few files only, each a partition of its own, so there is nothing to gather
+        (part.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(EXPORT_DATE, VERSION).parquet(table))
     counted = rows.groupBy(VERSION).agg(
         F.bit_xor(F.xxhash64(*BRONZE.fieldNames(), MALFORMED)).alias("checksum"),
         F.count_if(F.col(MALFORMED).isNull()).alias("rows"), F.count(MALFORMED).alias("malformed"))
-    entries = listed.drop("_path").join(counted, VERSION, "left").withColumn(
+    entries = listed.drop("_uri").join(counted, VERSION, "left").withColumn(
         "seq", F.lit(_next(spark, ledger_of(history), LEDGER)))
     zero = {c: F.coalesce(c, F.lit(0)) for c in ("checksum", "rows", "malformed")}
     entries.withColumns(zero).select(*[c.split()[0] for c in LEDGER.split(", ")]).coalesce(1).write.mode(

@@ -68,6 +68,23 @@ def test_rows_read_are_rows_kept_and_quarantined(land):
     assert (read_bronze(land.spark, path).count(), read_malformed(land.spark, path).count()) == (7, 4)
 
 
+def test_rows_meet_their_files_without_a_shuffle(land, monkeypatch):
+    """The rows of a batch are written once as they were read: the listing of files is what is sent to them."""
+    plans = {}
+    keep = Store.keep
+
+    def spy(self, df, table):
+        plans[table] = df._jdf.queryExecution().executedPlan().toString()
+        return keep(self, df, table)
+
+    monkeypatch.setattr(Store, "keep", spy)
+    land.put("2020-01-01", "a b+c.csv", [GOOD.format(key=k, pay=5000) for k in range(1, 8)])
+    land.put("2020-01-02", "%41.csv", [GOOD.format(key=8, pay=5000)])
+    land.take()
+    assert "BroadcastHashJoin" in plans["taken"] and "Exchange hashpartitioning" not in plans["taken"]
+    assert land.held()[0] == [*[(k, "2020-01-01") for k in range(1, 8)], (8, "2020-01-02")]
+
+
 def test_columns_are_found_by_name_in_any_order(land):
     swapped = ",".join([NAMES[1], NAMES[0], *NAMES[2:]])
     land.put("2020-01-01", "a.csv", ["Nome,5," + GOOD.split(",", 2)[2].format(pay=1)], header=swapped)
