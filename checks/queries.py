@@ -21,8 +21,9 @@ from rollcall.operators import (
 from rollcall.plans import dimension, export
 from rollcall.plans.silver import clean_columns, quality_log, repair_rows, silver, staged_silver
 from rollcall.schema import END, ENGAGEMENT, KEY, KIND, REASON, SALARY, START
+from rollcall.session import partitions_for, size_shuffles
 from rollcall.sources import (
-    Store, bronze_view, read_bronze, read_silver, snapshots, write_bucketed, write_csv, write_silver)
+    Store, bronze_view, order_count, read_bronze, read_silver, snapshots, write_bucketed, write_csv, write_silver)
 from rollcall.sources.trade_view import REFERENCE_DATE, SNAPSHOT_DATES
 from rollcall.streaming import clean_exports, current_view, ingest_increment, read_exports, refresh_exports
 from rollcall.streaming.intake import EXPORT_DATE, ledger, read_history, read_quarantine
@@ -46,7 +47,16 @@ class Tables:
 
     @property
     def bronze(self) -> DataFrame:
-        return bronze_view(self.spark, self.folder)
+        tasks = partitions_for(self.people)
+        return bronze_view(
+            self.spark, self.folder, tasks if tasks > self.spark.sparkContext.defaultParallelism else 0)
+
+    @cached_property
+    def people(self) -> int:
+        """One per order. Shuffles of this session are sized by it."""
+        n = order_count(self.spark, self.folder)
+        size_shuffles(self.spark, n)
+        return n
 
     @cached_property
     def staged(self) -> DataFrame:
@@ -75,7 +85,7 @@ class Tables:
     @cached_property
     def careers(self) -> DataFrame:
         """Departures with careers, from tables placed by person."""
-        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        buckets = size_shuffles(self.spark, self.people)
         placed = [write_bucketed(df, self.store.path(f"placed_{name}"), "nk_matricula", buckets)
                   for name, df in (("fct_desligamento", self.departures), ("dim_colaborador", self.employees))]
         return warehouse.departure_careers(*placed)

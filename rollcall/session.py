@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 PARTITION_BYTES = 256 * 1024 * 1024
+#: Whole employee rows that a task sorts or groups in memory, some 200 MB of them.
+PARTITION_ROWS = 250_000
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
 def settings(cores: int, input_bytes: int = 0, split_mb: int = 128) -> dict[str, str]:
@@ -24,6 +27,24 @@ def settings(cores: int, input_bytes: int = 0, split_mb: int = 128) -> dict[str,
     }
 
 
+def partitions_for(rows: int) -> int:
+    """Partitions in which no task holds too many whole rows."""
+    return -(-rows // PARTITION_ROWS)
+
+
+def size_shuffles(spark: SparkSession, rows: int) -> int:
+    """Let shuffles start from as many partitions as a table of so many rows needs, where the session has fewer.
+
+    A session that was started for a smaller input would otherwise give each task a fixed share of a growing table,
+    which it sorts on disk. Adaptive execution merges the partitions again where they turn out small.
+    """
+    fixed = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = max(fixed, partitions_for(rows))
+    if wanted > int(spark.conf.get(INITIAL_PARTITIONS, None) or fixed):
+        spark.conf.set(INITIAL_PARTITIONS, str(wanted))
+    return wanted
+
+
 def session(app: str, cores: int, input_bytes: int = 0, master: str | None = None, **more: str) -> SparkSession:
     """A session with these settings. On a cluster, `spark.checkpoint.dir` must name a folder all executors share."""
     builder = SparkSession.builder.appName(app)

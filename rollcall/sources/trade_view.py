@@ -71,10 +71,22 @@ REFERENCE_DATE = "2001-08-01"
 SNAPSHOT_DATES = ("2001-06-01", "2001-07-01", "2001-08-01")
 
 
-def bronze_view(spark: SparkSession, folder: str) -> DataFrame:
-    """The 20-column bronze table over the Parquet tables in `folder`."""
-    tables = {name: spark.read.schema(schema).parquet(f"{folder}/{name}.parquet") for name, schema in TABLES.items()}
-    return spark.sql(VIEW, **tables)
+def _tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    return {name: spark.read.schema(schema).parquet(f"{folder}/{name}.parquet") for name, schema in TABLES.items()}
+
+
+def order_count(spark: SparkSession, folder: str) -> int:
+    return _tables(spark, folder)["orders"].count()
+
+
+def bronze_view(spark: SparkSession, folder: str, partitions: int = 0) -> DataFrame:
+    """The 20-column bronze table over the Parquet tables in `folder`.
+
+    A few narrow columns of a large file become wide rows, so a split of it can be too many rows for a task:
+    `partitions` deals the orders out while they are narrow.
+    """
+    view = VIEW.replace("SELECT CAST(", f"SELECT /*+ REPARTITION({partitions}, k) */ CAST(", 1) if partitions else VIEW
+    return spark.sql(view, **_tables(spark, folder))
 
 
 def snapshots(silver: DataFrame) -> DataFrame:
