@@ -13,8 +13,8 @@ from pyspark.sql.types import StructType
 
 from rollcall.sources import Store
 
-#: Words of a text, as the contracts define them.
-WORD = r"[^\x20\x09-\x0D]+"
+#: What stands between the words of a text, as the contracts define them.
+BLANKS = r"[\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SPACES = b" \t\n\x0b\x0c\r"
 #: The text as UTF-8 bytes, a null text as an empty one.
@@ -76,22 +76,27 @@ class Memo(dict):
         return value
 
 
-def running(df: DataFrame, store: Store, group: list[str], order: list[str], column: str, name: str) -> DataFrame:
-    """Adds `name`: the sum of `column` over the rows before this one, by `order` within `group`.
+def running(df: DataFrame, store: Store, group: list[str], order: list[str], column: str | list[str],
+            name: str | list[str]) -> DataFrame:
+    """Adds `name`: the sum of `column` over the rows before this one, by `order` within `group`. Lists of columns and
+    names give several sums in one pass.
 
     The rows are ranged by (group, order), so a group that holds most rows is spread over many tasks. Sums per range
     give the offsets: as many rows as ranges, and one more for each border between groups.
     """
+    columns, names = ([x] if isinstance(x, str) else x for x in (column, name))
     ranged = df.repartitionByRange(*group, *order).withColumn("_range", F.spark_partition_id())
-    kept = store.keep(ranged, f"ranged_{name}")
+    kept = store.keep(ranged, f"ranged_{names[0]}")
     keys = [*group, "_range"]
-    sums = kept.groupBy(*keys).agg(F.sum(column).alias("_sum"))
+    sums = kept.groupBy(*keys).agg(*[F.sum(c).alias(f"_sum_{n}") for c, n in zip(columns, names)])
     before = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select(*keys, F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_offset"))
+    offsets = sums.select(*keys, *[F.coalesce(F.sum(f"_sum_{n}").over(before), F.lit(0)).alias(f"_offset_{n}")
+                                   for n in names])
     inner = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     return (kept.join(offsets, keys)
-            .withColumn(name, F.col("_offset") + F.coalesce(F.sum(column).over(inner), F.lit(0)))
-            .drop("_range", "_offset"))
+            .withColumns({n: F.col(f"_offset_{n}") + F.coalesce(F.sum(c).over(inner), F.lit(0))
+                          for c, n in zip(columns, names)})
+            .drop("_range", *[f"_offset_{n}" for n in names]))
 
 
 def components(links: DataFrame, store: Store, name: str = "components", most_rounds: int = 60) -> DataFrame:

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import WORD, running, store_of
+from rollcall.llm.common import BLANKS, running, store_of
 from rollcall.sources import Store
 
 SYMBOLS = "#*$%&|<>"
@@ -25,11 +25,17 @@ UNIT = ["doc_id", "source", "text_hash"]
 
 def quality_weight(words: Column, text: Column) -> Column:
     """Variety of words, lowered by symbols: distinct words / sqrt(words) / (1 + symbols / words)."""
-    symbols = F.length(text) - F.length(F.translate(text, SYMBOLS, ""))
+    symbols = F.regexp_count(text, F.lit(f"[{SYMBOLS}]"))
     n = F.size(words)
     return F.size(F.array_distinct(words)) / F.sqrt(n) / (1 + symbols / n)
 
 
+def words_of(text: Column) -> Column:
+    """The words of a text. Splitting leaves one string a word behind; `regexp_extract_all` leaves a match object a word
+    too, which made up most of what executors allocated."""
+    return F.array_remove(F.split(text, BLANKS), "")
+
+
 def exponential_key(doc_id: Column, weight: Column, seed: str) -> Column:
     """-ln(u) / weight, where u in (0, 1) comes from a hash of doc_id, so that reruns agree."""
     text = F.concat(F.coalesce(doc_id.cast("string"), F.lit("null")), F.lit(":" + seed))
@@ -39,9 +45,9 @@ def exponential_key(doc_id: Column, weight: Column, seed: str) -> Column:
 
 def units(docs: DataFrame, seed: str) -> DataFrame:
     """doc_id, source, text_hash, size, key and the number of equal rows."""
-    words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(WORD), 0)
-    return (docs.select("doc_id", "source", F.xxhash64("text").alias("text_hash"),
-                        F.coalesce("text", F.lit("")).alias("text"), words.alias("words"))
+    text = F.coalesce("text", F.lit(""))
+    return (docs.select("doc_id", "source", F.xxhash64("text").alias("text_hash"), text.alias("text"),
+                        words_of(text).alias("words"))
             .withColumn("size", F.size("words").cast("long"))
             .withColumn("weight", F.when(F.col("size") > 0, quality_weight(F.col("words"), F.col("text")))
                         .otherwise(1.0))
@@ -64,11 +70,11 @@ def source_targets(sizes: DataFrame, store: Store, weights: tuple[int, ...], sha
                         .withColumn("full_at", F.col("cap") / F.col("weight")), "weighed")
     total, weight = ranked.agg(F.sum("source_size"), F.sum("weight")).first()
     order = ["full_at", "source_index"]
-    lines = running(running(ranked, store, [], order, "cap", "capped"), store, [], order, "weight", "gone")
+    lines = running(ranked, store, [], order, ["cap", "weight"], ["capped", "gone"])
     level = lines.agg(F.max((F.lit(share * (total or 0)) - F.col("capped")) / (F.lit(weight or 1) - F.col("gone")))
                       ).first()[0]
     target = F.least(F.col("cap").cast("double"), F.lit(level or 0.0) * F.col("weight"))
-    return store.keep(ranked.select("source", "source_index", "source_size", target.alias("target")), "targets")
+    return ranked.select("source", "source_index", "source_size", target.alias("target"))
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, most: int = 2,
@@ -76,7 +82,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.
     """One row per unit of equal rows: doc_id, source, text_hash, size, copies, source_size, target, times.
 
     `times` is how often the mix takes each of the unit's rows. The unit at the end of a budget is taken if more than
-    half of it fits.
+    half of it fits. Only the units and their ranges are written row by row; what is joined to them is one row per source.
     """
     store = store_of(docs, "mixing")
     rows = store.keep(units(docs, seed), "units")
@@ -84,8 +90,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.
     targets = source_targets(sizes, store, weights, share, most).withColumnRenamed("source", "of")
     rows = (rows.join(targets, F.col("source").eqNullSafe(F.col("of"))).drop("of")
             .withColumn("length", F.col("size") * F.col("copies")))
-    summed = running(store.keep(rows, "keyed"), store, ["source_index"], ["key", "doc_id", "text_hash"], "length",
-                     "before")
+    summed = running(rows, store, ["source_index"], ["key", "doc_id", "text_hash"], "length", "before")
     size = F.col("source_size")
     epochs = F.when(size > 0, F.floor(F.col("target") / size)).otherwise(0)
     rest = F.col("target") - F.col("epochs") * size

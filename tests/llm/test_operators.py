@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import random
+import re
 from collections import Counter
 from itertools import combinations
 
@@ -24,6 +25,20 @@ from .helpers import SCHEMA, prose, table
 
 # --- mixing
 
+def test_mix_writes_its_rows_twice_at_most(odd, monkeypatch):
+    """Every file written takes its executor processes, so rows are kept as units and in ranges, and not in between."""
+    kept, keep = {}, Store.keep
+
+    def counted(self, df, name):
+        kept[name] = keep(self, df, name)
+        return kept[name]
+
+    monkeypatch.setattr(Store, "keep", counted)
+    mixing.mix(odd).collect()
+    assert len(kept) == 5
+    assert [n for n, df in kept.items() if "doc_id" in df.columns] == ["units", "ranged_before"]
+
+
 def test_mix_matches_sql_on_odd_rows(odd, odd_rows, sql_over):
     # repeated rows are one unit; SQL has no units, so it sees one of each with an id
     rows = list(dict.fromkeys(r for r in odd_rows if r[0] != 40))
@@ -34,6 +49,21 @@ def test_mix_matches_sql_on_odd_rows(odd, odd_rows, sql_over):
     assert sorted(key(r.asDict()) for r in got.collect()) == sorted(map(key, want))
 
 
+def test_units_match_no_words_and_translate_no_characters(odd, odd_rows):
+    """Both leave objects behind for every word or character read; the words and symbols are those of the contract."""
+    found = mixing.units(odd, "s")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "translate(" not in plan and r"[^\x20" not in plan and "split(" in plan
+    sizes = Counter({(i, source, len(re.findall(r"[^\x20\x09-\x0D]+", text or ""))) for i, text, _, source, _ in odd_rows})
+    assert Counter({(r.doc_id, r.source, r.size) for r in found.collect()}) == sizes
+    text = "\n a#b\x0b$|$ \x85é\u2028 a#b "
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    weigh = lambda t: mixing.quality_weight(mixing.words_of(t), t)
+    df = odd.sparkSession.createDataFrame([(text,)], "text string")
+    row = df.select(mixing.words_of(F.col("text")).alias("words"), weigh(F.col("text")).alias("weight")).first()
+    assert row.words == words and row.weight == pytest.approx(3 / math.sqrt(4) / (1 + 5 / 4))
+
+
 def test_mix_keeps_every_row_and_its_bounds(odd, odd_rows):
     rows = mixing.mixed_sizes(odd).collect()
     assert Counter(r.doc_id for r in rows) == Counter(r[0] for r in odd_rows)
@@ -591,6 +621,15 @@ def test_components_equal_union_find(spark):
     assert dict(map(tuple, got.collect())) == {x: find(x) for x in nodes}
 
 
+def test_running_sums_of_several_columns(spark):
+    df = spark.range(500).select(F.xxhash64("id").alias("o"), (F.col("id") % 7).alias("x"), F.lit(0.5).alias("y"))
+    a = b = 0
+    for r in sorted(common.running(df, Store(spark, "r"), [], ["o"], ["x", "y"], ["a", "b"]).collect(),
+                    key=lambda r: r.o):
+        assert (r.a, r.b) == (a, b)
+        a, b = a + r.x, b + r.y
+
+
 def test_running_sums_with_a_hot_group(spark):
     df = spark.range(5000).select(F.when(F.col("id") % 3 > 0, 0).otherwise(F.col("id") % 7).alias("g"),
                                   F.xxhash64("id").alias("o"), F.lit(1).alias("one"))
