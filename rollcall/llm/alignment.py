@@ -22,11 +22,12 @@ import json
 from collections.abc import Iterator
 from functools import lru_cache
 from hashlib import sha256
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
@@ -50,16 +51,27 @@ def piece_bpe_path() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def gathered(strings: pa.Array, at: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """The strings at these places, one behind the other, and where each begins; the end comes last."""
+    taken = strings.take(pa.array(at))
+    _, starts, data = taken.buffers()
+    starts = np.frombuffer(starts, np.int64)[:len(at) + 1] if len(at) else np.zeros(1, np.int64)
+    return (data.to_pybytes() if data else b""), starts
+
+
 class Side:
     """A tokenizer: `ids` of texts, and the bytes of every id."""
 
     def __init__(self, strings: list[bytes]):
         self.strings = strings
         self.lengths = np.array(list(map(len, strings)), np.int64)
-        self.inner, self.last = ([f"{i}{end}" for i in range(len(strings))] for end in ",;")
+        self.held = pa.array(strings, pa.large_binary())
 
-    def whole(self, ids: list[int], text: bytes) -> bool:
-        return b"".join(map(self.strings.__getitem__, ids)) == text
+    def whole(self, ids: np.ndarray, counts: np.ndarray, bodies: list[bytes]) -> list[bool]:
+        """Whether the tokens of each text give back its bytes."""
+        data, starts = gathered(self.held, ids)
+        cuts = starts[borders(counts)].tolist()
+        return [data[i:j] == body for i, j, body in zip(cuts, cuts[1:], bodies)]
 
 
 class ByteSide(Side):
@@ -78,7 +90,6 @@ class ByteSide(Side):
         super().__init__([strings.get(i, b"") for i in range(max(strings) + 1)])
         self.own = tiktoken.Encoding("alignment", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
                                      special_tokens={})
-        self.inner_end = [f"{i}|" for i in range(len(self.strings))]
 
     def ids(self, texts: list[str]) -> list[list[int]]:
         return [self.own.encode_ordinary(" " + t) for t in texts]
@@ -105,22 +116,45 @@ def sides(byte_path: str, piece_path: str) -> tuple[ByteSide, PieceSide]:
     return ByteSide(byte_path), PieceSide(piece_path)
 
 
-def tokens_of(side: Side, ids: list[list[int]]) -> pd.DataFrame:
+@lru_cache(maxsize=2)
+def group_parts(n_a: int, n_b: int) -> pa.Array:
+    """Every id as it stands in the text of groups: of A inside and at the end of its side, then of B."""
+    return pa.array([f"{i}{end}".encode() for n, ends in ((n_a, ",|"), (n_b, ",;")) for end in ends for i in range(n)],
+                    pa.large_binary())
+
+
+def joined(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all texts, and how many each has."""
+    counts = np.fromiter(map(len, ids), np.int64, len(ids))
+    return np.fromiter(chain.from_iterable(ids), np.int64, counts.sum()), counts
+
+
+def borders(counts: np.ndarray) -> np.ndarray:
+    """Where the tokens of each text begin among all; the end comes last."""
+    return np.concatenate([[0], np.cumsum(counts)])
+
+
+def tokens_of(side: Side, ids: np.ndarray, counts: np.ndarray) -> pd.DataFrame:
     """doc, id, start, end and the token's number, of documents whose bytes stand one behind the other."""
-    flat = np.fromiter((i for each in ids for i in each), np.int64, sum(map(len, ids)))
-    lengths = side.lengths[flat]
+    lengths = side.lengths[ids]
     ends = np.cumsum(lengths)
-    return pd.DataFrame({"doc": np.repeat(np.arange(len(ids)), list(map(len, ids))), "start": ends - lengths,
-                         "end": ends, "id": flat, "number": np.arange(len(flat))})
+    return pd.DataFrame({"doc": np.repeat(np.arange(len(counts)), counts), "start": ends - lengths, "end": ends,
+                         "id": ids, "number": np.arange(len(ids))})
 
 
 def overlaps(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-    """Numbers a and b of all pairs of tokens that share a byte, each once, in order."""
+    """Numbers a and b of all pairs of tokens that share a byte, each once, in order.
+
+    Both ways find a pair that starts together, so the second gives only those whose B token starts later. Each way
+    finds its pairs in order, which leaves two runs to merge.
+    """
     left = a[["doc", "start", "number"]].rename(columns={"number": "a"})
     right = b[["doc", "start", "number"]].rename(columns={"number": "b"})
     to_b, to_a = (pd.merge_asof(x, y, on="start", by="doc") for x, y in ((left, right), (right, left)))
-    pairs = pd.concat([to_b[["a", "b"]], to_a[["a", "b"]]], ignore_index=True)
-    code = np.unique(pairs["a"].to_numpy() * (len(b) + 1) + pairs["b"].to_numpy())
+    later = to_a["start"].to_numpy() > a["start"].to_numpy()[to_a["a"].to_numpy()]
+    code = np.concatenate([each["a"].to_numpy() * (len(b) + 1) + each["b"].to_numpy()
+                           for each in (to_b, to_a[later])])
+    code.sort(kind="stable")
     return pd.DataFrame({"a": code // (len(b) + 1), "b": code % (len(b) + 1)})
 
 
@@ -131,44 +165,43 @@ def links_of(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
     return pairs[same]
 
 
-def group_text(first: ByteSide, second: PieceSide, a: np.ndarray, b: np.ndarray, cut_a: np.ndarray,
-               cut_b: np.ndarray) -> str:
-    """`a1,a2|b1;a3|b2,b3`: the ids of both sides by group. The cuts are the numbers of each group's last tokens."""
-    parts = np.empty(len(a) + len(b), object)
-    before_b = np.concatenate([[0], cut_b[:-1] + 1])
-    place_a = np.arange(len(a)) + before_b[np.searchsorted(cut_a, np.arange(len(a)))]
-    place_b = np.arange(len(b)) + (cut_a + 1)[np.searchsorted(cut_b, np.arange(len(b)))]
-    parts[place_a] = list(map(first.inner.__getitem__, a.tolist()))
-    parts[place_a[cut_a]] = list(map(first.inner_end.__getitem__, a[cut_a].tolist()))
-    parts[place_b] = list(map(second.inner.__getitem__, b.tolist()))
-    parts[place_b[cut_b]] = list(map(second.last.__getitem__, b[cut_b].tolist()))
-    return "".join(parts.tolist())[:-1]
+def group_texts(first: ByteSide, second: PieceSide, a: np.ndarray, b: np.ndarray, cut_a: np.ndarray,
+                cut_b: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """`a1,a2|b1;a3|b2,b3;`: the ids of both sides by group, and where each begins. The cuts are the numbers of each
+    group's last tokens."""
+    before_a, before_b = (np.concatenate([[0], cut + 1])[:-1] for cut in (cut_a, cut_b))
+    place_a = np.arange(len(a)) + np.repeat(before_b, cut_a + 1 - before_a)
+    place_b = np.arange(len(b)) + np.repeat(cut_a + 1, cut_b + 1 - before_b)
+    n_a, n_b = len(first.strings), len(second.strings)
+    at = np.empty(len(a) + len(b), np.int64)
+    at[place_a], at[place_b] = a, b + 2 * n_a
+    at[place_a[cut_a]] += n_a
+    at[place_b[cut_b]] += n_b
+    return gathered(group_parts(n_a, n_b), at)
 
 
 def aligned_chunk(first: ByteSide, second: PieceSide, texts: list[str]) -> tuple[list[tuple], list[np.ndarray]]:
     """n_a, n_b, n_groups, n_links and groups_sha256 of every text, and the codes of its links."""
-    found_a, found_b = first.ids(texts), second.ids(texts)
-    for k, text in enumerate(texts):
-        body = b" " + text.encode()
-        if not text or not first.whole(found_a[k], body) or not second.whole(found_b[k], body):
-            found_a[k], found_b[k] = [], []
-    a, b = tokens_of(first, found_a), tokens_of(second, found_b)
+    bodies = [b" " + text.encode() for text in texts]
+    found_a, found_b = joined(first.ids(texts)), joined(second.ids(texts))
+    good = np.array([*map(bool, texts)]) & first.whole(*found_a, bodies) & second.whole(*found_b, bodies)
+    n_a, n_b = (np.where(good, counts, 0) for _, counts in (found_a, found_b))
+    a, b = (tokens_of(side, ids[np.repeat(good, counts)], n)
+            for side, (ids, counts), n in ((first, found_a, n_a), (second, found_b, n_b)))
     links = links_of(a, b)
     id_a, id_b = a["id"].to_numpy(), b["id"].to_numpy()
     link_a, link_b = links["a"].to_numpy(), links["b"].to_numpy()
-    codes = id_a[link_a] * len(second.strings) + id_b[link_b]
-    from_a, from_b = (np.concatenate([[0], np.cumsum(list(map(len, f)))]) for f in (found_a, found_b))
-    cut = np.searchsorted(link_a, from_a)  # links come in the order of their A tokens
+    codes = (id_a[link_a] * len(second.strings) + id_b[link_b]).astype(np.int32)
+    from_a, from_b = borders(n_a), borders(n_b)
+    cut = np.searchsorted(link_a, from_a).tolist()  # links come in the order of their A tokens
+    data, starts = group_texts(first, second, id_a, id_b, link_a, link_b)
+    ends = starts[from_a + from_b].tolist()
     rows, out = [], []
-    for k in range(len(texts)):
-        one, two = slice(from_a[k], from_a[k + 1]), slice(from_b[k], from_b[k + 1])
-        held = slice(cut[k], cut[k + 1])
-        ends_a, ends_b = link_a[held] - from_a[k], link_b[held] - from_b[k]
-        digest = ""
-        if len(ends_a):
-            digest = sha256(group_text(first, second, id_a[one], id_b[two], ends_a, ends_b).encode()).hexdigest()
-        rows.append((len(found_a[k]), len(found_b[k]), len(ends_a), len(ends_a), digest))
-        out.append(codes[held].astype(np.int32))
+    for k, (n, m) in enumerate(zip(n_a.tolist(), n_b.tolist())):
+        held = cut[k + 1] - cut[k]
+        digest = sha256(data[ends[k]:ends[k + 1] - 1]).hexdigest() if held else ""
+        rows.append((n, m, held, held, digest))
+        out.append(codes[cut[k]:cut[k + 1]])
     return rows, out
 
 
@@ -212,9 +245,8 @@ def align(docs: DataFrame, byte_path: str, piece_path: str) -> DataFrame:
 def pair_counts(aligned: DataFrame, n_b: int) -> DataFrame:
     """link, count and best (no pair with the same B id counts more), over all documents."""
     counts = aligned.select(F.explode("links").alias("link")).groupBy("link").agg(F.count(F.lit(1)).alias("count"))
-    b = F.col("link") % n_b
-    most = counts.groupBy(b.alias("b")).agg(F.max("count").alias("most"))
-    return counts.join(most, b == F.col("b")).select("link", "count", (F.col("count") == F.col("most")).alias("best"))
+    most = F.max("count").over(Window.partitionBy(F.col("link") % n_b))
+    return counts.select("link", "count", (F.col("count") == most).alias("best"))
 
 
 def alignment_digests(docs: DataFrame, byte_path: str, piece_path: str) -> DataFrame:

@@ -99,6 +99,35 @@ def test_overlaps_equal_all_pairs(documents):
     assert len(got) == len(want) and set(zip(got.a, got.b)) == want
 
 
+def test_groups_are_written_without_python_steps_per_token(encoders, monkeypatch):
+    """Ids are looked up, compared and written for a whole chunk at once; a text that fails leaves the others whole."""
+    first, second = alignment.sides(alignment.byte_bpe_path(), alignment.piece_bpe_path())
+    texts = [prose(4000, 1), "", "ﬁ ½", prose(4000, 2), "a ▁ mark", "one"]
+    want = brute.aligned([(None, t) for t in texts], *encoders)
+    seen = []
+
+    class Counted(list):
+        def __getitem__(self, at):
+            seen.append(at)
+            return super().__getitem__(at)
+
+    for side in (first, second):
+        for name, value in list(vars(side).items()):
+            if isinstance(value, list):
+                monkeypatch.setattr(side, name, Counted(value))
+    rows, links = alignment.aligned_chunk(first, second, texts)
+    assert [(*r[:4], r[4]) for r in rows] == [(*w[1:5], w[7]) for w in want]
+    assert list(map(len, links)) == [w[4] for w in want] and not seen
+
+
+def test_pair_counts_read_the_aligned_rows_once(spark):
+    aligned = spark.createDataFrame([([1, 1, 11],), ([21, 2],), ([12, 12],)], "links array<int>")
+    found = alignment.pair_counts(aligned, 10)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Generate explode") == 1
+    assert table(found, "link", "count", "best") == sorted(
+        [(1, 2, True), (11, 1, False), (21, 1, False), (2, 1, False), (12, 2, True)], key=repr)
+
+
 def test_a_long_text_is_a_chunk_of_its_own(spark):
     docs = spark.createDataFrame([(1, "ab " * 200_000), (2, "one"), (3, None)], "doc_id long, text string")
     got = {r.doc_id: r for r in alignment.align(docs, alignment.byte_bpe_path(), alignment.piece_bpe_path()).collect()}
