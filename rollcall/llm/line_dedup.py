@@ -10,10 +10,13 @@ table gives an empty table. Columns other than doc_id and text are not looked at
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import lower_ascii, store_of
+from rollcall.llm.common import store_of
 
 #: White space that is stripped from a line's ends to get its key.
 STRIPPED = " \t\n\x0b\x0c\r"
@@ -24,6 +27,23 @@ def _lines(text):
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
 
+def _stripped(line: Column) -> Column:
+    """`btrim` notes the place of every character, so only lines that need it go there."""
+    ends = [end for c in STRIPPED for end in (line.startswith(c), line.endswith(c))]
+    return F.when(reduce(or_, ends), F.btrim(line, F.lit(STRIPPED))).otherwise(line)
+
+
+def _folded(line: Column) -> Column:
+    """A text that two lines share if and only if they are equal after lower-casing A-Z.
+
+    `translate` would make an object of each character. `lower` does the same to ASCII. Of other lines it is given the
+    UTF-8 bytes as Latin-1 characters: it then also maps the first bytes of two-byte characters (C0 to DE) to first bytes
+    of longer ones, which stay apart by the number of bytes that follow.
+    """
+    is_ascii = F.octet_length(line) == F.length(line)
+    return F.lower(F.when(is_ascii, line).otherwise(F.decode(line.cast("binary"), "ISO-8859-1")))
+
+
 def clean_lines(docs: DataFrame, least_chars: int = 40, least_docs: int = 5) -> DataFrame:
     """`docs` with `n_lines`, `n_dropped` and `kept_text` added; a clashing name in `docs` is replaced.
 
@@ -33,8 +53,9 @@ def clean_lines(docs: DataFrame, least_chars: int = 40, least_docs: int = 5) ->
     store = store_of(docs, "line_dedup")
     keys = (docs.select(F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_text_hash"),
                         F.posexplode(_lines(F.col("text"))).alias("pos", "line"))
-            .withColumn("key", lower_ascii(F.btrim("line", F.lit(STRIPPED))))
-            .where(F.length("key") >= least_chars)
+            .withColumn("line", _stripped(F.col("line")))
+            .where(F.length("line") >= least_chars)
+            .withColumn("key", _folded(F.col("line")))
             .select("_id", "_text_hash", "pos", F.xxhash64("key").alias("h1"),
                     F.xxhash64(F.lit(1), F.col("key")).alias("h2")))
     keys = store.keep(keys, "keys")
@@ -43,13 +64,13 @@ def clean_lines(docs: DataFrame, least_chars: int = 40, least_docs: int = 5) ->
               .where(F.col("n") >= least_docs))
     dropped = (keys.join(store.keep(shared.drop("n"), "shared"), ["h1", "h2"])
                .where(~F.col("_id").eqNullSafe(F.col("holder")))
-               .groupBy(*ROW).agg(F.collect_set("pos").alias("_dropped")))
-    dropped = store.keep(dropped, "dropped").toDF("_id2", "_hash2", "_dropped")
+               .groupBy(*ROW).agg(F.collect_set("pos").alias("_dropped")).toDF("_id2", "_hash2", "_dropped"))
     rows = docs.select(F.struct("*").alias("_row"), F.col("doc_id").alias("_id"),
                        F.xxhash64("text").alias("_text_hash"))
-    # one way at every size: what a broadcast saves on small inputs says nothing about large ones
-    joined = rows.join(
-        dropped.hint("merge"), F.col("_id").eqNullSafe(F.col("_id2")) & (F.col("_text_hash") == F.col("_hash2")), "left")
+    # one way at every size: what a broadcast saves on small inputs says nothing about large ones; positions take a small
+    # part of what their texts take, so a task holds its positions and lets the texts pass unsorted
+    same = F.col("_id").eqNullSafe(F.col("_id2")) & (F.col("_text_hash") == F.col("_hash2"))
+    joined = rows.join(dropped.hint("shuffle_hash"), same, "left")
     lines = _lines(F.col("_row.text"))
     kept = F.array_sort(F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_dropped")))
     text = F.when(F.col("_dropped").isNull(), F.coalesce(F.col("_row.text"), F.lit(""))).otherwise(

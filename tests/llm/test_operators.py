@@ -478,6 +478,34 @@ def test_a_line_that_repeats_in_its_holder_stays(spark):
     assert kept == {0: "x", 1: "x", 2: "x", 3: "x", 4: f"{line}\nx\n{line}", None: ""}
 
 
+def test_line_keys_fold_what_translate_folds(spark):
+    """Latin-1 lower-casing turns C3 into E3 and so on; no two lines may meet by that."""
+    ends = ["", " ", "\t", "\x0b", "\r", "\x0c ", "\x1f", "\xa0"]
+    middle = ["A", "a", "É", "é", "ß", "Σ", "σ", "ς", "İ", "i̇", "k", "\u212a", "\u3042", "\xc2", "\u2080", "𐐀", "𐐨", "ab", "aB"]
+    lines = spark.createDataFrame([(a + m + b,) for a in ends for m in middle for b in ends] + [("",), (" \r",)], "line string")
+    keys = lines.select(F.expr("line").alias("line"), line_dedup._folded(line_dedup._stripped(F.col("line"))).alias("own"),
+                        common.lower_ascii(F.btrim("line", F.lit(line_dedup.STRIPPED))).alias("plain")).collect()
+    both = {(r.own, r.plain) for r in keys}
+    assert len(both) == len({r.own for r in keys}) == len({r.plain for r in keys})
+
+
+def test_lines_are_folded_whole_and_texts_pass_unsorted(spark, monkeypatch):
+    """A text was an object for each character, was sorted, and was met by positions from a table of many files."""
+    made, keep = {}, Store.keep
+
+    def noted(self, df, name):
+        made[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return keep(self, df, name)
+
+    monkeypatch.setattr(Store, "keep", noted)
+    docs = spark.createDataFrame([(i, "a line of more than forty characters, seen in several documents", "en", "a", 0)
+                                  for i in range(6)], SCHEMA)
+    cleaned = line_dedup.clean_lines(docs)
+    assert set(made) == {"keys", "shared"} and "translate(" not in made["keys"]
+    plan = cleaned._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 # --- URL rules
 
 URLS = [(1, None), (2, ""), (3, "no scheme"), (4, "http://A.Net/x"), (5, "http://net"), (6, "x://www.example.net/en/1?a=b"),
