@@ -1,7 +1,7 @@
 """LM scoring: the marginal probability of a document over all its splits into pieces of a subword lattice.
 
 A word's lattice holds every way to split it into pieces of an existing vocabulary, whose scores weight the pieces; the
-forward recursion in log space sums over all of them. One pass of expectation-maximisation over the training words adds
+forward recursion sums over all of them, on logarithms where a product could leave the range of doubles. One pass of expectation-maximisation over the training words adds
 their expected piece counts to those weights. `score` is the sum of the logarithms of a text's words and its end: since
 no piece crosses a word's border, that is the marginal probability of the text over all its segmentations.
 
@@ -21,7 +21,10 @@ from __future__ import annotations
 import math
 from collections import Counter
 from functools import lru_cache
+from itertools import repeat
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,6 +40,8 @@ SCORE_PIECES = 1000.0
 BYTES = ""
 WORD_START = "▁"
 LN10 = math.log(10)
+#: Products stay above exp of this, far from the least double.
+LEAST_LOG = -600.0
 
 
 class Lattice:
@@ -46,6 +51,11 @@ class Lattice:
         self.pieces, self.byte = pieces, byte
         # every beginning of a piece, so that a search stops where no piece goes on
         self.beginnings: dict[str, float | None] = {p[:k]: None for p in pieces for k in range(1, len(p))} | pieces
+        # the same as shares, where a mere beginning has none
+        self.shares = {p: 0.0 if w is None else math.exp(w) for p, w in self.beginnings.items()}
+        self.spelled = [math.exp(byte * n) for n in range(5)]
+        #: Bytes of a text up to which its products are not too small; spelling it in bytes is the least of its sums.
+        self.longest = int(LEAST_LOG / byte)
 
     @classmethod
     def from_file(cls, path: str) -> Lattice:
@@ -84,11 +94,34 @@ class Lattice:
         return forward, ending
 
     def log_marginal(self, word: str) -> float:
-        """Natural logarithm of the summed probability of all segmentations. A character may also be its bytes.
-
-        The recursion of `_forward`, without a record of the pieces.
-        """
-        text, get, byte, exp = WORD_START + word, self.beginnings.get, self.byte, math.exp
+        """Natural logarithm of the summed probability of all segmentations. A character may also be its bytes."""
+        text = WORD_START + word
+        if self._is_long(text):
+            return self._log_marginal_long(text)
+        get, n = self.shares.get, len(text)
+        sums = [0.0] * (n + 1)
+        sums[0] = 1.0
+        for start, spelled in enumerate(self._spellings(text)):
+            here = sums[start]
+            sums[start + 1] += here * spelled
+            for end in range(start + 1, n + 1):
+                share = get(text[start:end])
+                if share is None:
+                    break
+                sums[end] += here * share
+        return math.log(sums[n])
+
+    def _is_long(self, text: str) -> bool:
+        return 4 * len(text) > self.longest and len(text.encode()) > self.longest
+
+    def _spellings(self, text: str) -> list[float]:
+        """Per character, the probability of its bytes."""
+        spelled = self.spelled
+        return [spelled[1] if c < "\x80" else spelled[len(c.encode())] for c in text]
+
+    def _log_marginal_long(self, text: str) -> float:
+        """The recursion of `_forward`, without a record of the pieces."""
+        get, byte, exp = self.beginnings.get, self.byte, math.exp
         n = len(text)
         terms: list[list[float]] = [[] for _ in range(n + 1)]
         terms[0].append(0.0)
@@ -110,7 +143,36 @@ class Lattice:
 
     def expect(self, word: str, into: dict[str, float], times: float = 1.0) -> None:
         """Adds the pieces that `times` segmentations, drawn by their probability, are expected to hold."""
-        forward, ending = self._forward(WORD_START + word)
+        text = WORD_START + word
+        if self._is_long(text):
+            return self._expect_long(text, into, times)
+        get, seen, n = self.shares.get, into.get, len(text)
+        sums = [0.0] * (n + 1)
+        sums[0] = 1.0
+        steps = []
+        for start, spelled in enumerate(self._spellings(text)):
+            here = sums[start]
+            sums[start + 1] += here * spelled
+            steps.append((start, start + 1, BYTES, spelled))
+            for end in range(start + 1, n + 1):
+                share = get(piece := text[start:end])
+                if share is None:
+                    break
+                if share:
+                    sums[end] += here * share
+                    steps.append((start, end, piece, share))
+        # from the end: what follows each place, as a share of the whole
+        after = [0.0] * (n + 1)
+        after[n] = times / sums[n]
+        for start, end, piece, share in reversed(steps):
+            part = share * after[end]
+            after[start] += part
+            part *= sums[start]
+            if part > 1e-12:  # what is below adds nothing to counts that are rounded to a millionth
+                into[piece] = seen(piece, 0.0) + part
+
+    def _expect_long(self, text: str, into: dict[str, float], times: float) -> None:
+        forward, ending = self._forward(text)
         share, exp = [0.0] * len(forward), math.exp
         share[-1] = times
         for end in range(len(forward) - 1, 0, -1):
@@ -216,32 +278,35 @@ def score_texts(docs: DataFrame, path: str, frequent: int = FREQUENT) -> DataFra
     vocabulary = vocabulary.select("word", (F.col("count") > 0).cast("long").alias("known"), base.alias("base"),
                                    (F.col("prior") / LN10).alias("marginal"), mixture.alias("mixture"), "count")
     top = vocabulary.orderBy(F.desc("count"), "word").limit(frequent).drop("count").collect()
-    table = {bytes(r.word): (r.known, r.base, r.marginal, r.mixture) for r in top}
-    shared = store.spark.sparkContext.broadcast(table)
+    # place 0 stands for words that are not there
+    places = {bytes(r.word): i for i, r in enumerate(top, 1)}
+    values = np.array([(0, 0, 0, 0), *[(r.known, r.base, r.marginal, r.mixture) for r in top]], dtype=np.float64)
+    shared = store.spark.sparkContext.broadcast((places, values))
     end_base = math.log10(ends + 1) - base_rest
     end_marginal = math.log10(END_SHARE)
     end_mixture = math.log10(ends + max(types, 1) * END_SHARE) - model_rest
 
     def make():
-        own = shared.value
+        own, worth = shared.value
+        place = own.get
 
         def work(c):
-            out = {k: [] for k in ("n_tokens", "n_known", "base_score", "score", "mixture_score", "rare")}
+            out = {k: [] for k in ("n_tokens", "n_known", "base_score", "score", "mixture_score")}
+            borders, words_left, times_left = [0], [], []
             for body in c["body"]:
-                counts = Counter(body.lower().split())
-                n, known, rare = 1, int(ends > 0), []
-                base, marginal, mixture = end_base, end_marginal, end_mixture
-                for word, times in counts.items():
-                    n += times
-                    if found := own.get(word):
-                        known += times * found[0]
-                        base += times * found[1]
-                        marginal += times * found[2]
-                        mixture += times * found[3]
-                    else:
-                        rare.append({"word": word, "times": times})
-                for k, v in zip(out, (n, known, base, marginal, mixture, rare)):
+                words = body.lower().split()
+                at = np.fromiter(map(place, words, repeat(0)), np.int32, len(words))
+                known, base, marginal, mixture = worth[at].sum(axis=0).tolist()
+                for k, v in zip(out, (1 + len(words), int(ends > 0) + int(known), end_base + base,
+                                      end_marginal + marginal, end_mixture + mixture)):
                     out[k].append(v)
+                rare = Counter([words[i] for i in np.flatnonzero(at == 0).tolist()])
+                words_left += rare
+                times_left += rare.values()
+                borders.append(len(words_left))
+            rare = pa.StructArray.from_arrays([pa.array(words_left, pa.binary()), pa.array(times_left, pa.int64())],
+                                              ["word", "times"])
+            out["rare"] = pa.ListArray.from_arrays(pa.array(borders, pa.int32()), rare)
             return {"row": c["row"], "doc_id": c["doc_id"], "held_out": c["held_out"]} | out
         return work
 

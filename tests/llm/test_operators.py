@@ -376,6 +376,35 @@ def test_marginal_sums_over_all_segmentations(word):
     assert sum(v * len(p) for p, v in into.items() if p) + into.get("", 0) == pytest.approx(len(word) + 1)
 
 
+@pytest.mark.parametrize("length", [1, 10, 45, 46, 47, 48, 200, 5000])
+def test_products_and_logarithms_meet(length, monkeypatch):
+    """Products serve words that they cannot leave the range of doubles in, logarithms the others."""
+    own = lattice.Lattice.from_file(lattice.pieces_path())
+    word = "".join(random.Random(length).choice("abé\U0001f600etinq") for _ in range(length))
+    short, into, logs = own.log_marginal(word), {}, {}
+    own.expect(word, into, 3.0)
+    assert own._is_long(lattice.WORD_START + word) == (len((lattice.WORD_START + word).encode()) > own.longest)
+    monkeypatch.setattr(own, "longest", 0)
+    assert math.isfinite(short) and short == pytest.approx(own.log_marginal(word), rel=1e-12)
+    own.expect(word, logs, 3.0)
+    assert {p: into.get(p, 0.0) for p in into | logs} == {p: pytest.approx(logs.get(p, 0.0), abs=1e-7) for p in into | logs}
+
+
+def test_usual_words_are_summed_without_logarithms(monkeypatch):
+    """One logarithm for a word, where there was one for each place in it and an exponential for each piece."""
+    own, calls = lattice.Lattice.from_file(lattice.pieces_path()), Counter()
+
+    class Counted:
+        def __getattr__(self, name):
+            calls[name] += 1
+            return getattr(math, name)
+
+    monkeypatch.setattr(lattice, "math", Counted())
+    own.log_marginal("interesting")
+    own.expect("interesting", {})
+    assert calls == {"log": 1}
+
+
 def test_refitted_weights_sum_to_at_most_one():
     own = lattice.lattice(lattice.pieces_path())
     assert sum(map(math.exp, own.pieces.values())) == pytest.approx(1 - lattice.BYTE_SHARE)
