@@ -7,6 +7,10 @@ from pyspark.sql import SparkSession
 PARTITION_BYTES = 256 * 1024 * 1024
 #: Whole employee rows that a task sorts or groups in memory, some 200 MB of them.
 PARTITION_ROWS = 250_000
+#: Rows that go to a Python worker at once. Spark counts 10,000 rows or 64 MB, of which a task holds several copies on
+#: either side.
+BATCH_BYTES = 4 * 1024 * 1024
+BYTES_PER_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
@@ -45,6 +49,16 @@ def size_shuffles(spark: SparkSession, rows: int) -> int:
     return wanted
 
 
+def size_batches(spark: SparkSession) -> None:
+    """Let Python workers take at most BATCH_BYTES of rows at once, unless the session asks for less.
+
+    Batches of wide rows are what most of a worker's memory is, and a worker keeps the memory of its largest.
+    """
+    now = spark.conf.get(BYTES_PER_BATCH).lower()
+    if not now.rstrip("b").isdigit() or not 0 < int(now.rstrip("b")) <= BATCH_BYTES:
+        spark.conf.set(BYTES_PER_BATCH, str(BATCH_BYTES))
+
+
 def session(app: str, cores: int, input_bytes: int = 0, master: str | None = None, **more: str) -> SparkSession:
     """A session with these settings. On a cluster, `spark.checkpoint.dir` must name a folder all executors share."""
     builder = SparkSession.builder.appName(app)

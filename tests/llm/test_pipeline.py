@@ -5,11 +5,14 @@ from __future__ import annotations
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
 from checks.compare import connect
 from rollcall.llm import bpe, line_dedup, mixing, quality
+from rollcall.session import BATCH_BYTES, BYTES_PER_BATCH, size_batches
 
 from . import brute
 from .helpers import SF
@@ -48,6 +51,28 @@ def test_stages_keep_the_columns_and_survive_odd_rows(spark, odd):
         assert stage(spark, empty, SF).count() == 0
 
 
+def test_workers_take_few_bytes_at_once(spark):
+    """Batches of up to 64 MB made the workers and the JVM beside them grow from stage to stage."""
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"bytes": [batch.nbytes]})
+
+    wide = spark.range(2000, numPartitions=1).select(F.lit("x" * 10_000).alias("text"))
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    before = spark.conf.get(BYTES_PER_BATCH)
+    try:
+        for stage in (corpus_pipeline.quality_rules, corpus_pipeline.encode_bpe):
+            spark.conf.set(BYTES_PER_BATCH, "64m")
+            stage(spark, docs, SF)
+            found = [r.bytes for r in wide.mapInArrow(sizes, "bytes long").collect()]
+            assert sum(found) >= 20_000_000 and max(found) < 1.1 * BATCH_BYTES
+        spark.conf.set(BYTES_PER_BATCH, "100000")
+        size_batches(spark)
+        assert spark.conf.get(BYTES_PER_BATCH).rstrip("bB") == "100000"  # a session that asks for less keeps it
+    finally:
+        spark.conf.set(BYTES_PER_BATCH, before)
+
+
 def test_clean_documents_stay(spark):
     """Documents labelled as good and long enough pass the quality stage."""
     folder = "/root/testdata/sf0.01"
