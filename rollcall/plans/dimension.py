@@ -27,6 +27,9 @@ from rollcall.sources import Store
 
 OPEN = "open"
 LIST = "part string, path string, seq bigint"
+#: Late rows whose keys the planner may send to every task. It goes by the size of files, which says little of rows: nine
+#: million keys with a date are a few MB of a file's columns, and hundreds of MB in a table that the driver builds to send.
+SENT_WHOLE = 100_000
 #: Columns that a version adds to the attributes of its first snapshot; `last_seen` is its latest snapshot.
 ADDED = ("valid_from", "valid_to", "is_current", "version", "last_seen")
 
@@ -43,6 +46,11 @@ def _list(spark: SparkSession, root: str) -> tuple[int, list[tuple[str, str]]]:
     return last, [(r.part, r.path) for r in entries.where(F.col("seq") == last).collect()]
 
 
+def _met_by_shuffle(side: DataFrame) -> DataFrame:
+    """A side of a join that grows with the dimension: both sides are shuffled, whatever size the planner takes it for."""
+    return side.hint("merge")
+
+
 def part_of(valid_to: Column) -> Column:
     return F.coalesce(F.date_format(valid_to, "yyyy-MM"), F.lit(OPEN))
 
@@ -90,7 +98,7 @@ def _changing(late: DataFrame, versions: DataFrame, keys: Sequence[str], date: s
     inside = ((late[date] > F.col("valid_from")) & (late[date] <= F.col("last_seen"))
               & F.struct(*[late[c] for c in tracked]).eqNullSafe(F.col("_state")))
     first = (late[date] == F.col("valid_from")) & F.struct(*[late[c] for c in own]).eqNullSafe(F.col("_row"))
-    return late.join(stored, [*same_key, inside | first], "left_anti")
+    return late.join(_met_by_shuffle(stored), [*same_key, inside | first], "left_anti")
 
 
 def _all_newer(rows: DataFrame, current: DataFrame, date: str) -> bool:
@@ -104,7 +112,8 @@ def load_snapshots(arrived: DataFrame, history: DataFrame, root: str, keys: Sequ
     """Brings rows of one or more snapshots into the dimension under `root`; returns the parts that were replaced.
 
     `history` holds all clean snapshots, the arrived ones among them. It is read for keys only whose late rows change
-    something. Dates of late rows and names of parts are all that reaches the driver.
+    something. Dates of late rows, their number, names of parts, and keys of up to SENT_WHOLE late rows are all that
+    reaches the driver.
     """
     spark, keys = arrived.sparkSession, list(keys)
     store = Store(spark, "dimension")
@@ -115,13 +124,15 @@ def load_snapshots(arrived: DataFrame, history: DataFrame, root: str, keys: Sequ
     current = _read(like, [e for e in entries if e[0] == OPEN])
     newer, late, changed, since = rows, None, None, None
     if not _all_newer(rows, current, date):
-        met = store.keep(rows.join(current.select(*keys, F.col("last_seen").alias("_until")), keys, "left"), "met")
+        until = _met_by_shuffle(current.select(*keys, F.col("last_seen").alias("_until")))
+        met = store.keep(rows.join(until, keys, "left"), "met")
         newer = met.where(F.col("_until").isNull() | (F.col(date) > F.col("_until"))).drop("_until")
         late = store.keep(_changing(met.where(F.col(date) <= F.col("_until")).drop("_until"),
                                     _read(like, entries), keys, date, tracked), "late")
-        since = late.agg(F.min(date)).first()[0]
+        since, n = late.agg(F.min(date), F.count(F.lit(1))).first()
     if since is not None:
         changed = late.select(*keys).distinct()
+        changed = changed if n <= SENT_WHOLE else _met_by_shuffle(changed)
         newer, standing = newer.join(changed, keys, "left_anti"), current.join(changed, keys, "left_anti")
     elif newer.isEmpty():
         return set()

@@ -100,3 +100,36 @@ def test_a_snapshot_newer_than_all_is_written_once(spark, tmp_path, monkeypatch)
     load(spark, root, snaps[1][:2], snaps[0] + snaps[1][:2])
     assert kept == ["arrived", "arrived"]
     assert rows(dimension.read_dimension(spark, root), *COLUMNS) == full(spark, snaps[0] + snaps[1][:2])
+
+
+def plans_of(spark, monkeypatch):
+    """Plans of all that is written or collected from now on."""
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    seen, frame_kind = [], type(spark.range(0))
+    write, collect = DataFrameWriter.parquet, frame_kind.collect
+
+    def note(df):
+        seen.append(df._jdf.queryExecution().executedPlan().toString())
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, *a, **b: note(self._df) or write(self, *a, **b))
+    monkeypatch.setattr(frame_kind, "collect", lambda self: note(self) or collect(self))
+    return seen
+
+
+@pytest.mark.parametrize("many", [True, False])
+def test_versions_are_never_sent_whole(spark, tmp_path, monkeypatch, many):
+    """A late snapshot meets the versions by a shuffle, though the planner takes them for small; the keys that it
+    changes are sent to the tasks only while they are few."""
+    root, snaps = str(tmp_path / "dim"), {m: [(k, a if k < 3 else "same", 0, day(m)) for k in range(6)]
+                                          for m, a in ((1, "A"), (2, "B"), (3, "C"))}
+    load(spark, root, snaps[1] + snaps[3], snaps[1] + snaps[3])
+    monkeypatch.setattr(dimension, "SENT_WHOLE", 2 if many else 3, raising=False)
+    seen, history = plans_of(spark, monkeypatch), [r for s in snaps.values() for r in s]
+    load(spark, root, snaps[2], history)
+    monkeypatch.undo()
+    joined = [p for p in seen if "Join" in p]
+    # what was seen last, changed keys, parts that the change reaches, new versions
+    assert len(joined) == 4 and all("SortMergeJoin" in p for p in joined[:2])
+    assert ["Broadcast" in p for p in joined] == [False, False, not many, not many]
+    assert rows(dimension.read_dimension(spark, root), *COLUMNS) == full(spark, history)
